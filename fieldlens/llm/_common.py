@@ -21,6 +21,14 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, ASCII_UPPER, ASCII_UPPER.lower())
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], names: list[str], kinds: list[str]) -> DataFrame:
+    """A small table of constants, made by the JVM alone."""
+    value = lambda v: F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v)
+    cells = F.array(*(F.struct(*(value(v).cast(k).alias(n) for v, n, k in zip(row, names, kinds))) for row in rows))
+    empty = F.lit(None).cast(f"array<struct<{','.join(f'{n}:{k}' for n, k in zip(names, kinds))}>>")
+    return spark.range(1).select(F.inline(cells if rows else empty))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see; a temporary one only where the session names none."""
     path = spark.conf.get("spark.checkpoint.dir", None)

@@ -19,7 +19,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm._common import ascii_lower, read
+from fieldlens.llm._common import ascii_lower, literal_rows, read
 
 PHRASES = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
 #: Short notices in common use, one or more for a label.
@@ -91,7 +91,7 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, thresho
         (word, place, label, words, need) for label, words, need in ordered for place, word in enumerate(words[: len(words) - need + 1])
     ]
     spark = docs.sparkSession
-    table = spark.createDataFrame(prefixes, "word string, template_place int, template_label string, template array<string>, need int")
+    table = literal_rows(spark, prefixes, ["word", "template_place", "template_label", "template", "need"], ["string", "int", "string", "array<string>", "int"])
 
     ranked = F.array_sort(F.transform(F.col("line"), lambda w: F.struct(F.element_at(_order_map(order), w).alias("k"), w.alias("w"))))
     spaced = lower.select(

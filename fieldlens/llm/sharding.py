@@ -20,7 +20,8 @@ from fieldlens.llm._common import materialize, rank_in_buckets, read
 
 SHARDS = 16
 SEED = 17
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
+MOST_BUCKETS = 65_536
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -36,7 +37,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, row
         )
     )
     n = slim.count()
-    buckets = max(16, math.ceil(n / rows_per_bucket))
+    buckets = min(MOST_BUCKETS, max(16, math.ceil(n / rows_per_bucket)))
     ties = ["shuffle_key", "doc_id", "text_crc32", "size"]
     uniform = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("long")
     within = rank_in_buckets(slim.withColumn("bucket", F.shiftright(uniform * buckets, 32)), ["stratum"], "bucket", ties, "rank")

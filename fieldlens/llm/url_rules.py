@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm._common import ascii_lower, read
+from fieldlens.llm._common import ascii_lower, literal_rows, read
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 DEFAULT_VERDICT = "allow"
@@ -80,7 +80,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDIC
 
 
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    rules = literal_rows(spark, RULES, ["host", "path", "verdict"], ["string"] * 3)
     return judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
