@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["sharding", "near_dedup", "language", "packing", "toxicity", "license_scan", "url_rules", "quality"]
+MODULES = ["sharding", "ann", "near_dedup", "language", "packing", "toxicity", "decontaminate", "license_scan", "url_rules", "quality"]
 
 
 def registry() -> tuple[dict, dict]:

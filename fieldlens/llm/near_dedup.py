@@ -63,7 +63,8 @@ def _shingled(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
         signed = signatures(hashes, ends)
         binary = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * VALUES), len(signed), [None, pa.py_buffer(signed.tobytes())]).cast(pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.diff(ends)), pa.array(_set_keys(hashes, ends)), binary], ["doc_id", "n_shingles", "k", "signature"]
+            [batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(ends)), pa.array(_set_keys(hashes, ends)), binary],
+            ["doc_id", "text_key", "n_shingles", "k", "signature"],
         )
 
 
@@ -165,11 +166,12 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of docs(doc_id, text)."""
+    """doc_id, n_shingles, component_id, kept, text_key for every row of docs(doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    keyed = texts.withColumn("text_key", F.xxhash64("text"))
     share = percent / 100
-    signed = materialize(texts.mapInArrow(lambda b: _shingled(b, width), "doc_id long, n_shingles long, k long, signature binary"))
-    classes = materialize(signed.where("n_shingles > 0").groupBy("k").agg(F.min("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.min("doc_id").alias("doc_id")))
+    every = materialize(keyed.mapInArrow(lambda b: _shingled(b, width), "doc_id long, text_key long, n_shingles long, k long, signature binary"))
+    classes = materialize(every.where("n_shingles > 0").groupBy("k").agg(F.min("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.min("doc_id").alias("doc_id")))
     rows = classes.select("k", "n_shingles", "signature").mapInArrow(_tree_rows, "region long, d0 long, d1 long, d2 long, k long, n long")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartition(parts, "region").sortWithinPartitions("region", "d0", "d1", "d2", "k")
@@ -182,7 +184,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     dense = found.where("kind = 1").select(F.col("a").alias("region"), F.col("b").alias("k"))
     nodes = candidates.select(F.col("a").alias("k")).union(candidates.select("b")).union(dense.select("k")).distinct()
     nodes = materialize(nodes.join(classes.select("k", "doc_id"), "k"))
-    sets = materialize(_class_sets(texts, signed, nodes, width))
+    sets = materialize(_class_sets(texts, nodes, width))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         return _with_both(pairs, sets, "s").mapInArrow(lambda b: _confirmed(b, percent), "a long, b long")
@@ -199,14 +201,29 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
         more = materialize(confirm(likely(_across(dense, labels)).select("a", "b")))
         labels = materialize(components(links.union(more)))
 
-    named = signed.select("doc_id", "n_shingles", "k").join(labels.withColumnRenamed("node", "k"), "k", "left")
+    named = every.select("doc_id", "text_key", "n_shingles", "k").join(labels.withColumnRenamed("node", "k"), "k", "left")
     named = named.withColumn("label", F.coalesce("label", "k"))
     least = named.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = named.join(least, "label", "left").withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key")
 
 
-def _class_sets(texts: DataFrame, signed: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs(doc_id, text, ...) without all but one of each group of near-duplicates."""
+    found = near_duplicates(docs, width, percent).groupBy("doc_id", "text_key").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    found = materialize(found.where("not kept or rows > 1"))
+    few = found.count() <= BROADCAST_IDS
+
+    def matching(rows: DataFrame, how: str) -> DataFrame:
+        rows = F.broadcast(rows) if few else rows
+        return docs.join(rows, docs["doc_id"].cast("long").eqNullSafe(rows["doc_id"]) & (F.xxhash64(docs["text"]) == rows["text_key"]), how)
+
+    out = matching(found, "left_anti")
+    repeated = found.where("kept")
+    return out if repeated.isEmpty() else out.union(matching(repeated, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+def _class_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """The full shingle set of each class in nodes(k, doc_id), made anew of one of its texts."""
     n = nodes.count()
     wanted = nodes.select("doc_id").distinct()
@@ -231,7 +248,7 @@ def _across(dense: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"), width=4, percent=80)
+    return near_duplicates(read(spark, sf_dir, "documents"), width=4, percent=80).drop("text_key")
 
 
 QUERIES = {"op3_near_dedup": op3_near_dedup}
