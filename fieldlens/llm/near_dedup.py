@@ -7,9 +7,9 @@ order, which share the longest prefixes. A pair of similarity 0.8 shares no regi
 
 Candidates pass if their lengths and signatures allow the similarity, and are then confirmed on full shingle
 sets. Confirming goes in two rounds: first the most similar partner of every class, then, across the components
-found so far, every other candidate. In dense regions two more rounds compare the classes of the smaller components with every
-class of other components in their region (regions of ``CLOSURE`` classes at most; larger ones hold so many
-links that the label neighbours connect them).
+found so far, every other candidate. Classes of dense regions meet once more: components that unconfirmed candidates
+bring together form a neighbourhood, and there every class outside the largest component is compared on
+full sets with every class of another component. The classes come in blocks of ``BLOCK``, so pairs are neither written nor gathered.
 
 Defined results: words are split at ASCII white space and only A-Z is lower-cased; a text of fewer words than a shingle has
 one shingle; a text without words, or null, has none and is linked with nothing; repeated rows share a
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ from fieldlens.llm.components import components
 
 TREES, DEPTH, DEEPER = 24, 3, 3
 VALUES = TREES * DEPTH
-REGION, NEIGHBOURS, CLOSURE = 32, 8, 4096
+REGION, NEIGHBOURS, BLOCK = 16, 4, 2048
 ESTIMATE_SLACK = 0.2  # over four standard deviations of the signatures' estimate
 BROADCAST_IDS = 1_000_000
 
@@ -87,7 +88,7 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (kind 0) of rows sorted by region and label, and the members of dense regions (kind 1)."""
+    """Candidate pairs (kind 0) of rows sorted by region and label, and the classes of dense regions (kind 1)."""
 
     def pairs(key, k, n, dense) -> pa.RecordBatch:
         cut = np.flatnonzero(np.diff(key)) + 1
@@ -100,7 +101,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.
             if ok.any():
                 a.append(k[:-d][ok])
                 b.append(k[d:][ok])
-        low = np.concatenate([np.minimum(x, y) for x, y in zip(a, b)] + [key[deep]])
+        low = np.concatenate([np.minimum(x, y) for x, y in zip(a, b)] + [k[deep]])
         high = np.concatenate([np.maximum(x, y) for x, y in zip(a, b)] + [k[deep]])
         kind = np.concatenate([np.zeros(sum(map(len, a)), np.int32), np.ones(int(deep.sum()), np.int32)])
         return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(kind)], ["a", "b", "kind"])
@@ -181,7 +182,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
         return _with_both(pairs, classes, "signature").mapInArrow(lambda b: _estimated(b, share - ESTIMATE_SLACK), "a long, b long, estimate double")
 
     candidates = materialize(likely(found.where("kind = 0").select("a", "b")))
-    dense = found.where("kind = 1").select(F.col("a").alias("region"), F.col("b").alias("k"))
+    dense = found.where("kind = 1").select(F.col("a").alias("k"))
     nodes = candidates.select(F.col("a").alias("k")).union(candidates.select("b")).union(dense.select("k")).distinct()
     nodes = materialize(nodes.join(classes.select("k", "doc_id"), "k"))
     sets = materialize(_class_sets(texts, nodes, width))
@@ -197,8 +198,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     rest = _labelled(candidates.select("a", "b").join(best, ["a", "b"], "left_anti"), labels).where("la <> lb").select("a", "b")
     links = links.union(materialize(confirm(rest)))
     labels = materialize(components(links))
-    if not dense.isEmpty():
-        more = materialize(confirm(likely(_across(dense, labels)).select("a", "b")))
+    apart = materialize(_labelled(candidates.select("a", "b"), labels).where("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
+    if not (dense.isEmpty() or apart.isEmpty()):
+        more = materialize(_across(dense, labels, apart, classes, sets, percent))
         labels = materialize(components(links.union(more)))
 
     named = every.select("doc_id", "text_key", "n_shingles", "k").join(labels.withColumnRenamed("node", "k"), "k", "left")
@@ -235,16 +237,57 @@ def _class_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return whole.join(named, "k", "left_semi").union(again).dropDuplicates(["k"])
 
 
-def _across(dense: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs between a dense region's main component and its other classes, in regions of CLOSURE classes at most."""
-    known = dense.join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k"))
-    counts = known.groupBy("region", "label").count()
-    sized = counts.groupBy("region").agg(F.sum("count").alias("n"), F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("parts"))
-    open_regions = sized.where((F.col("parts") > 1) & (F.col("n") <= CLOSURE))
-    inside = known.join(open_regions, "region")
-    fringe = inside.where("label <> main").select("region", F.col("k").alias("x"), F.col("label").alias("lx"))
-    pairs = fringe.join(inside.select("region", F.col("k").alias("y"), F.col("label").alias("ly")), "region").where("lx <> ly")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _across(dense: DataFrame, labels: DataFrame, apart: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between dense classes of different components of one neighbourhood (components joined by pairs in ``apart``)."""
+    near = components(apart).select(F.col("node").alias("label"), F.col("label").alias("near"))
+    known = dense.join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k")).join(near, "label")
+    sizes = known.groupBy("near", "label").count()
+    shape = sizes.groupBy("near").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.ceil(F.sum("count") / BLOCK).cast("int").alias("parts"), F.count("*").alias("n"))
+    inside = known.join(shape.where("n > 1"), "near").join(classes.select("k", "signature"), "k").join(sets, "k")
+    columns = ["near", "part", "fringe", "k", "label", "signature", "s"]
+    members = inside.withColumn("part", F.pmod(F.xxhash64("k"), "parts").cast("int")).withColumn("fringe", F.lit(False)).select(*columns)
+    fringe = inside.where("label <> main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("fringe", F.lit(True)).select(*columns)
+
+    def compare(block):
+        side = block.column("fringe")
+        out = _links_across(block.filter(side), block.filter(pc.invert(side)), percent)
+        return pa.table([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+
+    return members.union(fringe).groupBy("near", "part").applyInArrow(compare, "a long, b long")
+
+
+def _links_across(fringe: pa.Table, members: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Confirmed pairs of fringe and members, one at least for each two components that such a pair links."""
+    if not (fringe.num_rows and members.num_rows):
+        return []
+    joined: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while x in joined:
+            x = joined[x]
+        return x
+
+    signed = lambda t: np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
+    theirs, k, label = signed(members), members.column("k").to_numpy(), members.column("label").to_numpy()
+    values = [np.frombuffer(s, np.uint64) for s in members.column("s").to_pylist()]
+    size = np.array([len(v) for v in values])
+    out = []
+    for mine, own, own_label, s in zip(signed(fringe), fringe.column("k").to_pylist(), fringe.column("label").to_pylist(), fringe.column("s").to_pylist()):
+        held = np.frombuffer(s, np.uint64)
+        fits = (label != own_label) & (100 * np.minimum(size, len(held)) >= percent * np.maximum(size, len(held)))
+        rows = np.flatnonzero(fits & ((theirs == mine).mean(axis=1) >= percent / 100 - ESTIMATE_SLACK))
+        rows = rows[[root(int(x)) != root(own_label) for x in label[rows]]] if len(rows) else rows
+        if not len(rows):
+            continue
+        flat = np.concatenate([values[r] for r in rows])
+        at = np.minimum(np.searchsorted(held, flat), len(held) - 1)
+        both = np.add.reduceat((held[at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(size[rows])[:-1]]))
+        for r in rows[100 * both >= percent * (size[rows] + len(held) - both)]:
+            a, b = root(own_label), root(int(label[r]))
+            if a != b:
+                joined[max(a, b)] = min(a, b)
+                out.append((min(own, int(k[r])), max(own, int(k[r]))))
+    return out
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
