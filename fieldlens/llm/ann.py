@@ -4,8 +4,9 @@ The tree is fitted on a bounded sample (``SAMPLE`` vectors, chosen by a hash of
 ``LEAF_ROWS`` rows, ``MOST_LEAVES`` at most; every row is indexed in it. A query walks the tree through a priority queue of branches,
 nearest centre first, and so gets its leaves in the order to visit. How many leaves to visit is calibrated:
 ``CALIBRATION`` queries of the sample are also answered exactly over all rows, and the visits are widened until their recall reaches
-``RECALL``. Queries then meet the rows of their leaves by an equi-join on the leaf, and distances are taken on the
-original vectors in double precision.
+``RECALL``. Queries then meet the rows of their leaves by an equi-join on the leaf, in rounds that widen by ``WIDENING``: in
+each round a query only gets rows within the distance of its k-th nearest so far, so what it gathers does not
+grow with the number of leaves. Distances are taken on the original vectors in double precision.
 
 Rows with equal vectors are gathered first: any query's k nearest hold k + 1 of them at most, those with the smallest ids, so
 the others need not be compared. Large leaves are dealt out in parts of ``PART_ROWS``.
@@ -30,7 +31,8 @@ from fieldlens.llm._common import materialize, read
 NEAREST = 10
 QUERY_EVERY = 100
 SAMPLE, CALIBRATION = 20_000, 128
-LEAF_ROWS, MOST_LEAVES, BRANCHES = 256, 1024, 8
+LEAF_ROWS, MOST_LEAVES, BRANCHES = 256, 512, 8
+FIRST_VISITS, WIDENING = 4, 4
 RECALL = 0.97
 PART_ROWS = 4_096
 
@@ -113,15 +115,18 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _closest(queries: np.ndarray, x: np.ndarray, first: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query, the rows that can be among the k nearest, ties included, and their exact distances. first: ids to break ties."""
+def _closest(queries: np.ndarray, x: np.ndarray, first: np.ndarray, k: int, radius: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query, the rows that can be among the k nearest and lie within its radius, and their exact distances. first: ids to break ties."""
     squared = (x**2).sum(1)
     for at in range(0, len(queries), 256):
         block = queries[at : at + 256]
+        own = (block**2).sum(1)
         rough = squared[None, :] - 2 * block @ x.T
         take = min(k, len(x)) - 1
         limit = np.partition(rough, take, axis=1)[:, take]
-        slack = 1e-9 * (1 + np.abs(limit) + (block**2).sum(1))
+        if radius is not None:
+            limit = np.minimum(limit, radius[at : at + 256] ** 2 - own)
+        slack = 1e-9 * (1 + np.abs(np.where(np.isfinite(limit), limit, 0)) + own)
         for i in range(len(block)):
             rows = np.flatnonzero(rough[i] <= limit[i] + slack[i])
             exact = np.sqrt(((x[rows] - block[i]) ** 2).sum(1))
@@ -167,34 +172,46 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST,
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = _matrix(batch.column("v"), dim)
-            leaves = [shared.value.visits(q, visits) for q in v]
-            at = pa.array(np.repeat(np.arange(len(v)), [len(x) for x in leaves]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([leaf for x in leaves for leaf in x], pa.int64()), batch.column("query").take(at), batch.column("v").take(at)], ["leaf", "query", "v"]
-            )
+            leaves = [shared.value.visits(q, visits) for q in _matrix(batch.column("v"), dim)]
+            at = pa.array(np.repeat(np.arange(len(leaves)), [len(x) for x in leaves]))
+            flat = pa.array([leaf for x in leaves for leaf in x], pa.int64())
+            turn = pa.array([i for x in leaves for i in range(len(x))], pa.int32())
+            yield pa.RecordBatch.from_arrays([flat, turn, batch.column("query").take(at)], ["leaf", "turn", "query"])
 
     # Queries with equal vectors walk once; "query" is the smallest of their ids.
     owners = materialize(asked.groupBy("v").agg(F.min("vec_id").alias("query")))
-    walks = owners.select("query", "v").mapInArrow(walk, "leaf long, query long, v array<float>")
-    walks = walks.join(F.broadcast(parts), "leaf").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    walks = materialize(owners.select("query", "v").mapInArrow(walk, "leaf long, turn int, query long"))
 
-    def compare(key, left: pa.Table, right: pa.Table) -> pa.Table:
+    def compare(key, left, right):
         out: list[list] = [[], [], []]
         if left.num_rows and right.num_rows:
             ids, query = right.column("ids").to_pylist(), left.column("query").to_pylist()
             first = right.column("first").to_numpy()
-            for i, near, distance in _closest(_matrix(left.column("v"), dim), _matrix(right.column("v"), dim), first, k + 1):
+            radius = left.column("radius").to_numpy()
+            for i, near, distance in _closest(_matrix(left.column("v"), dim), _matrix(right.column("v"), dim), first, k + 1, radius):
                 for j, d in zip(near, distance):
                     for vec_id in ids[j]:
                         for column, value in zip(out, (query[i], vec_id, float(d))):
                             column.append(value)
         return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["query", "vec_id", "score"])
 
-    met = walks.select("leaf", "part", "query", "v").groupBy("leaf", "part").cogroup(dealt.select("leaf", "part", "first", "v", "ids").groupBy("leaf", "part"))
-    found = met.applyInArrow(compare, "query long, vec_id long, score double")
     best = Window.partitionBy("query").orderBy("score", "vec_id")
-    found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
+    found, turn, to = None, 0, FIRST_VISITS
+    while turn < visits:
+        step = walks.where((F.col("turn") >= turn) & (F.col("turn") < to)).join(owners, "query")
+        if found is None:
+            step = step.withColumn("radius", F.lit(float("inf")))
+        else:
+            reach = found.groupBy("query").agg(F.when(F.count("*") > k, F.max("score")).alias("radius"))
+            step = step.join(reach, "query", "left").withColumn("radius", F.coalesce("radius", F.lit(float("inf"))))
+        step = step.join(F.broadcast(parts), "leaf").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        left = step.select("leaf", "part", "query", "v", "radius").groupBy("leaf", "part")
+        met = left.cogroup(dealt.select("leaf", "part", "first", "v", "ids").groupBy("leaf", "part")).applyInArrow(compare, "query long, vec_id long, score double")
+        met = met if found is None else met.union(found)
+        found = materialize(met.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r"))
+        turn, to = to, to * WIDENING
+    if found is None:
+        found = spark.createDataFrame([], "query long, vec_id long, score double")
     members = asked.join(owners, "v").select("query", F.col("vec_id").alias("query_id"))
     own = found.join(members, "query").where("query_id <> vec_id")
     nearest = Window.partitionBy("query_id").orderBy("score", "vec_id")
