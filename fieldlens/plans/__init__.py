@@ -1,0 +1,15 @@
+"""Registered queries over the test tables."""
+
+from __future__ import annotations
+
+from importlib import import_module
+
+MODULES = ["q_standings"]
+
+
+def all_queries() -> tuple[dict, dict]:
+    for name in MODULES:
+        import_module(f"fieldlens.plans.{name}")
+    from fieldlens.plans.registry import ORACLE, QUERIES
+
+    return QUERIES, ORACLE
