@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["q_standings"]
+MODULES = ["q_standings", "q_plays"]
 
 
 def all_queries() -> tuple[dict, dict]:
