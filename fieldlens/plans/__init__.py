@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["q_standings", "q_plays", "q_grouping"]
+MODULES = ["q_standings", "q_plays", "q_grouping", "q_text"]
 
 
 def all_queries() -> tuple[dict, dict]:
