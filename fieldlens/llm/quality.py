@@ -174,19 +174,27 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
     return fit(x[order], y[order])
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
-    """Score every row of docs(doc_id, text): doc_id (or the columns of ``keep``), score, predicted."""
+def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, score, predicted for every row of docs(doc_id, text)."""
     model = train(docs, labels, train_rows)
-    keep = keep or ["doc_id"]
-    slim = docs.select(*keep, *(["text"] if "text" not in keep else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
             score = model.score(statistics(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(score), pa.array((score >= threshold).astype(np.int32))], [*keep, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    kinds = ", ".join(f"`{c}` {dict(slim.dtypes)[c]}" for c in keep)
-    return slim.mapInArrow(run, f"{kinds}, score double, predicted int")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs(doc_id, text, ...) that are predicted good, with all their columns."""
+    model = train(docs, labels, train_rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches, "text"):
+            yield batch.filter(pa.array(model.score(statistics(batch.column("text"))) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
