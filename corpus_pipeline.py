@@ -9,24 +9,21 @@ single operators. Null and empty texts are scored like any other and packed as t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldlens.llm._common import materialize, read
 from fieldlens.llm.decontaminate import drop_leaking
 from fieldlens.llm.near_dedup import keep_one
 from fieldlens.llm.packing import pack_documents
-from fieldlens.llm.quality import score_quality
-from fieldlens.llm.toxicity import score_toxicity
+from fieldlens.llm.quality import keep_good
+from fieldlens.llm.toxicity import keep_clean
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = score_toxicity(docs, read(spark, sf_dir, "labels"), keep=docs.columns)
-    return scored.where(F.col("predicted") == 0).select(*docs.columns)
+    return keep_clean(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = score_quality(docs, read(spark, sf_dir, "labels"), keep=docs.columns)
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    return keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
