@@ -56,12 +56,14 @@ def _sum(value: Column, *of: str) -> Column:
     return F.sum(F.when(F.col("role").isin(*of), value).otherwise(0.0))
 
 
-def impact(plays: DataFrame) -> DataFrame:
-    """What each player did in each game. Turnovers committed are not in a play log and stay 0."""
+def _long(plays: DataFrame) -> DataFrame:
+    return roles(plays.withColumn("__sacked", F.size(F.coalesce("sack_player_ids", F.expr("array()"))) > 0))
+
+
+def _signals() -> list[Column]:
     yards = F.coalesce("yards_gained", F.lit(0.0))
     big = F.abs(yards) >= EXPLOSIVE
-    long = roles(plays.withColumn("__sacked", F.size(F.coalesce("sack_player_ids", F.expr("array()"))) > 0))
-    return long.groupBy("game_id", "player").agg(
+    return [
         F.count("*").cast("int").alias("play_frequency"),
         _n(*OFFENSE, "returner").alias("touches"),
         _sum(yards, *OFFENSE).alias("yards"),
@@ -73,7 +75,12 @@ def impact(plays: DataFrame) -> DataFrame:
         _n(*OFFENSE, "interceptor", "returner", where=big).alias("explosive_plays"),
         _n("kicker", "punter").alias("kick_attempts"),
         _sum(F.abs(yards), "interceptor", "returner").alias("return_yards"),
-    )
+    ]
+
+
+def impact(plays: DataFrame) -> DataFrame:
+    """What each player did in each game. Turnovers committed are not in a play log and stay 0."""
+    return _long(plays).groupBy("game_id", "player").agg(*_signals())
 
 
 # Weight of each signal in the relevance score.
@@ -95,20 +102,24 @@ POSITION_OF = {"passer": "QB", "rusher": "RB", "receiver": "WR", "sacker": "DL",
 SPECIFICITY = {"QB": 1, "RB": 2, "WR": 2, "DL": 3, "DB": 4, "DEF": 5}
 
 
-def inferred(plays: DataFrame) -> DataFrame:
-    """Position by the most telling role (the first one seen among equals), team of the first such play."""
-    long = roles(plays).where(F.col("role").isin(*POSITION_OF))
+def _inferred() -> list[Column]:
+    telling = F.col("role").isin(*POSITION_OF)
     step = F.element_at(F.create_map(*(F.lit(x) for i, r in enumerate(POSITION_OF) for x in (r, i))), F.col("role"))
     position = F.element_at(F.create_map(*(F.lit(x) for p in POSITION_OF.items() for x in p)), F.col("role"))
     rank = F.element_at(F.create_map(*(F.lit(x) for p in SPECIFICITY.items() for x in p)), position)
     team = F.when(F.col("role").isin(*OFFENSE), F.col("posteam")).otherwise(F.col("defteam"))
     seq = F.struct("play_id", step)
-    return long.groupBy("game_id", "player").agg(F.min_by(position, F.struct(rank, seq)).alias("position"), F.min_by(team, F.when(team.isNotNull(), seq)).alias("team"))
+    return [F.min_by(position, F.when(telling, F.struct(rank, seq))).alias("position"), F.min_by(team, F.when(telling & team.isNotNull(), seq)).alias("team")]
+
+
+def inferred(plays: DataFrame) -> DataFrame:
+    """Position by the most telling role (the first one seen among equals), team of the first such play."""
+    return roles(plays).where(F.col("role").isin(*POSITION_OF)).groupBy("game_id", "player").agg(*_inferred())
 
 
 def selected(plays: DataFrame, per_team: int = 5, total: int = 30, qb_touches: int = 5, min_plays: int = 1) -> DataFrame:
     """Scorers, busy quarterbacks and each team's best, filled up to ``total`` by score. More than ``total`` forced players add none."""
-    scored = relevance(impact(plays)).join(inferred(plays), ["game_id", "player"], "left")
+    scored = relevance(_long(plays).groupBy("game_id", "player").agg(*_signals(), *_inferred()))
     best = [F.desc("relevance"), F.col("player")]
     top = F.row_number().over(Window.partitionBy("game_id", "team").orderBy(*best))
     forced = (F.col("touchdowns") > 0) | ((F.col("position") == "QB") & (F.col("touches") >= qb_touches)) | (F.col("team").isNotNull() & (F.col("__top") <= per_team))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +43,38 @@ def team_aliases() -> dict[str, str]:
     return out | MORE_ALIASES
 
 
+class Directory:
+    """Names with their letter counts. Two strings share at most the smaller count of each letter, which bounds their score,
+    so names are scored from the highest bound down until no bound reaches the best score.
+    """
+
+    LETTERS = 64
+
+    def __init__(self, names: list[str]):
+        self.names = names
+        self.words = [fuzzy.sorted_words(n) for n in names]
+        self.sizes = np.array([len(w) for w in self.words], float)
+        self.counts = np.vstack([self._count(w) for w in self.words]) if names else np.zeros((0, self.LETTERS), np.int16)
+
+    def _count(self, words: str) -> np.ndarray:
+        return np.bincount(np.frombuffer(words.encode("utf-32-le"), np.uint32) % self.LETTERS, minlength=self.LETTERS).astype(np.int16)
+
+    def best(self, mention: str, cutoff: float) -> tuple[str, float] | None:
+        own = fuzzy.sorted_words(mention)
+        if not self.names or not own:
+            return None
+        bound = 200 * np.minimum(self.counts, self._count(own)).sum(axis=1) / (self.sizes + len(own))
+        likely = np.flatnonzero(bound >= cutoff)
+        top, name = cutoff, None
+        for i in likely[np.argsort(-bound[likely], kind="stable")]:
+            if bound[i] < top:
+                break
+            got = fuzzy.ratio(own, self.words[i])
+            if got > top or got == top and (name is None or self.names[i] < name):
+                top, name = got, self.names[i]
+        return None if name is None else (name, top)
+
+
 def fuzzy_best(mentions: DataFrame, names: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """for each distinct mention, the name of the best token-sort score at or above the threshold (ties: the first name)."""
     cutoff = threshold * 100
@@ -49,24 +82,16 @@ def fuzzy_best(mentions: DataFrame, names: DataFrame, threshold: float = THRESHO
     listed = names.select("name").where("name is not null").distinct()
     if listed.count() <= DIRECTORY:
         directory = sorted(r["name"] for r in listed.collect())  # bounded by DIRECTORY
-        shared = mentions.sparkSession.sparkContext.broadcast([(n, fuzzy.sorted_words(n)) for n in directory])
+        shared = mentions.sparkSession.sparkContext.broadcast(directory)
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            index = Directory(shared.value)
             for batch in batches:
-                out = []
-                for m in batch["mention"]:
-                    s, best = fuzzy.sorted_words(m), (cutoff, None)
-                    for name, words in shared.value:
-                        n = len(s) + len(words)
-                        if n and 200 * min(len(s), len(words)) / n >= best[0]:
-                            got = fuzzy.ratio(s, words)
-                            if got > best[0] or best[1] is None and got >= cutoff:
-                                best = (got, name)
-                    if best[1] is not None:
-                        out.append((m, best[1], best[0]))
-                yield pd.DataFrame(out, columns=["mention", "name", "score"])
-
-        return wanted.mapInPandas(score, "mention string, name string, score double")
+                found = ((m, *got) for m in batch["mention"] if (got := index.best(m, cutoff)))
+                yield pd.DataFrame(found, columns=["mention", "name", "score"])
+
+        spread = wanted.repartition(mentions.sparkSession.sparkContext.defaultParallelism, "mention")
+        return spread.mapInPandas(score, "mention string, name string, score double")
     key = lambda c: F.transform(F.split(c, " "), lambda w: F.substring(w, 1, 2))
     left = wanted.withColumn("k", F.explode(F.array_distinct(key(F.col("mention")))))
     right = listed.withColumn("k", F.explode(F.array_distinct(key(F.col("name")))))
