@@ -206,6 +206,18 @@ def repaired_counts(groups: DataFrame, members: DataFrame) -> tuple[DataFrame, D
     return both.withColumn("member_count", F.col("true_count")).drop("true_count"), both.where("member_count <> true_count")
 
 
+def loose_groups(groups: DataFrame, members: DataFrame, threshold: float = 0.75) -> DataFrame:
+    """Active groups whose members' mean similarity is under a threshold."""
+    mean = members.groupBy("group_id").agg(F.round(F.avg("sim"), 6).alias("avg_sim"))
+    return groups.where("status = 'active'").join(mean, "group_id").where(F.col("avg_sim") < threshold).select("group_id", "member_count", "avg_sim")
+
+
+def embedding_stats(embeddings: DataFrame, members: DataFrame, key: str = "vec_id") -> DataFrame:
+    """Vectors in all, grouped and not, exactly."""
+    open_ = ungrouped(embeddings, members, key).agg(F.count("*").alias("ungrouped"))
+    return embeddings.agg(F.count("*").alias("total")).crossJoin(open_).withColumn("grouped", F.col("total") - F.col("ungrouped"))
+
+
 def nearest(df: DataFrame, query: list[float], k: int = 5, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k rows most similar to one vector, exactly."""
     sim = F.round(cosine(F.col(vector), F.array(*map(F.lit, query))), 9)

@@ -345,6 +345,30 @@ def id_parts(df: DataFrame, name: str = "game_id") -> DataFrame:
     return df.withColumns({"id_season": part(0).try_cast("int"), "id_week": part(1).try_cast("int"), "away_team": part(2), "home_team": part(3)})
 
 
+PLAY_COLUMNS = [
+    "play_id", "game_id", "quarter", "time", "down", "yards_to_go", "yardline", "posteam", "defteam", "play_type", "yards_gained", "touchdown", "safety", *SCALAR_ROLES.values(), *LIST_ROLES.values(),
+]
+OLDER_NAMES = {"time": "clock", "yards_to_go": "distance", "yardline": "yardline_100"}
+
+
+def adapted(raw: DataFrame) -> DataFrame:
+    """Plays under today's or older column names; what is left over goes to a map of text. Both ids are needed."""
+    missing = [c for c in ("play_id", "game_id") if c not in raw.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    names = [*PLAY_COLUMNS, *OLDER_NAMES.values()]
+
+    def one(name: str) -> Column:
+        found = [F.col(n) for n in (name, OLDER_NAMES.get(name)) if n in raw.columns]
+        kind = "array<string>" if name in LIST_ROLES.values() else "string"
+        c = F.coalesce(*found) if found else F.lit(None).cast(kind)
+        return (F.coalesce(c, F.expr("cast(array() as array<string>)")) if name in LIST_ROLES.values() else c).alias(name)
+
+    rest = [c for c in raw.columns if c not in names]
+    more = F.map_from_arrays(F.array(*map(F.lit, rest)), F.array(*(F.col(c).cast("string") for c in rest))) if rest else F.expr("cast(map() as map<string,string>)")
+    return raw.select(*map(one, PLAY_COLUMNS), F.map_filter(more, lambda k, v: v.isNotNull()).alias("additional_fields"))
+
+
 def envelope(plays: DataFrame, top: int = 5) -> DataFrame:
     """One nested document for each game: teams, chosen players, key moments (home is the id's last team, K4)."""
     team = F.struct("team", "points", "total_yards", "touchdowns")

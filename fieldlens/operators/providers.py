@@ -51,6 +51,126 @@ class Provider:
         return df
 
 
+def _given(filters: dict, *names: str) -> dict:
+    """Filters with text trimmed, emptied lists refused, and the first of several names used."""
+    out = {}
+    for key, value in filters.items():
+        if isinstance(value, str):
+            value = value.strip() or None
+        elif isinstance(value, (list, tuple, set)):
+            value = [v for v in (x.strip() if isinstance(x, str) else x for x in value) if v not in (None, "")] or None
+        out[key] = value
+    if names:
+        first = next((out.pop(n) for n in names if out.get(n) is not None), None)
+        for n in names:
+            out.pop(n, None)
+        out[names[0]] = first
+    return out
+
+
+class GameProvider(Provider):
+    """Rows of one game; season and week are read off the game's id where they are not given, so partitions are pruned."""
+
+    def __init__(self, table: Callable[[], DataFrame], by_player: bool = False):
+        super().__init__(table, ("game_id", "season") + ("player_id",) * by_player)
+        self.by_player = by_player
+
+    def get(self, output: str = "frame", **filters: Any) -> Any:
+        asked = _given(_given(filters, "game_id", "games_id"), *(("player_id", "pfr_id") if self.by_player else ()))
+        parts = str(asked.get("game_id") or "").split("_")
+        if len(parts) > 2 and parts[0].isdigit() and len(parts[0]) == 4 and parts[1].isdigit():
+            asked["season"] = asked.get("season") or int(parts[0])
+            asked["week"] = asked.get("week") or int(parts[1])
+        if isinstance(asked.get("player_id"), (int, float)):
+            asked["player_id"] = str(int(asked["player_id"]))
+        return super().get(output, **asked)
+
+
+class KeyedProvider(Provider):
+    """Rows by season, week and player, each of which may be a list."""
+
+    def get(self, output: str = "frame", **filters: Any) -> Any:
+        asked = _given(filters, "player_id", "pfr_id")
+        for name in ("season", "week"):
+            if isinstance(asked.get(name), str) and asked[name].isdigit():
+                asked[name] = int(asked[name])
+        return super().get(output, **asked)
+
+
+class CurrentInjuries(Provider):
+    """The current version of a week's injuries; the regular season unless told otherwise."""
+
+    def __init__(self, table: Callable[[], DataFrame]):
+        super().__init__(table, ("season", "week"), prepare=lambda df: df.where("is_current"))
+
+    def get(self, output: str = "frame", **filters: Any) -> Any:
+        asked = _given(filters)
+        asked["season_type"] = (asked.get("season_type") or "REG").upper()
+        asked["team_abbr"] = asked["team_abbr"].upper() if asked.get("team_abbr") else None
+        return super().get(output, **asked)
+
+
+class TeamProvider:
+    """A team's games of a season or week, or their summary."""
+
+    def __init__(self, games: Callable[[], DataFrame], summary: bool):
+        self.games, self.summary = games, summary
+
+    def get(self, output: str = "frame", **filters: Any) -> Any:
+        if filters.get("team_abbr") is None or filters.get("season") is None:
+            raise ValueError("missing parameters: team_abbr, season")
+        df = self.games().where(F.col("season") == filters["season"])
+        if filters.get("week") is not None:
+            df = df.where(F.col("wk") == filters["week"])
+        view = team_perspective(df, str(filters["team_abbr"]).strip().upper())
+        out = season_summary(view) if self.summary else view
+        return out.select(F.to_json(F.struct("*")).alias("json")) if output == "json" else out
+
+
+def season_summary(view: DataFrame) -> DataFrame:
+    """Record and averages by season of a team's view; averages are null without games."""
+    played = F.col("result").isNotNull()
+    n = lambda r: F.count_if(F.col("result") == r)
+    mean = lambda c: F.round(F.try_divide(F.sum(F.when(played, F.col(c))).cast("double"), F.count_if(played)), 4)
+    return view.groupBy("season").agg(F.count_if(played).alias("games_played"), F.concat_ws("-", n("W"), n("L"), n("T")).alias("record"), mean("points_for").alias("avg_for"), mean("points_against").alias("avg_against"))
+
+
+class Lookup:
+    """Players by part of their name."""
+
+    def __init__(self, players: Callable[[], DataFrame]):
+        self.players = players
+
+    def get(self, output: str = "frame", **filters: Any) -> Any:
+        if not str(filters.get("name") or "").strip():
+            raise ValueError("missing parameters: name")
+        out = find_players(self.players(), filters["name"].strip(), filters.get("team"), filters.get("limit", 10))
+        return out.select(F.to_json(F.struct("*")).alias("json")) if output == "json" else out
+
+
+# Columns that weekly statistics leave out.
+DESCRIPTIVE = ["player_name", "player_display_name", "position", "position_group", "headshot_url", "season_type", "team", "opponent_team"]
+
+
+def registry(table: Callable[[str], DataFrame]) -> dict[str, Any]:
+    """All providers by name, over a function from a table's name to its rows."""
+    of = lambda name: lambda: table(name)
+    keyed = ("season", "week", "player_id")
+    return {
+        "pfr": KeyedProvider(of("pfr"), ("season", "player_id")),
+        "ftn": Provider(of("ftn"), ()),
+        "snap_counts": GameProvider(of("snap_counts"), by_player=True),
+        "pbp": GameProvider(of("plays")),
+        "ngs": KeyedProvider(of("ngs"), keyed),
+        "player_weekly_stats": KeyedProvider(of("weekly_stats"), keyed, drop=tuple(DESCRIPTIVE)),
+        "player_season_stats": KeyedProvider(of("pfr"), ("season", "player_id")),
+        "team_weekly_stats": TeamProvider(of("games"), summary=False),
+        "team_season_stats": TeamProvider(of("games"), summary=True),
+        "injuries": CurrentInjuries(of("injuries")),
+        "player_lookup": Lookup(of("rosters")),
+    }
+
+
 def season_week_of(game_id: Column) -> tuple[Column, Column]:
     """Season and week of an id that begins with year_week_."""
     part = lambda i: F.nullif(F.regexp_extract(game_id, r"(\d{4})_(\d{1,2})_", i), F.lit("")).cast("int")

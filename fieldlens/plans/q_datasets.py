@@ -359,3 +359,55 @@ def stat_records(t):
 
     rows = t.supplier.groupBy(F.concat(F.lit("P"), (F.col("s_suppkey") % 20).cast("string")).alias("player_id"), (F.col("s_nationkey") % 2).cast("string").alias("stat_type")).agg(F.sum("s_acctbal").alias("v"))
     return records(rows, "player_id", "stat_type").select("player_id", F.size("records").alias("n"))
+
+
+def _providers(t):
+    plays = t.plays.select(F.concat_ws("_", F.lit("2024"), F.lpad((F.col("game_id") % 18 + 1).cast("string"), 2, "0"), F.col("game_id").cast("string")).alias("game_id"), "play_id", F.lit(2024).alias("season"), (F.col("game_id") % 18 + 1).cast("int").alias("week"), F.col("passer_player_id").alias("player_id"))
+    injuries = t.customer.select(F.lit(2024).alias("season"), (F.col("c_custkey") % 5).cast("int").alias("week"), F.lit("REG").alias("season_type"), F.concat(F.lit("T"), _s("c_nationkey")).alias("team_abbr"), _s("c_custkey").alias("player_id"), (F.col("c_custkey") % 2 == 0).alias("is_current"))
+    weekly = t.customer.select(_s("c_custkey").alias("player_id"), F.lit(2024).alias("season"), (F.col("c_custkey") % 4).cast("int").alias("week"), F.col("c_name").alias("player_name"), "c_acctbal")
+    tables = {"plays": plays, "snap_counts": plays, "injuries": injuries, "weekly_stats": weekly, "ngs": weekly.withColumn("stat_type", F.lit("passing")), "pfr": weekly, "ftn": weekly, "games": t.games, "rosters": t.rosters}
+    return P.registry(tables.__getitem__)
+
+
+@query("pbp_provider", "SELECT play_id FROM plays WHERE game_id = 160", "plays")
+def pbp_provider(t):
+    return _providers(t)["pbp"].get(game_id=" 2024_17_160 ").select("play_id")
+
+
+@query("snap_provider", "SELECT play_id FROM plays WHERE game_id % 18 = 2 AND game_id = 128 AND passer_player_id IS NOT NULL AND passer_player_id = (SELECT min(passer_player_id) FROM plays WHERE game_id = 128)", "plays")
+def snap_provider(t):
+    first = t.plays.where("game_id = 128").agg(F.min("passer_player_id")).first()[0] or "none"
+    return _providers(t)["snap_counts"].get(games_id="2024_03_128", pfr_id=first).select("play_id")
+
+
+@query("ngs_provider", "SELECT CAST(c_custkey AS VARCHAR) AS player_id, c_acctbal FROM customer WHERE c_custkey IN (5, 6, 9, 12, 13) AND c_custkey % 4 IN (1, 2)")
+def ngs_provider(t):
+    return _providers(t)["ngs"].get(season="2024", week=["1 ", 2, None], player_id=["5", " 6", "9", "12", "13", ""], stat_type="passing").select("player_id", "c_acctbal")
+
+
+@query("weekly_provider", "SELECT CAST(c_custkey AS VARCHAR) AS player_id, 2024 AS season, CAST(c_custkey % 4 AS INT) AS week, c_acctbal FROM customer WHERE c_custkey IN (5, 9)")
+def weekly_provider(t):
+    return _providers(t)["player_weekly_stats"].get(season=2024, week=1, player_id=["5", "9"])
+
+
+@query("pfr_provider", "SELECT CAST(c_custkey AS VARCHAR) AS player_id, c_acctbal FROM customer WHERE c_custkey = 7")
+def pfr_provider(t):
+    return _providers(t)["pfr"].get(season=2024, pfr_id="7").select("player_id", "c_acctbal")
+
+
+@query("injuries_provider", "SELECT CAST(c_custkey AS VARCHAR) AS player_id FROM customer WHERE c_custkey % 5 = 3 AND c_nationkey = 7 AND c_custkey % 2 = 0")
+def injuries_provider(t):
+    return _providers(t)["injuries"].get(season=2024, week=3, team_abbr=" t7 ").select("player_id")
+
+
+@query("team_season_provider", "SELECT season, count(home_score + away_score) AS games_played FROM games WHERE season = 1995 AND (home = 'T07' OR away = 'T07') GROUP BY season", "games")
+def team_season_provider(t):
+    return _providers(t)["team_season_stats"].get(team_abbr="t07", season=1995).select("season", "games_played")
+
+
+@query("play_adaptation", "SELECT game_id, play_id, CAST(quarter AS VARCHAR) AS time, CAST(yards_gained AS VARCHAR) IS NOT NULL AS gained, CAST(1 AS INT) AS n_more FROM plays", "plays")
+def play_adaptation(t):
+    from fieldlens.operators.plays import adapted
+
+    raw = t.plays.select("game_id", "play_id", F.col("quarter").cast("string").alias("clock"), "yards_gained", F.lit("x").alias("weather"), F.lit(None).cast("string").alias("nothing"))
+    return adapted(raw).select("game_id", "play_id", "time", F.col("yards_gained").isNotNull().alias("gained"), F.size("additional_fields").alias("n_more"))

@@ -126,3 +126,15 @@ def move_members(t):
 @query("self_similarity", "SELECT vec_id, 1.0::DOUBLE AS sim FROM members", "members")
 def self_similarity(t):
     return t.members.select("vec_id", F.round(cosine(F.col("embedding"), F.col("embedding")), 6).alias("sim"))
+
+
+@query("loose_groups", "SELECT group_id, count(*) AS member_count, round(avg((vec_id % 100)::DOUBLE / 100), 6) AS avg_sim FROM members WHERE group_id % 3 <> 0 GROUP BY group_id HAVING round(avg((vec_id % 100)::DOUBLE / 100), 6) < 0.5", "members")
+def loose_groups(t):
+    members = t.members.select("group_id", ((F.col("vec_id") % 100).cast("double") / 100).alias("sim"))
+    groups = t.members.groupBy("group_id").agg(F.count("*").alias("member_count")).withColumn("status", F.when(F.col("group_id") % 3 == 0, "archived").otherwise("active"))
+    return E.loose_groups(groups, members, 0.5)
+
+
+@query("embedding_stats", "SELECT count(*) AS total, count(*) FILTER (vec_id % 3 = 0) AS ungrouped, count(*) FILTER (vec_id % 3 <> 0) AS grouped FROM members", "members")
+def embedding_stats(t):
+    return E.embedding_stats(t.members, t.members.where("vec_id % 3 <> 0"))

@@ -44,12 +44,7 @@ def team_week_perspective(t):
   s AS (SELECT season, count(pf + pa) AS n, count(*) FILTER (pf > pa) AS w, count(*) FILTER (pf < pa) AS l, count(*) FILTER (pf = pa) AS ti, sum(pf) FILTER (pa IS NOT NULL) AS spf, sum(pa) FILTER (pf IS NOT NULL) AS spa FROM v GROUP BY season)
   SELECT season, n AS games_played, w || '-' || l || '-' || ti AS record, CASE WHEN n > 0 THEN round(spf::DOUBLE / n, 4) END AS avg_for, CASE WHEN n > 0 THEN round(spa::DOUBLE / n, 4) END AS avg_against FROM s""", "games")
 def team_season_summary(t):
-    """Record and averages; null averages without games."""
-    v = P.team_perspective(t.games, "T07")
-    played = F.col("result").isNotNull()
-    n = lambda r: F.count_if(F.col("result") == r)
-    mean = lambda c: F.round(F.try_divide(F.sum(F.when(played, F.col(c))).cast("double"), F.count_if(played)), 4)
-    return v.groupBy("season").agg(F.count_if(played).alias("games_played"), F.concat_ws("-", n("W"), n("L"), n("T")).alias("record"), mean("points_for").alias("avg_for"), mean("points_against").alias("avg_against"))
+    return P.season_summary(P.team_perspective(t.games, "T07"))
 
 
 @query("home_away_split", _sql("SELECT season, team, " + ", ".join(f"CAST(count(*) FILTER (outcome = '{o}' AND {c}) AS INT) AS {n}_{o.lower()}" for n, c in (("home", "is_home"), ("away", "NOT is_home")) for o in "WLT") + " FROM o GROUP BY ALL"), "games")
