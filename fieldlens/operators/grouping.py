@@ -16,6 +16,7 @@ from fieldlens.functions.vectors import cosine, unit
 THRESHOLD = 0.88
 MERGE_THRESHOLD, MERGE_PAIRS = 0.92, 200
 BLOCK_ROWS = 2_000
+DIRECT_GROUPS = 5_000
 
 
 def centroids(df: DataFrame, key: str, vector: str, normalised: bool = True) -> DataFrame:
@@ -64,13 +65,39 @@ def similar_pairs(df: DataFrame, id_col: str, vector: str, threshold: float, blo
     return _grid(rows, n, "id").groupBy("cell").applyInPandas(cell, "a long, b long, sim double")
 
 
-def nearest_group(df: DataFrame, groups: DataFrame, threshold: float, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The most similar of some groups (group_id, centroid) for each row, the last of equals; none under the threshold."""
-    met = df.select(id_col, vector).crossJoin(F.broadcast(groups.select("group_id", "centroid")))
-    best = met.withColumn("sim", F.round(cosine(F.col(vector), F.col("centroid")), 9)).groupBy(id_col).agg(F.max(F.struct("sim", "group_id")).alias("best"))
+def nearest_group(df: DataFrame, groups: DataFrame, threshold: float, id_col: str = "vec_id", vector: str = "embedding", direct: int = DIRECT_GROUPS) -> DataFrame:
+    """The most similar of some groups (group_id, centroid) for each row, the last of equals; none under the threshold.
+
+    Up to ``direct`` groups go to every task; more are cut into blocks that meet blocks of rows.
+    """
+    groups = groups.select("group_id", "centroid")
+    n = groups.count()
+    if n <= direct:
+        met = df.select(id_col, vector).crossJoin(F.broadcast(groups))
+        best = met.withColumn("sim", F.round(cosine(F.col(vector), F.col("centroid")), 9)).groupBy(id_col).agg(F.max(F.struct("sim", "group_id")).alias("best"))
+    else:
+        best = _nearest_in_blocks(df.select(F.col(id_col).alias("id"), F.col(vector).alias("v")), groups, n).groupBy("id").agg(F.max(F.struct("sim", "group_id")).alias("best")).withColumnRenamed("id", id_col)
     return best.select(id_col, F.when(F.col("best.sim") >= threshold, F.col("best.group_id")).alias("group_id"), F.col("best.sim").alias("sim"))
 
 
+def _nearest_in_blocks(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
+    across, down = -(-n_groups // BLOCK_ROWS), max(1, -(-rows.count() // BLOCK_ROWS))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    left = rows.withColumn("row", block("id", down)).withColumn("col", spread(across)).withColumn("centre", F.lit(False))
+    right = groups.select(F.col("group_id").alias("id"), F.col("centroid").cast(dict(rows.dtypes)["v"]).alias("v"), block("group_id", across).alias("col")).withColumn("row", spread(down)).withColumn("centre", F.lit(True))
+
+    def cell(frame: pd.DataFrame) -> pd.DataFrame:
+        own, centres = frame[~frame["centre"]], frame[frame["centre"]].sort_values("id")
+        if own.empty or centres.empty:
+            return pd.DataFrame({"id": [], "group_id": [], "sim": []}).astype({"id": "int64", "group_id": "int64", "sim": "float64"})
+        s = np.round(_similar(np.vstack(own["v"]).astype(float), np.vstack(centres["v"]).astype(float)), 9)
+        best = s.shape[1] - 1 - np.argmax(s[:, ::-1], axis=1)
+        return pd.DataFrame({"id": own["id"].to_numpy(), "group_id": centres["id"].to_numpy()[best], "sim": s[np.arange(len(s)), best]})
+
+    return left.unionByName(right).groupBy("row", "col").applyInPandas(cell, "id long, group_id long, sim double")
+
+
 def cohesion(df: DataFrame, key: str, id_col: str, vector: str) -> DataFrame:
     """E5: mean similarity of the pairs of each group; 1 for fewer than two members.
 
@@ -78,7 +105,7 @@ def cohesion(df: DataFrame, key: str, id_col: str, vector: str) -> DataFrame:
     """
     rows = df.select(F.col(key).alias("key"), F.col(id_col).alias("id"), F.col(vector).alias("v")).where("v is not null")
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
-    dealt = rows.join(F.broadcast(sizes), "key").withColumn("block", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), "parts").cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least("block", j).alias("lo"), F.greatest("block", j).alias("hi")))
     dealt = dealt.withColumn("cell", F.explode(F.array_distinct(cells)))
 
@@ -178,7 +205,7 @@ def move_members(members: DataFrame, plan: DataFrame) -> DataFrame:
 
     members has group_id, fact_id, url_id, seq.
     """
-    moved = members.join(F.broadcast(plan), "group_id", "left").withColumn("target", F.coalesce("primary_id", "group_id"))
+    moved = members.join(plan, "group_id", "left").withColumn("target", F.coalesce("primary_id", "group_id"))
     own = (F.col("target") == F.col("group_id")).cast("int")
     key = F.when(F.col("fact_id").isNotNull(), F.concat(F.lit("f"), F.col("fact_id").cast("string"))).otherwise(F.concat(F.lit("u"), F.col("url_id").cast("string")))
     first = F.row_number().over(Window.partitionBy("target", key).orderBy(F.desc(own), "group_id", "seq"))

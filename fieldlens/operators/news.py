@@ -11,7 +11,7 @@ from fieldlens.operators.dedupe import first_by
 
 def after_watermark(items: DataFrame, watermarks: DataFrame) -> DataFrame:
     """G1: items newer than their source's mark; undated items, and those of new sources, stay."""
-    marked = items.join(F.broadcast(watermarks.select("source", "last_published_at")), "source", "left")
+    marked = items.join(watermarks.select("source", "last_published_at"), "source", "left")
     return marked.where(F.col("published").isNull() | F.col("last_published_at").isNull() | (F.col("published") > F.col("last_published_at"))).drop("last_published_at")
 
 

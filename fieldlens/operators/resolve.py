@@ -130,7 +130,7 @@ def resolve_teams(mentions: DataFrame, teams: DataFrame, threshold: float = THRE
     flat = teams.select("team_abbr", F.explode("names").alias("name")).withColumn("name", normalised(F.col("name"))).where("name <> ''")
     flat = flat.groupBy("name").agg(F.min("team_abbr").alias("team_abbr"))
     alias = lookup(F.col("mention"), aliases if aliases is not None else team_aliases())
-    first = asked.join(F.broadcast(flat.select(F.col("name").alias("mention"), F.col("team_abbr").alias("exact"))), "mention", "left").withColumn("found", F.coalesce(alias, F.col("exact")))
+    first = asked.join(flat.select(F.col("name").alias("mention"), F.col("team_abbr").alias("exact")), "mention", "left").withColumn("found", F.coalesce(alias, F.col("exact")))
     open_ = first.where("found is null")
     near = open_.select("id", "mention").join(fuzzy_best(open_, flat, threshold), "mention").join(flat, "name").select("id", F.col("team_abbr").alias("near"), F.round(F.col("score") / 100, 6).alias("s"))
     out = first.select("id", "found").join(near, "id", "left")

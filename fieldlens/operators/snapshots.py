@@ -14,10 +14,12 @@ def latest_values(df: DataFrame, name: str) -> DataFrame:
 
 
 def latest_per_group(df: DataFrame, group: str, *order: str) -> DataFrame:
-    """In each group, keep the rows of the largest first column, then of the largest second one among them, and so on."""
-    for name in order:
-        df = df.withColumn("__top", F.max(name).over(Window.partitionBy(group))).where(F.col(name).eqNullSafe(F.col("__top"))).drop("__top")
-    return df
+    """In each group, keep the rows of the largest first column, then of the largest second one among them, and so on.
+
+    That is the largest tuple, so one aggregate with partial maxima finds it, and a group of any size stays spread out.
+    """
+    top = df.groupBy(F.col(group).alias("__group")).agg(F.max(F.struct(*order)).alias("__top"))
+    return df.join(top, F.col(group).eqNullSafe(F.col("__group")) & F.struct(*order).eqNullSafe(F.col("__top")), "left_semi")
 
 
 def latest_relabelled(df: DataFrame, group: str, period: str) -> DataFrame:

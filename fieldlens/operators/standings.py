@@ -38,7 +38,7 @@ def team_games(games: DataFrame, teams: DataFrame) -> DataFrame:
     """C4: two rows for each scored game between known teams."""
     scored = games.where("home_score is not null and away_score is not null")
     for side in ("home", "away"):
-        scored = scored.join(F.broadcast(teams.select(F.col("team_abbr").alias(side))), side, "left_semi")
+        scored = scored.join(teams.select(F.col("team_abbr").alias(side)), side, "left_semi")
     side = lambda me, them, home: F.struct(
         F.col(me).alias("team"), F.col(them).alias("opp"), F.col(f"{me}_score").alias("pf"), F.col(f"{them}_score").alias("pa"), F.lit(home).alias("is_home")
     )
@@ -81,7 +81,7 @@ def pairs(sides: DataFrame) -> DataFrame:
 
 def splits(pair: DataFrame, teams: DataFrame) -> DataFrame:
     """Records within division and conference; blank ones match nothing."""
-    meta = lambda key, mark: F.broadcast(teams.select(F.col("team_abbr").alias(key), F.col("division").alias(f"{mark}d"), F.col("conference").alias(f"{mark}c")))
+    meta = lambda key, mark: teams.select(F.col("team_abbr").alias(key), F.col("division").alias(f"{mark}d"), F.col("conference").alias(f"{mark}c"))
     joined = pair.join(meta("team", "m"), "team").join(meta("opp", "o"), "opp")
     inside = {"div": (F.col("md") == F.col("od")) & (F.col("md") != ""), "conf": (F.col("mc") == F.col("oc")) & (F.col("mc") != "")}
     return joined.groupBy(*KEY).agg(*(F.sum(F.when(ok, F.col(c)).otherwise(0)).cast("int").alias(f"{n}_{c}") for n, ok in inside.items() for c in "wlt"))
@@ -267,13 +267,13 @@ def standings(games: DataFrame, teams: DataFrame, through_week: int | None = Non
     clipped = through(games, through_week)
     sides = team_games(clipped, listed)
     total, pair = totals(sides), pairs(sides)
-    roster = seasons.crossJoin(F.broadcast(listed.withColumnRenamed("team_abbr", "team")))
+    roster = seasons.crossJoin(listed.withColumnRenamed("team_abbr", "team"))
     whole = roster.select("season", "team", "team_name", "conference", "division").join(total, KEY, "left").join(splits(pair, listed), KEY, "left").join(strengths(pair, total), KEY, "left")
     counts = [c for c, kind in whole.dtypes if kind in ("int", "double") and c != "season"]
     base = league_rank(whole.na.fill(0, counts))
     week = effective_week(clipped) if through_week is None else seasons.withColumn("effective_week", F.lit(through_week))
     ranks = tie_breaks(base.select("season", "team", "conference", "division", *counts), pair)
-    full = base.join(ranks, KEY).join(last_five(sides), KEY, "left").join(streaks(sides), KEY, "left").join(F.broadcast(week), "season", "left")
+    full = base.join(ranks, KEY).join(last_five(sides), KEY, "left").join(streaks(sides), KEY, "left").join(week, "season", "left")
     rec = lambda n: record(*(F.col(f"{n}_{c}") for c in "wlt")).alias(f"{n}_record")
     return full.select(
         "season", F.coalesce("effective_week", F.lit(0)).alias("through_week"), F.col("team").alias("team_abbr"), "team_name", "conference", "division", "wins", "losses", "ties",

@@ -97,7 +97,7 @@ def effective_week(t):
 
 @query("combined_points_rank", _sql("SELECT season, team, CAST(rank() OVER (PARTITION BY season, conference ORDER BY points_for DESC) + rank() OVER (PARTITION BY season, conference ORDER BY points_against) AS INT) AS points_rank FROM tot JOIN teams ON team = team_abbr"), "games teams")
 def combined_points_rank(t):
-    total = S.totals(_sides(t)).join(F.broadcast(t.teams), F.col("team") == F.col("team_abbr"))
+    total = S.totals(_sides(t)).join(t.teams, F.col("team") == F.col("team_abbr"))
     return S.points_ranks(total, ["season", "conference"]).select("season", "team", "points_rank")
 
 
@@ -106,7 +106,7 @@ def combined_points_rank(t):
   SELECT season, grp, team, count(*) AS n_common, CAST(sum(w) AS INT) AS w, CAST(sum(l) AS INT) AS l, CAST(sum(t) AS INT) AS t, CAST(sum(net) AS INT) AS net FROM pair JOIN g USING (season, team) JOIN c USING (season, grp, opp) GROUP BY ALL""".strip()), "games teams")
 def common_opponents(t):
     pair = S.pairs(_sides(t))
-    groups = pair.select("season", "team").distinct().join(F.broadcast(t.teams), F.col("team") == F.col("team_abbr")).select("season", "team", F.col("division").alias("grp"))
+    groups = pair.select("season", "team").distinct().join(t.teams, F.col("team") == F.col("team_abbr")).select("season", "team", F.col("division").alias("grp"))
     return S.common_opponents(pair, groups)
 
 

@@ -56,3 +56,13 @@ def test_empty_tables(frame):
     empty = frame([], "vec_id long, embedding array<float>")
     assert E.similar_pairs(empty, "vec_id", "embedding", 0.5).count() == 0
     assert E.leader_clusters(empty, F.lit(0), ["vec_id"]).count() == 0
+
+
+def test_nearest_group_in_blocks(frame, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = frame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(60, 3)))], "vec_id long, embedding array<float>")
+    groups = frame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(9, 3)))], "group_id long, centroid array<float>")
+    want = E.nearest_group(rows, groups, 0.5).orderBy("vec_id").collect()
+    monkeypatch.setattr(E, "BLOCK_ROWS", 4)
+    got = E.nearest_group(rows, groups, 0.5, direct=0).orderBy("vec_id").collect()
+    assert [(r["vec_id"], r["group_id"], round(r["sim"], 6)) for r in got] == [(r["vec_id"], r["group_id"], round(r["sim"], 6)) for r in want]
