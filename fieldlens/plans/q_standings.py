@@ -115,9 +115,47 @@ def standings(t):
     return S.standings(t.few_games, t.teams)
 
 
-@query("division_rank")
+def _cascade_sql() -> str:
+    """The division cascade, step by step: each step ranks the members of a tied group by one key and refines the groups."""
+    share = "CASE WHEN coalesce(w + l + t, 0) > 0 THEN (2 * w + t)::DOUBLE / (2 * (w + l + t)) ELSE {0} END"
+    own = {"DIV": "div", "CONF": "conf"}
+    plain = {"SOV": "sov", "SOS": "sos", "CONF_PTS": "-conf_pts", "ALL_PTS": "-all_pts", "NET_ALL": "point_diff"}
+    parts = []
+    for n, step in enumerate(S.DIVISION_STEPS):
+        g, k = f"g{n}", f"k{n}"
+        size = f"(SELECT season, grp, count(*) AS n FROM {g} GROUP BY ALL) z"
+        if step == "H2H":
+            met = f"SELECT x.season, x.team, sum(p.w) AS w, sum(p.l) AS l, sum(p.t) AS t FROM {g} x JOIN {g} y ON x.season = y.season AND x.grp = y.grp AND x.team <> y.team JOIN pair p ON p.season = x.season AND p.team = x.team AND p.opp = y.team GROUP BY ALL"
+            key = f"SELECT a.season, a.team, CASE WHEN n = 2 THEN coalesce(sign(w - l), 0) ELSE {share.format(0.5)} END AS k FROM {g} a JOIN {size} USING (season, grp) LEFT JOIN ({met}) h ON h.season = a.season AND h.team = a.team"
+        elif step in ("COMMON", "NET_COMMON"):
+            common = f"SELECT season, grp, opp FROM {g} JOIN pair USING (season, team) JOIN {size} USING (season, grp) GROUP BY season, grp, opp, n HAVING count(DISTINCT team) = n"
+            seen = f"SELECT season, grp, team, count(*) AS m, sum(w) AS w, sum(l) AS l, sum(t) AS t, sum(net) AS net FROM {g} JOIN ({common}) c USING (season, grp) JOIN pair USING (season, team, opp) GROUP BY ALL"
+            value = f"CASE WHEN m >= 4 THEN {share.format(0)} ELSE 0 END" if step == "COMMON" else "coalesce(net, 0)"
+            key = f"SELECT a.season, a.team, {value} AS k FROM {g} a LEFT JOIN ({seen}) h ON h.season = a.season AND h.team = a.team"
+        elif step in own:
+            cols = ", ".join(f"{own[step]}_{c} AS {c}" for c in "wlt")
+            key = f"SELECT season, team, {share.format(0)} AS k FROM (SELECT season, team, {cols} FROM {g}) q"
+        else:
+            key = f"SELECT season, team, {plain[step]} AS k FROM {g}"
+        parts.append(f"{k} AS ({key}), g{n + 1} AS (SELECT * EXCLUDE (k) REPLACE (grp || lpad(CAST(dense_rank() OVER (PARTITION BY season, grp ORDER BY k DESC) AS VARCHAR), 2, '0') AS grp) FROM {g} JOIN {k} USING (season, team))")
+    split = ", ".join(f"CAST(coalesce(sum({c}) FILTER (m.{n} = x.{n}), 0) AS INT) AS {k}_{c}" for n, k in (("division", "div"), ("conference", "conf")) for c in "wlt")
+    zero = ", ".join(f"coalesce({c}, 0) AS {c}" for c in ("win_pct", "points_for", "points_against", "point_diff", "sos", "sov", *(f"{k}_{c}" for k in ("div", "conf") for c in "wlt")))
+    pts = lambda by: f"rank() OVER (PARTITION BY {by} ORDER BY points_for DESC) + rank() OVER (PARTITION BY {by} ORDER BY points_against)"
+    return _sql(
+        f""", sp AS (SELECT season, team, {split} FROM pair JOIN teams m ON m.team_abbr = team JOIN teams x ON x.team_abbr = opp GROUP BY season, team),
+  st AS (SELECT a.season, a.team, round(avg(b.win_pct), 12) AS sos, coalesce(round(avg(b.win_pct) FILTER (a.w > 0), 12), 0) AS sov FROM pair a JOIN p b ON a.season = b.season AND a.opp = b.team GROUP BY ALL),
+  roster AS (SELECT season, team_abbr AS team, division, conference FROM (SELECT DISTINCT season FROM few_games) s CROSS JOIN teams WHERE team_abbr IN (SELECT home FROM few_games UNION SELECT away FROM few_games)),
+  base AS (SELECT season, team, division, conference, {zero} FROM roster LEFT JOIN p USING (season, team) LEFT JOIN sp USING (season, team) LEFT JOIN st USING (season, team)),
+  ranked AS (SELECT *, {pts('season, conference')} AS conf_pts, {pts('season')} AS all_pts FROM base),
+  g0 AS (SELECT *, division || lpad(CAST(dense_rank() OVER (PARTITION BY season, division ORDER BY win_pct DESC) AS VARCHAR), 2, '0') AS grp FROM ranked), {', '.join(parts)}
+  SELECT season, division, team AS team_abbr, CAST(row_number() OVER (PARTITION BY season, division ORDER BY grp, team) AS INT) AS division_rank FROM g{len(S.DIVISION_STEPS)}""",
+        "(SELECT * FROM few_games WHERE coalesce(wk, 0) <= 12)",
+    )
+
+
+@query("division_rank", _cascade_sql(), "few_games teams")
 def division_rank(t):
-    return S.standings(t.few_games, t.teams, through_week=12).select("season", "division", "team_abbr", "division_rank", "tiebreaker_trail")
+    return S.standings(t.few_games, t.teams, through_week=12).select("season", "division", "team_abbr", "division_rank")
 
 
 @query("conference_seeding")
