@@ -35,6 +35,7 @@ VALUES = TREES * DEPTH
 REGION, NEIGHBOURS, BLOCK = 16, 4, 2048
 ESTIMATE_SLACK = 0.2  # over four standard deviations of the signatures' estimate
 BROADCAST_IDS = 1_000_000
+ROWS_PER_PART = 2_000_000
 
 _RANDOM = np.random.default_rng(7_919)
 _XOR = _RANDOM.integers(0, 1 << 32, VALUES, dtype=np.uint32)
@@ -174,7 +175,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     every = materialize(keyed.mapInArrow(lambda b: _shingled(b, width), "doc_id long, text_key long, n_shingles long, k long, signature binary"))
     classes = materialize(every.where("n_shingles > 0").groupBy("k").agg(F.min("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.min("doc_id").alias("doc_id")))
     rows = classes.select("k", "n_shingles", "signature").mapInArrow(_tree_rows, "region long, d0 long, d1 long, d2 long, k long, n long")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), classes.count() * TREES // ROWS_PER_PART)
     ordered = rows.repartition(parts, "region").sortWithinPartitions("region", "d0", "d1", "d2", "k")
     found = materialize(ordered.mapInArrow(lambda b: _neighbours(b, share), "a long, b long, kind int").distinct())
 
