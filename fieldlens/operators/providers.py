@@ -207,6 +207,24 @@ def week_of(day: Column, opening: Column) -> Column:
     return (F.floor(F.datediff(day, opening) / 7) + 1).cast("int")
 
 
+# Weeks of each part of a season.
+PRESEASON_WEEKS, REGULAR_WEEKS, PLAYOFF_WEEKS = 3, 18, 4
+
+
+def calendar_week(day: Column, preseason: Column, opening: Column) -> tuple[Column, Column]:
+    """Week and part (pre, reg, post) of the season that begins on two given days; both null outside of it."""
+    early, week = week_of(day, preseason), week_of(day, opening)
+    inside = (day >= preseason) & (week <= REGULAR_WEEKS + PLAYOFF_WEEKS)
+    part = F.when(day < opening, "pre").when(week <= REGULAR_WEEKS, "reg").otherwise("post")
+    number = F.when(day < opening, F.least(early, F.lit(PRESEASON_WEEKS))).when(week <= REGULAR_WEEKS, week).otherwise(week - REGULAR_WEEKS)
+    return F.when(inside, number), F.when(inside, part)
+
+
+def in_season(day: Column, preseason: Column, opening: Column) -> Column:
+    """From the preseason to the end of the playoffs."""
+    return calendar_week(day, preseason, opening)[0].isNotNull()
+
+
 def opening_day(year: int) -> date:
     """The Thursday after the first Monday of September."""
     first = date(year, 9, 1)

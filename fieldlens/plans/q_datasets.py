@@ -11,6 +11,7 @@ from fieldlens.operators import snapshots as S
 from fieldlens.plans.registry import query
 from fieldlens.sources import readers as A
 from fieldlens.streaming import news_stream as J
+from fieldlens.streaming.drain import drain, stream_table
 
 _s = lambda c: F.col(c).cast("string")
 
@@ -411,3 +412,32 @@ def play_adaptation(t):
 
     raw = t.plays.select("game_id", "play_id", F.col("quarter").cast("string").alias("clock"), "yards_gained", F.lit("x").alias("weather"), F.lit(None).cast("string").alias("nothing"))
     return adapted(raw).select("game_id", "play_id", "time", F.col("yards_gained").isNotNull().alias("gained"), F.size("additional_fields").alias("n_more"))
+
+
+@query("calendar_week", """WITH d AS (SELECT event_id, DATE '2023-07-20' + CAST(event_id % 240 AS INT) AS day FROM events), w AS (SELECT *, (floor((day - DATE '2023-08-03') / 7) + 1)::INT AS e, (floor((day - DATE '2023-09-07') / 7) + 1)::INT AS w FROM d)
+  SELECT event_id, CASE WHEN day < DATE '2023-08-03' OR w > 22 THEN NULL WHEN day < DATE '2023-09-07' THEN least(e, 3) WHEN w <= 18 THEN w ELSE w - 18 END AS week,
+  CASE WHEN day < DATE '2023-08-03' OR w > 22 THEN NULL WHEN day < DATE '2023-09-07' THEN 'pre' WHEN w <= 18 THEN 'reg' ELSE 'post' END AS part FROM w""")
+def calendar_week(t):
+    day = F.date_add(F.lit("2023-07-20").cast("date"), (F.col("event_id") % 240).cast("int"))
+    week, part = P.calendar_week(day, F.lit("2023-08-03").cast("date"), F.lit(P.opening_day(2023)))
+    return t.events.select("event_id", week.alias("week"), part.alias("part"))
+
+
+@query("stream_tumbling", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
+def stream_tumbling(t):
+    """The windows of event_tumbling, from a stream."""
+    return drain(J.tumbling(stream_table(t.spark, t.sf_dir, "events")), "complete").withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("stream_seen_once", "SELECT DISTINCT user_id FROM events")
+def stream_seen_once(t):
+    """The first event of each user, within a bound that spans the table."""
+    events = stream_table(t.spark, t.sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")).select("user_id", "at")
+    return drain(J.seen_once(events, "user_id", "at", "60 days")).select("user_id")
+
+
+@query("stream_clusters", "SELECT CAST(vec_id AS BIGINT) AS id FROM embeddings")
+def stream_clusters(t):
+    """Stateful clustering by label block; every vector gets a group."""
+    vectors = stream_table(t.spark, t.sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+    return drain(J.clustered(vectors, F.col("label").cast("int"), 0.3)).select("id")
