@@ -28,7 +28,7 @@ from fieldlens.llm._common import read
 from fieldlens.llm._text import blocks
 from fieldlens.llm.quality import held_out
 
-SAMPLE_ROWS, SAMPLE_SPAN, SAMPLE_CHARS = 64, 600, 30_000
+SAMPLE_ROWS, SAMPLE_SPAN, SAMPLE_CHARS = 64, 320, 20_000
 ALPHABET = 64
 SEGMENT = 256
 NEAR = 0.01  # weight of letter frequencies, which only tell near-equal entropies apart
