@@ -207,7 +207,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     # The smallest doc_id of each component, found on classes; documents then meet their class once.
     linked = labels.withColumnRenamed("node", "k").join(classes.select("k", "doc_id"), "k")
     least = linked.groupBy("label").agg(F.min("doc_id").alias("least"))
-    of_class = classes.select("k", "doc_id").join(linked.select("k", "label").join(least, "label"), "k", "left").select("k", F.coalesce("least", "doc_id").alias("component"))
+    of_class = classes.select("k", "doc_id").join(linked.select("k", "label").join(least, "label"), "k", "left")
+    of_class = materialize(of_class.select("k", F.coalesce("least", "doc_id").alias("component")))  # so that the next join can split a hot class
     named = every.select("doc_id", "text_key", "n_shingles", "k").join(of_class, "k", "left")
     out = named.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key")
