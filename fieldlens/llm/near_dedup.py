@@ -7,9 +7,11 @@ order, which share the longest prefixes. A pair of similarity 0.8 shares no regi
 
 Candidates pass if their lengths and signatures allow the similarity, and are then confirmed on full shingle
 sets. Confirming goes in two rounds: first the most similar partner of every class, then, across the components
-found so far, every other candidate. Classes of dense regions meet once more: components that unconfirmed candidates
-bring together form a neighbourhood, and there every class outside the largest component is compared on
-full sets with every class of another component. The classes come in blocks of ``BLOCK``, so pairs are neither written nor gathered.
+found so far, every other candidate. Classes of dense regions meet once more, in a prefix-filter join: shingles have one
+order, rarest first by a sketch of their counts, and two similar sets share one of their first ones. Classes of different components
+that share such a shingle are candidates. Where more than ``FEW`` classes share it, the components it brings together form a
+neighbourhood, and there every class outside the largest component is compared on full sets with every class of
+another component. The classes come in blocks of ``BLOCK``, so these pairs are neither written nor gathered.
 
 Defined results: words are split at ASCII white space and only A-Z is lower-cased; a text of fewer words than a shingle has
 one shingle; a text without words, or null, has none and is linked with nothing; repeated rows share a
@@ -32,7 +34,9 @@ from fieldlens.llm.components import components
 
 TREES, DEPTH, DEEPER = 24, 3, 3
 VALUES = TREES * DEPTH
-REGION, NEIGHBOURS, BLOCK = 16, 4, 2048
+REGION, NEIGHBOURS, BLOCK = 32, 8, 2048
+FEW = 128
+SKETCH_BITS = 18  # of a shingle that pick its counter; counts only order shingles, any order gives the same links
 ESTIMATE_SLACK = 0.2  # over four standard deviations of the signatures' estimate
 BROADCAST_IDS = 1_000_000
 ROWS_PER_PART = 2_000_000
@@ -115,6 +119,8 @@ def _neighbours(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.
         key = rows[0]
         if not len(key):
             continue
+        if dense[0]:
+            dense[: int(np.searchsorted(key, key[0], "right"))] = True
         last = int(np.searchsorted(key, key[-1], "left"))
         if dense[last:].any():
             dense[last:] = True
@@ -199,10 +205,16 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     rest = _labelled(candidates.select("a", "b").join(best, ["a", "b"], "left_anti"), labels).where("la <> lb").select("a", "b")
     links = links.union(materialize(confirm(rest)))
     labels = materialize(components(links))
-    apart = materialize(_labelled(candidates.select("a", "b"), labels).where("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct())
-    if not (dense.isEmpty() or apart.isEmpty()):
-        more = materialize(_across(dense, labels, apart, classes, sets, percent))
-        labels = materialize(components(links.union(more)))
+    if not dense.isEmpty():
+        prefixes = materialize(_prefixes(dense, labels, sets, percent))
+        met = prefixes.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("holders"))
+        shared = materialize(prefixes.join(met.where("low <> high").select("shingle", "low", "holders"), "shingle"))
+        few = materialize(_pairs_apart(shared.where(F.col("holders") <= FEW), percent))
+        links = links.union(materialize(confirm(materialize(likely(few)).select("a", "b"))))
+        apart = materialize(shared.where((F.col("holders") > FEW) & (F.col("label") != F.col("low"))).select(F.col("low").alias("a"), F.col("label").alias("b")).distinct())
+        if not apart.isEmpty():
+            links = links.union(materialize(_across(dense, labels, apart, classes, sets, percent)))
+        labels = materialize(components(links))
 
     # The smallest doc_id of each component, found on classes; documents then meet their class once.
     linked = labels.withColumnRenamed("node", "k").join(classes.select("k", "doc_id"), "k")
@@ -241,6 +253,50 @@ def _class_sets(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return whole.join(named, "k", "left_semi").union(again).dropDuplicates(["k"])
 
 
+def _prefixes(dense: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For each dense class the first shingles of its set, rarest first: shingle, k, label, n, place."""
+    held = sets.join(dense, "k", "left_semi")
+    shift = np.uint64(64 - SKETCH_BITS)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in batches:
+            flat = np.frombuffer(b"".join(batch.column("s").to_pylist()), np.uint64)
+            count += np.bincount((flat >> shift).astype(np.int64), minlength=len(count))
+        at = np.flatnonzero(count > 1)  # what a task met once need not be sent to tell rare from frequent
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], ["cell", "n"])
+
+    table = held.select("s").mapInArrow(tally, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # bounded by SKETCH_BITS
+    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    counts[table.column("cell").to_numpy()] = table.column("n").to_numpy()
+    counts = dense.sparkSession.sparkContext.broadcast(counts)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1000):
+                batch = whole.slice(at, 1000)
+                values = [np.frombuffer(s, np.uint64) for s in batch.column("s").to_pylist()]
+                size = np.array([len(v) for v in values], np.int64)
+                keep = size - -(-percent * size // 100) + 1
+                some = [v[np.lexsort((v, counts.value[(v >> shift).astype(np.int64)]))[:m]] for v, m in zip(values, keep)]
+                place = np.concatenate([np.zeros(0, np.int64), *map(np.arange, keep)])
+                flat = np.concatenate([np.zeros(0, np.uint64), *some]).view(np.int64)
+                k, label = (np.repeat(batch.column(c).to_numpy(), keep) for c in ("k", "label"))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (flat, k, label, np.repeat(size, keep), place)], ["shingle", "k", "label", "n", "place"])
+
+    named = held.join(labels.withColumnRenamed("node", "k"), "k", "left").select("k", F.coalesce("label", "k").alias("label"), "s")
+    return named.mapInArrow(first, "shingle long, k long, label long, n long, place long")
+
+
+def _pairs_apart(shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different components that share a first shingle, if their sizes and its places allow the similarity."""
+    x, y = (shared.select("shingle", *(F.col(c).alias(c + side) for c in ("k", "label", "n", "place"))) for side in "xy")
+    left = F.least(F.col("nx") - F.col("placex"), F.col("ny") - F.col("placey"))
+    sizes = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+    places = (100 + percent) * left >= percent * (F.col("nx") + F.col("ny"))
+    return x.join(y, "shingle").where((F.col("kx") < F.col("ky")) & (F.col("labelx") != F.col("labely")) & sizes & places).select(F.col("kx").alias("a"), F.col("ky").alias("b")).distinct()
+
+
 def _across(dense: DataFrame, labels: DataFrame, apart: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between dense classes of different components of one neighbourhood (components joined by pairs in ``apart``)."""
     near = components(apart).select(F.col("node").alias("label"), F.col("label").alias("near"))

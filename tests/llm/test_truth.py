@@ -77,6 +77,30 @@ def test_dense_groups_are_whole(frame):
     assert got == {i: find(i) for i in range(150)}
 
 
+def test_a_dense_region_is_dense_to_its_end():
+    for rest in (1, 5, 40):  # a region that goes on over three batches and ends in the midst of the last one
+        parts = [np.arange(200), np.arange(200, 400), np.arange(400, 400 + rest)]
+        rows = [(np.ones(len(k), np.int64), k) for k in parts]
+        rows[-1] = (np.append(rows[-1][0], [2, 2, 3]), np.append(parts[-1], [900, 901, 902]))
+        batches = [pa.RecordBatch.from_arrays([pa.array(r), pa.array(k), pa.array(np.full(len(k), 50))], ["region", "k", "n"]) for r, k in rows]
+        out = pa.Table.from_batches(near_dedup._neighbours(iter(batches), 0.8)).to_pylist()
+        assert {r["a"] for r in out if r["kind"] == 1} == set(range(400 + rest))
+
+
+def test_pairs_in_a_mass_of_unlike_texts(frame):
+    """20,000 texts share a passage (Jaccard 0.35) and are otherwise unlike; 100 of them have a near copy (0.82)."""
+    rng = random.Random(6)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [[*passage, *(f"w{rng.randrange(10**9)}" for _ in range(34))] for _ in range(20_000)]
+    for i in range(100):
+        words = texts[i][:]
+        words[55], words[71] = "changed", f"c{i}"
+        texts.append(words)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i if i < 20_000 else i - 20_000 for i in range(20_100)}
+
+
 def test_packing_round_trip(docs):
     import public_tokenizers
     from tokenizers import Tokenizer
