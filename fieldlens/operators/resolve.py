@@ -1,7 +1,7 @@
 """Entity resolution and fuzzy search.
 
 Exact and alias matches are equi-joins. Only mentions left over are scored, by an Arrow-batched UDF against a directory of
-names; a directory within ``DIRECTORY`` names goes to every task once, a larger one meets mentions by their first letters.
+names. A directory within ``DIRECTORY`` names goes to every task once; of a larger one each mention meets every block of that size.
 """
 
 from __future__ import annotations
@@ -80,7 +80,8 @@ def fuzzy_best(mentions: DataFrame, names: DataFrame, threshold: float = THRESHO
     cutoff = threshold * 100
     wanted = mentions.select("mention").where("mention is not null").distinct()
     listed = names.select("name").where("name is not null").distinct()
-    if listed.count() <= DIRECTORY:
+    total = listed.count()
+    if total <= DIRECTORY:
         directory = sorted(r["name"] for r in listed.collect())  # bounded by DIRECTORY
         shared = mentions.sparkSession.sparkContext.broadcast(directory)
 
@@ -92,16 +93,19 @@ def fuzzy_best(mentions: DataFrame, names: DataFrame, threshold: float = THRESHO
 
         spread = wanted.repartition(mentions.sparkSession.sparkContext.defaultParallelism, "mention")
         return spread.mapInPandas(score, "mention string, name string, score double")
-    key = lambda c: F.transform(F.split(c, " "), lambda w: F.substring(w, 1, 2))
-    left = wanted.withColumn("k", F.explode(F.array_distinct(key(F.col("mention")))))
-    right = listed.withColumn("k", F.explode(F.array_distinct(key(F.col("name")))))
-    pairs = left.join(right, "k").where(200 * F.least(F.length("mention"), F.length("name")) / (F.length("mention") + F.length("name")) >= cutoff).select("mention", "name").distinct()
-
-    @F.pandas_udf("double")
-    def scored(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([fuzzy.token_sort(x, y) for x, y in zip(a, b)])
-
-    best = pairs.withColumn("score", scored("mention", "name")).where(F.col("score") >= cutoff)
+    # Blocks of names by blocks of mentions: each cell holds one block of names, and gives the best of its own.
+    tall, wide = -(-total // max(1, DIRECTORY // 2)), max(mentions.sparkSession.sparkContext.defaultParallelism, -(-wanted.count() // max(1, DIRECTORY)))
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = wanted.select("mention", dealt("mention", wide).alias("column")).withColumn("row", every(tall))
+    right = listed.select("name", dealt("name", tall).alias("row")).withColumn("column", every(wide))
+
+    def cell(asked: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        index = Directory(sorted(block["name"])) if len(asked) else None
+        found = [(m, *got) for m in asked["mention"] if index and (got := index.best(m, cutoff))]
+        return pd.DataFrame(found, columns=["mention", "name", "score"])
+
+    best = left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(cell, "mention string, name string, score double")
     rank = F.row_number().over(Window.partitionBy("mention").orderBy(F.desc("score"), "name"))
     return best.withColumn("r", rank).where("r = 1").drop("r")
 

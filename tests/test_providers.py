@@ -94,3 +94,13 @@ def test_large_directories_are_blocked(frame, monkeypatch):
     names = frame([("patrick mahomes",), ("travis kelce",)], "name string")
     out = R.fuzzy_best(frame([("patrik mahomes",)], "mention string"), names).collect()
     assert [r["name"] for r in out] == ["patrick mahomes"]
+
+
+def test_fuzzy_best_is_the_same_beyond_the_directory_bound(frame, monkeypatch):
+    names = [("alan smith",), ("allan smith",), ("peter jones",), ("jones peter",), ("maria lopez",), ("xu li",)]
+    asked = [("laan msith",), ("epter ojnes",), ("amria olpez",), ("alan smit",), ("nobody here at all",), ("",), (None,)]
+    mentions, listed = frame(asked, "mention string"), frame(names, "name string")
+    rows = lambda: sorted(map(tuple, R.fuzzy_best(mentions, listed).collect()))
+    within = rows()
+    monkeypatch.setattr(R, "DIRECTORY", 4)
+    assert rows() == within and {"laan msith", "alan smit"} <= {m for m, *_ in within}
