@@ -3,7 +3,8 @@
 A token that may be disguised (digits or signs among letters, a letter three times or more in a row, single letters
 spaced out) becomes a lattice: each sign may stand for itself or for letters it resembles, each repetition and each
 separator may be noise. Viterbi decoding under a character trigram model of the corpus' own words and a fixed
-channel cost finds the likeliest word. Tokens that cannot be disguised have one path only and are kept.
+channel cost finds the likeliest word. Tokens that cannot be disguised have one path only and are kept. A span longer than
+two words may be a whole sentence: in it, a word may end at any separator or, where there is none, after any character.
 
 The restored text is scored by logistic regression over its telling terms: words and their beginnings of 4 to 6
 characters. Learning uses a bounded sample of labelled rows (``TRAIN_ROWS``, chosen by a hash of doc_id), counted
@@ -16,6 +17,7 @@ are not learned; without labelled rows every score is 0; repeated rows each keep
 from __future__ import annotations
 
 import math
+import os
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -33,7 +35,7 @@ TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
 LEAST, TERMS = 4, 20_000
 CHARACTERS = 400_000  # of restored words that the character model counts, at most
-LONGEST = 40  # longer runs of letters and signs are keys or links, not words
+LONGEST = 40  # longer runs of letters are no words; spans over twice that may hold several words
 
 #: What a sign may stand for.
 LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "li", "€": "e", "£": "l"}
@@ -41,10 +43,12 @@ _SIGNS = "".join(re.escape(c) for c in LOOKS_LIKE)
 #: A token in which letters and signs touch, letters that repeat, or spaced letters.
 _MIXED = re.compile(rf"(?:[^\W\d_]*[{_SIGNS}*]+[^\W\d_]\w*)+(?:[{_SIGNS}*]+\w+)*(?:[$@]{{1,2}}(?![^\s.,]))?|[^\W\d_]+[$@]{{1,2}}(?![^\s.,])")
 _REPEATED = re.compile(r"([^\W\d_])\1\1")
-_SPACED = re.compile(rf"(?<![\w{_SIGNS}])(?:[^\W\d_{{}}]|[{_SIGNS}])(?:([ .\-_*])(?:[^\W_]|[{_SIGNS}])(?![^\W_])){{3,}}(?!\w)")
+_SPACED = re.compile(rf"(?<![\w{_SIGNS}])(?:[^\W\d_{{}}]|[{_SIGNS}])(?:([ .\-_*])(?:[^\W_]|[{_SIGNS}])(?![^\W_])){{2,}}(?!\w)")
 _SIGN = re.compile(rf"[{_SIGNS}*]")
 _BLANK = re.compile(r"\s")
 _WORD = re.compile(r"[^\W_]+")
+_STRETCHED = re.compile(r"([^\W\d_])\1{3,}")
+_SEPARATOR = re.compile(r"[\s.\-_]")
 
 
 class CharacterModel:
@@ -105,7 +109,8 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 def decode(token: str, model: CharacterModel) -> str:
     """The likeliest word behind a token, by Viterbi over its lattice."""
     best: dict[str, tuple[float, str]] = {"\x02\x02": (0.0, "")}
-    for choices in lattice(token.lower()):
+    settled: list[str] = []
+    for i, choices in enumerate(lattice(token.lower()), 1):
         step: dict[str, tuple[float, str]] = {}
         for context, (cost, word) in best.items():
             for c, channel in choices:
@@ -114,7 +119,18 @@ def decode(token: str, model: CharacterModel) -> str:
                 if state not in step or (total, word + c) < step[state]:
                     step[state] = (total, word + c)
         best = step
-    return min((cost + model.cost(context, "\x03"), word) for context, (cost, word) in best.items())[1]
+        if i % 256 == 0:  # what all paths share is settled, so that long spans take linear time
+            settled.append(os.path.commonprefix([word for _, word in best.values()]))
+            best = {context: (cost, word[len(settled[-1]) :]) for context, (cost, word) in best.items()}
+    return "".join(settled) + min((cost + model.cost(context, "\x03"), word) for context, (cost, word) in best.items())[1]
+
+
+def unbroken(span: str) -> str:
+    """A long span with letters stretched no further than three times and, if it is still long, blanks where words may end."""
+    span = _STRETCHED.sub(r"\1\1\1", span)
+    if len(span) <= 2 * LONGEST:
+        return span
+    return _SEPARATOR.sub(" ", span) if _SEPARATOR.search(span) else " ".join(span)
 
 
 def disguised(text: str) -> list[tuple[int, int]]:
@@ -128,17 +144,21 @@ def disguised(text: str) -> list[tuple[int, int]]:
             end = _BLANK.search(text, at)
             past = end.start() if end else len(text)
             spans += [m.span() for m in _MIXED.finditer(text, a, past) if any(map(str.isalpha, m.group()))]
+    past = 0
     for m in _REPEATED.finditer(text):
         a, b = m.span()
-        while a and text[a - 1].isalpha() and b - a <= 2 * LONGEST:
+        if a < past:
+            continue
+        while a and text[a - 1].isalpha():
             a -= 1
-        while b < len(text) and text[b].isalpha() and b - a <= 2 * LONGEST:
+        while b < len(text) and text[b].isalpha():
             b += 1
         spans.append((a, b))
-    spans += [m.span() for m in _SPACED.finditer(text)]
+        past = b
+    spans += [m.span() for m in _SPACED.finditer(text) if len(m.group()) > 5 or any(map(str.isalpha, m.group()))]
     out, past = [], 0
     for a, b in sorted(spans, key=lambda s: (s[0], -s[1])):
-        if a >= past and b - a <= 2 * LONGEST:
+        if a >= past:
             out.append((a, b))
             past = b
     return out
@@ -149,8 +169,9 @@ def restore(text: str, model: CharacterModel, cache: dict[str, str]) -> str:
     out, past = [], 0
     for a, b in disguised(text):
         token = text[a:b]
-        word = cache.get(token)
-        if word is None:
+        if b - a > 2 * LONGEST:
+            word = decode(unbroken(token), model)
+        elif (word := cache.get(token)) is None:
             if len(cache) > 200_000:
                 cache.clear()
             word = cache[token] = decode(token, model)

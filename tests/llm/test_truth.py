@@ -197,6 +197,18 @@ def test_restored_words():
     assert toxicity.restore("The and$$$ 123 a@", model, {}).startswith("the and$$$ 123")
 
 
+def test_long_and_short_disguises_are_restored():
+    words = {w: 10 for w in "you are a stupid moron trash loser scum pathetic disgusting worthless clown the and ass".split()}
+    model = toxicity.CharacterModel(words)
+    said = "you are a stupid moron and a pathetic loser and a worthless clown"
+    restored = lambda text: set(toxicity.restore(text, model, {}).split())
+    assert "loser" in restored("l" + "o" * 200 + "ser")
+    assert {"you", "are", "moron", "worthless", "clown"} <= restored(".".join(said.replace(" ", "")))
+    assert {"you", "are", "moron", "worthless", "clown"} <= restored("".join([said, said]).replace(" ", "").replace("o", "0").replace("a", "4"))
+    assert "ass" in restored("a.s.s")
+    assert len(toxicity.restore("y0u4r3" * 5_000, model, {})) > 5_000  # in linear time
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op6_toxicity", "toxic", 0.85), ("op10_quality", "quality", 0.9)])
 def test_held_out_labels(spark, name, label, least):
     sf = SF.replace("sf0.001", "sf0.01")
