@@ -10,12 +10,14 @@ sets. Confirming goes in two rounds: first the most similar partner of every cla
 found so far, every other candidate. Classes of dense regions meet once more, in a prefix-filter join: shingles have one
 order, rarest first by a sketch of their counts, and two similar sets share one of their first ones. Classes of different components
 that share such a shingle are candidates. Where more than ``FEW`` classes share it, the components it brings together form a
-neighbourhood, and there every class outside the largest component is compared on full sets with every class of
-another component. The classes come in blocks of ``BLOCK``, so these pairs are neither written nor gathered.
+neighbourhood, and there every class outside the largest component is compared with every class of another
+component whose size allows the similarity, and on full sets where bitmaps of the sets allow it too. The classes come
+in blocks of ``BLOCK`` of similar size, so these pairs are neither written nor gathered.
 
 Defined results: words are split at ASCII white space and only A-Z is lower-cased; a text of fewer words than a shingle has
-one shingle; a text without words, or null, has none and is linked with nothing; repeated rows share a
-component; null doc_ids are never a component's id unless they stand alone; extra columns are ignored.
+one shingle; a text without words, or null, has none and is linked with nothing; a text of any length counts whole; repeated
+rows share a component; ties in similarity change nothing, as every link counts; null doc_ids are never a component's id
+unless they stand alone; an empty table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from fieldlens.llm.components import components
 
 TREES, DEPTH, DEEPER = 24, 3, 3
 VALUES = TREES * DEPTH
-REGION, NEIGHBOURS, BLOCK = 32, 8, 2048
+REGION, NEIGHBOURS, BLOCK = 32, 8, 512
 FEW = 128
 SKETCH_BITS = 18  # of a shingle that pick its counter; counts only order shingles, any order gives the same links
 ESTIMATE_SLACK = 0.2  # over four standard deviations of the signatures' estimate
@@ -173,6 +175,14 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return both.withColumn("la", F.coalesce("la", "a")).withColumn("lb", F.coalesce("lb", "b"))
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels of components that ``links`` may join further."""
+    if links.isEmpty():
+        return labels
+    known = labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return materialize(components(known.union(links.select("a", "b"))))
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_key for every row of docs(doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -200,21 +210,19 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     nearest = Window.partitionBy("k").orderBy(F.desc("estimate"), "a", "b")
     either = candidates.withColumn("k", F.col("a")).union(candidates.withColumn("k", F.col("b")))
     best = either.withColumn("r", F.row_number().over(nearest)).where("r = 1").select("a", "b").distinct()
-    links = materialize(confirm(best))
-    labels = materialize(components(links))
+    labels = materialize(components(confirm(best)))
     rest = _labelled(candidates.select("a", "b").join(best, ["a", "b"], "left_anti"), labels).where("la <> lb").select("a", "b")
-    links = links.union(materialize(confirm(rest)))
-    labels = materialize(components(links))
+    labels = _joined(labels, materialize(confirm(rest)))
     if not dense.isEmpty():
         prefixes = materialize(_prefixes(dense, labels, sets, percent))
         met = prefixes.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("holders"))
         shared = materialize(prefixes.join(met.where("low <> high").select("shingle", "low", "holders"), "shingle"))
         few = materialize(_pairs_apart(shared.where(F.col("holders") <= FEW), percent))
-        links = links.union(materialize(confirm(materialize(likely(few)).select("a", "b"))))
+        links = materialize(confirm(materialize(likely(few)).select("a", "b")))
         apart = materialize(shared.where((F.col("holders") > FEW) & (F.col("label") != F.col("low"))).select(F.col("low").alias("a"), F.col("label").alias("b")).distinct())
         if not apart.isEmpty():
-            links = links.union(materialize(_across(dense, labels, apart, classes, sets, percent)))
-        labels = materialize(components(links))
+            links = links.union(materialize(_across(dense, labels, apart, sets, percent)))
+        labels = _joined(labels, links)
 
     # The smallest doc_id of each component, found on classes; documents then meet their class once.
     linked = labels.withColumnRenamed("node", "k").join(classes.select("k", "doc_id"), "k")
@@ -297,27 +305,42 @@ def _pairs_apart(shared: DataFrame, percent: int) -> DataFrame:
     return x.join(y, "shingle").where((F.col("kx") < F.col("ky")) & (F.col("labelx") != F.col("labely")) & sizes & places).select(F.col("kx").alias("a"), F.col("ky").alias("b")).distinct()
 
 
-def _across(dense: DataFrame, labels: DataFrame, apart: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(dense: DataFrame, labels: DataFrame, apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between dense classes of different components of one neighbourhood (components joined by pairs in ``apart``)."""
     near = components(apart).select(F.col("node").alias("label"), F.col("label").alias("near"))
     known = dense.join(labels.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("label", "k")).join(near, "label")
-    sizes = known.groupBy("near", "label").count()
-    shape = sizes.groupBy("near").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.ceil(F.sum("count") / BLOCK).cast("int").alias("parts"), F.count("*").alias("n"))
-    inside = known.join(shape.where("n > 1"), "near").join(classes.select("k", "signature"), "k").join(sets, "k")
-    columns = ["near", "part", "fringe", "k", "label", "signature", "s"]
-    members = inside.withColumn("part", F.pmod(F.xxhash64("k"), "parts").cast("int")).withColumn("fringe", F.lit(False)).select(*columns)
-    fringe = inside.where("label <> main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("fringe", F.lit(True)).select(*columns)
+    largest = known.groupBy("near", "label").count().groupBy("near").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("n"))
+    size = (F.octet_length("s") / 8).cast("long")
+    inside = known.join(largest.where("n > 1"), "near").drop("n").join(sets, "k")
+    # Sizes of a similar pair differ by 100 / percent at most, so they lie in one band or in two adjoining ones.
+    inside = materialize(inside.withColumn("band", F.floor(F.log(size.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)))
+    parts = inside.groupBy("near", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    columns = ["near", "band", "part", "fringe", "k", "label", "s"]
+    members = inside.join(parts, ["near", "band"]).withColumn("part", F.pmod(F.xxhash64("k"), "parts").cast("int")).withColumn("fringe", F.lit(False)).select(*columns)
+    fringe = inside.where("label <> main").withColumn("band", F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1))).join(parts, ["near", "band"])
+    fringe = fringe.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("fringe", F.lit(True)).select(*columns)
 
     def compare(block):
         side = block.column("fringe")
         out = _links_across(block.filter(side), block.filter(pc.invert(side)), percent)
         return pa.table([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
 
-    return members.union(fringe).groupBy("near", "part").applyInArrow(compare, "a long, b long")
+    return members.union(fringe).groupBy("near", "band", "part").applyInArrow(compare, "a long, b long")
+
+
+def _bitmaps(sets: list[np.ndarray], width: int) -> np.ndarray:
+    """A bit for each cell (of ``width``) that an element of a set falls into, in words of 64."""
+    held = np.zeros((len(sets), width), bool)
+    for row, s in zip(held, sets):
+        row[(s & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(held, axis=1).view(np.uint64)
 
 
 def _links_across(fringe: pa.Table, members: pa.Table, percent: int) -> list[tuple[int, int]]:
-    """Confirmed pairs of fringe and members, one at least for each two components that such a pair links."""
+    """Confirmed pairs of fringe and members, one at least for each two components that such a pair links.
+
+    Two bitmaps differ in no more cells than the sets differ in elements, so what they rule out is not similar.
+    """
     if not (fringe.num_rows and members.num_rows):
         return []
     joined: dict[int, int] = {}
@@ -327,15 +350,17 @@ def _links_across(fringe: pa.Table, members: pa.Table, percent: int) -> list[tup
             x = joined[x]
         return x
 
-    signed = lambda t: np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(-1, VALUES)
-    theirs, k, label = signed(members), members.column("k").to_numpy(), members.column("label").to_numpy()
+    k, label = members.column("k").to_numpy(), members.column("label").to_numpy()
     values = [np.frombuffer(s, np.uint64) for s in members.column("s").to_pylist()]
     size = np.array([len(v) for v in values])
+    width = 1 << int(np.clip(np.ceil(np.log2(4 * size.mean() + 1)), 10, 16))
+    cells = _bitmaps(values, width)
     out = []
-    for mine, own, own_label, s in zip(signed(fringe), fringe.column("k").to_pylist(), fringe.column("label").to_pylist(), fringe.column("s").to_pylist()):
+    for own, own_label, s in zip(fringe.column("k").to_pylist(), fringe.column("label").to_pylist(), fringe.column("s").to_pylist()):
         held = np.frombuffer(s, np.uint64)
-        fits = (label != own_label) & (100 * np.minimum(size, len(held)) >= percent * np.maximum(size, len(held)))
-        rows = np.flatnonzero(fits & ((theirs == mine).mean(axis=1) >= percent / 100 - ESTIMATE_SLACK))
+        rows = np.flatnonzero((label != own_label) & (100 * np.minimum(size, len(held)) >= percent * np.maximum(size, len(held))))
+        differ = np.bitwise_count(cells[rows] ^ _bitmaps([held], width)).sum(axis=1, dtype=np.int64)
+        rows = rows[(100 + percent) * differ <= (100 - percent) * (size[rows] + len(held))]
         rows = rows[[root(int(x)) != root(own_label) for x in label[rows]]] if len(rows) else rows
         if not len(rows):
             continue

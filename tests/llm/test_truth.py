@@ -101,6 +101,46 @@ def test_pairs_in_a_mass_of_unlike_texts(frame):
     assert got == {i: i if i < 20_000 else i - 20_000 for i in range(20_100)}
 
 
+def _exact_components(rows, width):
+    """Components by an exact join over shared shingles."""
+    sets = {i: _brute_shingles(t, width) for i, t in rows}
+    holders: dict[tuple, list] = {}
+    for i, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        common: dict[int, int] = {}
+        for x in sets[a]:
+            for b in holders[x]:
+                if b < a:
+                    common[b] = common.get(b, 0) + 1
+        for b, both in common.items():
+            if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in sets}
+
+
+def test_crowds_that_quote_a_text_hide_no_link(frame):
+    """Pages that each quote 30 of a text's 40 lines, and a copy of that text with 195 words more; then pages of unequal lengths."""
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    lines = [" ".join(word() for _ in range(20)) for _ in range(40)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(lines) + " " + " ".join(word() for _ in range(195)))]
+    for i in range(600):
+        quoted = sorted(rng.sample(range(40), 30 if i < 300 else rng.randrange(4, 40)))
+        rows.append((10 + i, "\n".join(lines[j] for j in quoted) + " " + " ".join(word() for _ in range(rng.choice([3, 3, 60])))))
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert got[2] == 1 and got == _exact_components(rows, 4)
+
+
 def test_packing_round_trip(docs):
     import public_tokenizers
     from tokenizers import Tokenizer
