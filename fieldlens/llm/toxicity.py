@@ -2,16 +2,22 @@
 
 A token that may be disguised (digits or signs among letters, a letter three times or more in a row, single letters
 spaced out) becomes a lattice: each sign may stand for itself or for letters it resembles, each repetition and each
-separator may be noise. Viterbi decoding under a character trigram model of the corpus' own words and a fixed
-channel cost finds the likeliest word. Tokens that cannot be disguised have one path only and are kept. A span longer than
-two words may be a whole sentence: in it, a word may end at any separator or, where there is none, after any character.
+separator may be noise. Viterbi decoding under a character trigram model and a fixed channel cost finds the likeliest
+word. Tokens that cannot be disguised have one path only and are kept. A span longer than two words may be a whole
+sentence: in it, a word may end at any separator or, where there is none, after any character.
+
+The trigrams are those of the words of all documents, each word weighted by the number of binary digits of its count.
+Words and trigrams are counted by executors; what reaches the driver grows with the corpus up to the alphabet's
+bound, as letters without case, which signs do not stand for, count as one letter.
 
 The restored text is scored by logistic regression over its telling terms: words and their beginnings of 4 to 6
-characters. Learning uses a bounded sample of labelled rows (``TRAIN_ROWS``, chosen by a hash of doc_id), counted
-by executors; terms that ``LEAST`` toxic documents hold and that point to label 1 are kept, ``TERMS`` at most.
+characters. Learning uses a bounded sample of labelled rows (``TRAIN_ROWS``, chosen by a hash of doc_id), which is
+restored once; the terms that ``LEAST`` toxic documents of it hold and that point to label 1 are kept.
 
 Defined results: null and empty texts get the score of a text without any telling term; labels that are null
-are not learned; without labelled rows every score is 0; repeated rows each keep a row; extra columns are ignored.
+are not learned; a doc_id that several rows share is learned once for each label, with its least text; without labelled
+rows every score is 0; repeated rows each keep a row, and equal texts get equal scores; texts of any length are scored
+whole; an empty table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlens.llm._common import read
+from fieldlens.llm._common import materialize, read
 from fieldlens.llm._text import blocks
 from fieldlens.llm.quality import held_out, training_rows
 
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
-LEAST, TERMS = 4, 20_000
-CHARACTERS = 400_000  # of restored words that the character model counts, at most
+LEAST = 4
+HELD = 200_000  # words that a task holds before it passes their counts on
 LONGEST = 40  # longer runs of letters are no words; spans over twice that may hold several words
 
 #: What a sign may stand for.
@@ -51,19 +57,30 @@ _STRETCHED = re.compile(r"([^\W\d_])\1{3,}")
 _SEPARATOR = re.compile(r"[\s.\-_]")
 
 
+def trigrams(words: dict[str, int]) -> Counter:
+    """Weights of the trigrams of weighted words, with word bounds."""
+    out: Counter = Counter()
+    for word, n in words.items():
+        padded = "\x02\x02" + "".join(map(folded, word)) + "\x03"
+        for i in range(2, len(padded)):
+            out[padded[i - 2 : i + 1]] += n
+    return out
+
+
+def folded(c: str) -> str:
+    """The letter itself if it has case, digits and marks too; one letter for all others."""
+    return "\u3042" if c.isalpha() and c.lower() == c.upper() else c
+
+
 class CharacterModel:
     """Trigrams of characters with word bounds, interpolated with lower orders."""
 
-    def __init__(self, words: dict[str, int]):
-        self.tri, self.bi, self.uni = Counter(), Counter(), Counter()
-        for word, n in words.items():
-            padded = f"\x02\x02{word}\x03"
-            for i in range(2, len(padded)):
-                self.tri[padded[i - 2 : i + 1]] += n
-                self.bi[padded[i - 1 : i + 1]] += n
-                self.uni[padded[i]] += n
+    def __init__(self, tri: dict[str, int]):
+        self.tri, self.bi, self.uni = Counter(tri), Counter(), Counter()
         self.before2, self.before1 = Counter(), Counter()
         for k, n in self.tri.items():
+            self.bi[k[1:]] += n
+            self.uni[k[2]] += n
             self.before2[k[:2]] += n
         for k, n in self.bi.items():
             self.before1[k[:1]] += n
@@ -71,13 +88,15 @@ class CharacterModel:
         self._cost: dict[str, float] = {}
 
     def cost(self, context: str, c: str) -> float:
-        key = context + c
-        got = self._cost.get(key)
+        asked = context + c
+        got = self._cost.get(asked)
         if got is None:
+            key = "".join(map(folded, context + c))
+            context, c = key[:2], key[2]
             u = (self.uni[c] + 0.1) / (self.total + 100)
             b = (self.bi[key[1:]] + 3 * u) / (self.before1[context[1:]] + 3)
             t = (self.tri[key] + 3 * b) / (self.before2[context] + 3)
-            got = self._cost[key] = -math.log(t)
+            got = self._cost[asked] = -math.log(t)
         return got
 
 
@@ -195,15 +214,31 @@ class Scorer:
         self.starts = {k: {t[:-1] for t in terms if t.endswith("*") and len(t) == k + 1} for k in (4, 5, 6)}
         self.weights, self.start = np.zeros(len(terms)), -50.0
         self.cache: dict[str, str] = {}
+        self.of_word: dict[str, tuple[int, ...]] = {}
+
+    def _terms_of(self, word: str) -> tuple[int, ...]:
+        if len(self.of_word) > HELD:
+            self.of_word.clear()
+        held = [self.terms[word]] if word in self.words else []
+        held += [self.terms[word[:k] + "*"] for k, starts in self.starts.items() if len(word) > k and word[:k] in starts]
+        got = self.of_word[word] = tuple(held)
+        return got
+
+    def of_restored(self, text: str) -> list[int]:
+        """The telling terms of a restored text."""
+        held: set[int] = set()
+        known = self.of_word
+        for word in set(_WORD.findall(text)):
+            got = known.get(word)
+            if got is None:
+                got = self._terms_of(word)
+            if got:
+                held.update(got)
+        return sorted(held)
 
     def found(self, text: str) -> list[int]:
         """The telling terms of a text."""
-        words = set(_WORD.findall(restore(text, self.model, self.cache)))
-        held = {self.terms[w] for w in words & self.words}
-        for k, starts in self.starts.items():
-            if starts:
-                held.update(self.terms[w[:k] + "*"] for w in words if len(w) > k and w[:k] in starts)
-        return sorted(held)
+        return self.of_restored(restore(text, self.model, self.cache))
 
     def fit(self, found: list[list[int]], labels: np.ndarray, steps: int = 300, rate: float = 2.0, ridge: float = 1e-4) -> None:
         """Logistic regression by gradient descent with momentum; weights stay at or above 0."""
@@ -228,41 +263,64 @@ class Scorer:
         return 1 / (1 + math.exp(-margin))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Scorer:
-    """Learn the character model and the terms' shares from a bounded sample of labelled rows of docs(doc_id, text)."""
-    sample = training_rows(labels, "toxic", 4, 2, rows)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("text", "label")
+def character_model(docs: DataFrame) -> CharacterModel:
+    """The trigrams of the words of all rows of docs(text)."""
 
     def plain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
         count: Counter = Counter()
         for batch in blocks(batches, "text"):
             for text in batch.column("text").to_pylist():
-                count.update(w for w in _WORD.findall((text or "").lower()) if w.isalpha() and len(w) <= LONGEST)
-        yield pa.RecordBatch.from_pydict({"word": list(count), "n": list(count.values())}, pa.schema([("word", pa.string()), ("n", pa.int64())]))
+                count.update(_WORD.findall((text or "").lower()))
+            if len(count) > HELD:
+                yield pa.RecordBatch.from_pydict({"word": list(count), "n": list(count.values())}, schema)
+                count.clear()
+        yield pa.RecordBatch.from_pydict({"word": list(count), "n": list(count.values())}, schema)
 
-    counted = texts.mapInArrow(plain_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    common = counted.orderBy(F.desc("n"), "word").limit(CHARACTERS // 8).collect()  # bounded: a share of the most frequent words
-    model = CharacterModel({r["word"]: 1 + math.log(r["n"]) for r in common})
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = zip(batch.column("word").to_pylist(), batch.column("n").to_pylist())
+            count = trigrams({w: n.bit_length() for w, n in words if w.isalpha() and len(w) <= LONGEST})
+            yield pa.RecordBatch.from_pydict({"gram": list(count), "n": list(count.values())}, pa.schema([("gram", pa.string()), ("n", pa.int64())]))
 
-    def held_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = docs.select("text").mapInArrow(plain_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = words.mapInArrow(grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()  # bounded by the letters with case
+    return CharacterModel(dict(zip(counted.column("gram").to_pylist(), counted.column("n").to_pylist())))
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Scorer:
+    """Learn the character model of docs(doc_id, text), and the telling terms and their weights of a bounded sample of labelled rows."""
+    sample = training_rows(labels, "toxic", 4, 2, rows)
+    model = character_model(docs)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
+
+    def restored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, str] = {}
+        for batch in blocks(batches, "text"):
+            text = pa.array([restore(t or "", model, cache) for t in batch.column("text").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([text, batch.column("label")], ["text", "label"])
+
+    learned = materialize(texts.mapInArrow(restored, "text string, label int"))
+
+    def held_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in blocks(batches, "text"):
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                count[label == 1].update(terms(restore(text or "", model, cache)))
+                count[label == 1].update(terms(text))
         keys = list(count[0].keys() | count[1].keys())
         yield pa.RecordBatch.from_pydict({"term": keys, "clean": [count[0][k] for k in keys], "toxic": [count[1][k] for k in keys]}, pa.schema([("term", pa.string()), ("clean", pa.int64()), ("toxic", pa.int64())]))
 
-    held = texts.mapInArrow(held_terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    held = learned.mapInArrow(held_terms, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     telling = held.where((F.col("toxic") >= LEAST) & (F.col("toxic") > 2 * F.col("clean")))
-    scorer = Scorer(model, [r["term"] for r in telling.orderBy(F.desc("toxic"), "term").limit(TERMS).select("term").collect()])
+    scorer = Scorer(model, sorted(r["term"] for r in telling.select("term").collect()))  # bounded by the sample
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
-            held = [scorer.found(t or "") for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(held, pa.list_(pa.int32()))], ["label", "held"])
+            found = [scorer.of_restored(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(found, pa.list_(pa.int32()))], ["label", "held"])
 
-    seen = texts.mapInArrow(find, "label int, held array<int>").groupBy("label", "held").count().collect()  # bounded by the sample
+    seen = learned.mapInArrow(find, "label int, held array<int>").groupBy("label", "held").count().collect()  # bounded by the sample
     rows_of = [(r["label"] == 1, list(r["held"])) for r in sorted(seen, key=lambda r: (r["label"], r["held"])) for _ in range(r["count"])]
     scorer.fit([h for _, h in rows_of], np.array([y for y, _ in rows_of], float))
     return scorer

@@ -1,5 +1,6 @@
 """Results against brute force, round trips, SQL and held-out labels, on the smallest tables."""
 
+import itertools
 import os
 import random
 import zlib
@@ -231,15 +232,44 @@ def test_nearest_recall(spark):
 
 def test_restored_words():
     words = {w: 10 for w in "stupid moron trash loser scum pathetic disgusting worthless clown the and".split()}
-    model = toxicity.CharacterModel(words)
+    model = toxicity.CharacterModel(toxicity.trigrams(words))
     for token, want in {"st*pid": "stupid", "m0r0n": "moron", "tr@sh": "trash", "$cum": "scum", "p4th3t1c": "pathetic", "s.t.u.p.i.d": "stupid", "looooser": "loser", "w0rthle$$": "worthless"}.items():
         assert toxicity.restore(token, model, {}) == want
     assert toxicity.restore("The and$$$ 123 a@", model, {}).startswith("the and$$$ 123")
 
 
+def _likeliest(token, model):
+    """The best reading of a token, of all that its lattice has."""
+    best = None
+    for path in itertools.product(*toxicity.lattice(token.lower())):
+        context, total, word = "\x02\x02", 0.0, ""
+        for c, channel in path:
+            total = total + channel + (model.cost(context, "\x03" if c == " " else c) if c else 0.0)
+            context = "\x02\x02" if c == " " else context[1] + c if c else context
+            word += c
+        total += model.cost(context, "\x03")
+        best = min(best or (total, word), (total, word))
+    return best[1]
+
+
+def test_decoding_finds_the_best_of_all_readings():
+    rng = random.Random(8)
+    model = toxicity.CharacterModel(toxicity.trigrams({w: rng.randrange(1, 9) for w in "stupid moron trash loser scum bill glass boot see".split()}))
+    for _ in range(150):
+        token = "".join(rng.choice("stlobe013$@*!. ") for _ in range(rng.randrange(1, 8)))
+        assert toxicity.decode(token, model) == _likeliest(token, model), token
+
+
+def test_the_character_model_counts_all_documents(frame):
+    rows = [(i, f"word{chr(97 + i % 26)} alpha" if i % 2 else None) for i in range(400)] + [(400, "漢字 漢字 zebra")]
+    model = toxicity.character_model(frame(rows, "doc_id long, text string"))
+    words = {"alpha": 8, "zebra": 1, "漢字": 2, **{f"word{chr(97 + i)}": n.bit_length() for i in range(26) if (n := sum(j % 2 and j % 26 == i for j in range(400)))}}
+    assert model.tri == toxicity.trigrams(words) and "\x02\x02\u3042" in model.tri and "\x02\x02漢" not in model.tri
+
+
 def test_long_and_short_disguises_are_restored():
     words = {w: 10 for w in "you are a stupid moron trash loser scum pathetic disgusting worthless clown the and ass".split()}
-    model = toxicity.CharacterModel(words)
+    model = toxicity.CharacterModel(toxicity.trigrams(words))
     said = "you are a stupid moron and a pathetic loser and a worthless clown"
     restored = lambda text: set(toxicity.restore(text, model, {}).split())
     assert "loser" in restored("l" + "o" * 200 + "ser")
