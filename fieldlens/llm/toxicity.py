@@ -152,6 +152,22 @@ def unbroken(span: str) -> str:
     return _SEPARATOR.sub(" ", span) if _SEPARATOR.search(span) else " ".join(span)
 
 
+_PLAIN = np.array([chr(c).isalnum() for c in range(128)] + [False])
+_SPACING = np.array([chr(c) in " .-_*" for c in range(128)] + [False])
+
+
+def _may_hold(text: str) -> tuple[bool, bool]:
+    """Whether a text has a character three times in a row, and whether it has single characters with equal separators; both are quick to see."""
+    c = np.frombuffer(f"\n{text}\n".encode("utf-32-le", "surrogatepass"), np.uint32)
+    same = c[1:] == c[:-1]
+    tripled = bool((same[1:] & same[:-1]).any())
+    if len(c) < 7:
+        return tripled, False
+    low = np.minimum(c, 128)
+    plain, spacing = _PLAIN[low], _SPACING[low]
+    return tripled, bool((spacing[2:-4] & (c[2:-4] == c[4:-2]) & ~plain[:-6] & ~plain[6:]).any())
+
+
 def disguised(text: str) -> list[tuple[int, int]]:
     """Spans of a text that may be disguised words, in order, without overlaps."""
     spans, past = [], 0
@@ -164,7 +180,8 @@ def disguised(text: str) -> list[tuple[int, int]]:
             past = end.start() if end else len(text)
             spans += [m.span() for m in _MIXED.finditer(text, a, past) if any(map(str.isalpha, m.group()))]
     past = 0
-    for m in _REPEATED.finditer(text):
+    tripled, spaced = _may_hold(text)
+    for m in _REPEATED.finditer(text) if tripled else ():
         a, b = m.span()
         if a < past:
             continue
@@ -174,7 +191,7 @@ def disguised(text: str) -> list[tuple[int, int]]:
             b += 1
         spans.append((a, b))
         past = b
-    spans += [m.span() for m in _SPACED.finditer(text) if len(m.group()) > 5 or any(map(str.isalpha, m.group()))]
+    spans += [m.span() for m in (_SPACED.finditer(text) if spaced else ()) if len(m.group()) > 5 or any(map(str.isalpha, m.group()))]
     out, past = [], 0
     for a, b in sorted(spans, key=lambda s: (s[0], -s[1])):
         if a >= past:
