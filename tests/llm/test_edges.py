@@ -97,6 +97,15 @@ def test_license_scan(docs, none, frame):
     more = frame([(1, "CC-BY cc by, Cc By all rights reserved", *[None] * 4)], SCHEMA)
     row = license_scan.scan_licenses(more).first()
     assert (row["n_base"], row["first_word"], row["last_word"], row["base_labels"]) == (4, 0, 6, "cc-by,reserved")
+    wrapped = frame(
+        [
+            (1, " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that", *[None] * 4),
+            (2, "word " * 700 + "This Source Code Form is subject to the terms of the\nMozilla Public\nLicense, v. 2.0. " + "word " * 300, *[None] * 4),
+            (3, "released " + "word " * 100 + "under the MIT License", *[None] * 4),
+        ],
+        SCHEMA,
+    )
+    assert {r["doc_id"]: r["labels"] for r in license_scan.scan_licenses(wrapped).collect()} == {1: "bsd", 2: "mpl-2.0", 3: ""}
     assert license_scan.scan_licenses(none).count() == 0 and license_scan.scan_licenses(docs, templates=[]).count() == len(ROWS)
 
 
