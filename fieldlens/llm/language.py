@@ -1,18 +1,22 @@
 """Language identification by cross-parsing entropy.
 
 A suffix automaton is built of a bounded sample of labelled text for each language. A text is parsed into phrases,
-each the longest match that some place of the sample continues; the language that needs the fewest phrases,
-normalised as phrases * log2(sample length) / text length, wins. Automata are flattened into one transition
-table in which a missing transition leads to where the root leads by that character and marks a new phrase, so
-thousands of text segments advance by one character in a few numpy steps. A text is parsed in segments of
-``SEGMENT`` characters, each begun anew; all segments of the whole text count.
+each the longest match that some place of the sample continues (a letter that the sample lacks begins a phrase); the
+language that needs the fewest phrases, normalised as phrases * log2(sample length) / text length, wins. Every letter of
+the samples is a symbol of its own. Automata are laid out in one array: the transition of state s by symbol c stands at
+s + c, beside s, so thousands of places advance by one character in a few numpy steps, and a missing transition leads to
+where the root leads by that character and begins a phrase.
 
-The sample: for each language the ``SAMPLE_ROWS`` labelled documents that come first by a hash of doc_id, up to
-``SAMPLE_SPAN`` characters from the middle of each, ``SAMPLE_CHARS`` in all.
+A text is parsed whole. Segments of ``SEGMENT`` characters are parsed side by side as if each began anew; then each is parsed
+again from the state in which the one before it ended, until both ways meet. The phrases are those of a parse from end to end.
+
+The sample: whole texts of the ``SAMPLE_ROWS`` labelled documents of a language that come first by a hash of doc_id, as far as
+they fit into ``SAMPLE_CHARS``. Where none fits, the first of them is cut at that length.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; without any labelled row every text
-is ``und``; near-equal entropies, as of a few letters, are told apart by letter frequencies; repeated rows each keep a row; extra columns
-are ignored.
+is ``und``; near-equal entropies, as of a few letters, are told apart by letter frequencies, equal ones go to the language first in
+order; a doc_id that several rows share is learned once for each language, with its least text; repeated rows each keep a row;
+an empty table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,8 +32,7 @@ from fieldlens.llm._common import read
 from fieldlens.llm._text import blocks
 from fieldlens.llm.quality import held_out
 
-SAMPLE_ROWS, SAMPLE_SPAN, SAMPLE_CHARS = 64, 320, 20_000
-ALPHABET = 64
+SAMPLE_ROWS, SAMPLE_CHARS = 128, 60_000
 SEGMENT = 256
 NEAR = 0.01  # weight of letter frequencies, which only tell near-equal entropies apart
 WIDTH = 8192  # segments parsed together
@@ -70,41 +73,76 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return step
 
 
+def laid_out(step: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each state stands, no two alike, and the array of transitions: at where(s) + c, ``where(s) << 32 | where(to)``, or -1."""
+    taken, used, where = bytearray(3 * len(step) + 2 * width), set(), [0] * len(step)
+    low = tries = top = 0
+    for state in sorted(range(len(step)), key=lambda s: -len(step[s])):
+        symbols = sorted(step[state])
+        first, rest = (symbols[0], symbols[1:]) if symbols else (0, [])
+        at = max(low, first)
+        while True:
+            at = taken.find(0, at) if symbols else at
+            base = at - first
+            if base not in used and not any(taken[base + c] for c in rest):
+                break
+            at += 1
+            tries += 1
+            if tries > 64:  # the slots from here on were tried often enough
+                low, tries = max(low, at - 256), 0
+        used.add(base)
+        where[state] = base
+        for c in symbols:
+            taken[base + c] = 1
+        top = max(top, base)
+        if len(taken) < top + 2 * width:
+            taken.extend(bytes(len(taken) // 2))
+    places = np.array(where, np.int64)
+    moves = np.full(int(places.max()) + width, -1, np.int64)
+    for state, to in enumerate(step):
+        for c, target in to.items():
+            moves[where[state] + c] = where[state] << 32 | where[target]
+    return places, moves
+
+
 class Parser:
     """Cross-parsing tables of all languages: entropies of many texts at once."""
 
     def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
         codes = {lang: _codes(samples[lang]) for lang in self.languages}
-        every = np.concatenate([*codes.values(), np.zeros(0, np.uint32)])
-        letters = np.array([c for c in np.unique(every) if chr(c).isalpha()], np.uint32)
-        counts = np.array([(every == c).sum() for c in letters])
-        common = letters[np.argsort(-counts, kind="stable")[: ALPHABET - 2]]
-        # symbol 0: no letter; 1: a letter that is not common in the samples
-        self.symbol = np.zeros(0x110000, np.uint8)
+        every, counts = np.unique(np.concatenate([*codes.values(), np.zeros(0, np.uint32)]), return_counts=True)
+        lettered = np.array([chr(c).isalpha() for c in every], bool)
+        letters = every[lettered][np.argsort(-counts[lettered], kind="stable")]
+        # symbol 0: no letter; 1: a letter that the samples lack
+        self.width = 2 + len(letters)
+        self.symbol = np.zeros(0x110000, np.int32)
         if self.languages:
             self.symbol[[c for c in range(0x110000) if chr(c).isalpha()]] = 1
-        self.symbol[common] = np.arange(2, 2 + len(common))
-        tables, self.roots, self.bits, single = [], [], [], []
-        base = 0
+        self.symbol[letters] = np.arange(2, self.width)
+        tables, roots, first, self.bits, single, offset = [], [], [], [], [], 0
         for lang in self.languages:
             symbols = self.squeeze(self.symbol[codes[lang]])
             step = suffix_automaton(symbols.tolist())
-            table = np.full((len(step), ALPHABET), -1, np.int64)
-            for state, moves in enumerate(step):
-                if moves:
-                    table[state, list(moves)] = list(moves.values())
-            root = np.where(table[0] >= 0, table[0], 0)
-            flag = table < 0
-            table = np.where(flag, root[None, :], table)
-            tables.append(((table + base) * ALPHABET * 2 + flag).astype(np.int32).ravel())
-            self.roots.append(base * ALPHABET)
-            shares = np.bincount(symbols, minlength=ALPHABET) + 0.5
+            where, moves = laid_out(step, self.width)
+            tables.append(np.where(moves >= 0, moves + (offset << 32 | offset), -1))
+            roots.append(where[0] + offset)
+            begins = np.full(self.width, where[0] + offset, np.int64)  # where a phrase that begins with a symbol stands
+            begins[list(step[0])] = where[list(step[0].values())] + offset
+            first.append(begins)
+            offset += len(moves)
+            shares = np.bincount(symbols, minlength=self.width) + 0.5
             single.append(-np.log2(shares / shares.sum()))
             self.bits.append(float(np.log2(max(2, len(symbols)))))
-            base += len(step)
-        self.single = np.array(single).reshape(len(single), ALPHABET)
-        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+        self.single = np.array(single).reshape(len(single), self.width)
+        self.moves = np.concatenate([*tables, np.full(self.width, -1, np.int64)])
+        self.roots, self.first = np.array(roots, np.int64), np.concatenate([*first, np.zeros(0, np.int64)])
+
+    def advance(self, state: np.ndarray, symbol: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one symbol, and where it begins a phrase."""
+        move = self.moves[state + symbol]
+        new = (move >> 32) != state
+        return np.where(new, self.first[lang * self.width + symbol], move & 0xFFFFFFFF), new
 
     @staticmethod
     def squeeze(symbols: np.ndarray) -> np.ndarray:
@@ -113,37 +151,63 @@ class Parser:
         keep[1:] = (symbols[1:] != 0) | (symbols[:-1] != 0)
         return symbols[keep]
 
-    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Bits a character for each text and language, and whether the text has a letter."""
-        parts = [self.squeeze(self.symbol[_codes(t)]) for t in texts]
-        sizes = np.array([len(p) for p in parts], np.int64)
-        lettered = np.array([bool(p.any()) for p in parts], bool)
-        flat = np.concatenate([*parts, np.zeros(0, np.uint8)])
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        number = -(-sizes // SEGMENT)
-        owner = np.repeat(np.arange(len(texts)), number)
+    def phrases(self, flat: np.ndarray, starts: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
+        """The number of phrases of each text flat[starts[i] : starts[i + 1]] for each language."""
+        sizes = np.diff(starts)
+        number = -(-sizes // segment)
+        owner = np.repeat(np.arange(len(sizes)), number)
         within = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
-        first = starts[owner] + within * SEGMENT
-        length = np.minimum(SEGMENT, starts[owner + 1] - first) if len(owner) else np.zeros(0, np.int64)
+        first = starts[owner] + within * segment
+        length = np.minimum(segment, starts[owner + 1] - first) if len(owner) else np.zeros(0, np.int64)
         order = np.argsort(-length, kind="stable")
         k = len(self.languages)
-        phrases = np.zeros((len(owner), k), np.int64)
-        roots = np.array(self.roots, np.int32)
+        begun = np.repeat(self.roots[None, :], len(owner), 0)  # the state from which a segment was parsed
+        ended, count = begun.copy(), np.zeros((len(owner), k), np.int64)
+        lang = np.arange(k)[None, :]
         for at in range(0, len(order), WIDTH):
             seg = order[at : at + WIDTH]
             span = length[seg]
-            state = np.repeat(roots[None, :], len(seg), 0)
-            count = np.ones((len(seg), k), np.int32)
+            state, new = begun[seg], np.zeros((len(seg), k), np.int32)
             for i in range(int(span[0])):
                 live = int(np.searchsorted(-span, -i, "left"))  # longest first: those longer than i
-                step = self.table[state[:live] + flat[first[seg[:live]] + i].astype(np.int32)[:, None]]
-                count[:live] += step & 1
-                state[:live] = step >> 1
-            phrases[seg] = count
-        total = np.zeros((len(texts), k))
-        np.add.at(total, owner, phrases)
-        bits = total * np.array(self.bits)[None, :]
-        for lang in range(k):
+                state[:live], flag = self.advance(state[:live], flat[first[seg[:live]] + i][:, None], lang)
+                new[:live] += flag
+            ended[seg], count[seg] = state, new
+        again = np.flatnonzero(within > 0)
+        seg, lane = np.repeat(again, k), np.tile(np.arange(k), len(again))
+        while len(seg):
+            old, now = begun[seg, lane], ended[seg - 1, lane]
+            begun[seg, lane] = now
+            change = np.zeros(len(seg), np.int64)
+            live = np.flatnonzero(old != now)
+            i = 0
+            while len(live):
+                symbol, of = flat[first[seg[live]] + i], lane[live]
+                old[live], a = self.advance(old[live], symbol, of)
+                now[live], b = self.advance(now[live], symbol, of)
+                change[live] += b.astype(np.int64) - a
+                i += 1
+                live = live[(old[live] != now[live]) & (i < length[seg[live]])]
+            np.add.at(count, (seg, lane), change)
+            apart = np.flatnonzero(old != now)  # these end in another state, so the next segment begins in another one
+            ended[seg[apart], lane[apart]] = now[apart]
+            seg, lane = seg[apart] + 1, lane[apart]
+            inside = seg < len(owner)
+            inside[inside] = within[seg[inside]] > 0
+            seg, lane = seg[inside], lane[inside]
+        total = np.zeros((len(sizes), k), np.int64)
+        np.add.at(total, owner, count)
+        return total + 1
+
+    def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Bits a character for each text and language, and whether the text has a letter."""
+        parts = [self.squeeze(self.symbol[_codes(t)]) for t in texts]
+        sizes = np.array([len(p) for p in parts], np.int64)
+        lettered = np.array([bool(p.any()) for p in parts], bool)
+        flat = np.concatenate([*parts, np.zeros(0, np.int32)])
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        bits = self.phrases(flat, starts) * np.array(self.bits)[None, :]
+        for lang in range(len(self.languages)):
             summed = np.concatenate([[0.0], np.cumsum(self.single[lang][flat])])
             bits[:, lang] += NEAR * (summed[starts[1:]] - summed[starts[:-1]])
         return bits / np.maximum(sizes, 1)[:, None], lettered
@@ -160,16 +224,26 @@ class Parser:
         return [self.languages[b] if ok else UNDETERMINED for b, ok in zip(best, lettered)], np.clip(score, 0, 1)
 
 
-def training_samples(docs: DataFrame) -> dict[str, str]:
+def training_samples(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """A bounded sample of text for each language of docs(doc_id, text, lang)."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("span"))
-    middle = F.greatest(F.lit(1), F.floor((F.length("text") - SAMPLE_SPAN) / 2) + 1).cast("int")
-    some = docs.where("lang is not null and length(text) > 0").select("lang", "doc_id", F.substring(F.col("text"), middle, F.lit(SAMPLE_SPAN)).alias("span"))
-    rows = some.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_ROWS).orderBy("lang", "k").collect()
-    samples: dict[str, str] = {}
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    labelled = docs.select("lang", F.col("doc_id").cast("long").alias("doc_id"), "text").where("lang is not null and length(text) > 0")
+    once = labelled.groupBy("lang", "doc_id").agg(F.min(F.length("text")).alias("n"))
+    rows = once.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_ROWS).orderBy("lang", "k").collect()  # bounded by SAMPLE_ROWS
+    left: dict[str, int] = {}
+    chosen: dict[str, list] = {}
+    for r in rows:
+        if r["n"] < left.setdefault(r["lang"], chars):
+            left[r["lang"]] -= r["n"] + 1
+            chosen.setdefault(r["lang"], []).append(r["doc_id"])
     for r in rows:
-        samples[r["lang"]] = (samples.get(r["lang"], "") + "\n" + r["span"])[:SAMPLE_CHARS]
-    return samples
+        chosen.setdefault(r["lang"], [r["doc_id"]])
+    if not chosen:
+        return {}
+    wanted = docs.sparkSession.createDataFrame([(lang, i) for lang, ids in chosen.items() for i in ids], "wanted string, id long")
+    some = labelled.join(F.broadcast(wanted), (F.col("lang") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    texts = {(r["lang"], r["doc_id"]): r["text"] for r in some.groupBy("lang", "doc_id").agg(F.min(F.substring("text", 1, chars)).alias("text")).collect()}
+    return {lang: "\n".join(texts[lang, i] for i in ids)[:chars] for lang, ids in chosen.items()}
 
 
 def identify_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:

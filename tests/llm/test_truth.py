@@ -12,7 +12,7 @@ from oracle import connect, differences
 
 import corpus_pipeline
 from fieldlens import llm
-from fieldlens.llm import _text, ann, decontaminate, near_dedup, packing, sharding, toxicity
+from fieldlens.llm import _text, ann, decontaminate, language, near_dedup, packing, sharding, toxicity
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLE = llm.registry()
@@ -303,3 +303,27 @@ def test_pipeline_against_its_parts(spark, docs):
         for b in packed:
             both = len(sets[a] & sets[b])
             assert a >= b or not both or 100 * both < 80 * (len(sets[a]) + len(sets[b]) - both)
+
+
+def _naive_phrases(text, sample):
+    count, held = 1, ""
+    for c in text:
+        if held + c in sample:
+            held += c
+        else:
+            count, held = count + 1, c if c in sample else ""
+    return count
+
+
+def test_phrases_are_those_of_a_naive_parse():
+    rng = random.Random(11)
+    letters = "abcdeäжзиク漢字水火" + "".join(chr(0x4E00 + i) for i in range(300))
+    samples = {"a": "".join(rng.choice("abcde ") for _ in range(400)), "b": "".join(rng.choice("abжзи ") for _ in range(300)), "c": "".join(rng.choice(letters) for _ in range(900)), "d": "ab" * 40}
+    parser = language.Parser(samples)
+    texts = ["", "a", "ab" * 300, *("".join(rng.choice("abcdeжзи ω漢") for _ in range(rng.randrange(1, 300))) for _ in range(25)), samples["c"][100:700], samples["a"][50:] + samples["b"]]
+    parts = [parser.squeeze(parser.symbol[language._codes(t)]) for t in texts]
+    flat, starts = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    squeeze = lambda t: "".join(chr(0xE000 + s) for s in parser.squeeze(parser.symbol[language._codes(t)]))
+    want = [[_naive_phrases(squeeze(t), squeeze(samples[lang])) for lang in parser.languages] for t in texts]
+    for segment in (7, 32, 256, 4096):
+        assert parser.phrases(flat, starts, segment).tolist() == want
