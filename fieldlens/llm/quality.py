@@ -5,8 +5,10 @@ flattened into arrays (feature, threshold, leaf), so a block of documents walks
 Training uses a bounded sample of labelled rows (``train_rows``), chosen by a hash of doc_id.
 
 Defined results: null and empty texts have all statistics zero and get the score of such a row; labels that
-are null are not learned; a document that is labelled more than once is learned once for each label; without any
-labelled row every score is ``prior``; repeated rows each keep a row; extra columns are ignored.
+are null are not learned; a doc_id that is labelled, or that rows share, more than once is learned once for each label, with
+its least statistics; without any labelled row every score is ``prior``; repeated rows each keep a row, and equal texts get
+equal scores; texts of any length are measured whole; an empty table gives an empty result; extra columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -165,7 +167,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Trees:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.FixedSizeListArray.from_arrays(x.ravel(), FEATURES).cast(pa.list_(pa.float64()))], ["doc_id", "label", "x"])
 
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
-    got = found.mapInArrow(measure, "doc_id long, label int, x array<double>").toArrow()  # as many rows as the sample, times a document's copies
+    measured = found.mapInArrow(measure, "doc_id long, label int, x array<double>")
+    got = measured.groupBy("doc_id", "label").agg(F.min("x").alias("x")).toArrow()  # bounded by the sample
     if not got.num_rows:
         return fit(np.zeros((0, FEATURES)), np.zeros(0))
     x = got.column("x").combine_chunks().flatten().to_numpy().reshape(-1, FEATURES)

@@ -12,7 +12,7 @@ from oracle import connect, differences
 
 import corpus_pipeline
 from fieldlens import llm
-from fieldlens.llm import _text, ann, decontaminate, language, near_dedup, packing, sharding, toxicity
+from fieldlens.llm import _text, ann, decontaminate, language, near_dedup, packing, quality, sharding, toxicity
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLE = llm.registry()
@@ -327,3 +327,37 @@ def test_phrases_are_those_of_a_naive_parse():
     want = [[_naive_phrases(squeeze(t), squeeze(samples[lang])) for lang in parser.languages] for t in texts]
     for segment in (7, 32, 256, 4096):
         assert parser.phrases(flat, starts, segment).tolist() == want
+
+
+def test_trees_against_naive_ones():
+    """Flattened traversal against a walk node by node, and the first tree's root against the best of all cuts."""
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.normal(size=400), rng.integers(0, 9, 400), rng.normal(size=400)])
+    y = ((x[:, 0] + 0.3 * x[:, 1] > 1.2) ^ (rng.random(400) < 0.05)).astype(float)
+    model = quality.fit(x, y)
+    for row, got in zip(x[:60], model.score(x[:60])):
+        margin = model.start
+        for feature, threshold, leaf in zip(model.feature, model.threshold, model.leaf):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + (2 if row[feature[node]] > threshold[node] else 1)
+            margin += leaf[node - len(feature)]
+        assert got == pytest.approx(1 / (1 + np.exp(-margin)), abs=1e-12)
+    p = 1 / (1 + np.exp(-model.start))
+    g, h = p - y, np.full(len(y), p * (1 - p))
+    part = lambda rows: g[rows].sum() ** 2 / (h[rows].sum() + 1)
+    gains = {}
+    for f in range(3):
+        for cut in np.unique(np.quantile(x[:, f], np.arange(1, quality.BINS) / quality.BINS)):
+            right = x[:, f] > cut
+            if min(right.sum(), (~right).sum()) >= quality.LEAST:
+                gains[f, cut] = part(right) + part(~right) - part(np.ones(len(y), bool))
+    assert gains[model.feature[0][0], model.threshold[0][0]] == pytest.approx(max(gains.values()))
+
+
+def test_a_repeated_document_is_learned_once(frame):
+    docs = frame([(i, f"text number {i} of some words", "en") for i in range(40)] + [(7, "text number 7 of some words", "en")] * 500, "doc_id long, text string, lang string")
+    labels = frame([(i, int(i % 2), int(i % 2)) for i in range(40)], "doc_id long, quality int, toxic int")
+    once = docs.dropDuplicates()
+    assert quality.train(docs, labels).leaf.tolist() == quality.train(once, labels).leaf.tolist()
+    assert toxicity.train(docs, labels).weights.tolist() == toxicity.train(once, labels).weights.tolist()
