@@ -151,6 +151,32 @@ class Parser:
         keep[1:] = (symbols[1:] != 0) | (symbols[:-1] != 0)
         return symbols[keep]
 
+    def _walk(self, seg: int, lane: int, flat, first, length, within, begun, ended, count) -> None:
+        """Parse on from the end of the segment before ``seg`` until that comes to the states found before."""
+        moves, firsts, base = memoryview(self.moves), memoryview(self.first), lane * self.width
+        now = int(ended[seg - 1, lane])
+        while seg < len(within) and within[seg]:
+            old, change = int(begun[seg, lane]), 0
+            begun[seg, lane] = now
+            for symbol in flat[first[seg] : first[seg] + length[seg]].tolist():
+                if old == now:
+                    break
+                move = moves[old + symbol]
+                if move >> 32 == old:
+                    old = move & 0xFFFFFFFF
+                else:
+                    old, change = firsts[base + symbol], change - 1
+                move = moves[now + symbol]
+                if move >> 32 == now:
+                    now = move & 0xFFFFFFFF
+                else:
+                    now, change = firsts[base + symbol], change + 1
+            count[seg, lane] += change
+            if old == now:
+                return
+            ended[seg, lane] = now
+            seg += 1
+
     def phrases(self, flat: np.ndarray, starts: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
         """The number of phrases of each text flat[starts[i] : starts[i + 1]] for each language."""
         sizes = np.diff(starts)
@@ -173,14 +199,18 @@ class Parser:
                 state[:live], flag = self.advance(state[:live], flat[first[seg[:live]] + i][:, None], lang)
                 new[:live] += flag
             ended[seg], count[seg] = state, new
-        again = np.flatnonzero(within > 0)
-        seg, lane = np.repeat(again, k), np.tile(np.arange(k), len(again))
-        while len(seg):
+        apart = np.zeros(begun.shape, bool)
+
+        def unlike() -> tuple[np.ndarray, np.ndarray]:
+            """Segments that were not parsed from where the one before them ended, by language and place."""
+            apart[1:] = (begun[1:] != ended[:-1]) & (within[1:] > 0)[:, None]
+            return np.nonzero(apart.T)
+
+        if len(owner):
+            lane, seg = unlike()
             old, now = begun[seg, lane], ended[seg - 1, lane]
             begun[seg, lane] = now
-            change = np.zeros(len(seg), np.int64)
-            live = np.flatnonzero(old != now)
-            i = 0
+            change, live, i = np.zeros(len(seg), np.int64), np.arange(len(seg)), 0
             while len(live):
                 symbol, of = flat[first[seg[live]] + i], lane[live]
                 old[live], a = self.advance(old[live], symbol, of)
@@ -188,13 +218,14 @@ class Parser:
                 change[live] += b.astype(np.int64) - a
                 i += 1
                 live = live[(old[live] != now[live]) & (i < length[seg[live]])]
-            np.add.at(count, (seg, lane), change)
-            apart = np.flatnonzero(old != now)  # these end in another state, so the next segment begins in another one
-            ended[seg[apart], lane[apart]] = now[apart]
-            seg, lane = seg[apart] + 1, lane[apart]
-            inside = seg < len(owner)
-            inside[inside] = within[seg[inside]] > 0
-            seg, lane = seg[inside], lane[inside]
+            count[seg, lane] += change
+            ended[seg, lane] = np.where(old == now, ended[seg, lane], now)
+            while len((found := unlike())[0]):  # few are left, as where a text repeats its sample; they are walked in order
+                lane, seg = found
+                head = np.ones(len(seg), bool)
+                head[1:] = (lane[1:] != lane[:-1]) | (owner[seg[1:]] != owner[seg[:-1]])
+                for at, of in zip(seg[head].tolist(), lane[head].tolist()):
+                    self._walk(at, of, flat, first, length, within, begun, ended, count)
         total = np.zeros((len(sizes), k), np.int64)
         np.add.at(total, owner, count)
         return total + 1
