@@ -1,7 +1,7 @@
 """Approximate nearest neighbours: a hierarchical k-means tree, searched best bin first.
 
 The tree is fitted on a bounded sample (``SAMPLE`` vectors, chosen by a hash of vec_id) and has about one leaf for
-``LEAF_ROWS`` rows, ``MOST_LEAVES`` at most; every row is indexed in it. A query walks the tree through a priority queue of branches,
+``leaf_rows`` rows, ``MOST_LEAVES`` at most, as the sample bears no more; every row is indexed in it. A query walks the tree through a priority queue of branches,
 nearest centre first, and so gets its leaves in the order to visit. How many leaves to visit is calibrated:
 ``CALIBRATION`` queries of the sample are also answered exactly over all rows, and the visits are widened until their recall reaches
 ``RECALL``. Queries then meet the rows of their leaves by an equi-join on the leaf, in rounds that widen by ``WIDENING``: in
@@ -12,8 +12,9 @@ Rows with equal vectors are gathered first: any query's k nearest hold k + 1 of
 the others need not be compared. Large leaves are dealt out in parts of ``PART_ROWS``.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do those
-whose length is not the most frequent one; a row is never its own neighbour, but rows with equal vectors are at
-distance 0; queries with fewer candidates get all; repeated rows count as one; extra columns are ignored.
+whose length is not the most frequent one, as they have no distance to the others; ties in distance go to the smaller vec_id; a row is never its own neighbour, but rows with equal vectors are at
+distance 0; queries with fewer candidates get all; repeated rows count as one; an empty table gives an
+empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from fieldlens.llm._common import materialize, read
 NEAREST = 10
 QUERY_EVERY = 100
 SAMPLE, CALIBRATION = 20_000, 128
-LEAF_ROWS, MOST_LEAVES, BRANCHES = 256, 512, 8
+LEAF_ROWS, MOST_LEAVES, BRANCHES = 256, 2_048, 8
 FIRST_VISITS, WIDENING = 4, 4
 RECALL = 0.97
 PART_ROWS = 4_096
@@ -58,8 +59,7 @@ class Tree:
         for _ in range(10):
             owner = _nearest(x, centres)
             counts = np.bincount(owner, minlength=len(centres))
-            sums = np.zeros_like(centres)
-            np.add.at(sums, owner, x)
+            sums = (owner[None, :] == np.arange(len(centres))[:, None]).astype(x.dtype) @ x
             centres = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centres)
         owner = _nearest(x, centres)
         kept = np.unique(owner)
@@ -144,7 +144,7 @@ def _usable(vectors: DataFrame, vector: str) -> tuple[DataFrame, int]:
     return fine.where(F.size("v") == dim), dim
 
 
-def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST, recall: float = RECALL, vector: str = "embedding") -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST, recall: float = RECALL, vector: str = "embedding", leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of vectors(vec_id, vector) found for each row of queries."""
     spark = vectors.sparkSession
     rows, dim = _usable(vectors, vector)
@@ -157,7 +157,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST,
     sample = points.orderBy(F.xxhash64("first"), "first").limit(SAMPLE).select("first", "v").toArrow()
     x = _matrix(sample.column("v"), dim) if sample.num_rows else np.zeros((0, dim))
     firsts = sample.column("first").to_numpy()
-    tree = Tree(x, max(1, min(MOST_LEAVES, n // LEAF_ROWS)))
+    tree = Tree(x, max(1, min(MOST_LEAVES, n // leaf_rows)))
     shared = spark.sparkContext.broadcast(tree)
     visits = _calibrated(points, tree, x[:CALIBRATION], firsts[:CALIBRATION], dim, k, recall)
 

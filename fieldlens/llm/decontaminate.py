@@ -1,17 +1,17 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts and test items are normalised alike: lower-cased, and each run of characters that are no letters or digits becomes one
-space. An item of n characters may differ from a passage by k = floor(``ERROR_RATE`` * n) edits. Cut into k + 1
+Texts and test items are normalised alike: lower-cased, each run of characters that are no letters or digits becomes one
+space, and one space stands before and after them, so that an item without edits to spare matches whole words only. An item of n characters may differ from a passage by k = floor(``ERROR_RATE`` * n) edits. Cut into k + 1
 pieces, one piece at least stands in every such passage unchanged, so exact piece hits (found for all items at once by an
 Aho-Corasick automaton) give every place to look at. There, Myers' bit-parallel algorithm finds the least edit
 distance of the whole item to a part of the text.
 
 Items are taken in blocks of bounded size (``BLOCK_ITEMS``, ``BLOCK_CHARS``); a larger benchmark takes more passes, not more memory.
 
-Defined results: items that are null or have no letter or digit match nothing; items under ``SHORT`` characters have no edits to
-spare and must stand between word bounds; null and empty texts match nothing; each match is given once for each
-(document row, item) with the least distance, leftmost first; repeated rows each keep their matches; extra
-columns are ignored.
+Defined results: items that are null or have no letter or digit match nothing; null and empty texts match nothing; texts of
+any length are read whole; each match is given once for each (document row, item) with the least distance, of equal ones the
+leftmost; repeated rows each keep their matches, repeated items count once; an empty table on either side gives an empty
+result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ from fieldlens.llm._common import read
 from fieldlens.llm._text import blocks
 
 ERROR_RATE = 0.06
-SHORT = 30
 BLOCK_ITEMS, BLOCK_CHARS = 20_000, 8_000_000
 
 _GAPS = re.compile(r"[\W_]+")
@@ -39,7 +38,7 @@ def normalise(text: str | None) -> str:
 
 
 def budget(n: int, rate: float) -> int:
-    return 0 if n < SHORT else int(rate * n)
+    return int(rate * n)
 
 
 def pieces(item: str, edits: int) -> list[tuple[int, str]]:
@@ -77,7 +76,7 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], rate: float):
         import ahocorasick
 
-        self.items = [(i, text, budget(len(text), rate)) for i, text in ((i, normalise(t)) for i, t in items) if text]
+        self.items = [(i, f" {text} ", budget(len(text), rate)) for i, text in ((i, normalise(t)) for i, t in items) if text]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text, edits) in enumerate(self.items):
@@ -92,6 +91,7 @@ class Matcher:
         """(item_id, distance, start, end) for each item that the normalised text holds."""
         if not self.items or not text:
             return
+        text = f" {text} "
         spots: dict[int, set[int]] = {}
         for end, (length, where) in self.automaton.iter(text):
             for number, at in where:
@@ -100,16 +100,14 @@ class Matcher:
             item_id, item, edits = self.items[number]
             found = self._best(text, item, edits, sorted(starts))
             if found:
-                yield (item_id, *found)
+                distance, start, end = found
+                yield item_id, distance, min(start, len(text) - 2), max(end - 2, 0)  # without the added spaces
 
     @staticmethod
     def _best(text: str, item: str, edits: int, starts: list[int]) -> tuple[int, int, int] | None:
         at = text.find(item)
-        while at >= 0:
-            past = at + len(item)
-            if len(item) >= SHORT or (not at or text[at - 1] == " ") and (past == len(text) or text[past] == " "):
-                return 0, at, past
-            at = text.find(item, at + 1)
+        if at >= 0:
+            return 0, at, at + len(item)
         if not edits:
             return None
         best, past = None, -1
