@@ -10,8 +10,8 @@ where the root leads by that character and begins a phrase.
 A text is parsed whole. Segments of ``SEGMENT`` characters are parsed side by side as if each began anew; then each is parsed
 again from the state in which the one before it ended, until both ways meet. The phrases are those of a parse from end to end.
 
-The sample: whole texts of the ``SAMPLE_ROWS`` labelled documents of a language that come first by a hash of doc_id, as far as
-they fit into ``SAMPLE_CHARS``. Where none fits, the first of them is cut at that length.
+The sample: doc_ids fall into ``SAMPLE_ROWS`` classes by a hash, and of each class the labelled document of a language with the least hash
+may be learned; whole texts of these, as far as they fit into ``SAMPLE_CHARS``. Where none fits, the first of them is cut at that length.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; without any labelled row every text
 is ``und``; near-equal entropies, as of a few letters, are told apart by letter frequencies, equal ones go to the language first in
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.llm._common import read
@@ -257,10 +257,10 @@ class Parser:
 
 def training_samples(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """A bounded sample of text for each language of docs(doc_id, text, lang)."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     labelled = docs.select("lang", F.col("doc_id").cast("long").alias("doc_id"), "text").where("lang is not null and length(text) > 0")
-    once = labelled.groupBy("lang", "doc_id").agg(F.min(F.length("text")).alias("n"))
-    rows = once.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_ROWS).orderBy("lang", "k").collect()  # bounded by SAMPLE_ROWS
+    of = F.xxhash64("doc_id")
+    least = labelled.groupBy("lang", F.pmod(of, F.lit(SAMPLE_ROWS)).alias("k")).agg(F.min(F.struct(of.alias("h"), "doc_id", F.length("text").alias("n"))).alias("r"))
+    rows = sorted(least.select("lang", "r.h", "r.doc_id", "r.n").collect(), key=lambda r: (r["lang"], r["h"]))  # SAMPLE_ROWS for each language at most
     left: dict[str, int] = {}
     chosen: dict[str, list] = {}
     for r in rows:
