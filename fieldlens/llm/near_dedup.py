@@ -36,8 +36,8 @@ from fieldlens.llm.components import components
 
 TREES, DEPTH, DEEPER = 24, 3, 3
 VALUES = TREES * DEPTH
-REGION, NEIGHBOURS, BLOCK = 32, 8, 512
-FEW = 128
+REGION, NEIGHBOURS, BLOCK = 16, 4, 512
+FEW = 32
 SKETCH_BITS = 18  # of a shingle that pick its counter; counts only order shingles, any order gives the same links
 ESTIMATE_SLACK = 0.2  # over four standard deviations of the signatures' estimate
 BROADCAST_IDS = 1_000_000
