@@ -325,7 +325,8 @@ def _across(dense: DataFrame, labels: DataFrame, apart: DataFrame, sets: DataFra
         out = _links_across(block.filter(side), block.filter(pc.invert(side)), percent)
         return pa.table([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
 
-    return members.union(fringe).groupBy("near", "band", "part").applyInArrow(compare, "a long, b long")
+    dealt = members.union(fringe).repartition("near", "band", "part")  # or rows would stay where the join by band put them
+    return dealt.groupBy("near", "band", "part").applyInArrow(compare, "a long, b long")
 
 
 def _bitmaps(sets: list[np.ndarray], width: int) -> np.ndarray:
