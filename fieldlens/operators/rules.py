@@ -33,12 +33,20 @@ def claim_buckets(claims: DataFrame, group: str, seq: str, least: float = LEAST_
     return claims.withColumn("__r", rank).withColumn("bucket", F.when(~good, "low").when(F.col("__r") <= most, "selected").otherwise("overflow")).drop("__r")
 
 
-def factual_dimension(checks: DataFrame, key: str) -> DataFrame:
-    """H3: share of checked claims not contradicted, mean confidence (errors count 0); 1 and 0 without checks."""
-    checked = F.count_if(F.col("outcome") != "error")
-    score = F.coalesce(1 - F.try_divide(F.count_if(F.col("outcome") == "contradicted").cast("double"), checked), F.lit(1.0))
+def factual_dimension(checks: DataFrame, key: str, considered: DataFrame | None = None) -> DataFrame:
+    """H3: one less the share of contradicted claims in all that were checked, errors included, and the mean confidence (errors count 0).
+
+    It passes without a contradicted claim. ``considered`` (key, claims) lists articles and their claims before selection: those
+    without checks get score 1, with confidence 1 if they had no claim and 0.7 if none was selected.
+    """
+    contradicted = F.count_if(F.col("outcome") == "contradicted")
     conf = F.coalesce(F.avg(F.when(F.col("outcome") == "error", 0.0).otherwise(F.col("confidence"))), F.lit(0.0))
-    return checks.groupBy(key).agg(F.round(score, 6).alias("score"), F.round(conf, 6).alias("confidence"))
+    out = checks.groupBy(key).agg(F.round(1 - contradicted / F.count("*"), 6).alias("score"), F.round(conf, 6).alias("confidence"), (contradicted == 0).alias("passed"))
+    if considered is None:
+        return out
+    every = considered.select(key, F.col("claims").alias("__claims")).join(out, key, "left")
+    alone = F.when(F.col("__claims") == 0, 1.0).otherwise(0.7)
+    return every.select(key, F.coalesce("score", F.lit(1.0)).alias("score"), F.coalesce("confidence", alone).alias("confidence"), F.coalesce("passed", F.lit(True)).alias("passed"))
 
 
 def quality_dimension(rules: DataFrame, key: str) -> DataFrame:
@@ -50,12 +58,20 @@ def quality_dimension(rules: DataFrame, key: str) -> DataFrame:
 LIFTED, CONTEXT_PASS = 0.75, 0.70
 
 
-def contextual_dimension(checks: DataFrame, key: str) -> DataFrame:
-    """Mean match score; errors count 1, an accepted transaction lifts a mismatch; a team mismatch is critical."""
-    lifted = F.when(F.col("transaction"), F.greatest(F.col("match"), F.lit(LIFTED))).otherwise(F.col("match"))
+def contextual_dimension(checks: DataFrame, key: str, articles: DataFrame | None = None) -> DataFrame:
+    """Mean match score (1 for errors), passed at 0.7 by itself; a team that does not match is critical, whatever the score.
+
+    checks has kind, is_match, match, transaction and outcome; an accepted transaction turns a mismatch into a match of 0.75 at least.
+    ``articles`` lists articles that may have no checks; these score 1.
+    """
+    wrong = ~F.col("is_match") & (F.col("outcome") != "error")
+    lifted = F.when(wrong & F.col("transaction"), F.greatest(F.col("match"), F.lit(LIFTED))).otherwise(F.col("match"))
     each = F.when(F.col("outcome") == "error", 1.0).otherwise(lifted)
-    out = checks.groupBy(key).agg(F.round(F.avg(each), 6).alias("score"), F.some((F.col("kind") == "team") & (each < CONTEXT_PASS)).alias("critical"))
-    return out.withColumn("passed", (F.col("score") >= CONTEXT_PASS) & ~F.col("critical"))
+    left = wrong & ~F.col("transaction")
+    out = checks.groupBy(key).agg(F.round(F.avg(each), 6).alias("score"), F.count_if(left).alias("mismatches"), F.coalesce(F.some((F.col("kind") == "team") & left), F.lit(False)).alias("critical"))
+    if articles is not None:
+        out = articles.select(key).distinct().join(out, key, "left").select(key, F.coalesce("score", F.lit(1.0)).alias("score"), F.coalesce("mismatches", F.lit(0)).alias("mismatches"), F.coalesce("critical", F.lit(False)).alias("critical"))
+    return out.withColumn("passed", F.col("score") >= CONTEXT_PASS)
 
 
 def decision(dimensions: DataFrame, key: str) -> DataFrame:

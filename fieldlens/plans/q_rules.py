@@ -35,20 +35,27 @@ def claim_selection(t):
     return H.claim_buckets(c, "article", "seq").select("doc_id", "sentence", "bucket")
 
 
-_CHECKS = "checks AS (SELECT source, doc_id, CASE doc_id % 5 WHEN 0 THEN 'contradicted' WHEN 1 THEN 'error' ELSE 'verified' END AS outcome, (doc_id % 10)::DOUBLE / 10 AS confidence, (doc_id % 7)::DOUBLE / 6 AS match, doc_id % 3 = 0 AS transaction, CASE doc_id % 20 WHEN 7 THEN 'team' ELSE 'player' END AS kind FROM documents)"
+_CHECKS = "checks AS (SELECT source, doc_id, CASE doc_id % 5 WHEN 0 THEN 'contradicted' WHEN 1 THEN 'error' ELSE 'verified' END AS outcome, (doc_id % 10)::DOUBLE / 10 AS confidence, (doc_id % 7)::DOUBLE / 6 AS match, doc_id % 3 = 0 AS transaction, doc_id % 7 >= 3 OR doc_id % 11 = 0 AS is_match, CASE doc_id % 20 WHEN 7 THEN 'team' ELSE 'player' END AS kind, 'A' || (doc_id % 400) AS article FROM documents)"
 
 
 def _checks(t):
     k = F.col("doc_id")
     return t.documents.select(
         "source", "doc_id", F.when(k % 5 == 0, "contradicted").when(k % 5 == 1, "error").otherwise("verified").alias("outcome"), ((k % 10).cast("double") / 10).alias("confidence"), ((k % 7).cast("double") / 6).alias("match"),
-        (k % 3 == 0).alias("transaction"), F.when(k % 20 == 7, "team").otherwise("player").alias("kind"),
+        (k % 3 == 0).alias("transaction"), ((k % 7 >= 3) | (k % 11 == 0)).alias("is_match"), F.concat(F.lit("A"), (k % 400).cast("string")).alias("article"), F.when(k % 20 == 7, "team").otherwise("player").alias("kind"),
     )
 
 
-@query("factual_dimension", f"WITH {_CHECKS} SELECT source, round(coalesce(1 - count(*) FILTER (outcome = 'contradicted')::DOUBLE / nullif(count(*) FILTER (outcome <> 'error'), 0), 1.0), 6) AS score, round(avg(CASE WHEN outcome = 'error' THEN 0 ELSE confidence END), 6) AS confidence FROM checks GROUP BY source")
+_ARTICLES = "articles AS (SELECT 'A' || x AS article, x % 2 AS claims FROM range(450) r(x))"
+
+
+def _articles(t):
+    return t.spark.range(450).select(F.concat(F.lit("A"), F.col("id").cast("string")).alias("article"), (F.col("id") % 2).alias("claims"))
+
+
+@query("factual_dimension", f"WITH {_CHECKS}, {_ARTICLES}, c AS (SELECT article, count(*) AS n, count(*) FILTER (outcome = 'contradicted') AS bad, avg(CASE WHEN outcome = 'error' THEN 0 ELSE confidence END) AS conf FROM checks GROUP BY article) SELECT article, coalesce(round(1 - bad::DOUBLE / n, 6), 1) AS score, CASE WHEN n IS NULL THEN CASE claims WHEN 0 THEN 1.0 ELSE 0.7 END::DOUBLE ELSE round(conf, 6) END AS confidence, coalesce(bad = 0, true) AS passed FROM articles LEFT JOIN c USING (article)")
 def factual_dimension(t):
-    return H.factual_dimension(_checks(t), "source")
+    return H.factual_dimension(_checks(t), "article", _articles(t))
 
 
 @query("quality_dimension", "SELECT source, round(sum(CASE WHEN doc_id % 5 <> 0 THEN (doc_id % 4)::DOUBLE + 1 ELSE 0 END) / sum((doc_id % 4)::DOUBLE + 1), 6) AS score FROM documents GROUP BY source")
@@ -57,9 +64,11 @@ def quality_dimension(t):
     return H.quality_dimension(rules, "source")
 
 
-@query("contextual_dimension", f"WITH {_CHECKS}, e AS (SELECT *, CASE WHEN outcome = 'error' THEN 1.0 WHEN transaction THEN greatest(match, 0.75) ELSE match END AS v FROM checks), d AS (SELECT source, round(avg(v), 6) AS score, bool_or(kind = 'team' AND v < 0.7) AS critical FROM e GROUP BY source) SELECT *, score >= 0.7 AND NOT critical AS passed FROM d")
+@query("contextual_dimension", f"""WITH {_CHECKS}, {_ARTICLES}, e AS (SELECT article, CASE WHEN outcome = 'error' THEN 1.0 WHEN NOT is_match AND transaction THEN greatest(match, 0.75) ELSE match END AS v, outcome <> 'error' AND NOT is_match AND NOT transaction AS wrong, kind FROM checks),
+  d AS (SELECT article, round(avg(v), 6) AS score, count(*) FILTER (wrong) AS mismatches, bool_or(wrong AND kind = 'team') AS critical FROM e GROUP BY article)
+  SELECT article, coalesce(score, 1) AS score, coalesce(mismatches, 0) AS mismatches, coalesce(critical, false) AS critical, coalesce(score, 1) >= 0.7 AS passed FROM articles LEFT JOIN d USING (article)""")
 def contextual_dimension(t):
-    return H.contextual_dimension(_checks(t), "source")
+    return H.contextual_dimension(_checks(t), "article", _articles(t))
 
 
 @query("decision", """WITH d AS (SELECT doc_id AS article, unnest(['factual', 'quality']) AS dimension, unnest([doc_id % 9 <> 4, true]) AS enabled, unnest([(doc_id % 10)::DOUBLE / 10, 0.9]) AS score, unnest([doc_id % 7 <> 0, true]) AS passed,
