@@ -16,13 +16,24 @@ from fieldlens.functions.vectors import cosine, unit
 THRESHOLD = 0.88
 MERGE_THRESHOLD, MERGE_PAIRS = 0.92, 200
 BLOCK_ROWS = 2_000
-DIRECT_GROUPS = 5_000
 
 
-def centroids(df: DataFrame, key: str, vector: str, normalised: bool = True) -> DataFrame:
-    """Mean vector of each key, scaled to length 1 unless pooled. Vectors of another length than the key's first are skipped."""
+def of_one_length(df: DataFrame, vector: str) -> DataFrame:
+    """Rows whose vector has the most frequent length (of equally frequent ones the smaller); null vectors fall away."""
     sized = df.where(F.col(vector).isNotNull())
-    at = sized.select(key, F.posexplode(vector).alias("pos", "x"))
+    common = sized.groupBy(F.size(vector).alias("n")).count().orderBy(F.desc("count"), "n").first()
+    return sized.where(F.size(vector) == (common["n"] if common else 0))
+
+
+def centroids(df: DataFrame, key: str, vector: str, normalised: bool = True, order: str | None = None) -> DataFrame:
+    """Mean vector of each key, scaled to length 1 unless pooled.
+
+    Vectors of another length than the key's first by ``order`` (the shortest one without it) are skipped, and so are null ones.
+    """
+    size = F.size(vector)
+    sized = df.where(F.col(vector).isNotNull()).withColumn("__size", size)
+    first = sized.groupBy(key).agg((F.min("__size") if order is None else F.min(F.struct(order, "__size"))["__size"]).alias("__first"))
+    at = sized.join(first, key).where("__size = __first").select(key, F.posexplode(vector).alias("pos", "x"))
     mean = at.groupBy(key, "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
     out = mean.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("centroid"))
     return out.withColumn("centroid", unit(F.col("centroid"))) if normalised else out
@@ -45,8 +56,8 @@ def _similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def similar_pairs(df: DataFrame, id_col: str, vector: str, threshold: float, blocks: int | None = None) -> DataFrame:
-    """Pairs a < b of similarity at or above a threshold."""
-    rows = df.select(F.col(id_col).alias("id"), F.col(vector).alias("v")).where("v is not null")
+    """Pairs a < b of similarity at or above a threshold; vectors of an unusual length have no similarity to others."""
+    rows = of_one_length(df.select(F.col(id_col).alias("id"), F.col(vector).alias("v")), "v")
     n = blocks or max(1, -(-rows.count() // BLOCK_ROWS))
 
     def cell(frame: pd.DataFrame) -> pd.DataFrame:
@@ -65,27 +76,28 @@ def similar_pairs(df: DataFrame, id_col: str, vector: str, threshold: float, blo
     return _grid(rows, n, "id").groupBy("cell").applyInPandas(cell, "a long, b long, sim double")
 
 
-def nearest_group(df: DataFrame, groups: DataFrame, threshold: float, id_col: str = "vec_id", vector: str = "embedding", direct: int = DIRECT_GROUPS) -> DataFrame:
+def nearest_group(df: DataFrame, groups: DataFrame, threshold: float, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The most similar of some groups (group_id, centroid) for each row, the last of equals; none under the threshold.
 
-    Up to ``direct`` groups go to every task; more are cut into blocks that meet blocks of rows.
+    Rows and groups are cut into blocks, and each block of rows meets each block of groups in one matrix product. Rows whose vector
+    has another length than the centroids get none.
     """
-    groups = groups.select("group_id", "centroid")
+    groups = of_one_length(groups.select("group_id", "centroid"), "centroid")
     n = groups.count()
-    if n <= direct:
-        met = df.select(id_col, vector).crossJoin(F.broadcast(groups))
-        best = met.withColumn("sim", F.round(cosine(F.col(vector), F.col("centroid")), 9)).groupBy(id_col).agg(F.max(F.struct("sim", "group_id")).alias("best"))
-    else:
-        best = _nearest_in_blocks(df.select(F.col(id_col).alias("id"), F.col(vector).alias("v")), groups, n).groupBy("id").agg(F.max(F.struct("sim", "group_id")).alias("best")).withColumnRenamed("id", id_col)
-    return best.select(id_col, F.when(F.col("best.sim") >= threshold, F.col("best.group_id")).alias("group_id"), F.col("best.sim").alias("sim"))
+    size = groups.select(F.size("centroid").alias("n")).first()
+    rows = df.select(F.col(id_col).alias("id"), F.col(vector).alias("v"))
+    alike = rows.where(F.size("v") == (size["n"] if size else -1))
+    best = _nearest_in_blocks(alike, groups, max(n, 1)).groupBy("id").agg(F.max(F.struct("sim", "group_id")).alias("best"))
+    found = rows.select("id").join(best, "id", "left")
+    return found.select(F.col("id").alias(id_col), F.when(F.col("best.sim") >= threshold, F.col("best.group_id")).alias("group_id"), F.col("best.sim").alias("sim"))
 
 
 def _nearest_in_blocks(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
     across, down = -(-n_groups // BLOCK_ROWS), max(1, -(-rows.count() // BLOCK_ROWS))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    left = rows.withColumn("row", block("id", down)).withColumn("col", spread(across)).withColumn("centre", F.lit(False))
-    right = groups.select(F.col("group_id").alias("id"), F.col("centroid").cast(dict(rows.dtypes)["v"]).alias("v"), block("group_id", across).alias("col")).withColumn("row", spread(down)).withColumn("centre", F.lit(True))
+    left = rows.withColumn("v", F.col("v").cast("array<double>")).withColumn("row", block("id", down)).withColumn("col", spread(across)).withColumn("centre", F.lit(False))
+    right = groups.select(F.col("group_id").alias("id"), F.col("centroid").cast("array<double>").alias("v"), block("group_id", across).alias("col")).withColumn("row", spread(down)).withColumn("centre", F.lit(True))
 
     def cell(frame: pd.DataFrame) -> pd.DataFrame:
         own, centres = frame[~frame["centre"]], frame[frame["centre"]].sort_values("id")
@@ -101,9 +113,9 @@ def _nearest_in_blocks(rows: DataFrame, groups: DataFrame, n_groups: int) -> Dat
 def cohesion(df: DataFrame, key: str, id_col: str, vector: str) -> DataFrame:
     """E5: mean similarity of the pairs of each group; 1 for fewer than two members.
 
-    A group is cut into grid cells too, so a large one is spread over many tasks.
+    A group is cut into grid cells too, so a large one is spread over many tasks. Vectors of an unusual length take no part.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(id_col).alias("id"), F.col(vector).alias("v")).where("v is not null")
+    rows = of_one_length(df.select(F.col(key).alias("key"), F.col(id_col).alias("id"), F.col(vector).alias("v")), "v")
     sizes = rows.groupBy("key").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
     dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("id"), "parts").cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least("block", j).alias("lo"), F.greatest("block", j).alias("hi")))

@@ -37,6 +37,16 @@ def test_centroids(frame):
     assert E.centroids(df, "g", "v", normalised=False).first()["centroid"] == [0.5, 0.5]
 
 
+def test_ragged_vectors(frame):
+    """Vectors of another length than a key's first are skipped, and hinder no pair, mean or search."""
+    df = frame([(0, 1, [1.0, 0.0]), (0, 2, [0.0, 1.0, 9.0]), (0, 3, None), (1, 4, [0.0, 2.0]), (1, 5, [0.0, 4.0])], "g int, id long, v array<double>")
+    assert {r["g"]: r["centroid"] for r in E.centroids(df, "g", "v", normalised=False, order="id").collect()} == {0: [1.0, 0.0], 1: [0.0, 3.0]}
+    assert [(r["a"], r["b"]) for r in E.similar_pairs(df, "id", "v", 0.9).collect()] == [(4, 5)]
+    assert {r["g"]: r["cohesion"] for r in E.cohesion(df, "g", "id", "v").collect()} == {0: 1.0, 1: 1.0}
+    groups = frame([(7, [0.0, 1.0])], "group_id long, centroid array<double>")
+    assert {r["id"]: r["group_id"] for r in E.nearest_group(df, groups, 0.5, "id", "v").collect()} == {1: None, 2: None, 3: None, 4: 7, 5: 7}
+
+
 @pytest.mark.parametrize("blocks", [1, 2, 5])
 def test_pairs_in_blocks(frame, blocks):
     x = np.random.default_rng(1).normal(size=(40, 4))
@@ -64,5 +74,5 @@ def test_nearest_group_in_blocks(frame, monkeypatch):
     groups = frame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(9, 3)))], "group_id long, centroid array<float>")
     want = E.nearest_group(rows, groups, 0.5).orderBy("vec_id").collect()
     monkeypatch.setattr(E, "BLOCK_ROWS", 4)
-    got = E.nearest_group(rows, groups, 0.5, direct=0).orderBy("vec_id").collect()
+    got = E.nearest_group(rows, groups, 0.5).orderBy("vec_id").collect()
     assert [(r["vec_id"], r["group_id"], round(r["sim"], 6)) for r in got] == [(r["vec_id"], r["group_id"], round(r["sim"], 6)) for r in want]
