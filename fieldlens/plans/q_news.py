@@ -215,6 +215,41 @@ def batch_results(t):
     return K.batch_results(lines, t.documents.where("doc_id % 9 = 0").select(F.col("doc_id").alias("id"))).select("kind", "id", "body")
 
 
+_FINE = "fine AS (SELECT fact_id FROM facts WHERE fact_id % 13 NOT IN (5, 6, 7)), new AS (SELECT * FROM fine WHERE fact_id % 17 <> 3 AND fact_id % 19 <> 0)"
+
+
+def _topic_batch(t):
+    """Result lines: broken ones, errors and refusals, unknown facts, facts held already, equal topics and unlisted ones."""
+    f = F.col("fact_id")
+    topic = lambda name, conf, rank: F.struct(F.lit(name).alias("topic"), F.lit(conf).alias("confidence"), F.lit(rank).alias("rank"))
+    two = F.array(topic("Injuries & Player Health", 0.5, 2), topic("injuries and player health", 0.9, 1))
+    topics = F.when(f % 3 == 0, two).when(f % 3 == 1, F.array(topic("Nonsense", 0.8, 1))).otherwise(F.array(topic("Statistics & Rankings", 0.7, 1)))
+    text = F.to_json(F.struct(F.array(F.struct(F.when(f % 17 == 3, f + 1_000_000_000).otherwise(f).alias("news_fact_id"), topics.alias("topics"))).alias("facts")))
+    body = F.struct(F.lit("m").alias("model"), text.alias("output_text"))
+    status = F.when(f % 13 == 6, 500).otherwise(200)
+    line = F.to_json(F.struct(F.concat(F.lit("t_"), f.cast("string")).alias("custom_id"), F.when(f % 13 == 5, "refused").alias("error"), F.struct(status.alias("status_code"), body.alias("body")).alias("response")))
+    return K.topic_batch(t.facts.select(F.when(f % 13 == 7, '{"custom_id": ').otherwise(line).alias("value")), t.facts, t.facts.where("fact_id % 19 = 0"))
+
+
+@query("topic_batch", f"WITH {_FINE} SELECT fact_id, 'm' AS llm_model, CASE fact_id % 3 WHEN 0 THEN 'injuries & player health' WHEN 1 THEN 'NO_TOPICS_FOUND' ELSE 'statistics & rankings' END AS topic, CASE fact_id % 3 WHEN 0 THEN 0.9 WHEN 1 THEN 1 ELSE 0.7 END::DOUBLE AS confidence, 1::INT AS rank FROM new", "facts")
+def topic_batch(t):
+    return _topic_batch(t)[0]
+
+
+@query("topic_batch_report", f"WITH {_FINE} SELECT (SELECT count(*) FROM fine) AS facts_in_output, (SELECT count(*) FROM fine WHERE fact_id % 17 = 3) AS skipped_missing, (SELECT count(*) FROM fine WHERE fact_id % 17 <> 3 AND fact_id % 19 = 0) AS skipped_existing, (SELECT count(*) FROM facts WHERE fact_id % 13 IN (5, 6, 7)) AS errors, (SELECT count(*) FROM new WHERE fact_id % 3 = 1) AS without_data", "facts")
+def topic_batch_report(t):
+    return _topic_batch(t)[1]
+
+
+@query("batch_replaces", "SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 'new' ELSE 'old' END AS body FROM documents UNION ALL SELECT -doc_id, 'new' FROM documents WHERE doc_id % 8 = 4")
+def batch_replaces(t):
+    """Old summaries make room for those that a batch brings."""
+    k = F.col("doc_id")
+    old = t.documents.select(k.alias("id"), F.lit("old").alias("body"))
+    rows = t.documents.where(k % 4 == 0).select(k.alias("id"), F.lit("new").alias("body")).union(t.documents.where(k % 8 == 4).select(-k, F.lit("new")))
+    return K.replaced(old, rows, "id")
+
+
 @query("resolved_partition", "SELECT CASE WHEN doc_id % 3 = 0 THEN 'resolved' ELSE 'open' END AS part, count(*) AS n FROM documents GROUP BY ALL")
 def resolved_partition(t):
     mentions = t.documents.select(F.col("doc_id").alias("id"))
