@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -231,7 +233,7 @@ STATISTIC_WORDS = ["points", "yards", "touchdowns", "rebounds", "assists", "sack
 
 
 def holds_any(c: Column, words: list[str]) -> Column:
-    return c.rlike("|".join(w.replace(".", r"\.") for w in words)) if words else F.lit(False)
+    return c.rlike("|".join(map(re.escape, words))) if words else F.lit(False)
 
 
 def sentence_kind(c: Column, team_words: list[str]) -> Column:
@@ -284,7 +286,7 @@ THEME_STOP_WORDS = ["the", "and", "for", "with", "that", "from", "this", "game",
 
 def theme_words(c: Column) -> Column:
     """words of more than three letters, others' characters dropped."""
-    bare = F.transform(F.split(F.lower(c), r"\s+"), lambda w: F.regexp_replace(w, r"[^\p{L}]", ""))
+    bare = F.split(F.regexp_replace(F.lower(c), r"[^\p{L}\s]+", ""), r"\s+")
     return F.filter(bare, lambda w: (F.length(w) > 3) & ~w.isin(*THEME_STOP_WORDS))
 
 
@@ -293,8 +295,8 @@ COMMON_WORDS = ["the", "and", "for", "with", "from", "into", "game", "season", "
 
 
 def name_runs(c: Column) -> Column:
-    """runs of up to four capitalised words."""
-    runs = F.regexp_extract_all(c, F.lit(r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\b"), F.lit(1))
+    """runs of up to four capitalised words; letters of any script bound a word."""
+    runs = F.regexp_extract_all(c, F.lit(r"(?<![\p{L}\p{N}_])([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)(?![\p{L}\p{N}_])"), F.lit(1))
     return F.filter(runs, lambda r: ~F.lower(r).isin(*COMMON_WORDS) & (F.size(F.split(r, r"\s+")) <= 4))
 
 

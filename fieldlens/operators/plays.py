@@ -26,8 +26,8 @@ def _ids(role: str) -> Column:
 def roles(plays: DataFrame) -> DataFrame:
     """D3: one row for each (play, role, player); a player with two roles in a play has two rows."""
     of = lambda role: F.transform(_ids(role), lambda i: F.struct(F.lit(role).alias("role"), i.alias("player")))
-    every = F.concat(*map(of, [*SCALAR_ROLES, *LIST_ROLES]))
-    return plays.withColumn("__role", F.explode(every)).select("*", "__role.role", "__role.player").drop("__role").where("player is not null and player <> ''")
+    every = F.filter(F.concat(*map(of, [*SCALAR_ROLES, *LIST_ROLES])), lambda r: r["player"] != "")  # nulls fall away too
+    return plays.withColumn("__role", F.explode(every)).select("*", "__role.role", "__role.player").drop("__role")
 
 
 def players(plays: DataFrame) -> DataFrame:

@@ -248,7 +248,10 @@ def package_id(schema_version: str, subject: Mapping, scope: Mapping, bundles: l
 
 
 def package(request: Mapping[str, Any], providers: Mapping[str, Provider], strict: bool = True) -> dict[str, Any]:
-    """An envelope with the rows of each inlined bundle, or a pointer; without ``strict``, bundles that fail are noted."""
+    """An envelope with the rows of each inlined bundle, or a pointer; without ``strict``, bundles that fail are noted.
+
+    A request is small by nature: all rows that its filters let through are inlined, and a bundle that states a ``limit`` gets an error if there are more.
+    """
     payload, links, errors = {}, {}, []
     for bundle in request.get("bundles", []):
         name = bundle["name"]
@@ -257,7 +260,11 @@ def package(request: Mapping[str, Any], providers: Mapping[str, Provider], stric
                 raise KeyError(f"unknown provider {bundle['provider']}")
             if bundle.get("inline", True):
                 rows = providers[bundle["provider"]].get(**bundle.get("filters", {}))
-                payload[name] = [r.asDict(True) for r in rows.limit(bundle.get("limit", 1000)).collect()]
+                most = bundle.get("limit")
+                found = (rows if most is None else rows.limit(most + 1)).collect()
+                if most is not None and len(found) > most:
+                    raise ValueError(f"{name} has more than {most} rows")
+                payload[name] = [r.asDict(True) for r in found]
             else:
                 links[name] = {"provider": bundle["provider"], "filters": dict(bundle.get("filters", {}))}
         except Exception as e:

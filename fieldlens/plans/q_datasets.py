@@ -240,22 +240,31 @@ def page_meta(t):
     return t.pages.select("page_id", F.coalesce(meta["title"], F.lit("")).alias("title"), F.coalesce(meta["language"], F.lit("")).alias("language"))
 
 
-@query("nested_injuries", "SELECT 'T' || doc_id AS team_name, 'P' || doc_id AS player_name, 'Knee' AS injury FROM documents WHERE doc_id % 10 = 0")
+@query("nested_injuries", """SELECT 'T' || doc_id AS team_name, 'P' || doc_id || '_' || k AS player_name, CASE WHEN k % 2 = 0 THEN 'Knee' ELSE 'Ankle' END AS injury
+  FROM (SELECT doc_id, unnest(range(doc_id % 3)) AS k FROM documents)""")
 def nested_injuries(t):
-    text = F.format_string('{"injuries": [{"team": {"displayName": "T%d"}, "injuries": [{"athlete": {"displayName": "P%d"}, "details": {}, "type": {"description": "Knee"}, "status": "Out"}]}]}', "doc_id", "doc_id")
-    return A.nested_injuries(t.documents.where("doc_id % 10 = 0").select(text.alias("payload"))).select("team_name", "player_name", "injury")
+    """Teams with no, one and two injured players."""
+    one = lambda k: F.format_string('{"athlete": {"displayName": "P%d_' + str(k) + '"}, "details": {}, "type": {"description": "' + ("Knee", "Ankle")[k] + '"}, "status": "Out"}', "doc_id")
+    hurt = F.when(F.col("doc_id") % 3 == 0, F.lit("")).when(F.col("doc_id") % 3 == 1, one(0)).otherwise(F.concat_ws(", ", one(0), one(1)))
+    text = F.concat(F.format_string('{"injuries": [{"team": {"displayName": "T%d"}, "injuries": [', "doc_id"), hurt, F.lit("]}]}"))
+    return A.nested_injuries(t.documents.select(text.alias("payload"))).select("team_name", "player_name", "injury")
 
 
-@query("json_nodes", "SELECT doc_id AS id, '$.a.b[0]' AS path FROM documents WHERE doc_id % 10 = 1")
+@query("json_nodes", "SELECT doc_id AS id, '$' || repeat('.a', (doc_id % 4)::INT) || '.b[' || (doc_id % 3) || ']' AS path FROM documents")
 def json_nodes(t):
-    text = F.lit('{"a": {"b": [{"players": [1]}, 2]}}')
-    return A.nodes_with(t.documents.where("doc_id % 10 = 1").select("doc_id", text.alias("j")), "doc_id", "j", ["players"]).select("id", "path")
+    """Nodes at depths and places that vary."""
+    deep, before = (F.col("doc_id") % 4).cast("int"), (F.col("doc_id") % 3).cast("int")
+    text = F.concat(F.repeat(F.lit('{"a": '), deep), F.lit('{"b": ['), F.repeat(F.lit("2, "), before), F.lit('{"players": [1]}]}'), F.repeat(F.lit("}"), deep))
+    return A.nodes_with(t.documents.select("doc_id", text.alias("j")), "doc_id", "j", ["players"]).select("id", "path")
 
 
-@query("html_tables", "SELECT doc_id AS id, 'Chiefs' AS heading, 'A ' || doc_id AS player, 'Knee' AS injury FROM documents WHERE doc_id % 10 = 2")
+@query("html_tables", "SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'Chiefs' ELSE 'Bears' END AS heading, 'A ' || doc_id || '_' || k AS player, 'Knee' AS injury FROM (SELECT doc_id, unnest(range(1 + doc_id % 3)) AS k FROM documents)")
 def html_tables(t):
-    html = F.format_string("<h3>Chiefs</h3><table><tr><th>Player Name</th><th>Pos</th><th>Injuries</th></tr><tr><td><a>A %d</a></td><td>QB</td><td>Knee</td></tr></table>", "doc_id")
-    return A.html_tables(t.documents.where("doc_id % 10 = 2").select("doc_id", html.alias("h")), "doc_id", "h", {"player": ["player"], "injury": ["injur"]})
+    """Tables of one to three rows under different headings."""
+    row = lambda k: F.when(F.col("doc_id") % 3 >= k, F.format_string(f"<tr><td><a>A %d_{k}</a></td><td>QB</td><td>Knee</td></tr>", "doc_id")).otherwise("")
+    heading = F.when(F.col("doc_id") % 2 == 0, "<h3>Chiefs</h3>").otherwise("<h3>Bears</h3>")
+    html = F.concat(heading, F.lit("<table><tr><th>Player Name</th><th>Pos</th><th>Injuries</th></tr>"), row(0), row(1), row(2), F.lit("</table>"))
+    return A.html_tables(t.documents.select("doc_id", html.alias("h")), "doc_id", "h", {"player": ["player"], "injury": ["injur"]})
 
 
 @query("feed_entries", "SELECT source, 'https://x.com/' || source AS url, TIMESTAMP '2024-01-02 03:04:05' AS published FROM (SELECT DISTINCT source FROM documents)")
@@ -271,22 +280,49 @@ def sitemap_entries(t):
     return A.sitemap_entries(maps).select("source", "url")
 
 
-@query("api_articles", "SELECT 'https://x.com/' || doc_id AS url, 'Draft' AS tag FROM documents WHERE doc_id % 10 = 3")
+_SOURCES = "sources AS (SELECT n_nationkey AS k, 'S' || n_nationkey AS source, CAST(24 - n_nationkey AS INT) AS source_order, CASE WHEN n_nationkey % 5 = 4 THEN 'timeout' WHEN n_nationkey % 7 = 3 THEN 'missing result' END AS error FROM nation)"
+
+
+def _extracted(t):
+    """Feeds and sitemaps of one to three entries; some sources fail, some were never read."""
+    k = F.col("n_nationkey")
+    rss = F.transform(F.sequence(F.lit(0), k % 3), lambda i: F.concat(F.lit("<item><title>T</title><link>https://x.com/"), k, F.lit("/"), i, F.lit("</link></item>")))
+    maps = F.transform(F.sequence(F.lit(0), k % 3), lambda i: F.concat(F.lit("<url><loc>https://x.com/"), k, F.lit("/"), i, F.lit("</loc></url>")))
+    xml = F.when(k % 2 == 0, F.concat(F.lit("<rss>"), F.array_join(rss, ""), F.lit("</rss>"))).otherwise(F.concat(F.lit("<urlset>"), F.array_join(maps, ""), F.lit("</urlset>")))
+    sources = t.nation.select(F.concat(F.lit("S"), k).alias("source"), (24 - k).cast("int").alias("source_order"), F.when(k % 2 == 0, "rss").otherwise("sitemap").alias("kind"))
+    return A.extracted(sources, t.nation.where("n_nationkey % 7 <> 3 or n_nationkey % 5 = 4").select(F.concat(F.lit("S"), k).alias("source"), F.when(k % 5 != 4, xml).alias("xml"), F.when(k % 5 == 4, "timeout").alias("error")))
+
+
+@query("source_extraction", f"WITH {_SOURCES} SELECT source, source_order, CAST(i AS INT) AS pos, 'https://x.com/' || k || '/' || i AS url FROM (SELECT *, unnest(range(1 + k % 3)) AS i FROM sources WHERE error IS NULL)")
+def source_extraction(t):
+    return _extracted(t)[0].select("source", "seq.source_order", "seq.pos", "url")
+
+
+@query("source_outcomes", f"WITH {_SOURCES} SELECT source, source_order, error IS NULL AS success, error, CASE WHEN error IS NULL THEN 1 + k % 3 ELSE 0 END::BIGINT AS found FROM sources")
+def source_outcomes(t):
+    return _extracted(t)[1]
+
+
+@query("api_articles", "SELECT 'https://x.com/' || doc_id AS url, CASE WHEN doc_id % 2 = 0 THEN 'Draft' ELSE 'Trade' END AS tag FROM documents WHERE doc_id % 3 <> 2")
 def api_articles(t):
-    text = F.format_string('{"articles": [{"type": "Story", "headline": "h", "links": {"web": {"href": "https://x.com/%d"}}, "categories": [{"description": "Draft"}, {}]}, {"type": "Clip", "links": {"web": {"href": "https://x.com/"}}}]}', "doc_id")
-    return A.api_articles(t.documents.where("doc_id % 10 = 3").select(text.alias("payload"))).select("url", F.get("tags", F.lit(0)).alias("tag"))
+    """Replies whose first item is a story or, in one of three, a clip that is not read."""
+    kind, tag = F.when(F.col("doc_id") % 3 == 2, "Clip").otherwise("Story"), F.when(F.col("doc_id") % 2 == 0, "Draft").otherwise("Trade")
+    text = F.format_string('{"articles": [{"type": "%s", "headline": "h", "links": {"web": {"href": "https://x.com/%d"}}, "categories": [{"description": "%s"}, {}]}, {"type": "Clip", "links": {"web": {"href": "https://x.com/"}}}]}', kind, "doc_id", tag)
+    return A.api_articles(t.documents.select(text.alias("payload"))).select("url", F.get("tags", F.lit(0)).alias("tag"))
 
 
-@query("fact_parse", "SELECT doc_id, 'one|two' AS facts FROM documents WHERE doc_id % 10 = 4")
+@query("fact_parse", "SELECT doc_id, 'one ' || doc_id || '|two' AS facts FROM documents")
 def fact_parse(t):
-    k = F.col("doc_id")
-    text = F.when(k % 20 == 4, '{"facts": ["one", "two"]}').otherwise('```json\n{"facts": ["one", "two", "thr')
-    return t.documents.where("doc_id % 10 = 4").select("doc_id", F.array_join(A.parsed_facts(text), "|").alias("facts"))
+    """Whole replies, fenced ones, and ones that break off."""
+    k, one = F.col("doc_id") % 3, F.format_string('{"facts": ["one %d", "two"', "doc_id")
+    text = F.when(k == 0, F.concat(one, F.lit("]}"))).when(k == 1, F.concat(F.lit("```json\n"), one, F.lit("]}\n```"))).otherwise(F.concat(F.lit("```json\n"), one, F.lit(', "thr')))
+    return t.documents.select("doc_id", F.array_join(A.parsed_facts(text), "|").alias("facts"))
 
 
-@query("document_flatten", "SELECT doc_id AS id, unnest(['head', 'body[1].x', 'body']) AS path, unnest(['H', 'X', 'B']) AS text FROM documents WHERE doc_id % 10 = 5")
+@query("document_flatten", "SELECT doc_id AS id, unnest(['head', 'body[1].x', 'body']) AS path, unnest(['H' || doc_id, 'X', 'B']) AS text FROM documents")
 def document_flatten(t):
-    return A.flattened(t.documents.where("doc_id % 10 = 5").select("doc_id", F.lit('{"head": "H", "body": ["B", {"x": "X"}], "n": null}').alias("j")), "doc_id", "j").select("id", "path", "text")
+    text = F.format_string('{"head": "H%d", "body": ["B", {"x": "X"}], "n": null}', "doc_id")
+    return A.flattened(t.documents.select("doc_id", text.alias("j")), "doc_id", "j").select("id", "path", "text")
 
 
 @query("event_tumbling", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY ALL")
@@ -345,11 +381,11 @@ def snap_lines(t):
     return snap_line(raw).select("s_suppkey", "snaps_played", "snap_share")
 
 
-@query("same_game", "SELECT game_id AS asked, count(*) AS n, min(CASE WHEN game_id % 2 = 0 THEN 1 ELSE 3 END)::INT AS how FROM few_games WHERE season = 1995 GROUP BY game_id", "few_games")
+@query("same_game", "SELECT game_id AS asked, count(*) AS n, min(CASE WHEN game_id % 2 = 0 THEN 1 ELSE 3 END)::INT AS how FROM games GROUP BY game_id", "games")
 def same_game(t):
     from fieldlens.operators.plays import same_game as match
 
-    g = t.few_games.where("season = 1995").select("game_id", F.concat(F.lit("x"), _s("game_id")).alias("pfr_game_id"), "season", F.col("game_id").alias("week"), F.col("home").alias("team"), F.col("away").alias("opponent"))
+    g = t.games.select("game_id", F.concat(F.lit("x"), _s("game_id")).alias("pfr_game_id"), "season", F.col("game_id").alias("week"), F.col("home").alias("team"), F.col("away").alias("opponent"))
     other = g.select(F.when(F.col("game_id") % 2 == 0, F.col("game_id")).otherwise(-F.col("game_id")).alias("game_id"), F.lit("none").alias("pfr_game_id"), "season", "week", F.col("opponent").alias("team"), F.col("team").alias("opponent"))
     return match(g, other).groupBy("asked").agg(F.count("*").alias("n"), F.min("how").alias("how"))
 

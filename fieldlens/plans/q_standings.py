@@ -22,8 +22,8 @@ def _sql(body: str, games: str = "games") -> str:
     return "WITH " + _SIDES.format(g=games) + ("" if body.startswith(",") else " ") + body
 
 
-def _sides(t, few=False):
-    return S.team_games(t.few_games if few else t.games, t.teams)
+def _sides(t):
+    return S.team_games(t.games, t.teams)
 
 
 @query("season_table", _sql("SELECT season, team, wins, losses, ties, points_for, points_against, point_diff, round_even(win_pct, 6) AS win_pct, row_number() OVER (PARTITION BY season ORDER BY p.win_pct DESC, point_diff DESC, points_for DESC, team)::INT AS league_rank FROM p"), "games")
@@ -62,9 +62,9 @@ def pair_matrix(t):
     return S.pairs(_sides(t))
 
 
-@query("strength_of_schedule", _sql("SELECT a.season, a.team, round(avg(b.win_pct), 8) AS sos, coalesce(round(avg(b.win_pct) FILTER (a.w > 0), 8), 0) AS sov FROM pair a JOIN p b ON a.season = b.season AND a.opp = b.team GROUP BY ALL", "few_games"), "few_games")
+@query("strength_of_schedule", _sql("SELECT a.season, a.team, round(avg(b.win_pct), 8) AS sos, coalesce(round(avg(b.win_pct) FILTER (a.w > 0), 8), 0) AS sov FROM pair a JOIN p b ON a.season = b.season AND a.opp = b.team GROUP BY ALL", "games"), "games")
 def strength_of_schedule(t):
-    sides = _sides(t, True)
+    sides = _sides(t)
     return S.strengths(S.pairs(sides), S.totals(sides)).select("season", "team", F.round("sos", 8).alias("sos"), F.round("sov", 8).alias("sov"))
 
 
@@ -80,9 +80,9 @@ def streak(t):
     return S.streaks(_sides(t))
 
 
-@query("active_roster", "SELECT * FROM teams WHERE team_abbr IN (SELECT home FROM few_games UNION SELECT away FROM few_games)", "few_games teams")
+@query("active_roster", "SELECT * FROM teams WHERE team_abbr IN (SELECT home FROM games UNION SELECT away FROM games)", "games teams")
 def active_roster(t):
-    return S.on_schedule(t.teams, t.few_games)
+    return S.on_schedule(t.teams, t.games)
 
 
 @query("through_week_clip", "SELECT season, count(*) AS n FROM games WHERE coalesce(wk, 0) <= 6 GROUP BY season", "games")
@@ -112,7 +112,7 @@ def common_opponents(t):
 
 @query("standings")
 def standings(t):
-    return S.standings(t.few_games, t.teams)
+    return S.standings(t.games, t.teams)
 
 
 def _cascade_sql() -> str:
@@ -144,20 +144,20 @@ def _cascade_sql() -> str:
     return _sql(
         f""", sp AS (SELECT season, team, {split} FROM pair JOIN teams m ON m.team_abbr = team JOIN teams x ON x.team_abbr = opp GROUP BY season, team),
   st AS (SELECT a.season, a.team, round(avg(b.win_pct), 12) AS sos, coalesce(round(avg(b.win_pct) FILTER (a.w > 0), 12), 0) AS sov FROM pair a JOIN p b ON a.season = b.season AND a.opp = b.team GROUP BY ALL),
-  roster AS (SELECT season, team_abbr AS team, division, conference FROM (SELECT DISTINCT season FROM few_games) s CROSS JOIN teams WHERE team_abbr IN (SELECT home FROM few_games UNION SELECT away FROM few_games)),
+  roster AS (SELECT season, team_abbr AS team, division, conference FROM (SELECT DISTINCT season FROM games) s CROSS JOIN teams WHERE team_abbr IN (SELECT home FROM games UNION SELECT away FROM games)),
   base AS (SELECT season, team, division, conference, {zero} FROM roster LEFT JOIN p USING (season, team) LEFT JOIN sp USING (season, team) LEFT JOIN st USING (season, team)),
   ranked AS (SELECT *, {pts('season, conference')} AS conf_pts, {pts('season')} AS all_pts FROM base),
   g0 AS (SELECT *, division || lpad(CAST(dense_rank() OVER (PARTITION BY season, division ORDER BY win_pct DESC) AS VARCHAR), 2, '0') AS grp FROM ranked), {', '.join(parts)}
   SELECT season, division, team AS team_abbr, CAST(row_number() OVER (PARTITION BY season, division ORDER BY grp, team) AS INT) AS division_rank FROM g{len(S.DIVISION_STEPS)}""",
-        "(SELECT * FROM few_games WHERE coalesce(wk, 0) <= 12)",
+        "(SELECT * FROM games WHERE coalesce(wk, 0) <= 12)",
     )
 
 
-@query("division_rank", _cascade_sql(), "few_games teams")
+@query("division_rank", _cascade_sql(), "games teams")
 def division_rank(t):
-    return S.standings(t.few_games, t.teams, through_week=12).select("season", "division", "team_abbr", "division_rank")
+    return S.standings(t.games, t.teams, through_week=12).select("season", "division", "team_abbr", "division_rank")
 
 
 @query("conference_seeding")
 def conference_seeding(t):
-    return S.standings(t.few_games, t.teams).select("season", "conference", "team_abbr", "conference_rank", "conference_seed", "tied")
+    return S.standings(t.games, t.teams).select("season", "conference", "team_abbr", "conference_rank", "conference_seed", "tied")

@@ -15,12 +15,12 @@ _TAIL = {
     5: " Jane Roe covers the beat", 6: ' He said "we will win" on Sunday.', 7: " The Chiefs lost the playoff game by 7 points in 2024.",
 }
 _CASE = "CASE doc_id % 8 " + " ".join(f"WHEN {k} THEN '" + v.replace("'", "''") + "'" for k, v in _TAIL.items()) + " END"
-_FACTS = f"texts AS (SELECT doc_id, substr(translate(text, chr(10), ' '), 1, CAST(doc_id % 40 AS INT)) || {_CASE} AS fact FROM documents)"
+_FACTS = f"texts AS (SELECT doc_id, translate(text, chr(10), ' ') || {_CASE} AS fact FROM documents)"
 
 
 def facts(t):
-    cut = F.substring(F.translate("text", "\n", " "), F.lit(1), (F.col("doc_id") % 40).cast("int"))
-    return t.documents.select("doc_id", F.concat(cut, X.lookup((F.col("doc_id") % 8).cast("int"), _TAIL)).alias("fact"))
+    """Each whole text and one of eight sentences."""
+    return t.documents.select("doc_id", F.concat(F.translate("text", "\n", " "), X.lookup((F.col("doc_id") % 8).cast("int"), _TAIL)).alias("fact"))
 
 
 def _re2(patterns: list[str]) -> str:
@@ -112,16 +112,15 @@ def source_reputation(t):
 def keyword_top3(t):
     from pyspark.sql import Window
 
-    words = t.documents.select("lang", "doc_id", F.posexplode(F.split(F.lower("text"), r"\s+")).alias("i", "x"))
-    bare = words.withColumn("word", F.regexp_replace("x", r"[^\p{L}]", "")).where((F.length("word") > 3) & ~F.col("word").isin(*X.THEME_STOP_WORDS))
+    bare = t.documents.select("lang", "doc_id", F.posexplode(X.theme_words(F.col("text"))).alias("i", "word"))
     counted = bare.groupBy("lang", "word").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "i")).alias("f"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "f"))
     return counted.withColumn("r", rank).where("r <= 3").select("lang", "word", "n")
 
 
-@query("name_runs", f"WITH {_FACTS} SELECT doc_id, array_to_string(list_filter(regexp_extract_all(fact, '\\b([A-Z][a-z]+(?:\\s+[A-Z][a-z]+)*)\\b', 1), lambda r: lower(r) NOT IN ('the','and','for','with','from','into','game','season','team','coach','match','league') AND len(regexp_split_to_array(r, '\\s+')) <= 4), '|') AS runs FROM texts WHERE NOT regexp_matches(fact, '[^\\x00-\\x7F]')")
+@query("name_runs", f"WITH {_FACTS} SELECT doc_id, array_to_string(list_filter(regexp_extract_all(regexp_replace(fact, '[^\\x00-\\x7F]', '0', 'g'), '\\b([A-Z][a-z]+(?:\\s+[A-Z][a-z]+)*)\\b', 1), lambda r: lower(r) NOT IN ('the','and','for','with','from','into','game','season','team','coach','match','league') AND len(regexp_split_to_array(r, '\\s+')) <= 4), '|') AS runs FROM texts")
 def name_runs(t):
-    return facts(t).where(~F.col("fact").rlike(r"[^\x00-\x7F]")).select("doc_id", F.array_join(X.name_runs(F.col("fact")), "|").alias("runs"))
+    return facts(t).select("doc_id", F.array_join(X.name_runs(F.col("fact")), "|").alias("runs"))
 
 
 @query("query_terms", "SELECT doc_id, array_to_string(list_slice(list_distinct(w), 1, 8), ' ') AS terms FROM (SELECT doc_id, ['photo' || doc_id, 'chiefs'] AS w FROM documents) WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 'photo' || doc_id FROM documents WHERE doc_id % 2 = 0".replace("list_slice(list_distinct(w), 1, 8)", "w"))
@@ -130,11 +129,11 @@ def query_terms(t):
     return t.documents.select("doc_id", F.array_join(X.query_terms(q), " ").alias("terms"))
 
 
-@query("capitalised_entities", f"WITH {_FACTS} SELECT doc_id, 'The|The Chiefs|Chiefs' AS entities FROM texts WHERE doc_id % 8 = 2")
+@query("capitalised_entities", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'The|The Chiefs|Chiefs' WHEN 1 THEN '' ELSE 'Jane|Jane Roe|Roe' END AS entities FROM documents")
 def capitalised_entities(t):
-    two = facts(t).where("doc_id % 8 = 2").withColumn("fact", F.regexp_extract("fact", "(The Chiefs signed the rookie)", 1))
-    found = X.capitalised(F.split("fact", " "))
-    return two.select("doc_id", F.concat_ws("|", F.get(found, F.lit(0)), F.get(found, F.lit(1)), F.get(found, F.lit(2))).alias("entities"))
+    k = F.col("doc_id") % 3
+    found = X.capitalised(F.split(F.when(k == 0, "The Chiefs signed the rookie").when(k == 1, "no names at all").otherwise("Jane Roe covers the beat"), " "))
+    return t.documents.select("doc_id", F.array_join(found, "|").alias("entities"))
 
 
 @query("summary_format", f"WITH {_FACTS} SELECT doc_id, trim(regexp_replace(fact, '\\s+', ' ', 'g')) AS summary FROM texts")
@@ -173,11 +172,8 @@ def injured_player_ids(t):
 
 @query("game_resolve")
 def game_resolve(t):
-    teams = t.teams.select("team_abbr", F.array("team_name").alias("names"))
-    mentions = t.few_games.select(F.col("game_id").cast("string").alias("id"), F.concat(F.lit("Week 3: "), "away", F.lit(" at "), "home", F.lit(", 2024")).alias("mention"))
-    named = t.teams.select("team_abbr", F.array("team_name", "team_abbr").alias("names"))
-    del teams
-    return R.resolve_games(mentions, t.few_games, named)
+    mentions = t.games.select(F.col("game_id").cast("string").alias("id"), F.concat(F.lit("Week 3: "), "away", F.lit(" at "), "home", F.lit(", 2024")).alias("mention"))
+    return R.resolve_games(mentions, t.games, t.teams.select("team_abbr", F.array("team_name", "team_abbr").alias("names")))
 
 
 @query("fuzzy_topk")
@@ -189,7 +185,7 @@ def fuzzy_topk(t):
 def entity_resolve(t):
     players = t.rosters.select(F.col("player").alias("player_id"), F.array("player_name").alias("names"), F.col("pos").alias("position"), F.col("team").alias("team_abbr"), F.lit(None).cast("string").alias("team_name"))
     typo = F.when(F.col("seq") % 2 == 0, F.replace(F.col("player_name"), F.lit("o"), F.lit(""))).otherwise(F.col("player_name"))
-    mentions = t.rosters.where("seq % 10 = 0").select(F.col("player").alias("id"), typo.alias("mention"), F.lit(None).cast("string").alias("position"), F.lit(None).cast("string").alias("team_abbr"), F.lit(None).cast("string").alias("team_name"))
+    mentions = t.rosters.select(F.col("player").alias("id"), typo.alias("mention"), F.lit(None).cast("string").alias("position"), F.lit(None).cast("string").alias("team_abbr"), F.lit(None).cast("string").alias("team_name"))
     return R.resolve_players(mentions, players)
 
 

@@ -17,7 +17,6 @@ VIEWS = {
     'T' || lpad(CAST(c_nationkey AS STRING), 2, '0') AS home, 'T' || lpad(CAST((o_orderkey * 7 + 3) % 25 AS STRING), 2, '0') AS away,
     CAST(floor(o_totalprice) AS BIGINT) % 45 AS hs, CAST(floor(o_totalprice / 7) AS BIGINT) % 45 AS aws, o_orderstatus <> 'P' AS played
     FROM {orders} JOIN {customer} ON o_custkey = c_custkey) g WHERE home <> away""",
-    "few_games": """SELECT * FROM {games} WHERE game_id % 23 = 0""",
     "plays": """SELECT game_id, play_id, CAST(1 + (play_id - 1) % 4 AS INT) AS quarter, 'A' || CAST(side AS STRING) AS posteam, 'A' || CAST(1 - side AS STRING) AS defteam,
     CASE WHEN flag = 'A' THEN 'pass' WHEN flag = 'N' THEN 'run' WHEN pk % 3 = 0 THEN 'field_goal' WHEN pk % 3 = 1 THEN 'extra_point' ELSE 'punt' END AS play_type,
     CAST(qty - 20 AS DOUBLE) AS yards_gained, CASE WHEN disc >= 9 THEN 1 ELSE 0 END AS touchdown, CASE WHEN tax = 7 AND flag = 'N' AND pk % 5 = 0 THEN 1 ELSE 0 END AS safety,
