@@ -173,9 +173,10 @@ def resolve_games(mentions: DataFrame, games: DataFrame, teams: DataFrame) -> Da
     named = resolve_teams(keyed.select(F.col("key").alias("id"), "mention"), teams)
     both = keyed.join(named.withColumnRenamed("id", "key"), "key").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "team_abbr"))).alias("t")).where(F.size("t") >= 2)
     pair = both.select("id", F.get("t", F.lit(0))["team_abbr"].alias("x"), F.get("t", F.lit(1))["team_abbr"].alias("y"))
-    one = pair.join(games, (F.col("x") == F.col("home")) & (F.col("y") == F.col("away"))).select("id", "game_id")
-    two = pair.join(games, (F.col("x") == F.col("away")) & (F.col("y") == F.col("home"))).select("id", "game_id")
-    return one.union(two).groupBy("id").agg(F.min("game_id").alias("game_id")).withColumn("confidence", F.lit(GAME_CONFIDENCE))
+    # Two teams may meet often: the first of their games is found before mentions join.
+    first = games.groupBy(F.least("home", "away").alias("low"), F.greatest("home", "away").alias("high")).agg(F.min("game_id").alias("game_id"))
+    met = pair.join(first, (F.least("x", "y") == F.col("low")) & (F.greatest("x", "y") == F.col("high")))
+    return met.groupBy("id").agg(F.min("game_id").alias("game_id")).withColumn("confidence", F.lit(GAME_CONFIDENCE))
 
 
 def search(records: DataFrame, label: Column, query: str, limit: int = 10, cutoff: float = CUTOFF, seq: str | None = None) -> DataFrame:

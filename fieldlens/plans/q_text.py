@@ -170,7 +170,7 @@ def injured_player_ids(t):
     return R.injured_ids(hurt, players).select("id", "player_id")
 
 
-@query("game_resolve")
+@query("game_resolve", "WITH f AS (SELECT least(home, away) AS low, greatest(home, away) AS high, min(game_id) AS first FROM games GROUP BY ALL) SELECT CAST(game_id AS VARCHAR) AS id, first AS game_id, 0.9::DOUBLE AS confidence FROM games JOIN f ON least(home, away) = low AND greatest(home, away) = high", "games")
 def game_resolve(t):
     mentions = t.games.select(F.col("game_id").cast("string").alias("id"), F.concat(F.lit("Week 3: "), "away", F.lit(" at "), "home", F.lit(", 2024")).alias("mention"))
     return R.resolve_games(mentions, t.games, t.teams.select("team_abbr", F.array("team_name", "team_abbr").alias("names")))
@@ -181,7 +181,7 @@ def fuzzy_topk(t):
     return R.search(t.customer, R.player_label(F.col("c_name"), F.col("c_mktsegment")), "Custmer#000000123 BUILDING", seq="c_custkey").select("c_custkey", "label", "score")
 
 
-@query("entity_resolve")
+@query("entity_resolve", "SELECT 'C' || c_custkey AS id, 'C' || c_custkey AS player_id, CASE WHEN c_custkey % 2 = 0 THEN round(2 * 17 / 35.0::DOUBLE, 6) ELSE 1 END::DOUBLE AS confidence FROM customer")
 def entity_resolve(t):
     players = t.rosters.select(F.col("player").alias("player_id"), F.array("player_name").alias("names"), F.col("pos").alias("position"), F.col("team").alias("team_abbr"), F.lit(None).cast("string").alias("team_name"))
     typo = F.when(F.col("seq") % 2 == 0, F.replace(F.col("player_name"), F.lit("o"), F.lit(""))).otherwise(F.col("player_name"))
@@ -189,7 +189,7 @@ def entity_resolve(t):
     return R.resolve_players(mentions, players)
 
 
-@query("team_resolve")
+@query("team_resolve", "SELECT team_abbr AS id, team_abbr, 1.0::DOUBLE AS confidence FROM teams", "teams")
 def team_resolve(t):
     teams = t.teams.select("team_abbr", F.array("team_name").alias("names"))
     mentions = t.teams.select(F.col("team_abbr").alias("id"), F.concat(F.lower("team_name"), F.lit("'s")).alias("mention"))
