@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldlens.operators.snapshots import upsert
 
@@ -48,6 +49,29 @@ class Table:
         return self.write(df if before is None else upsert(before, df, keys))
 
 
+class Batches:
+    """A Parquet table that grows by one folder for each micro-batch. A batch that runs again replaces its own folder, and reads what was there before it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def read(self, before: int) -> DataFrame | None:
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        earlier = [n for n in names if n.startswith("batch=") and int(n[6:]) < before]
+        return self.spark.read.option("basePath", self.path).parquet(*(f"{self.path}/{n}" for n in earlier)) if earlier else None
+
+    def last(self, before: int) -> DataFrame | None:
+        """The folder of the batch before."""
+        df = self.read(before)
+        return None if df is None else df.where(F.col("batch") == df.agg(F.max("batch")).first()[0]).drop("batch")
+
+    def write(self, df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+
 @dataclass
 class Pipeline:
     """A source, a transformation and a keyed target."""

@@ -1,7 +1,8 @@
 """Structured Streaming forms of the news flow (section J): marks per source, links seen once, keyed sinks, windows, clustering.
 
-The marks are not Spark's watermark: each source has its own, compared strictly, and undated items pass. They live in a
-table that each micro-batch reads and replaces, so a batch that is run again after a failure gives the same state.
+The marks are not Spark's watermark: each source has its own, compared strictly, and undated items pass. Links and marks are
+kept in a folder for each micro-batch; a batch reads those before it and replaces its own, so one that is run again after a failure
+anywhere gives the same state, and no batch rewrites earlier links.
 """
 
 from __future__ import annotations
@@ -18,28 +19,27 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldlens.operators import news as N
 from fieldlens.operators.grouping import THRESHOLD, Leader
 from fieldlens.operators.snapshots import insert_new
-from fieldlens.sources.sinks import Table
+from fieldlens.sources.sinks import Batches
 
 
 class NewsFlow:
     """Items in, new links out: filter by mark, drop what is known, write, then advance the marks."""
 
-    def __init__(self, links: Table, marks: Table, league_only: bool = False):
+    def __init__(self, links: Batches, marks: Batches, league_only: bool = False):
         self.links, self.marks, self.league_only = links, marks, league_only
 
     def batch(self, items: DataFrame, batch_id: int) -> None:
-        """One micro-batch; safe to run twice, as links are keyed by URL and marks only rise."""
+        """One micro-batch; running it again gives the same folders."""
         items = items.persist()
         try:
-            marks = self.marks.read()
+            marks = self.marks.last(batch_id)
             fresh = items if marks is None else N.after_watermark(items, marks)
             links = N.processed_links(fresh, "seq", league_only=self.league_only)
-            known = self.links.read()
-            new = (links if known is None else insert_new(known, links, "url", "seq")).persist()
-            if not new.isEmpty():
-                self.links.write(new if known is None else known.unionByName(new))
-                empty = items.sparkSession.createDataFrame([], "source string, last_published_at timestamp") if marks is None else marks
-                self.marks.write(N.advanced(empty, new).coalesce(1))
+            known = self.links.read(batch_id)
+            new = (links if known is None else insert_new(known.drop("batch"), links, "url", "seq")).persist()
+            self.links.write(new, batch_id)
+            empty = items.sparkSession.createDataFrame([], "source string, last_published_at timestamp") if marks is None else marks
+            self.marks.write(N.advanced(empty, new).coalesce(1), batch_id)  # a row for each source
             new.unpersist()
         finally:
             items.unpersist()
@@ -69,23 +69,23 @@ def seen_once(items: DataFrame, key: str, moment: str, late: str) -> DataFrame:
 
 
 def clustered(stream: DataFrame, block: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """E7 on a stream of (id, embedding): state for each block is its groups' sums and counts; memberships leave as they are made."""
+    """E7 on a stream of (id, embedding): state for each block is its groups' sums, counts and members, as a story that comes again must not move a centroid twice."""
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
         leader = Leader(threshold)
         if state.exists:
-            sums, counts = state.get
+            sums, counts, members = state.get
             leader.sums = [np.asarray(s, float) for s in sums]
             leader.counts = list(counts)
-            leader.members = [set() for _ in counts]
+            leader.members = [set(m) for m in members]
         out = []
         for frame in frames:
             for ident, vector in frame.sort_values("id")[["id", "embedding"]].itertuples(index=False):
                 group, sim = leader.assign(ident, np.asarray(vector, float))
                 out.append((key[0], ident, group, sim))
-        state.update(([s.tolist() for s in leader.sums], leader.counts))
+        state.update(([s.tolist() for s in leader.sums], leader.counts, [sorted(int(i) for i in m) for m in leader.members]))
         yield pd.DataFrame(out, columns=["block", "id", "local_group", "sim"])
 
     rows = stream.withColumn("block", block)
     kind = dict(rows.dtypes)["block"]
-    return rows.groupBy("block").applyInPandasWithState(step, f"block {kind}, id long, local_group int, sim double", "sums array<array<double>>, counts array<int>", "append", "NoTimeout")
+    return rows.groupBy("block").applyInPandasWithState(step, f"block {kind}, id long, local_group int, sim double", "sums array<array<double>>, counts array<int>, members array<array<bigint>>", "append", "NoTimeout")
