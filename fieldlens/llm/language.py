@@ -21,7 +21,7 @@ an empty table gives an empty result; extra columns are ignored, whatever their
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -105,10 +105,42 @@ def laid_out(step: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.nda
     return places, moves
 
 
+def language_table(symbols: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For one sample: where a phrase that begins with each symbol stands (at the root, where the sample lacks it), and the transitions."""
+    step = suffix_automaton(symbols.tolist())
+    where, moves = laid_out(step, width)
+    begins = np.full(width, where[0], np.int64)
+    begins[list(step[0])] = where[list(step[0].values())]
+    return begins, moves
+
+
+def built_by_executors(spark: SparkSession) -> Callable[[dict[str, np.ndarray], int], dict[str, tuple[np.ndarray, np.ndarray]]]:
+    """A function that makes the tables of all languages side by side, a task for each."""
+
+    def tables(symbols: dict[str, np.ndarray], width: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lang, held in zip(batch.column("lang").to_pylist(), batch.column("symbols").to_pylist()):
+                    begins, moves = language_table(np.frombuffer(held, np.int32), width)
+                    yield pa.RecordBatch.from_pydict({"lang": [lang], "begins": [begins.tobytes()], "moves": [moves.tobytes()]})
+
+        rows = [(lang, bytearray(held.astype(np.int32).tobytes())) for lang, held in symbols.items()]
+        if not rows:
+            return {}
+        made = spark.createDataFrame(rows, "lang string, symbols binary").repartition(len(rows)).mapInArrow(run, "lang string, begins binary, moves binary")
+        return {r["lang"]: (np.frombuffer(r["begins"], np.int64), np.frombuffer(r["moves"], np.int64)) for r in made.collect()}  # bounded by SAMPLE_CHARS
+
+    return tables
+
+
+def built_here(symbols: dict[str, np.ndarray], width: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    return {lang: language_table(held, width) for lang, held in symbols.items()}
+
+
 class Parser:
     """Cross-parsing tables of all languages: entropies of many texts at once."""
 
-    def __init__(self, samples: dict[str, str]):
+    def __init__(self, samples: dict[str, str], tables_of: Callable = built_here):
         self.languages = sorted(samples)
         codes = {lang: _codes(samples[lang]) for lang in self.languages}
         every, counts = np.unique(np.concatenate([*codes.values(), np.zeros(0, np.uint32)]), return_counts=True)
@@ -121,15 +153,13 @@ class Parser:
             self.symbol[[c for c in range(0x110000) if chr(c).isalpha()]] = 1
         self.symbol[letters] = np.arange(2, self.width)
         tables, roots, first, self.bits, single, offset = [], [], [], [], [], 0
+        symbols_of = {lang: self.squeeze(self.symbol[codes[lang]]) for lang in self.languages}
+        made = tables_of(symbols_of, self.width)
         for lang in self.languages:
-            symbols = self.squeeze(self.symbol[codes[lang]])
-            step = suffix_automaton(symbols.tolist())
-            where, moves = laid_out(step, self.width)
+            symbols, (begins, moves) = symbols_of[lang], made[lang]
             tables.append(np.where(moves >= 0, moves + (offset << 32 | offset), -1))
-            roots.append(where[0] + offset)
-            begins = np.full(self.width, where[0] + offset, np.int64)  # where a phrase that begins with a symbol stands
-            begins[list(step[0])] = where[list(step[0].values())] + offset
-            first.append(begins)
+            roots.append(begins[1] + offset)  # no sample has symbol 1
+            first.append(begins + offset)
             offset += len(moves)
             shares = np.bincount(symbols, minlength=self.width) + 0.5
             single.append(-np.log2(shares / shares.sum()))
@@ -279,7 +309,7 @@ def training_samples(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, st
 
 def identify_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     """Language of every row of docs(doc_id, text): doc_id, lang_pred, score."""
-    parser = docs.sparkSession.sparkContext.broadcast(Parser(samples))  # bounded by SAMPLE_CHARS for each language
+    parser = docs.sparkSession.sparkContext.broadcast(Parser(samples, built_by_executors(docs.sparkSession)))  # bounded by SAMPLE_CHARS for each language
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
