@@ -279,28 +279,72 @@ def mapped_ids(df: DataFrame, name: str, static: DataFrame, table: DataFrame, ro
     return out.withColumn("league_id", F.coalesce(*found)).drop("__k", *(f"__f{i}" for i in range(3)))
 
 
-def checks(plays: DataFrame, max_disorder: float = 0.1, max_missing: float = 0.1) -> DataFrame:
-    """One row for each rule of a game's log: duplicate ids, disorder, missing fields, ranges."""
-    quarter_before = F.lag("quarter").over(Window.partitionBy("game_id").orderBy("play_id"))
-    twins = F.count("*").over(Window.partitionBy("game_id", "play_id"))
-    seen = plays.withColumn("__back", (F.col("quarter") < quarter_before)).withColumn("__twin", twins > 1)
-    share = lambda c: F.avg(F.when(c, 1.0).otherwise(0.0))
+# What a whole game's log holds.
+PLAY_COUNTS, PLAYER_COUNTS = (50, 250), (5, 100)
+NEEDED = {"missing_quarter": "quarter", "missing_down": "down", "missing_yards_to_go": "yards_to_go", "missing_yardline": "yardline", "missing_type": "play_type"}
+RANGES = {"quarter_range": ("error", "quarter", 1, 5), "down_range": ("error", "down", 1, 4), "yards_to_go_range": ("warning", "yards_to_go", 0, 99), "yards_range": ("warning", "yards_gained", -99, 99)}
+
+
+def _log_teams() -> Column:
+    """The names of the teams on either side, in order."""
+    return F.array_sort(F.filter(F.array_union(F.collect_set("posteam"), F.collect_set("defteam")), lambda x: x != ""))
+
+
+def _people(plays: DataFrame) -> DataFrame:
+    """How many players a game's log names, and how many ids in two parts are not two signs and seven digits."""
+    ids = roles(plays.select("game_id", *SCALAR_ROLES.values(), *LIST_ROLES.values())).select("game_id", "player").distinct()
+    odd = (F.size(F.split("player", "-")) == 2) & ~F.col("player").rlike("^..-[0-9]{7}$")
+    return ids.groupBy("game_id").agg(F.count("*").alias("n_players"), F.count_if(odd).alias("odd_ids"))
+
+
+def checks(plays: DataFrame, share: float = 0.1) -> DataFrame:
+    """One row for each rule of a game's log: how often it fails, and whether that breaks it.
+
+    Disorder and missing fields may reach ``share`` of the plays; a column that the log lacks is missing throughout.
+    """
+    raw = lambda c: F.col(c) if c in plays.columns else F.lit(None).cast("string")
+    number = lambda c: F.nanvl(raw(c).cast("double"), F.lit(None).cast("double"))
+    named = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
+    before = Window.partitionBy("game_id").orderBy("play_id")
+    seen = plays.withColumns({"__back": F.col("quarter") < F.lag("quarter").over(before), "__again": F.col("play_id") == F.lag("play_id").over(before)})
     per = seen.groupBy("game_id").agg(
-        F.count_if("__twin").alias("duplicate_ids"), share(F.col("__back")).alias("disorder"), share(F.col("posteam").isNull()).alias("missing_team"), share(F.col("play_type").isNull()).alias("missing_type"),
-        F.count_if(~F.col("quarter").between(1, 5)).alias("bad_quarters"), F.count_if(F.abs("yards_gained") > 110).alias("bad_yards"), F.countDistinct("posteam").alias("n_teams"),
-    )
-    rule = lambda name, bad, level: F.struct(F.lit(name).alias("rule"), F.lit(level).alias("level"), bad.alias("broken"))
-    rules = F.array(
-        rule("duplicate_play_ids", F.col("duplicate_ids") > 0, "error"), rule("play_order", F.col("disorder") > max_disorder, "warning"), rule("missing_team", F.col("missing_team") > max_missing, "warning"),
-        rule("missing_type", F.col("missing_type") > max_missing, "warning"), rule("quarter_range", F.col("bad_quarters") > 0, "error"), rule("yards_range", F.col("bad_yards") > 0, "warning"),
-        rule("team_count", F.col("n_teams") > 2, "error"),
+        F.count("*").alias("n_plays"), F.count_if("__again").alias("again"), F.count_if("__back").alias("back"), _log_teams().alias("teams"), F.count_if(~named("posteam") | ~named("defteam")).alias("no_team"),
+        *(F.count_if(raw(c).isNull()).alias(rule) for rule, c in NEEDED.items()), *(F.count_if(~number(c).between(low, high)).alias(rule) for rule, (_, c, low, high) in RANGES.items()),
+        F.count_if(~number("touchdown").isin(0, 1)).alias("odd_touchdowns"), F.count_if((F.col("play_type") == "pass") & ~named("passer_player_id")).alias("no_passer"),
+        F.count_if((F.col("play_type") == "run") & ~named("rusher_player_id")).alias("no_rusher"),
     )
-    return per.select("game_id", F.inline(rules))
+    whole = id_parts(per.join(_people(plays), "game_id", "left").fillna(0, ["n_players", "odd_ids"]).withColumn("__id", F.col("game_id").cast("string")), "__id")
+    expected = F.array_sort(F.array_distinct(F.array("away_team", "home_team")))
+    other_teams = (F.col("away_team") != "") & (F.col("home_team") != "") & (F.size("teams") > 0) & (F.col("teams") != expected)
+
+    def rule(name: str, found: Column, level: str = "warning", broken: Column | None = None) -> Column:
+        held = F.coalesce(found > 0 if broken is None else broken, F.lit(False))
+        return F.struct(F.lit(name).alias("rule"), F.lit(level).alias("level"), found.cast("long").alias("found"), held.alias("broken"))
+
+    most = F.col("n_plays") * share
+    n_plays, n_players, n_teams = F.col("n_plays"), F.col("n_players"), F.size("teams")
+    rules = [
+        rule("duplicate_play_ids", F.col("again"), "error"), rule("play_order", F.col("back"), broken=F.col("back") > most), rule("missing_team", F.col("no_team")),
+        *(rule(name, F.col(name), broken=F.col(name) > most) for name in NEEDED), *(rule(name, F.col(name), level) for name, (level, *_) in RANGES.items()),
+        rule("touchdown_value", F.col("odd_touchdowns")), rule("passer_missing", F.col("no_passer")), rule("rusher_missing", F.col("no_rusher")),
+        rule("play_count", n_plays, broken=~n_plays.between(*PLAY_COUNTS)), rule("team_count", n_teams, broken=n_teams != 2), rule("game_teams", n_teams, broken=other_teams),
+        rule("player_count", n_players, broken=~n_players.between(*PLAYER_COUNTS)), rule("player_ids", F.col("odd_ids")),
+    ]
+    return whole.select("game_id", F.inline(F.array(*rules)))
+
+
+def valid_logs(report: DataFrame, strict: bool = False) -> DataFrame:
+    """The verdict on each game: no error, and if ``strict`` no warning either."""
+    per = report.groupBy("game_id").agg(*(F.count_if(F.col("broken") & (F.col("level") == k)).alias(f"{k}s") for k in ("error", "warning")))
+    return per.withColumn("is_valid", (F.col("errors") == 0) & (F.lit(not strict) | (F.col("warnings") == 0)))
 
 
 def log_statistics(plays: DataFrame) -> DataFrame:
     """What a game's log covers."""
-    return plays.groupBy("game_id").agg(F.count("*").alias("n_plays"), F.array_sort(F.collect_set("quarter")).alias("quarters"), F.array_sort(F.collect_set("posteam")).alias("teams"), F.countDistinct("play_type").alias("n_types"))
+    per = plays.groupBy("game_id").agg(
+        F.count("*").alias("n_plays"), F.array_sort(F.filter(F.collect_set("quarter"), lambda q: q != 0)).alias("quarters"), _log_teams().alias("teams"), F.countDistinct("play_type").alias("n_types")
+    )
+    return per.join(_people(plays).drop("odd_ids"), "game_id", "left").fillna(0, ["n_players"])
 
 
 def play_type_counts(plays: DataFrame) -> DataFrame:
@@ -369,11 +413,22 @@ def adapted(raw: DataFrame) -> DataFrame:
     return raw.select(*map(one, PLAY_COLUMNS), F.map_filter(more, lambda k, v: v.isNotNull()).alias("additional_fields"))
 
 
+def headers(plays: DataFrame) -> DataFrame:
+    """Season, week and teams of each game by its id (K4); an id that names no teams leaves them to the log, in order of name."""
+    per = plays.groupBy("game_id").agg(_log_teams().alias("teams"), F.count("*").alias("n_plays")).withColumn("__id", F.col("game_id").cast("string"))
+    team = lambda name, i: F.coalesce(F.nullif(F.col(name), F.lit("")), F.get("teams", F.lit(i)), F.lit("UNKNOWN")).alias(name)
+    header = F.struct(F.col("__id").alias("game_id"), F.col("id_season").alias("season"), F.col("id_week").alias("week"), team("away_team", 0), team("home_team", 1))
+    return id_parts(per, "__id").select("game_id", header.alias("header"), "n_plays")
+
+
 def envelope(plays: DataFrame, top: int = 5) -> DataFrame:
-    """One nested document for each game: teams, chosen players, key moments (home is the id's last team, K4)."""
+    """One nested document for each game: header, teams, leaders, key moments, and pointers that count what is kept outside."""
     team = F.struct("team", "points", "total_yards", "touchdowns")
     teams = team_summaries(plays).groupBy("game_id").agg(F.array_sort(F.collect_list(team)).alias("teams"))
-    best = selected(plays).groupBy("game_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("relevance")).alias("order"), "player", "team", "position"))), 1, top).alias("leaders"))
+    best = selected(plays).groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("relevance")).alias("order"), "player", "team", "position"))).alias("chosen"))
     moments = key_sequences(plays).groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct("play_id", "kind", "label"))).alias("moments"))
-    whole = teams.join(best, "game_id", "left").join(moments, "game_id", "left")
-    return whole.select("game_id", F.to_json(F.struct("teams", F.transform("leaders", lambda x: x["player"]).alias("leaders"), "moments")).alias("envelope"))
+    whole = headers(plays).join(teams, "game_id", "left").join(best, "game_id", "left").join(moments, "game_id", "left")
+    leaders = F.transform(F.slice("chosen", 1, top), lambda x: x["player"]).alias("leaders")
+    count = lambda n, name: F.when(n > 0, F.struct(n.alias("record_count"))).alias(name)
+    pointers = F.struct(count(F.col("n_plays"), "play_by_play"), count(F.size("chosen"), "player_data"), count(F.size("teams"), "team_data"))
+    return whole.select("game_id", F.to_json(F.struct("header", "teams", leaders, "moments", pointers.alias("pointers"))).alias("envelope"))

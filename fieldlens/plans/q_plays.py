@@ -104,18 +104,38 @@ def key_sequences(t):
     return D.key_sequences(log(t))
 
 
-@query("validation_report", """WITH b AS (SELECT *, coalesce(quarter < lag(quarter) OVER (PARTITION BY game_id ORDER BY play_id), false) AS back FROM plays),
-  p AS (SELECT game_id, avg(CASE WHEN back THEN 1 ELSE 0 END) AS disorder, count(DISTINCT posteam) AS n FROM b GROUP BY game_id)
-  SELECT game_id, unnest(['duplicate_play_ids', 'play_order', 'missing_team', 'missing_type', 'quarter_range', 'yards_range', 'team_count']) AS rule,
-  unnest(['error', 'warning', 'warning', 'warning', 'error', 'warning', 'error']) AS level, unnest([false, disorder > 0.1, false, false, false, false, n > 2]) AS broken FROM p""", "plays")
+_REPORT = f"""{_LONG}, people AS (SELECT game_id, count(DISTINCT player) AS n_players, count(DISTINCT player) FILTER (len(string_split(player, '-')) = 2 AND NOT regexp_matches(player, '^..-[0-9]{{7}}$')) AS odd FROM long GROUP BY game_id),
+  b AS (SELECT *, coalesce(quarter < lag(quarter) OVER w, false) AS back, coalesce(play_id = lag(play_id) OVER w, false) AS again FROM plays WINDOW w AS (PARTITION BY game_id ORDER BY play_id)),
+  side AS (SELECT game_id, count(DISTINCT team) AS n_teams FROM (SELECT game_id, posteam AS team FROM plays UNION ALL SELECT game_id, defteam FROM plays) GROUP BY game_id),
+  p AS (SELECT game_id, count(*) AS n, count(*) FILTER (again) AS again, count(*) FILTER (back) AS back, count(*) FILTER (posteam IS NULL OR defteam IS NULL) AS no_team, count(*) FILTER (quarter IS NULL) AS no_quarter, count(*) FILTER (play_type IS NULL) AS no_type,
+    count(*) FILTER (quarter NOT BETWEEN 1 AND 5) AS bad_quarter, count(*) FILTER (yards_gained NOT BETWEEN -99 AND 99) AS bad_yards, count(*) FILTER (touchdown NOT IN (0, 1)) AS bad_td,
+    count(*) FILTER (play_type = 'pass' AND passer_player_id IS NULL) AS no_passer, count(*) FILTER (play_type = 'run' AND rusher_player_id IS NULL) AS no_rusher FROM b GROUP BY game_id),
+  f AS (SELECT game_id, n, unnest(['duplicate_play_ids', 'play_order', 'missing_team', 'missing_quarter', 'missing_down', 'missing_yards_to_go', 'missing_yardline', 'missing_type', 'quarter_range', 'down_range', 'yards_to_go_range', 'yards_range',
+      'touchdown_value', 'passer_missing', 'rusher_missing', 'play_count', 'team_count', 'game_teams', 'player_count', 'player_ids']) AS rule,
+    unnest([again, back, no_team, no_quarter, n, n, n, no_type, bad_quarter, 0, 0, bad_yards, bad_td, no_passer, no_rusher, n, n_teams, n_teams, coalesce(n_players, 0), coalesce(odd, 0)]) AS found
+    FROM p JOIN side USING (game_id) LEFT JOIN people USING (game_id)),
+  report AS (SELECT game_id, rule, CASE WHEN rule IN ('duplicate_play_ids', 'quarter_range', 'down_range') THEN 'error' ELSE 'warning' END AS level, found,
+    CASE WHEN rule = 'play_order' OR starts_with(rule, 'missing') AND rule <> 'missing_team' THEN found > n * 0.1 WHEN rule = 'play_count' THEN found NOT BETWEEN 50 AND 250 WHEN rule = 'team_count' THEN found <> 2
+      WHEN rule = 'game_teams' THEN false WHEN rule = 'player_count' THEN found NOT BETWEEN 5 AND 100 ELSE found > 0 END AS broken FROM f)"""
+
+
+@query("validation_report", f"WITH {_REPORT} SELECT * FROM report", "plays")
 def validation_report(t):
     return D.checks(log(t))
 
 
-@query("log_statistics", "SELECT game_id, count(*) AS n_plays, array_to_string(list_sort(list(DISTINCT quarter)), ',') AS quarters, array_to_string(list_sort(list(DISTINCT posteam)), ',') AS teams, count(DISTINCT play_type) AS n_types FROM plays GROUP BY game_id", "plays")
+@query("valid_logs", f"WITH {_REPORT} SELECT game_id, count(*) FILTER (broken AND level = 'error') AS errors, count(*) FILTER (broken AND level = 'warning') AS warnings, count(*) FILTER (broken AND level = 'error') = 0 AS is_valid FROM report GROUP BY game_id", "plays")
+def valid_logs(t):
+    return D.valid_logs(D.checks(log(t)))
+
+
+@query("log_statistics", f"""WITH {_LONG}, people AS (SELECT game_id, count(DISTINCT player) AS n_players FROM long GROUP BY game_id),
+  side AS (SELECT game_id, array_to_string(list_sort(list(DISTINCT team)), ',') AS teams FROM (SELECT game_id, posteam AS team FROM plays UNION ALL SELECT game_id, defteam FROM plays) GROUP BY game_id),
+  p AS (SELECT game_id, count(*) AS n_plays, array_to_string(list_sort(list(DISTINCT quarter)), ',') AS quarters, count(DISTINCT play_type) AS n_types FROM plays GROUP BY game_id)
+  SELECT game_id, n_plays, quarters, teams, n_types, coalesce(n_players, 0) AS n_players FROM p JOIN side USING (game_id) LEFT JOIN people USING (game_id)""", "plays")
 def log_statistics(t):
     joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
-    return D.log_statistics(log(t)).select("game_id", "n_plays", joined("quarters"), joined("teams"), "n_types")
+    return D.log_statistics(log(t)).select("game_id", "n_plays", joined("quarters"), joined("teams"), "n_types", "n_players")
 
 
 @query("play_type_counts", "SELECT game_id, play_type, count(*) AS n FROM plays GROUP BY ALL", "plays")

@@ -1,5 +1,7 @@
 """Hand cases of game analysis."""
 
+import json
+
 import pytest
 
 from fieldlens.operators import plays as D
@@ -74,10 +76,56 @@ def test_cleaning_keeps_good_values(frame):
     assert (b["player_id"], b["v"]) == ("id", 2.0)
 
 
+def _broken(df):
+    return {r["rule"] for r in D.checks(df).collect() if r["broken"]}
+
+
+def _whole(log, *changed, game="2024_05_SF_KC"):
+    """A log of 60 plays without fault, but for what ``changed`` says of the first ones."""
+    plays = [{"game_id": game, "quarter": 1 + i // 15, "rusher_player_id": f"00-000000{i % 6}"} for i in range(60)]
+    done = log(*({**p, **(changed[i] if i < len(changed) else {})} for i, p in enumerate(plays)))
+    return done.selectExpr("*", "1 as down", "10 as yards_to_go", "50 as yardline")
+
+
+def test_a_whole_log_breaks_no_rule(log):
+    assert _broken(_whole(log)) == set()
+
+
+@pytest.mark.parametrize(
+    "changed, rules",
+    [
+        ([{"play_id": 1}], {"duplicate_play_ids"}), ([{"quarter": 9}], {"quarter_range"}), ([{"posteam": None}], {"missing_team"}), ([{"yards_gained": 120.0}], {"yards_range"}), ([{"touchdown": 2}], {"touchdown_value"}),
+        ([{"rusher_player_id": ""}], {"rusher_missing"}), ([{"play_type": "pass"}], {"passer_missing"}), ([{"posteam": "LA"}], {"team_count", "game_teams"}), ([{"rusher_player_id": "00-12"}], {"player_ids"}),
+        ([{"rusher_player_id": "Z9"}], set()), ([{"play_type": None}] * 6, set()), ([{"play_type": None}] * 7, {"missing_type"}), ([{"quarter": 4, "yards_gained": float("nan")}], set()),
+        ([{"tackler_player_ids": [f"T{i}" for i in range(95)]}], {"player_count"}),
+    ],
+)
+def test_each_rule_alone(log, changed, rules):
+    assert _broken(_whole(log, *changed)) == rules
+
+
 def test_broken_logs_are_reported(log):
     twice = log({}, {"quarter": 3}, {"quarter": 2}).union(log({}))
-    broken = {r["rule"] for r in D.checks(twice).collect() if r["broken"]}
-    assert broken == {"duplicate_play_ids", "play_order"}
+    absent = {"missing_down", "missing_yards_to_go", "missing_yardline"}  # this log has no such columns
+    assert _broken(twice) == {"duplicate_play_ids", "play_order", "rusher_missing", "play_count", "player_count"} | absent
+    assert D.valid_logs(D.checks(twice)).first().asDict() == {"game_id": "g", "errors": 1, "warnings": 7, "is_valid": False}
+    loose = D.checks(_whole(log, {"posteam": None}))
+    assert [D.valid_logs(loose, strict).first()["is_valid"] for strict in (False, True)] == [True, False]
+
+
+def test_statistics_name_both_sides_and_count_players(log):
+    row = D.log_statistics(log({"defteam": "LA", "rusher_player_id": "R"}, {"quarter": 2, "rusher_player_id": "R", "tackler_player_ids": ["T", ""]})).first()
+    assert (row["n_plays"], row["quarters"], row["teams"], row["n_players"]) == (2, [1, 2], ["KC", "LA", "SF"], 2)
+
+
+def test_envelope(log):
+    plays = log({"game_id": "2024_05_SF_KC", "touchdown": 1, "rusher_player_id": "R", "yards_gained": 4.0}, {"game_id": "odd", "rusher_player_id": "Q"})
+    by_id = {r["game_id"]: json.loads(r["envelope"]) for r in D.envelope(plays).collect()}
+    game, odd = by_id["2024_05_SF_KC"], by_id["odd"]
+    assert game["header"] == {"game_id": "2024_05_SF_KC", "season": 2024, "week": 5, "away_team": "SF", "home_team": "KC"}
+    assert game["pointers"] == {"play_by_play": {"record_count": 1}, "player_data": {"record_count": 1}, "team_data": {"record_count": 2}}
+    assert game["leaders"] == ["R"] and [m["kind"] for m in game["moments"]] == ["score"] and {t["team"]: t["points"] for t in game["teams"]} == {"SF": 6, "KC": 0}
+    assert odd["header"] == {"game_id": "odd", "away_team": "KC", "home_team": "SF"} and "moments" not in odd
 
 
 def test_ids(frame):
