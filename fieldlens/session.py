@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -26,3 +27,14 @@ def session(master: str | None = None, partitions: int | None = None, **conf: st
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see, by spark.checkpoint.dir. A local master that names none gets a temporary one."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="fieldlens-")
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldlens.session import shared_dir
+
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: int = 1) -> DataFrame:
     """A table's files as a stream; its schema is read first, as streams want it declared."""
@@ -21,8 +22,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: i
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Everything that the query gives for the files present, through a Parquet folder in the shared checkpoint folder."""
     spark = stream.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fieldlens-stream-")
-    path = f"{root}/stream-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path if mode == "complete" else f"{path}/batch={number}")

@@ -1,6 +1,8 @@
 """Filters, packages, resolution and fuzzy scores by hand."""
 
+import hashlib
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from fieldlens.functions import text as X
 from fieldlens.operators import datasets as B
 from fieldlens.operators import providers as P
 from fieldlens.operators import resolve as R
+from fieldlens.session import shared_dir
 
 
 def test_residual_filters(frame):
@@ -104,3 +107,27 @@ def test_fuzzy_best_is_the_same_beyond_the_directory_bound(frame, monkeypatch):
     within = rows()
     monkeypatch.setattr(R, "DIRECTORY", 4)
     assert rows() == within and {"laan msith", "alan smit"} <= {m for m, *_ in within}
+
+
+def test_a_cluster_needs_a_shared_folder(tmp_path):
+    class Conf(dict):
+        set = dict.__setitem__
+
+    def asked(master, **conf):
+        return SimpleNamespace(conf=Conf(conf), sparkContext=SimpleNamespace(master=master))
+
+    assert shared_dir(asked("spark://host:7077", **{"spark.checkpoint.dir": "/shared"})) == "/shared"
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(asked(master))
+    alone = asked("local[2]")
+    assert shared_dir(alone) == shared_dir(alone)
+
+
+def test_package_ids_hash_canonical_json():
+    body = b'{"bundles":[],"schema_version":"1.0.0","scope":{"season":2024},"sources":[],"subject":{"id":"Zo\\u00eb","tags":["a"]}}'
+    assert P.package_id("1.0.0", {"tags": ["a", None], "id": "Zo\u00eb", "none": None}, {"season": 2024}, [], []) == hashlib.sha256(body).hexdigest()
+
+
+def test_nulls_are_pruned_at_any_depth():
+    assert P.pruned({"a": None, "b": [1, None, {"c": None, "d": 0}], "e": {"f": None}}) == {"b": [1, {"d": 0}], "e": {}}
