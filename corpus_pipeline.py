@@ -3,14 +3,19 @@ documents that hold benchmark items, and pack the rest into sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on everything its predecessor kept; all but the last return the
 columns of documents. Tables are written as Parquet between stages. Labels of held-out documents are not learned, as in the
-single operators. Null and empty texts are scored like any other and packed as their end mark alone.
+single operators.
+
+Defined results: null and empty texts are scored like any other and packed as their end mark alone; texts of any length are
+read whole by every stage; repeated rows are scored alike, and near_dedup keeps one of them; ties do not matter to a decision, as each
+is a threshold or a smallest doc_id; empty tables give empty tables (without labels nothing is rejected, without benchmark
+nothing is dropped); extra columns of documents pass through all stages but the last, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm._common import materialize, read
+from fieldlens.llm._common import materialize, read, scratch
 from fieldlens.llm.decontaminate import drop_leaking
 from fieldlens.llm.near_dedup import keep_one
 from fieldlens.llm.packing import pack_documents
@@ -52,6 +57,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+    with scratch() as free:
+        for _, stage in STAGES[:-1]:
+            docs = materialize(stage(spark, docs, sf_dir))
+            free()  # the next stage needs this table alone
     return STAGES[-1][1](spark, docs, sf_dir)

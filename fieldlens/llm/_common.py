@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fieldlens.session import shared_dir
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -29,31 +34,48 @@ def literal_rows(spark: SparkSession, rows: list[tuple], names: list[str], kinds
     return spark.range(1).select(F.inline(cells if rows else empty))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; a temporary one only where the session names none."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="fieldlens-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path
+#: Tables written since ``scratch`` was entered, oldest first; outside of it tables stay until Python ends.
+_written: ContextVar[list[tuple] | None] = ContextVar("written", default=None)
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def _drop(files: Any, path: Any) -> None:
     try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # the session may have ended; the folder is only scratch space
+        files.delete(path, True)
+    except Exception:  # the JVM may have ended before; the table is only scratch space
         pass
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write df once into the shared folder and read it back: lineage is cut, and lost executors lose nothing."""
+    """Write df once into the shared folder and read it back: lineage is cut, and lost executors lose nothing.
+
+    The table is deleted when Python ends, even if the session was stopped before, or earlier by ``scratch``.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/fieldlens-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_drop, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    name = f"{shared_dir(spark)}/fieldlens-{uuid.uuid4().hex}"
+    df.write.parquet(name)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    atexit.register(_drop, files, path)
+    if (written := _written.get()) is not None:
+        written.append((files, path))
+    return spark.read.schema(df.schema).parquet(name)
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[], None]]:
+    """Gives a function that deletes the tables materialized so far within it, but for the last one, which the caller goes on with."""
+    mine: list[tuple] = []
+    outer = _written.set(mine)
+
+    def free() -> None:
+        for files, path in mine[:-1]:
+            _drop(files, path)
+        del mine[:-1]
+
+    try:
+        yield free
+    finally:
+        _written.reset(outer)
 
 
 def rank_in_buckets(df: DataFrame, group: list[str], bucket: str, order: list[str], out: str) -> DataFrame:

@@ -9,7 +9,8 @@ the patterns' places by their rank among the pieces of the same length.
 Documents longer than a sequence are cut; the first piece is the remainder, and all others fill a sequence alone.
 
 Defined results: null text counts as empty and packs as its end mark alone; repeated rows each keep their pieces;
-a null doc_id is kept; an empty table gives an empty result; extra columns are ignored.
+a null doc_id is kept; pieces of equal length are interchangeable, so ties only choose between equally good places; texts of any length
+are tokenised whole; an empty table gives an empty result; extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

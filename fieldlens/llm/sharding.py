@@ -5,7 +5,8 @@ Within each source, rows are put in a seeded pseudo-random order; row r of n get
 that order are shards that all show the corpus mixture. Shard row counts differ by one at most (law ``rows``).
 
 Defined results: a null source is a stratum of its own; null text counts as empty (size 1, CRC 0); a null
-doc_id shuffles as the empty string; repeated rows each keep a slot; an empty table gives an empty result.
+doc_id shuffles as the empty string; ties in the shuffle are ordered by doc_id, checksum and size; repeated rows each keep a slot; texts
+of any length are measured whole; an empty table gives an empty result; extra columns are ignored, whatever their names.
 Only a slim row (id, size, checksum, key) is shuffled, never the text.
 """
 

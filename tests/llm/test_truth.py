@@ -13,6 +13,7 @@ from oracle import connect, differences
 import corpus_pipeline
 from fieldlens import llm
 from fieldlens.llm import _text, ann, decontaminate, language, near_dedup, packing, quality, sharding, toxicity
+from fieldlens.llm._common import materialize, scratch
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLE = llm.registry()
@@ -326,6 +327,33 @@ def test_pipeline_against_its_parts(spark, docs):
             assert a >= b or not both or 100 * both < 80 * (len(sets[a]) + len(sets[b]) - both)
 
 
+def test_near_copies_in_the_pipeline_by_brute_force(spark, docs):
+    sets = {r["doc_id"]: _brute_shingles(r["text"], 5) for r in docs.collect()}
+    least = {d: d for d in sets}
+
+    def root(d):
+        while least[d] != d:
+            d = least[d]
+        return d
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and root(a) != root(b):
+            least[max(root(a), root(b))] = min(root(a), root(b))
+    kept = [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    assert sorted(kept) == sorted(d for d in sets if least[d] == d) and len(kept) < len(sets)
+
+
+def test_scratch_keeps_the_last_table(frame):
+    before = materialize(frame([(0,)], "a int"))
+    with scratch() as free:
+        first, second = (materialize(frame([(i,)], "a int")) for i in (1, 2))
+        places = [df.inputFiles()[0].split(":", 1)[1].replace("//", "") for df in (first, second)]
+        free()
+        assert [os.path.exists(p) for p in places] == [False, True]
+    assert before.count() == 1 and second.first()["a"] == 2
+
+
 def _naive_phrases(text, sample):
     count, held = 1, ""
     for c in text:
