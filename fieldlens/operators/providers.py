@@ -258,7 +258,7 @@ def package(request: Mapping[str, Any], providers: Mapping[str, Provider], stric
         try:
             if bundle["provider"] not in providers:
                 raise KeyError(f"unknown provider {bundle['provider']}")
-            if bundle.get("inline", True):
+            if bundle.get("inline", bundle.get("storage_mode", "inlined") == "inlined"):
                 rows = providers[bundle["provider"]].get(**bundle.get("filters", {}))
                 most = bundle.get("limit")
                 found = (rows if most is None else rows.limit(most + 1)).collect()
@@ -274,23 +274,73 @@ def package(request: Mapping[str, Any], providers: Mapping[str, Provider], stric
     if errors:
         links["bundle_errors"] = errors
     heads = [{k: b[k] for k in ("name", "provider") if k in b} for b in request.get("bundles", [])]
-    ident = package_id(request["schema_version"], request.get("subject", {}), request.get("scope", {}), heads, list(request.get("sources", [])))
+    ident = package_id(request["schema_version"], request.get("subject", {}), request.get("scope", {}), heads, list(request.get("sources") or request.get("provenance", {}).get("sources", [])))
     return pruned({"schema_version": request["schema_version"], "package_id": ident, "subject": request.get("subject"), "scope": request.get("scope"), "bundles": heads, "payload": payload, "links": links or None})
 
 
+# How converted requests name their parts. By provider: the schema of its rows, and what one row is.
+ADAPTER = {"name": "legacy_payload_adapter", "version": "legacy-adapter.v1"}
+BUNDLE_KINDS = {
+    "team_weekly_stats": ("team.weekly_stats.v1", "team_week"),
+    "player_weekly_stats": ("player.weekly_stats.v1", "player_week"),
+    "injuries": ("team.injuries.v1", "team_week_player"),
+    "player_lookup": ("player.lookup.v1", "player_match"),
+}
+NAMED_AS_PROVIDER = ["team_weekly_stats", "player_weekly_stats", "injuries"]
+
+
+def is_older_request(request: Mapping[str, Any]) -> bool:
+    """A subject with one plain id, bundles by stream, or sources given by name alone."""
+    subject, bundles = request.get("subject"), request.get("bundles")
+    if not isinstance(subject, Mapping) or not isinstance(bundles, list):
+        return False
+    provenance = request.get("provenance")
+    sources = provenance.get("sources") if isinstance(provenance, Mapping) else None
+    by_name = isinstance(sources, list) and len(sources) > 0 and all(isinstance(s, str) for s in sources)
+    return "entity_id" in subject or by_name or any("stream" in b for b in bundles if isinstance(b, Mapping))
+
+
+def _positive(value: Any, name: str) -> int:
+    if int(value) <= 0:
+        raise ValueError(f"{name} must be positive")
+    return int(value)
+
+
 def modern_request(request: Mapping[str, Any]) -> tuple[dict[str, Any], list[str]]:
-    """An older request in today's shape, with a note for each change."""
-    out, notes = dict(request), []
-    for old, new in (("version", "schema_version"), ("season_scope", "scope"), ("sections", "bundles")):
-        if old in out and new not in out:
-            out[new] = out.pop(old)
-            notes.append(f"{old} is now {new}")
-    for bundle in out.get("bundles", []):
-        if "source" in bundle and "provider" not in bundle:
-            bundle["provider"] = bundle.pop("source")
-            notes.append("source is now provider")
-        if "params" in bundle and "filters" not in bundle:
-            bundle["filters"] = bundle.pop("params")
-            notes.append("params is now filters")
-    out.setdefault("schema_version", "1.0.0")
-    return out, notes
+    """An older request in today's shape with a note, any other as it is. Without a season, or with a season or week that is not positive, it is refused."""
+    if not is_older_request(request):
+        return dict(request), []
+    temporal = request.get("scope", {}).get("temporal", {})
+    if temporal.get("season") is None:
+        raise ValueError("scope.temporal.season is missing")
+    season = _positive(temporal["season"], "season")
+    week = None if temporal.get("week") is None else _positive(temporal["week"] or 0, "week")
+    kind = str(request["subject"].get("entity_type", "")).strip() or "team"
+    ident = str(request["subject"].get("entity_id", "")).strip()
+    ids = {"player_id": ident} if kind == "player" else {"team_abbr": ident.upper()}
+    filters = pruned({"season": season, "week": week}) | (ids if kind in ("team", "player") else {})
+
+    def bundle(old: Mapping[str, Any]) -> dict[str, Any]:
+        asked, stream = (str(old.get(k, "")).strip() for k in ("provider", "stream"))
+        provider = "injuries" if stream == "injury_reports" else asked
+        if provider == "player_weekly_stats" and kind == "team":
+            provider = "team_weekly_stats"
+        schema, grain = BUNDLE_KINDS.get(provider, (f"{provider}.v1", "record"))
+        name = provider if provider in NAMED_AS_PROVIDER else f"{kind}_{provider}"
+        why = f"Converted from legacy bundle provider={asked} stream={stream}"
+        return {"name": name, "schema_ref": schema, "record_grain": grain, "provider": provider, "filters": dict(filters), "storage_mode": "inlined", "description": why}
+
+    named = request.get("provenance", {}).get("sources", [])
+    sources = [{"name": f"legacy.{s}", "version": ADAPTER["version"]} for s in named if isinstance(s, str)]
+    sources += [{"name": str(s["name"]), "version": str(s["version"])} for s in named if isinstance(s, Mapping) and s.get("name") and s.get("version")]
+    new = {
+        "schema_version": str(request.get("schema_version", "1.0.0")),
+        "producer": str(request.get("producer", "legacy-client")),
+        "subject": {"entity_type": "player" if kind == "player" else "team", "ids": ids, "display": {"name": ident} if kind == "player" else dict(ids)},
+        "scope": {"granularity": "week", "competition": "regular", "temporal": {"season": season, "week": week}},
+        "provenance": {"sources": sources or [{"name": "legacy.unknown", "version": ADAPTER["version"]}], "transforms": [dict(ADAPTER)]},
+        "bundles": [bundle(b) for b in request["bundles"] if isinstance(b, Mapping)],
+        "payload": request.get("payload") or None,
+        "links": request.get("links") or None,
+    }
+    return new, ["an older request was converted; send bundles with providers and filters"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["q_standings", "q_plays", "q_grouping", "q_text", "q_news", "q_rules", "q_datasets"]
+MODULES = ["q_standings", "q_plays", "q_grouping", "q_text", "q_news", "q_rules", "q_datasets", "q_sources"]
 
 
 def all_queries() -> tuple[dict, dict]:

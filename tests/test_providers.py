@@ -131,3 +131,18 @@ def test_package_ids_hash_canonical_json():
 
 def test_nulls_are_pruned_at_any_depth():
     assert P.pruned({"a": None, "b": [1, None, {"c": None, "d": 0}], "e": {"f": None}}) == {"b": [1, {"d": 0}], "e": {}}
+
+
+def test_older_requests_are_converted():
+    old = {"subject": {"entity_type": "team", "entity_id": "buf"}, "scope": {"temporal": {"season": 2024}}, "bundles": [{"provider": "ftn"}, "noise"]}
+    new, notes = P.modern_request(old)
+    assert new["subject"] == {"entity_type": "team", "ids": {"team_abbr": "BUF"}, "display": {"team_abbr": "BUF"}}
+    assert [(b["name"], b["schema_ref"], b["record_grain"], b["filters"]) for b in new["bundles"]] == [("team_ftn", "ftn.v1", "record", {"season": 2024, "team_abbr": "BUF"})]
+    assert new["provenance"]["sources"] == [{"name": "legacy.unknown", "version": "legacy-adapter.v1"}] and len(notes) == 1
+    assert P.modern_request(new) == (new, [])
+
+
+@pytest.mark.parametrize("temporal", [{}, {"season": 0}, {"season": 2024, "week": 0}])
+def test_older_requests_need_a_season(temporal):
+    with pytest.raises(ValueError):
+        P.modern_request({"subject": {"entity_id": "x"}, "scope": {"temporal": temporal}, "bundles": []})
