@@ -112,6 +112,14 @@ def streaks(sides: DataFrame) -> DataFrame:
     return run.groupBy(*KEY).agg(F.concat(F.first("outcome"), F.count("*").cast("string")).alias("streak"))
 
 
+def form(sides: DataFrame, n: int = 5) -> DataFrame:
+    """last_five and streaks in one pass over the games of a team."""
+    of = sides.select(*KEY, "wk", "game_id", "outcome").withColumn("__r", F.row_number().over(_latest())).withColumn("__last", F.first("outcome").over(_latest()))
+    of = of.withColumn("__broken", F.sum(F.when(F.col("outcome") != F.col("__last"), 1).otherwise(0)).over(_latest()))
+    recent = [_count(o, F.col("__r") <= n) for o in "WLT"]
+    return of.groupBy(*KEY).agg(record(*recent).alias("last5"), F.concat(F.first("__last"), F.count_if(F.col("__broken") == 0).cast("string")).alias("streak"))
+
+
 def league_rank(total: DataFrame) -> DataFrame:
     """Unique ranks by win share, point difference, points and code."""
     order = Window.partitionBy("season").orderBy(F.desc("win_pct"), F.desc("point_diff"), F.desc("points_for"), "team")
@@ -273,7 +281,7 @@ def standings(games: DataFrame, teams: DataFrame, through_week: int | None = Non
     base = league_rank(whole.na.fill(0, counts))
     week = effective_week(clipped) if through_week is None else seasons.withColumn("effective_week", F.lit(through_week))
     ranks = tie_breaks(base.select("season", "team", "conference", "division", *counts), pair)
-    full = base.join(ranks, KEY).join(last_five(sides), KEY, "left").join(streaks(sides), KEY, "left").join(week, "season", "left")
+    full = base.join(ranks, KEY).join(form(sides), KEY, "left").join(week, "season", "left")
     rec = lambda n: record(*(F.col(f"{n}_{c}") for c in "wlt")).alias(f"{n}_record")
     return full.select(
         "season", F.coalesce("effective_week", F.lit(0)).alias("through_week"), F.col("team").alias("team_abbr"), "team_name", "conference", "division", "wins", "losses", "ties",

@@ -68,14 +68,19 @@ def strength_of_schedule(t):
     return S.strengths(S.pairs(sides), S.totals(sides)).select("season", "team", F.round("sos", 8).alias("sos"), F.round("sov", 8).alias("sov"))
 
 
-@query("last5", _sql("SELECT season, team, count(*) FILTER (outcome = 'W') || '-' || count(*) FILTER (outcome = 'L') || CASE WHEN count(*) FILTER (outcome = 'T') > 0 THEN '-' || count(*) FILTER (outcome = 'T') ELSE '' END AS last5 FROM (SELECT *, row_number() OVER (PARTITION BY season, team ORDER BY wk DESC, game_id DESC) AS r FROM o) WHERE r <= 5 GROUP BY ALL"), "games")
+_LAST_FIVE = "SELECT season, team, count(*) FILTER (outcome = 'W') || '-' || count(*) FILTER (outcome = 'L') || CASE WHEN count(*) FILTER (outcome = 'T') > 0 THEN '-' || count(*) FILTER (outcome = 'T') ELSE '' END AS last5 FROM (SELECT *, row_number() OVER (PARTITION BY season, team ORDER BY wk DESC, game_id DESC) AS r FROM o) WHERE r <= 5 GROUP BY ALL"
+_STREAK_PARTS = """, r AS (SELECT *, row_number() OVER (PARTITION BY season, team ORDER BY wk DESC, game_id DESC) AS r FROM o),
+  f AS (SELECT season, team, outcome FROM r WHERE r = 1), b AS (SELECT r.season, r.team, min(r.r) AS stop FROM r JOIN f USING (season, team) WHERE r.outcome <> f.outcome GROUP BY ALL)"""
+_STREAK = _STREAK_PARTS + """
+  SELECT season, team, f.outcome || (coalesce(stop - 1, (SELECT max(r.r) FROM r WHERE r.season = f.season AND r.team = f.team))) AS streak FROM f LEFT JOIN b USING (season, team)"""
+
+
+@query("last5", _sql(_LAST_FIVE), "games")
 def last5(t):
     return S.last_five(_sides(t))
 
 
-@query("streak", _sql(""", r AS (SELECT *, row_number() OVER (PARTITION BY season, team ORDER BY wk DESC, game_id DESC) AS r FROM o),
-  f AS (SELECT season, team, outcome FROM r WHERE r = 1), b AS (SELECT r.season, r.team, min(r.r) AS stop FROM r JOIN f USING (season, team) WHERE r.outcome <> f.outcome GROUP BY ALL)
-  SELECT season, team, f.outcome || (coalesce(stop - 1, (SELECT max(r.r) FROM r WHERE r.season = f.season AND r.team = f.team))) AS streak FROM f LEFT JOIN b USING (season, team)""".strip()), "games")
+@query("streak", _sql(_STREAK), "games")
 def streak(t):
     return S.streaks(_sides(t))
 
@@ -110,11 +115,6 @@ def common_opponents(t):
     return S.common_opponents(pair, groups)
 
 
-@query("standings")
-def standings(t):
-    return S.standings(t.games, t.teams)
-
-
 def _cascade_sql(final: str, games: str = "games") -> str:
     """The division cascade, step by step, and a query over it: each step ranks the members of a tied group by one key and refines the groups."""
     share = "CASE WHEN coalesce(w + l + t, 0) > 0 THEN (2 * w + t)::DOUBLE / (2 * (w + l + t)) ELSE {0} END"
@@ -192,3 +192,29 @@ def division_rank(t):
 def conference_seeding(t):
     """Ranks, seeds and the steps that decided them."""
     return S.standings(t.games, t.teams).select("season", "conference", "team_abbr", "conference_rank", "conference_seed", "tied", F.array_join("tiebreaker_trail", "|").alias("trail"))
+
+
+def _standings_sql() -> str:
+    rec = lambda n, name: f"coalesce({n}_w || '-' || {n}_l || CASE WHEN {n}_t > 0 THEN '-' || {n}_t ELSE '' END, '0-0') AS {name}_record"
+    split = ", ".join(f"count(*) FILTER (outcome = '{o}' AND {c}) AS {n}_{o.lower()}" for n, c in (("home", "is_home"), ("away", "NOT is_home")) for o in "WLT")
+    parts, run = _STREAK_PARTS, _STREAK[len(_STREAK_PARTS) :]
+    whole = f"""{parts}, sk AS ({run}), l5 AS ({_LAST_FIVE}), ha AS (SELECT season, team, {split} FROM o GROUP BY ALL),
+  wk AS (SELECT season, CAST(coalesce(max(wk) FILTER (home_score IS NOT NULL AND away_score IS NOT NULL), 0) AS INT) AS through_week FROM games GROUP BY season)
+  SELECT season, through_week, team AS team_abbr, team_name, d.conference, d.division, coalesce(wins, 0) AS wins, coalesce(losses, 0) AS losses, coalesce(ties, 0) AS ties, round_even(d.win_pct, 6) AS win_pct, d.points_for, d.points_against, d.point_diff,
+    {rec("div", "division")}, {rec("conf", "conference")}, {rec("home", "home")}, {rec("away", "away")}, coalesce(last5, '0-0') AS last5, coalesce(streak, '') AS streak,
+    d.division_rank, conference_rank, conference_seed, CAST(row_number() OVER (PARTITION BY season ORDER BY d.win_pct DESC, d.point_diff DESC, d.points_for DESC, team) AS INT) AS league_rank, NULL::VARCHAR AS clinched,
+    array_to_string(s.trail, '|') AS tiebreaker_trail, list_contains(s.trail, 'COIN') AS tied
+  FROM dv d JOIN seeded s USING (season, team) JOIN teams ON team_abbr = team JOIN wk USING (season) LEFT JOIN tot USING (season, team) LEFT JOIN ha USING (season, team) LEFT JOIN l5 USING (season, team) LEFT JOIN sk USING (season, team)"""
+    return _cascade_sql(_conference_sql().rstrip() + whole)
+
+
+@query("standings", _standings_sql(), "games teams")
+def standings(t):
+    """All 26 columns; the trail as one text."""
+    return S.standings(t.games, t.teams).withColumn("tiebreaker_trail", F.array_join("tiebreaker_trail", "|"))
+
+
+@query("seeding_after_week", _cascade_sql(_conference_sql() + "SELECT season, conference, team AS team_abbr, division_rank, conference_rank, conference_seed, array_to_string(trail, '|') AS trail FROM seeded", "(SELECT * FROM games WHERE coalesce(wk, 0) <= 1)"), "games teams")
+def seeding_after_week(t):
+    """Seeds after the first week, when many teams are tied and most steps decide something."""
+    return S.standings(t.games, t.teams, through_week=1).select("season", "conference", "team_abbr", "division_rank", "conference_rank", "conference_seed", F.array_join("tiebreaker_trail", "|").alias("trail"))

@@ -108,3 +108,11 @@ def test_seeds_go_to_division_winners_first(frame):
     assert {out["E0"]["conference_seed"], out["W0"]["conference_seed"]} == {1, 2}
     assert out["E1"]["conference_seed"] == 3
     assert sorted(r["conference_rank"] for r in out.values()) == [1, 2, 3, 4, 5, 6]
+
+
+def test_form_is_last_five_and_streak(spark, frame):
+    rows = [(2030, "A", 1 + i % 7, i, o) for i, o in enumerate("WLTWWWLLTTWWL")] + [(2030, "B", 1, 90, "T"), (2031, "A", 2, 91, "L"), (2031, "A", 2, 92, "L")]
+    sides = frame(rows, "season int, team string, wk int, game_id long, outcome string")
+    apart = S.last_five(sides).join(S.streaks(sides), S.KEY).select("season", "team", "last5", "streak")
+    assert sorted(S.form(sides).select(*apart.columns).collect()) == sorted(apart.collect())
+    assert {(r.season, r.team): r.streak for r in S.form(sides).collect()}[2031, "A"] == "L2"
