@@ -113,6 +113,20 @@ def merge_components(t):
     return E.merge_plan(made.join(sizes, "group_key").withColumnRenamed("group_key", "group_id"), threshold=0.35)
 
 
+@query("merge_plan", """WITH RECURSIVE g AS (SELECT vec_id, group_id * 4 + vec_id % 4 AS gid, embedding FROM members), z AS (SELECT gid, count(*) AS n, min(vec_id) AS created FROM g GROUP BY gid),
+  px AS (SELECT gid, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS pos FROM g), m AS (SELECT gid, pos, avg(x) AS x FROM px GROUP BY ALL), l AS (SELECT gid, sqrt(sum(x * x)) AS len FROM m GROUP BY gid),
+  s AS (SELECT u.gid AS a, v.gid AS b, sum(u.x * v.x) / (any_value(lu.len) * any_value(lv.len)) AS sim FROM m u JOIN m v ON u.pos = v.pos AND u.gid < v.gid JOIN l lu ON lu.gid = u.gid JOIN l lv ON lv.gid = v.gid GROUP BY ALL),
+  best AS (SELECT a, b FROM s WHERE sim >= 0.35 ORDER BY round(sim, 9) DESC, a, b LIMIT 200), e AS (SELECT a, b FROM best UNION SELECT b, a FROM best),
+  r AS (SELECT a AS x, b AS y FROM e UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a), c AS (SELECT x AS gid, min(y) AS component FROM r GROUP BY x)
+  SELECT gid AS group_id, first_value(gid) OVER (PARTITION BY component ORDER BY n DESC, created, gid) AS primary_id FROM c JOIN z USING (gid)""", "members")
+def merge_plan(t):
+    """E10 over forty stored groups."""
+    groups = t.members.withColumn("gid", F.col("group_id") * 4 + F.col("vec_id") % 4)
+    sizes = groups.groupBy("gid").agg(F.count("*").alias("member_count"), F.min("vec_id").alias("created_at"))
+    made = E.centroids(groups, "gid", "embedding").join(sizes, "gid").withColumn("group_id", F.col("gid").cast("long"))
+    return E.merge_plan(made, threshold=0.35)
+
+
 @query("move_members", """WITH s AS (SELECT vec_id, group_id, CASE WHEN vec_id % 7 = 0 THEN NULL ELSE vec_id % 90 END AS fact_id, vec_id % 60 AS url_id FROM members),
   p AS (SELECT *, CASE WHEN group_id IN (1, 2) THEN 0 ELSE group_id END AS target FROM s),
   r AS (SELECT *, row_number() OVER (PARTITION BY target, coalesce('f' || fact_id, 'u' || url_id) ORDER BY target <> group_id, group_id, vec_id) AS r FROM p)
