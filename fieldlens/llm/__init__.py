@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["sharding", "ann", "near_dedup", "language", "packing", "toxicity", "decontaminate", "license_scan", "url_rules", "quality", "codes", "whitening"]
+MODULES = ["sharding", "ann", "near_dedup", "language", "packing", "toxicity", "decontaminate", "license_scan", "url_rules", "quality", "simhash", "codes", "whitening"]
 
 
 def registry() -> tuple[dict, dict]:
