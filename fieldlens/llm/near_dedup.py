@@ -3,10 +3,12 @@
 Texts with equal shingle sets form a class. Each of ``TREES`` trees orders the classes by a label of its own, a row of
 MinHash values. Classes that share the first ``DEPTH`` values of a label are a region. In a region of ``REGION``
 classes at most all pairs are candidates; a denser one is searched deeper: there, the ``NEIGHBOURS`` next ones in label
-order, which share the longest prefixes. A pair of similarity 0.8 shares no region of 24 trees with a chance of 3e-8.
+order, which share the longest prefixes. A region of over ``HOT_REGION`` rows is dealt out over tasks by class. A pair of similarity 0.8 shares
+no region of 24 trees with a chance of 3e-8, (1 - 0.8^3)^24; no other step loses a link.
 
-Candidates pass if their lengths and signatures allow the similarity, and are then confirmed on full shingle
-sets. Confirming goes in two rounds: first the most similar partner of every class, then, across the components
+Candidates pass if the sizes and parity sketches of their sets allow the similarity, and are then confirmed on full shingle
+sets. A sketch holds, for each of ``SKETCH`` cells, whether an odd number of elements falls into it; two sketches differ in no more cells than the
+sets do in elements, so a pair that this bound rules out is not similar. Confirming goes in two rounds: first the most similar partner of every class, then, across the components
 found so far, every other candidate. Classes of dense regions meet once more, in a prefix-filter join: shingles have one
 order, rarest first by a sketch of their counts, and two similar sets share one of their first ones. Classes of different components
 that share such a shingle are candidates. Where more than ``FEW`` classes share it, the components it brings together form a
@@ -38,8 +40,9 @@ TREES, DEPTH, DEEPER = 24, 3, 3
 VALUES = TREES * DEPTH
 REGION, NEIGHBOURS, BLOCK = 16, 4, 512
 FEW = 32
+SKETCH = 2048
+HOT_REGION = 100_000
 SKETCH_BITS = 18  # of a shingle that pick its counter; counts only order shingles, any order gives the same links
-ESTIMATE_SLACK = 0.2  # over four standard deviations of the signatures' estimate
 BROADCAST_IDS = 1_000_000
 ROWS_PER_PART = 2_000_000
 
@@ -60,6 +63,33 @@ def signatures(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketches(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each set its cells' parities as words of 64 bits, and its size as the last word."""
+    n = len(ends) - 1
+    out = np.zeros((n, SKETCH // 64 + 1), np.uint64)
+    out[:, -1] = np.diff(ends)
+    for at in range(0, n, 1024):
+        to = min(at + 1024, n)
+        mine = hashes[ends[at] : ends[to]]
+        row = np.repeat(np.arange(to - at), np.diff(ends[at : to + 1]))
+        odd = np.bincount(row * SKETCH + (mine & np.uint64(SKETCH - 1)).astype(np.int64), minlength=(to - at) * SKETCH).astype(np.uint8) & 1
+        out[at:to, :-1] = np.packbits(odd.reshape(-1, SKETCH), axis=1).view(np.uint64)
+    return out
+
+
+def allowed(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether pairs of sketches allow the similarity, and an estimate of it that orders pairs."""
+    differ = np.bitwise_count(x[:, :-1] ^ y[:, :-1]).sum(axis=1, dtype=np.int64)
+    total = (x[:, -1] + y[:, -1]).astype(np.int64)
+    sizes = 100 * np.minimum(x[:, -1], y[:, -1]) >= percent * np.maximum(x[:, -1], y[:, -1])
+    return sizes & ((100 + percent) * differ <= (100 - percent) * total), 1 - differ / np.maximum(total, 1)
+
+
+def _binaries(words: np.ndarray) -> pa.Array:
+    width = words.shape[1] * words.itemsize
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(words), [None, pa.py_buffer(words.tobytes())]).cast(pa.binary())
+
+
 def _set_keys(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes + np.uint64(0x51ED270B)))])
     return mix(total[ends[1:]] - total[ends[:-1]] + np.diff(ends).astype(np.uint64)).view(np.int64)
@@ -68,12 +98,9 @@ def _set_keys(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _shingled(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in blocks(batches, "text"):
         hashes, ends = shingle_sets(batch.column("text"), width)
-        signed = signatures(hashes, ends)
-        binary = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * VALUES), len(signed), [None, pa.py_buffer(signed.tobytes())]).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(ends)), pa.array(_set_keys(hashes, ends)), binary],
-            ["doc_id", "text_key", "n_shingles", "k", "signature"],
-        )
+        columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(ends)), pa.array(_set_keys(hashes, ends))]
+        columns += [_binaries(signatures(hashes, ends)), _binaries(sketches(hashes, ends))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "n_shingles", "k", "signature", "sketch"])
 
 
 def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,13 +122,13 @@ def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (kind 0) of rows sorted by region and label, and the classes of dense regions (kind 1)."""
+    """Candidate pairs (kind 0) of rows sorted by region and label, and the classes of dense regions (kind 1). Rows that are hot are a part of a dense region."""
 
-    def pairs(key, k, n, dense) -> pa.RecordBatch:
+    def pairs(key, k, n, hot, dense) -> pa.RecordBatch:
         cut = np.flatnonzero(np.diff(key)) + 1
         runs = np.diff(np.concatenate([[0], cut, [len(key)]]))
         size = np.repeat(runs, runs)
-        deep = (size > REGION) | dense
+        deep = (size > REGION) | dense | hot
         a, b = [], []
         for d in range(1, min(REGION, len(key))):
             ok = (key[d:] == key[:-d]) & (~deep[d:] | (d <= NEIGHBOURS)) & (np.minimum(n[d:], n[:-d]) >= least * np.maximum(n[d:], n[:-d]))
@@ -113,10 +140,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.
         kind = np.concatenate([np.zeros(sum(map(len, a)), np.int32), np.ones(int(deep.sum()), np.int32)])
         return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high), pa.array(kind)], ["a", "b", "kind"])
 
-    held = [np.zeros(0, np.int64)] * 3
+    held = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, bool)]
     dense = np.zeros(0, bool)
     for batch in batches:
-        rows = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("region", "k", "n"))]
+        rows = [np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held[:3], ("region", "k", "n"))]
+        rows.append(np.concatenate([held[3], batch.column("hot").to_numpy(zero_copy_only=False)]))
         dense = np.concatenate([dense, np.zeros(len(rows[0]) - len(dense), bool)])
         key = rows[0]
         if not len(key):
@@ -138,12 +166,11 @@ def _neighbours(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.
         yield pairs(*held, dense)
 
 
-def _estimated(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+def _allowed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, VALUES) for c in ("sa", "sb"))
-        share = (x == y).mean(axis=1)
-        keep = pa.array(share >= least)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(share)], ["a", "b", "estimate"]).filter(keep)
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64 + 1) for c in ("sa", "sb"))
+        keep, estimate = allowed(x, y, percent)
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(estimate)], ["a", "b", "estimate"]).filter(pa.array(keep))
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -183,22 +210,33 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(components(known.union(links.select("a", "b"))))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of the trees, with hot regions cut into parts of about HOT_REGION rows, each a region of its own that counts as dense."""
+    hot = rows.groupBy("region").count().where(F.col("count") > HOT_REGION).select("region", F.ceil(F.col("count") / HOT_REGION).alias("parts"))
+    hot = materialize(hot)  # at most a row for HOT_REGION rows
+    if hot.isEmpty():
+        return rows.withColumn("hot", F.lit(False))
+    hot = F.broadcast(hot) if hot.count() <= BROADCAST_IDS else hot
+    cut = rows.join(hot, "region", "left").withColumn("hot", F.col("parts").isNotNull())
+    return cut.withColumn("region", F.when(F.col("hot"), F.xxhash64("region", F.pmod(F.xxhash64("k"), "parts"))).otherwise(F.col("region"))).drop("parts")
+
+
 def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_key for every row of docs(doc_id, text)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = texts.withColumn("text_key", F.xxhash64("text"))
     share = percent / 100
-    every = materialize(keyed.mapInArrow(lambda b: _shingled(b, width), "doc_id long, text_key long, n_shingles long, k long, signature binary"))
-    classes = materialize(every.where("n_shingles > 0").groupBy("k").agg(F.min("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.min("doc_id").alias("doc_id")))
+    every = materialize(keyed.mapInArrow(lambda b: _shingled(b, width), "doc_id long, text_key long, n_shingles long, k long, signature binary, sketch binary"))
+    classes = materialize(every.where("n_shingles > 0").groupBy("k").agg(F.min("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id")))
     rows = classes.select("k", "n_shingles", "signature").mapInArrow(_tree_rows, "region long, d0 long, d1 long, d2 long, k long, n long")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), classes.count() * TREES // ROWS_PER_PART)
-    ordered = rows.repartition(parts, "region").sortWithinPartitions("region", "d0", "d1", "d2", "k")
+    ordered = _dealt(rows).repartition(parts, "region").sortWithinPartitions("region", "d0", "d1", "d2", "k")
     found = materialize(ordered.mapInArrow(lambda b: _neighbours(b, share), "a long, b long, kind int").distinct())
 
-    def likely(pairs: DataFrame) -> DataFrame:
-        return _with_both(pairs, classes, "signature").mapInArrow(lambda b: _estimated(b, share - ESTIMATE_SLACK), "a long, b long, estimate double")
+    def possible(pairs: DataFrame) -> DataFrame:
+        return _with_both(pairs, classes, "sketch").mapInArrow(lambda b: _allowed(b, percent), "a long, b long, estimate double")
 
-    candidates = materialize(likely(found.where("kind = 0").select("a", "b")))
+    candidates = materialize(possible(found.where("kind = 0").select("a", "b")))
     dense = found.where("kind = 1").select(F.col("a").alias("k"))
     nodes = candidates.select(F.col("a").alias("k")).union(candidates.select("b")).union(dense.select("k")).distinct()
     nodes = materialize(nodes.join(classes.select("k", "doc_id"), "k"))
@@ -218,7 +256,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
         met = prefixes.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("holders"))
         shared = materialize(prefixes.join(met.where("low <> high").select("shingle", "low", "holders"), "shingle"))
         few = materialize(_pairs_apart(shared.where(F.col("holders") <= FEW), percent))
-        links = materialize(confirm(materialize(likely(few)).select("a", "b")))
+        links = materialize(confirm(materialize(possible(few)).select("a", "b")))
         apart = materialize(shared.where((F.col("holders") > FEW) & (F.col("label") != F.col("low"))).select(F.col("low").alias("a"), F.col("label").alias("b")).distinct())
         if not apart.isEmpty():
             links = links.union(materialize(_across(dense, labels, apart, sets, percent)))

@@ -84,7 +84,7 @@ def test_a_dense_region_is_dense_to_its_end():
         parts = [np.arange(200), np.arange(200, 400), np.arange(400, 400 + rest)]
         rows = [(np.ones(len(k), np.int64), k) for k in parts]
         rows[-1] = (np.append(rows[-1][0], [2, 2, 3]), np.append(parts[-1], [900, 901, 902]))
-        batches = [pa.RecordBatch.from_arrays([pa.array(r), pa.array(k), pa.array(np.full(len(k), 50))], ["region", "k", "n"]) for r, k in rows]
+        batches = [pa.RecordBatch.from_arrays([pa.array(r), pa.array(k), pa.array(np.full(len(k), 50)), pa.array(np.zeros(len(k), bool))], ["region", "k", "n", "hot"]) for r, k in rows]
         out = pa.Table.from_batches(near_dedup._neighbours(iter(batches), 0.8)).to_pylist()
         assert {r["a"] for r in out if r["kind"] == 1} == set(range(400 + rest))
 
@@ -103,6 +103,33 @@ def test_pairs_in_a_mass_of_unlike_texts(frame):
     assert got == {i: i if i < 20_000 else i - 20_000 for i in range(20_100)}
 
 
+def test_sketches_rule_out_no_similar_pair(frame):
+    """A of 100 shingles and B with 25 words more are just similar enough; and so are pairs of all sizes."""
+    rng = random.Random(8)
+    for size in (1, 4, 100, 3000):
+        more = size // 4
+        sets = [np.unique(np.array([rng.getrandbits(64) for _ in range(size + more)], np.uint64)) for _ in range(3000 if size <= 100 else 60)]
+        part = [np.sort(s[np.array(sorted(rng.sample(range(size + more), size)))]) for s in sets]
+        x, y = (near_dedup.sketches(np.concatenate(v), np.concatenate([[0], np.cumsum([len(e) for e in v])])) for v in (part, sets))
+        keep, estimate = near_dedup.allowed(x, y, 80)
+        assert keep.all() and (estimate >= 0.79).all()
+    base = [[f"w{rng.randrange(10**8)}" for _ in range(103)] for _ in range(200)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(base)] + [(1000 + i, " ".join(w + [f"v{rng.randrange(10**8)}" for _ in range(25)])) for i, w in enumerate(base)]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 1000 for i, _ in rows}
+
+
+def test_hot_regions_in_parts_hide_no_link(frame, monkeypatch):
+    """What is left of a crowd when its regions are dealt out in parts of a few rows: all links, by the join."""
+    monkeypatch.setattr(near_dedup, "HOT_REGION", 20)
+    rng = random.Random(9)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(10**8)}" for _ in range(rng.randrange(8, 40))])) for i in range(400)]
+    rows += [(500 + i, rows[i][1] + " one more") for i in range(0, 400, 7)]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert got == _exact_components(rows, 4)
+
+
 def _exact_components(rows, width):
     """Components by an exact join over shared shingles."""
     sets = {i: _brute_shingles(t, width) for i, t in rows}
