@@ -41,7 +41,7 @@ LEAF_ROWS = 1 << 13
 PAIRS_AT_ONCE = 1 << 19
 ENUMERATED = 64  # node pairs with so few fingerprint pairs are compared one by one
 BROADCAST_FINGERPRINTS = 1_000_000
-HASHES_AT_ONCE = 1 << 18
+HASHES_AT_ONCE = 1 << 16
 
 _LOWER_BYTE = np.arange(256, dtype=np.uint8)
 _LOWER_BYTE[np.frombuffer(ASCII_UPPER.encode(), np.uint8)] += 32
