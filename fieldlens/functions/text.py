@@ -268,7 +268,8 @@ def query_terms(c: Column, most: int = 8) -> Column:
     return F.slice(F.array_distinct(F.filter(bare, lambda w: (F.length(w) >= 3) & ~w.isin(*QUERY_STOP_WORDS))), 1, most)
 
 
-DATE_FORMATS = ["yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "EEE, d MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm:ss zzz", "d MMM yyyy HH:mm:ss Z", "yyyy-MM-dd"]
+# The forms of dates in feeds.
+DATE_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]", "yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd HH:mm:ss", "EEE, d MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm:ss zzz", "d MMM yyyy HH:mm:ss Z", "yyyy-MM-dd"]
 
 
 def feed_date(c: Column) -> Column:

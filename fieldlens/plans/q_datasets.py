@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.operators import datasets as B
@@ -10,6 +11,9 @@ from fieldlens.operators import providers as P
 from fieldlens.operators import snapshots as S
 from fieldlens.plans.registry import query
 from fieldlens.sources import readers as A
+from fieldlens.sources.feeds import SITEMAP_SPACE, extracted
+from fieldlens.sources.feeds import feed_entries as feed_rows
+from fieldlens.sources.feeds import sitemap_entries as sitemap_rows
 from fieldlens.streaming import news_stream as J
 from fieldlens.streaming.drain import drain, stream_table
 
@@ -267,30 +271,77 @@ def html_tables(t):
     return A.html_tables(t.documents.select("doc_id", html.alias("h")), "doc_id", "h", {"player": ["player"], "injury": ["injur"]})
 
 
-@query("feed_entries", "SELECT source, 'https://x.com/' || source AS url, TIMESTAMP '2024-01-02 03:04:05' AS published FROM (SELECT DISTINCT source FROM documents)")
-def feed_entries(t):
-    item = F.concat(F.lit("<item><title>T</title><link>https://x.com/"), "source", F.lit("</link><pubDate>Tue, 02 Jan 2024 03:04:05 +0000</pubDate></item>"))
-    feeds = t.documents.select("source").distinct().select("source", F.concat(F.lit("<rss>"), item, F.lit("<item><title>no link</title></item>"), F.replace(item, F.lit("</link>"), F.lit("/2</link>")), F.lit("</rss>")).alias("xml"))
-    return A.feed_entries(feeds, most=1).select("source", "url", F.col("published").cast("timestamp_ntz").alias("published"))
+_MARKED = "replace(replace(%s, '&', '&amp;'), '<', '&lt;')"
+_TITLE = "'T&' || substr(coalesce(text, ''), 1, 20) || '<' || doc_id"
+_FEED_OF = "source || '/' || CAST(floor(doc_id / 3000) AS BIGINT)"  # so that no payload grows with the table
+
+
+def _payloads(t, item: str, hidden: str) -> DataFrame:
+    """One payload for each source and 3,000 ids: an item for each document, by id, and a hidden one in a comment after each."""
+    texts = t.documents.where("source is not null").selectExpr(f"{_FEED_OF} AS source", "doc_id", rf"regexp_replace({_TITLE}, '[\\x00-\\x1f]|]]>', ' ') AS title")
+    rows = texts.selectExpr("source", "doc_id", f"{item} || '<!-- ' || {hidden} || ' -->' AS item")
+    return rows.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "item"))), lambda r: r["item"]), "").alias("items"))
 
 
-@query("sitemap_entries", "SELECT source, 'https://x.com/' || source AS url FROM (SELECT DISTINCT source FROM documents)")
+_OWN = rf"SELECT {_FEED_OF} AS source, doc_id, trim(regexp_replace({_TITLE}, '[\x00-\x1f]|]]>', ' ', 'g')) AS title, row_number() OVER (PARTITION BY {_FEED_OF} ORDER BY doc_id) AS r FROM documents WHERE source IS NOT NULL"
+
+
+@query("feed_entries", f"""SELECT source, 'https://x.com/?id=' || doc_id || '&s=' || source AS url, title, CASE WHEN doc_id % 4 = 3 THEN 'by ' || source END AS author, CASE WHEN doc_id % 2 = 0 THEN 'a&b,' || source ELSE '' END AS tags,
+  CASE WHEN doc_id % 5 < 4 THEN TIMESTAMP '2024-01-02 03:04:05' + INTERVAL (doc_id % 60) SECOND END AS published FROM ({_OWN}) WHERE r <= 1000 AND doc_id % 7 <> 0""")
+def feed_entries(t):
+    """A feed for each source, RSS or Atom, some with prefixes: entities, CDATA, comments, media titles, links of several kinds, dates in four places; one in seven entries has no link."""
+    plain, cdata = _MARKED % "title", "'<![CDATA[' || title || ']]>'"
+    url = _MARKED % "'https://x.com/?id=' || doc_id || '&s=' || source"
+    at = "TIMESTAMP '2024-01-02 03:04:05' + make_dt_interval(0, 0, 0, doc_id % 60)"
+    mail, iso = f"date_format({at}, \"EEE, dd MMM yyyy HH:mm:ss 'GMT'\")", f"date_format({at}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+    rss = f"""'<item><media:title>no</media:title><title>' || CASE WHEN doc_id % 3 = 0 THEN {cdata} ELSE {plain} END || '</title>' ||
+      CASE WHEN doc_id % 7 = 0 THEN '<guid isPermaLink="false">' || doc_id || '</guid>' WHEN doc_id % 3 = 1 THEN '<link><![CDATA[https://x.com/?id=' || doc_id || '&s=' || source || ']]></link>' WHEN doc_id % 3 = 2 THEN '<guid>' || {url} || '</guid>' ELSE '<link> ' || {url} || ' </link>' END ||
+      CASE doc_id % 5 WHEN 0 THEN '<pubDate>' || {mail} || '</pubDate>' WHEN 1 THEN '<dc:date>' || {iso} || '</dc:date>' WHEN 2 THEN '<pubDate>soon</pubDate><dcterms:created>' || {iso} || '</dcterms:created>' WHEN 3 THEN '<updated>' || {iso} || '</updated>' ELSE '' END ||
+      CASE WHEN doc_id % 4 = 3 THEN '<dc:creator>by ' || source || '</dc:creator>' ELSE '' END || CASE WHEN doc_id % 2 = 0 THEN '<category>a&amp;b</category><category>' || source || '</category>' ELSE '' END || '</item>'"""
+    atom = f"""'<entry><title type="html">' || CASE WHEN doc_id % 3 = 0 THEN {cdata} ELSE {plain} END || '</title><link rel="self" href="https://self"/>' || CASE WHEN doc_id % 7 = 0 THEN '' ELSE '<link href="' || {url} || '"/>' END ||
+      CASE WHEN doc_id % 5 < 2 THEN '<published>' || {iso} || '</published>' WHEN doc_id % 5 < 4 THEN '<updated>' || {iso} || '</updated>' ELSE '' END ||
+      CASE WHEN doc_id % 4 = 3 THEN '<author><name>by ' || source || '</name></author>' ELSE '' END || CASE WHEN doc_id % 2 = 0 THEN '<category term="a&amp;b"/><category term="' || source || '"/>' ELSE '' END || '</entry>'"""
+    hidden = "'<item><link>https://hidden</link></item>'"
+    spaces = 'xmlns:media="urn:media" xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:dcterms="http://purl.org/dc/terms/"'
+    kind = F.pmod(F.crc32("source"), F.lit(3))
+    of = lambda item: _payloads(t, item, hidden)
+    wrapped = lambda df, head, tail: df.select("source", F.concat(F.lit(head), "items", F.lit(tail)).alias("xml"))
+    feeds = wrapped(of(rss).where(kind == 0), f'<?xml version="1.0" encoding="UTF-8"?><rss version="2.0" {spaces}><channel><title>C</title><atom:link xmlns:atom="http://www.w3.org/2005/Atom" href="https://own"/>', "</channel></rss>")
+    feeds = feeds.union(wrapped(of(atom).where(kind == 1), '<feed xmlns="http://www.w3.org/2005/Atom"><title>F</title>', "</feed>"))
+    prefixed = F.regexp_replace("items", r"(</?)(entry|title|link|published|updated|author|name|category)\b", "$1a:$2")
+    feeds = feeds.union(wrapped(of(atom).where(kind == 2).withColumn("items", prefixed), '<a:feed xmlns:a="http://www.w3.org/2005/Atom">', "</a:feed>"))
+    found = feed_rows(feeds)
+    return found.select("source", "url", "title", "author", F.array_join("tags", ",").alias("tags"), F.col("published").cast("timestamp_ntz").alias("published"))
+
+
+@query("sitemap_entries", f"""SELECT source, 'https://x.com/?id=' || doc_id || '&s=' || source AS url, CASE WHEN doc_id % 2 = 0 THEN title END AS title, CASE WHEN doc_id % 3 < 2 THEN TIMESTAMP '2024-01-02 00:00:00' + INTERVAL (doc_id % 20) DAY END AS published
+  FROM ({_OWN}) WHERE r <= 5000 AND doc_id % 7 <> 0""")
 def sitemap_entries(t):
-    maps = t.documents.select("source").distinct().select("source", F.concat(F.lit("<urlset><url><loc> https://x.com/"), "source", F.lit("</loc><lastmod>2024-01-02</lastmod></url><url></url></urlset>")).alias("xml"))
-    return A.sitemap_entries(maps).select("source", "url")
+    """A sitemap for each source, some with a prefix: entities, CDATA, comments, images with addresses of their own, and news elements that date what has no change date."""
+    url, plain = _MARKED % "'https://x.com/?id=' || doc_id || '&s=' || source", _MARKED % "title"
+    day = "date_format(TIMESTAMP '2024-01-02 00:00:00' + make_dt_interval(CAST(doc_id % 20 AS INT)), 'yyyy-MM-dd')"
+    item = f"""'<url>' || CASE WHEN doc_id % 7 = 0 THEN '<loc> </loc>' WHEN doc_id % 2 = 0 THEN '<loc><![CDATA[https://x.com/?id=' || doc_id || '&s=' || source || ']]></loc>' ELSE '<loc> ' || {url} || '</loc>' END || '<image:image><image:loc>https://img</image:loc></image:image>' ||
+      CASE WHEN doc_id % 3 = 0 THEN '<lastmod>' || {day} || '</lastmod>' ELSE '' END || '<news:news>' || CASE WHEN doc_id % 2 = 0 THEN '<news:title>' || {plain} || '</news:title>' ELSE '' END ||
+      CASE doc_id % 3 WHEN 0 THEN '<news:publication_date>2001-01-01</news:publication_date>' WHEN 1 THEN '<news:publication_date>' || {day} || 'T02:00:00+02:00</news:publication_date>' ELSE '' END || '</news:news></url>'"""
+    maps = _payloads(t, item, "'<url><loc>https://hidden</loc></url>'")
+    spaces = 'xmlns:news="http://www.google.com/schemas/sitemap-news/0.9" xmlns:image="urn:image"'
+    prefix = F.pmod(F.crc32("source"), F.lit(2)) == 0
+    named = F.when(prefix, F.concat(F.lit(f'<s:urlset xmlns:s="{SITEMAP_SPACE}" {spaces}>'), F.regexp_replace("items", r"(</?)(url|loc|lastmod)\b", "$1s:$2"), F.lit("</s:urlset>")))
+    maps = maps.select("source", F.coalesce(named, F.concat(F.lit(f'<urlset xmlns="{SITEMAP_SPACE}" {spaces}>'), "items", F.lit("</urlset>"))).alias("xml"))
+    return sitemap_rows(maps).select("source", "url", "title", F.col("published").cast("timestamp_ntz").alias("published"))
 
 
-_SOURCES = "sources AS (SELECT n_nationkey AS k, 'S' || n_nationkey AS source, CAST(24 - n_nationkey AS INT) AS source_order, CASE WHEN n_nationkey % 5 = 4 THEN 'timeout' WHEN n_nationkey % 7 = 3 THEN 'missing result' END AS error FROM nation)"
+_SOURCES = "sources AS (SELECT n_nationkey AS k, 'S' || n_nationkey AS source, CAST(24 - n_nationkey AS INT) AS source_order, CASE WHEN n_nationkey % 5 = 4 THEN 'timeout' WHEN n_nationkey % 7 = 3 THEN 'missing result' WHEN n_nationkey % 2 = 1 AND n_nationkey % 9 = 7 THEN 'invalid xml' END AS error FROM nation)"
 
 
 def _extracted(t):
-    """Feeds and sitemaps of one to three entries; some sources fail, some were never read."""
+    """Feeds and sitemaps of one to three entries; some sources fail, some were never read, and one sitemap breaks off."""
     k = F.col("n_nationkey")
     rss = F.transform(F.sequence(F.lit(0), k % 3), lambda i: F.concat(F.lit("<item><title>T</title><link>https://x.com/"), k, F.lit("/"), i, F.lit("</link></item>")))
     maps = F.transform(F.sequence(F.lit(0), k % 3), lambda i: F.concat(F.lit("<url><loc>https://x.com/"), k, F.lit("/"), i, F.lit("</loc></url>")))
-    xml = F.when(k % 2 == 0, F.concat(F.lit("<rss>"), F.array_join(rss, ""), F.lit("</rss>"))).otherwise(F.concat(F.lit("<urlset>"), F.array_join(maps, ""), F.lit("</urlset>")))
+    xml = F.when(k % 2 == 0, F.concat(F.lit("<rss>"), F.array_join(rss, ""), F.lit("</rss>"))).otherwise(F.concat(F.lit(f'<urlset xmlns="{SITEMAP_SPACE}">'), F.array_join(maps, ""), F.when(k % 9 != 7, F.lit("</urlset>")).otherwise("")))
     sources = t.nation.select(F.concat(F.lit("S"), k).alias("source"), (24 - k).cast("int").alias("source_order"), F.when(k % 2 == 0, "rss").otherwise("sitemap").alias("kind"))
-    return A.extracted(sources, t.nation.where("n_nationkey % 7 <> 3 or n_nationkey % 5 = 4").select(F.concat(F.lit("S"), k).alias("source"), F.when(k % 5 != 4, xml).alias("xml"), F.when(k % 5 == 4, "timeout").alias("error")))
+    return extracted(sources, t.nation.where("n_nationkey % 7 <> 3 or n_nationkey % 5 = 4").select(F.concat(F.lit("S"), k).alias("source"), F.when(k % 5 != 4, xml).alias("xml"), F.when(k % 5 == 4, "timeout").alias("error")))
 
 
 @query("source_extraction", f"WITH {_SOURCES} SELECT source, source_order, CAST(i AS INT) AS pos, 'https://x.com/' || k || '/' || i AS url FROM (SELECT *, unnest(range(1 + k % 3)) AS i FROM sources WHERE error IS NULL)")

@@ -1,4 +1,4 @@
-"""Sources: typed scans, tagged unions, and nested or marked-up payloads to rows.
+"""Sources: typed scans, tagged unions, and nested or marked-up payloads to rows (A1-A14, A17-A19, F14, F28; feeds and sitemaps are in feeds).
 
 JSON and regular-expression work stays on the JVM. HTML, recursive JSON and repair of broken JSON have no built-in, and
 run as Arrow-batched functions; each yields rows for one payload at a time, so memory follows the largest payload.
@@ -146,51 +146,6 @@ def html_tables(pages: DataFrame, id_col: str, name: str, columns: dict[str, lis
     return pages.select(id_col, name).mapInPandas(run, f"id {kind}, heading string, " + ", ".join(f"`{c}` string" for c in columns))
 
 
-def feed_entries(feeds: DataFrame, name: str = "xml", most: int | None = None, place: bool = False) -> DataFrame:
-    """Items of RSS payloads (source, xml): a link is needed, the first date of several counts, ``most`` for each source."""
-    items = feeds.select("source", F.posexplode(F.regexp_extract_all(name, F.lit(r"(?s)<item\b[^>]*>(.*?)</item>"), F.lit(1))).alias("pos", "item"))
-    field = lambda tag: F.nullif(F.trim(F.regexp_replace(F.regexp_extract("item", rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>", 1), r"(?s)^\s*<!\[CDATA\[(.*?)\]\]>\s*$", "$1")), F.lit(""))
-    out = items.select("source", "pos", field("link").alias("url"), field("title").alias("title"), field("description").alias("description"), feed_date(F.coalesce(field("pubDate"), field("dc:date"), field("updated"))).alias("published"))
-    return capped(out.where("url is not null"), most, place)
-
-
-def capped(entries: DataFrame, most: int | None, place: bool = False) -> DataFrame:
-    """The first entries of each source, with their place (pos) in it if asked for."""
-    from pyspark.sql import Window
-
-    if most is not None:
-        rank = F.row_number().over(Window.partitionBy("source").orderBy("pos"))
-        entries = entries.withColumn("__r", rank).where(F.col("__r") <= most).drop("__r")
-    return entries if place else entries.drop("pos")
-
-
-def extracted(sources: DataFrame, payloads: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """The items of many sources in the order of the configuration, and how each source fared.
-
-    sources has source, source_order and kind (rss or sitemap); payloads has source, xml and error, a row for each source that was
-    asked. A source with an error, or without a payload, fails alone: it gives no items, and all others theirs.
-    """
-    asked = sources.join(payloads, "source", "left").withColumn("error", F.when(F.col("error").isNotNull(), F.col("error")).when(F.col("xml").isNull(), "missing result"))
-    read = asked.where("error is null")
-    feeds = feed_entries(read.where("kind = 'rss'").select("source", "xml"), most=most, place=True).select("source", "pos", "url", "title", "published")
-    maps = sitemap_entries(read.where("kind = 'sitemap'").select("source", "xml"), most=most or SITEMAP_ENTRIES, place=True).select("source", "pos", "url", "title", "published")
-    items = feeds.unionByName(maps).join(sources.select("source", "source_order"), "source").withColumn("seq", F.struct("source_order", "pos"))
-    found = items.groupBy("source").agg(F.count("*").alias("found"))
-    outcomes = asked.join(found, "source", "left").select("source", "source_order", F.col("error").isNull().alias("success"), "error", F.coalesce("found", F.lit(0)).alias("found"))
-    return items, outcomes
-
-
-SITEMAP_ENTRIES = 5000
-
-
-def sitemap_entries(maps: DataFrame, name: str = "xml", most: int | None = SITEMAP_ENTRIES, place: bool = False) -> DataFrame:
-    """Url elements of sitemaps (source, xml) with their last change or publication."""
-    items = maps.select("source", F.posexplode(F.regexp_extract_all(name, F.lit(r"(?s)<url\b[^>]*>(.*?)</url>"), F.lit(1))).alias("pos", "item"))
-    field = lambda tag: F.nullif(F.trim(F.regexp_extract("item", rf"(?s)<{tag}\b[^>]*>(.*?)</{tag}>", 1)), F.lit(""))
-    out = items.select("source", "pos", field("loc").alias("url"), field("news:title").alias("title"), feed_date(F.coalesce(field("news:publication_date"), field("lastmod"))).alias("published"))
-    return capped(out.where("url is not null"), most, place)
-
-
 ARTICLE_TYPES = ["Story", "HeadlineNews"]
 
 

@@ -9,6 +9,7 @@ from fieldlens.functions import text as X
 from fieldlens.operators import jobs as J
 from fieldlens.operators import rules as H
 from fieldlens.operators import snapshots as S
+from fieldlens.sources import feeds as E
 from fieldlens.sources import readers as A
 
 
@@ -93,3 +94,55 @@ def test_job_claims_compare_first(frame):
     jobs = frame([(1, "queued"), (2, "running")], "job_id int, status string")
     after = {r["job_id"]: r["status"] for r in J.claim(J.claim(jobs, 1), 2, expected="queued", to="failed").collect()}
     assert after == {1: "running", 2: "running"}
+
+
+_RSS = """<?xml version="1.0"?><rss xmlns:media="m" xmlns:dc="d"><channel><title>C</title><!-- <item><link>https://hidden</link></item> -->
+<item><media:title>no</media:title><title>A &amp; B &#8217;<![CDATA[ <b>x</b>]]></title><link>https://x.com/?a=1&amp;b=2</link><pubDate>Tue, 02 Jan 2024 03:04:05 GMT</pubDate><category>n1</category><category>n2</category></item>
+<item><link><![CDATA[https://x.com/2]]></link><dc:date>2024-01-02T03:04:05.120Z</dc:date><dc:creator>Jo</dc:creator></item><item><title>no link</title><guid isPermaLink="false">9</guid></item>
+<item><guid>https://x.com/3</guid><pubDate>soon</pubDate><description/></item></channel></rss>"""
+_ATOM = """<feed xmlns="http://www.w3.org/2005/Atom"><title>F</title><entry><title>T</title><link rel="self" href="https://s"/><link rel="alternate" href="https://a/1?x=1&amp;y=2"/><updated>2024-01-02T03:04:05Z</updated><author><name>Ro</name></author><summary>S</summary><category term="t"/></entry></feed>"""
+
+
+def _entries(frame, xml, **options):
+    return [tuple(r) for r in E.feed_entries(frame([("s", xml)], "source string, xml string"), place=True, **options).orderBy("pos").select("url", "title", "author", "tags", F.date_format("published", "HH:mm:ss")).collect()]
+
+
+def test_feeds_are_read_as_xml(frame):
+    assert _entries(frame, _RSS) == [("https://x.com/?a=1&b=2", "A & B \u2019 <b>x</b>", None, ["n1", "n2"], "03:04:05"), ("https://x.com/2", None, "Jo", [], "03:04:05"), ("https://x.com/3", None, None, [], None)]
+    atom = [("https://a/1?x=1&y=2", "T", "Ro", ["t"], "03:04:05")]
+    assert _entries(frame, _ATOM) == atom
+    prefixed = _ATOM.replace("xmlns=", "xmlns:a=").replace("<feed", "<a:feed").replace("</feed", "</a:feed").replace("<entry", "<a:entry").replace("</entry", "</a:entry")
+    for tag in ("title", "link", "updated", "author", "summary", "category"):
+        prefixed = prefixed.replace(f"<{tag}", f"<a:{tag}").replace(f"</{tag}", f"</a:{tag}")
+    assert [r[:2] for r in _entries(frame, prefixed)] == [r[:2] for r in atom]
+
+
+@pytest.mark.parametrize(
+    ("xml", "urls"),
+    [
+        ("<rss><channel><item><link>https://x/?a=1&b=2</link></item></channel></rss>", ["https://x/?a=1&b=2"]),  # a stray ampersand
+        ("<rss><channel><item><link>https://x/1</link></item><item><link>https://x", ["https://x/1"]),  # breaks off
+        ("<feed><entry><link href='https://x/1'/></entry><entry><li", ["https://x/1"]),
+        ("<rdf:RDF xmlns:rdf='r'><channel/><item><link>https://x/1</link></item></rdf:RDF>", ["https://x/1"]),
+        ("<html>", []), ("", []), (None, []), ("no xml", []),
+    ],
+)
+def test_feeds_that_are_odd_or_broken(frame, xml, urls):
+    assert [r[0] for r in _entries(frame, xml)] == urls
+
+
+def test_feed_limits(frame):
+    items = "".join(f"<item><link>https://x/{i}</link><pubDate>{1 + i % 9} Jan 2024 00:00:00 +0000</pubDate></item>" for i in range(1100))
+    xml = f"<rss><channel>{items}</channel></rss>"
+    assert len(_entries(frame, xml)) == 1000
+    late = _entries(frame, xml, most=5, days_back=3, as_of=F.lit("2024-01-10 12:00:00").cast("timestamp"))
+    assert [r[0] for r in late] == [f"https://x/{i}" for i in (6, 7, 8, 15, 16)]
+
+
+def test_sitemaps(frame):
+    own = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
+    url = "<url><loc><![CDATA[https://x/?a=1&b=2]]></loc><image:image xmlns:image='i'><image:loc>https://img</image:loc></image:image><news:news xmlns:news='n'><news:title>T &amp; U</news:title><news:publication_date>2024-01-03</news:publication_date></news:news></url>"
+    rows = [("a", f"<urlset {own}><!-- {url} -->{url}<url><lastmod>2024-01-01</lastmod></url></urlset>"), ("b", f"<urlset>{url}</urlset>"), ("c", f"<urlset {own}>{url}"), ("d", None)]
+    df = frame(rows, "source string, xml string")
+    assert [tuple(r) for r in E.sitemap_entries(df).select("source", "url", "title", F.date_format("published", "yyyy-MM-dd")).collect()] == [("a", "https://x/?a=1&b=2", "T & U", "2024-01-03")]
+    assert {r["source"] for r in df.where(E.broken(F.col("xml"))).collect()} == {"c"}
