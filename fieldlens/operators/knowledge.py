@@ -1,11 +1,11 @@
-"""Facts, topics, entities and their completion."""
+"""Facts, topics, entities and their completion (F17, F18, G10-G24, G36; batch results are in batches)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.text import canonical_topic, entity_key, topic_category
+from fieldlens.functions.text import canonical_topic, entity_key
 from fieldlens.operators.dedupe import first_by
 
 
@@ -131,44 +131,6 @@ def chunks(facts: DataFrame, size: int) -> DataFrame:
     return facts.withColumn("chunk", F.floor(place / size).cast("int")).groupBy("url_id", "chunk").agg(F.array_sort(F.collect_list("fact_id")).alias("facts"))
 
 
-def batch_results(lines: DataFrame, known: DataFrame) -> DataFrame:
-    """Result lines (JSON text with custom_id "kind_id" or "kind:id" and a body) parsed, without those already loaded."""
-    parsed = lines.select(F.from_json("value", "custom_id string, response struct<body: string>, error string").alias("j"))
-    out = parsed.where("j.custom_id is not null").select(
-        F.regexp_extract("j.custom_id", r"^([a-z]+)[_:]", 1).alias("kind"), F.regexp_extract("j.custom_id", r"[_:](\d+)", 1).try_cast("long").alias("id"), F.col("j.response.body").alias("body"), F.col("j.error").alias("error")
-    )
-    return out.where("id is not null").join(known.select("id"), "id", "left_anti")
-
-
-_TOPIC_LINE = """struct<custom_id: string, error: string, response: struct<status_code: int, body: struct<model: string, output_text: string>>>"""
-_TOPIC_ROWS = "struct<facts: array<struct<news_fact_id: bigint, topics: array<struct<topic: string, confidence: double, rank: int>>>>>"
-NO_TOPICS = "NO_TOPICS_FOUND"
-
-
-def topic_batch(lines: DataFrame, facts: DataFrame, held: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """The topics of a batch's result lines (value), ready to be written, and a report of one row.
-
-    Lines that are no JSON, report an error or another status than 200 are counted and left out. Facts that do not exist in facts(fact_id)
-    are counted as missing; those in held(fact_id) as existing, if they are to be skipped. Topics pass the list of labels, the
-    best of a fact's equal ones stays, and a fact without any gets a marker, so that it is not asked for again.
-    """
-    parsed = lines.select(F.from_json("value", _TOPIC_LINE).alias("j"))
-    bad = F.coalesce(F.col("j.error").isNotNull() | (F.coalesce("j.response.status_code", F.lit(0)) != 200), F.lit(True))
-    fine = parsed.where(~bad).select(F.coalesce("j.response.body.model", F.lit("unknown")).alias("llm_model"), F.from_json("j.response.body.output_text", _TOPIC_ROWS)["facts"].alias("rows"))
-    rows = fine.select("llm_model", F.explode("rows").alias("r")).select("llm_model", F.col("r.news_fact_id").alias("fact_id"), "r.topics").where("fact_id is not null")
-    there = facts.select("fact_id").distinct().withColumn("__there", F.lit(True))
-    done = (facts.limit(0) if held is None else held).select("fact_id").distinct().withColumn("__held", F.lit(True))
-    marked = rows.join(there, "fact_id", "left").join(done, "fact_id", "left").withColumns({"__there": F.coalesce("__there", F.lit(False)), "__held": F.coalesce("__held", F.lit(False))})
-    new = marked.where("__there and not __held")
-    each = new.select("fact_id", "llm_model", F.explode_outer("topics").alias("t")).withColumn("topic", topic_category(F.col("t.topic")))
-    best = each.groupBy("fact_id", "llm_model", "topic").agg(F.max("t.confidence").alias("confidence"), F.min("t.rank").alias("rank"))
-    empty = best.groupBy("fact_id", "llm_model").agg(F.count("topic").alias("n")).where("n = 0").select("fact_id", "llm_model", F.lit(NO_TOPICS).alias("topic"), F.lit(1.0).alias("confidence"), F.lit(1).alias("rank"))
-    out = best.where("topic is not null").unionByName(empty)
-    failed = parsed.agg(F.count_if(bad).alias("errors"))
-    report = marked.agg(F.count("*").alias("facts_in_output"), F.count_if(~F.col("__there")).alias("skipped_missing"), F.count_if(F.col("__there") & F.col("__held")).alias("skipped_existing"))
-    return out, report.crossJoin(failed).crossJoin(empty.agg(F.count("*").alias("without_data")))
-
-
 def replaced(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """A table in which the rows of each key that ``rows`` brings are cleared before these are put in."""
     return table.join(rows.select(key).distinct(), key, "left_anti").unionByName(rows, allowMissingColumns=True)

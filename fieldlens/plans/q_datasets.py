@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from fieldlens.sources import readers as A
 from fieldlens.sources.feeds import SITEMAP_SPACE, extracted
 from fieldlens.sources.feeds import feed_entries as feed_rows
 from fieldlens.sources.feeds import sitemap_entries as sitemap_rows
+from fieldlens.session import shared_dir
+from fieldlens.sources.tables import Table
 from fieldlens.streaming import news_stream as J
 from fieldlens.streaming.drain import drain, stream_table
 
@@ -516,11 +520,49 @@ def stream_tumbling(t):
     return drain(J.tumbling(stream_table(t.spark, t.sf_dir, "events")), "complete").withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query("stream_seen_once", "SELECT DISTINCT user_id FROM events")
+@query("stream_sessions", """WITH g AS (SELECT *, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS b FROM events), s AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM g)
+  SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, k""")
+def stream_sessions(t):
+    """The sessions of event_session, from a stream."""
+    return drain(J.sessions(stream_table(t.spark, t.sf_dir, "events")), "complete").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
+
+
+@query("stream_seen_once", "SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type FROM events) GROUP BY ALL")
 def stream_seen_once(t):
-    """The first event of each user, within a bound that spans the table."""
-    events = stream_table(t.spark, t.sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")).select("user_id", "at")
-    return drain(J.seen_once(events, "user_id", "at", "60 days")).select("user_id")
+    """One event of each user and type, within a bound that spans the table."""
+    events = stream_table(t.spark, t.sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")).select("user_id", "event_type", "at", F.concat_ws("#", "user_id", "event_type").alias("key"))
+    return drain(J.seen_once(events, "key", "at", "60 days")).groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+
+
+_STEP = """p{i} AS (SELECT news.* FROM news LEFT JOIN m{b} USING (source) WHERE item_id % 3 = {i} AND (published IS NULL OR mark IS NULL OR published > mark) AND url NOT IN (SELECT url FROM l{b})),
+  f{i} AS (SELECT item_id, url, source, published, {i} AS batch FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY seq) AS r FROM p{i}) WHERE r = 1), l{i} AS (SELECT * FROM l{b} UNION ALL SELECT * FROM f{i}),
+  m{i} AS (SELECT source, max(mark) AS mark FROM (SELECT * FROM m{b} UNION ALL SELECT source, published FROM f{i}) GROUP BY source)"""
+_FLOW = "l_ AS (SELECT item_id, url, source, published, 0 AS batch FROM news WHERE FALSE), m_ AS (SELECT source, published AS mark FROM news WHERE FALSE), " + ", ".join(_STEP.format(i=i, b="_" if i == 0 else i - 1) for i in range(3))
+
+
+def _flowed(t) -> J.NewsFlow:
+    """The news in three batches through the flow, the last one twice."""
+    path = f"{shared_dir(t.spark)}/query-{uuid.uuid4().hex}"
+    flow = J.NewsFlow(Table(t.spark, f"{path}/links"), Table(t.spark, f"{path}/marks"))
+    items = t.news.withColumn("published", F.col("published").cast("timestamp"))
+    for i in range(3):  # a stream of one folder at a time: a restart for each
+        items.where(F.col("item_id") % 3 == i).write.parquet(f"{path}/in/part={i}")
+        stream = t.spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 100_000).parquet(f"{path}/in")
+        flow.start(stream.drop("part"), f"{path}/checkpoint").awaitTermination()
+    flow.batch(items.where("item_id % 3 = 2"), 2)
+    return flow
+
+
+@query("stream_news", f"WITH {_FLOW} SELECT item_id, url, source, batch FROM l2", "news")
+def stream_news(t):
+    """G1-G4 as a stream: which links are new, and in which batch."""
+    return _flowed(t).links.read().select("item_id", "url", "source", "batch")
+
+
+@query("stream_marks", f"WITH {_FLOW} SELECT source, mark AS last_published_at FROM m2", "news")
+def stream_marks(t):
+    """G2, G3 as a stream: every source's mark in the end."""
+    return _flowed(t).marks.read().select("source", F.col("last_published_at").cast("timestamp_ntz").alias("last_published_at"))
 
 
 @query("stream_clusters", "SELECT CAST(vec_id AS BIGINT) AS id FROM embeddings")

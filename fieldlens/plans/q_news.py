@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fieldlens.operators import batches as T
 from fieldlens.operators import jobs as J
 from fieldlens.operators import knowledge as K
 from fieldlens.operators import news as N
@@ -208,11 +209,50 @@ def fact_chunks(t):
     return K.chunks(t.facts, 2).select("url_id", "chunk", F.size("facts").cast("long").alias("n"), F.get("facts", F.lit(0)).alias("first"))
 
 
-@query("batch_results", "SELECT 'summary' AS kind, doc_id AS id, 'b' || doc_id AS body FROM documents WHERE doc_id % 4 <> 1 AND doc_id % 9 <> 0")
+#: An article's id in the form of a UUID, in SQL of both engines.
+_UUID = "substr(md5(CAST(doc_id AS STRING)), 1, 8) || '-' || substr(md5(CAST(doc_id AS STRING)), 9, 4) || '-' || substr(md5(CAST(doc_id AS STRING)), 13, 4) || '-' || substr(md5(CAST(doc_id AS STRING)), 17, 4) || '-' || substr(md5(CAST(doc_id AS STRING)), 21, 12)"
+_SUMMARY = f"x AS (SELECT doc_id, {_UUID} AS article_id, 'Sum ' || doc_id || ': ' || regexp_replace(substr(coalesce(text, ''), 1, 40), '[^A-Za-z0-9 ]', '_'%s) || '.' AS summary_text FROM documents)"
+_SUMMARY_SQL = _SUMMARY % ", 'g'" + ", u AS (SELECT * FROM x WHERE doc_id % 11 < 8 AND doc_id % 13 <> 5)"  # 11: broken lines, errors, refusals; 13: no summary
+
+
+def _summary_batch(t):
+    """Result lines with UUIDs: articles asked for twice, topics in both forms of id, garbled ids, replies in several shapes, broken lines, errors, refusals, and articles held already."""
+    x = t.spark.sql(f"WITH {_SUMMARY % ''} SELECT * FROM x".replace("documents", "{documents}"), documents=t.documents)
+    k, article = F.col("doc_id"), F.col("article_id")
+    scope = F.when(k % 5 == 0, "|team|KC|Chiefs").when(k % 5 == 1, "|none|none|none").when(k % 5 == 2, "|player|00-0033873").when(k % 5 == 3, "|topics|x").otherwise("|player|UNRESOLVED:jo_roe|Jo")
+    hard = F.concat(F.lit("hard_"), article, F.lit("_2|injuries & health"), scope)
+    old = F.concat(F.lit("hard_"), article, F.lit("_1_trades_team_BUF_x"))
+    asks = x.select("*", F.posexplode(F.when(k % 3 == 0, F.array(F.concat(F.lit("easy_"), article), F.concat(F.lit("easy_"), article))).when(k % 3 == 1, F.array(hard, old)).otherwise(F.array(hard))).alias("turn", "custom_id"))
+    last = (k % 3 != 0) | (F.col("turn") == 1)
+    summary = F.when(last, F.col("summary_text")).otherwise("earlier")
+    json = F.to_json(F.struct(F.when(k % 13 != 5, summary).alias("summary")), {"ignoreNullFields": "true"})
+    text = F.when(k % 4 == 1, F.concat(F.lit("Here it is: "), json, F.lit(" done"))).when(k % 4 == 2, F.concat(F.lit("```json\n"), json, F.lit("\n```"))).otherwise(json)
+    content = lambda body: F.to_json(F.struct(F.col("custom_id"), F.when(k % 11 == 9, F.struct(F.lit("no").alias("message"))).alias("error"), F.struct(F.when(k % 11 == 10, 429).otherwise(200).alias("status_code"), body.alias("body")).alias("response")))
+    plain = content(F.struct(F.lit("m1").alias("model"), F.array(F.struct(F.struct(text.alias("content")).alias("message"))).alias("choices")))
+    parts = content(F.struct(F.lit("m1").alias("model"), F.array(F.struct(F.struct(F.array(F.struct(F.lit("note").alias("type"), F.lit("no").alias("text")), F.struct(F.lit("text").alias("type"), text.alias("text"))).alias("content")).alias("message"))).alias("choices")))
+    line = F.when(k % 11 == 8, '{"custom_id": "easy_').when(k % 7 == 0, parts).otherwise(plain)
+    held = x.where("doc_id % 17 = 3").select("article_id", F.lit("easy").alias("kind"))
+    return T.summary_batch(asks.select((k * 2 + F.col("turn")).alias("seq"), line.alias("value")), held)
+
+
+@query("batch_results", f"WITH {_SUMMARY_SQL} SELECT article_id, summary_text, 'm1' AS llm_model FROM u WHERE doc_id % 3 = 0 AND doc_id % 17 <> 3")
 def batch_results(t):
-    good = F.concat(F.lit('{"custom_id": "summary_'), F.col("doc_id").cast("string"), F.lit('", "response": {"body": "b'), F.col("doc_id").cast("string"), F.lit('"}}'))
-    lines = t.documents.select(F.when(F.col("doc_id") % 4 == 1, '{"custom_id": broken').otherwise(good).alias("value"))
-    return K.batch_results(lines, t.documents.where("doc_id % 9 = 0").select(F.col("doc_id").alias("id"))).select("kind", "id", "body")
+    """Summaries of whole articles."""
+    return _summary_batch(t)[0]
+
+
+@query("batch_topic_summaries", f"""WITH {_SUMMARY_SQL} SELECT article_id, 'injuries & health' AS primary_topic, CASE doc_id % 5 WHEN 0 THEN 'KC' END AS primary_team, CASE doc_id % 5 WHEN 0 THEN 'team' WHEN 2 THEN 'player' END AS primary_scope_type,
+  CASE doc_id % 5 WHEN 0 THEN 'KC' WHEN 2 THEN '00-0033873' END AS primary_scope_id, CASE doc_id % 5 WHEN 0 THEN 'Chiefs' WHEN 2 THEN '00-0033873' END AS primary_scope_label, summary_text, 'm1' AS llm_model FROM u WHERE doc_id % 3 <> 0 AND doc_id % 5 < 3
+  UNION ALL SELECT article_id, 'trades', 'BUF_x', 'team', 'BUF_x', 'BUF_x', summary_text, 'm1' FROM u WHERE doc_id % 3 = 1""")
+def batch_topic_summaries(t):
+    """Summaries of topics, with their scopes."""
+    return _summary_batch(t)[1].drop("seq")
+
+
+@query("batch_report", f"""WITH {_SUMMARY_SQL}, a AS (SELECT *, CASE doc_id % 3 WHEN 2 THEN 1 ELSE 2 END AS n FROM x) SELECT (SELECT count(*) FROM u) AS articles, (SELECT count(*) FROM u WHERE doc_id % 3 = 0 AND doc_id % 17 = 3) AS skipped_existing,
+  (SELECT count(*) FROM u WHERE doc_id % 3 <> 0 AND doc_id % 5 >= 3) AS garbled, (SELECT coalesce(sum(n), 0)::BIGINT FROM a WHERE doc_id % 11 >= 8) AS errors, (SELECT coalesce(sum(n), 0)::BIGINT FROM a WHERE doc_id % 11 < 8 AND doc_id % 13 = 5) AS without_data""")
+def batch_report(t):
+    return _summary_batch(t)[2]
 
 
 _FINE = "fine AS (SELECT fact_id FROM facts WHERE fact_id % 13 NOT IN (5, 6, 7)), new AS (SELECT * FROM fine WHERE fact_id % 17 <> 3 AND fact_id % 19 <> 0)"
@@ -221,17 +261,19 @@ _FINE = "fine AS (SELECT fact_id FROM facts WHERE fact_id % 13 NOT IN (5, 6, 7))
 def _topic_batch(t):
     """Result lines: broken ones, errors and refusals, unknown facts, facts held already, equal topics and unlisted ones."""
     f = F.col("fact_id")
-    topic = lambda name, conf, rank: F.struct(F.lit(name).alias("topic"), F.lit(conf).alias("confidence"), F.lit(rank).alias("rank"))
-    two = F.array(topic("Injuries & Player Health", 0.5, 2), topic("injuries and player health", 0.9, 1))
-    topics = F.when(f % 3 == 0, two).when(f % 3 == 1, F.array(topic("Nonsense", 0.8, 1))).otherwise(F.array(topic("Statistics & Rankings", 0.7, 1)))
-    text = F.to_json(F.struct(F.array(F.struct(F.when(f % 17 == 3, f + 1_000_000_000).otherwise(f).alias("news_fact_id"), topics.alias("topics"))).alias("facts")))
+    topic = lambda name, conf, rank: F.to_json(F.struct(F.lit(name).alias("topic"), F.lit(conf).alias("confidence"), F.lit(rank).alias("rank")))
+    two = F.concat(F.lit("["), topic("Injuries & Player Health", 0.5, 2), F.lit(","), topic("injuries and player health", 0.9, 1), F.lit("]"))
+    topics = F.when(f % 3 == 0, F.concat(F.lit('"topics": '), two)).when(f % 3 == 1, '"topics": ["Nonsense", {"text": ""}]').otherwise(F.when(f % 2 == 0, '"topics": "Statistics & Rankings"').otherwise('"topic": " statistics and rankings "'))
+    row = F.concat(F.lit('{"news_fact_id": '), F.when(f % 17 == 3, f + 1_000_000_000).otherwise(f).cast("string"), F.lit(", "), topics, F.lit("}"))
+    text = F.when(f % 5 == 0, F.concat(F.lit("["), row, F.lit(", 7]"))).when(f % 5 == 1, F.concat(F.lit('{"results": ['), row, F.lit("]}"))).when(f % 5 == 2, F.concat(F.lit('{"results": [], "data": ['), row, F.lit("]}"))).otherwise(F.concat(F.lit("Sure: ["), row, F.lit("] ok")))
     body = F.struct(F.lit("m").alias("model"), text.alias("output_text"))
     status = F.when(f % 13 == 6, 500).otherwise(200)
     line = F.to_json(F.struct(F.concat(F.lit("t_"), f.cast("string")).alias("custom_id"), F.when(f % 13 == 5, "refused").alias("error"), F.struct(status.alias("status_code"), body.alias("body")).alias("response")))
-    return K.topic_batch(t.facts.select(F.when(f % 13 == 7, '{"custom_id": ').otherwise(line).alias("value")), t.facts, t.facts.where("fact_id % 19 = 0"))
+    out, report = T.topic_batch(t.facts.select(f.alias("seq"), F.when(f % 13 == 7, '{"custom_id": ').otherwise(line).alias("value")), t.facts, t.facts.where("fact_id % 19 = 0"))
+    return out.withColumn("fact_id", F.col("fact_id").cast("long")), report
 
 
-@query("topic_batch", f"WITH {_FINE} SELECT fact_id, 'm' AS llm_model, CASE fact_id % 3 WHEN 0 THEN 'injuries & player health' WHEN 1 THEN 'NO_TOPICS_FOUND' ELSE 'statistics & rankings' END AS topic, CASE fact_id % 3 WHEN 0 THEN 0.9 WHEN 1 THEN 1 ELSE 0.7 END::DOUBLE AS confidence, 1::INT AS rank FROM new", "facts")
+@query("topic_batch", f"WITH {_FINE} SELECT fact_id, 'm' AS llm_model, CASE fact_id % 3 WHEN 0 THEN 'injuries & player health' WHEN 1 THEN 'NO_TOPICS_FOUND' ELSE 'statistics & rankings' END AS topic, CASE fact_id % 3 WHEN 0 THEN 0.9 WHEN 1 THEN 1 END::DOUBLE AS confidence, 1::INT AS rank FROM new", "facts")
 def topic_batch(t):
     return _topic_batch(t)[0]
 
@@ -241,6 +283,48 @@ def topic_batch_report(t):
     return _topic_batch(t)[1]
 
 
+def _entity_batch(t):
+    """Result lines of entities: players by name with a type word, players nobody knows, teams, games, and what is to be left out."""
+    f = F.col("fact_id")
+    nation = t.nation.select(F.col("n_nationkey").cast("long").alias("nk"), "n_name")
+    facts = t.facts.join(F.broadcast(nation.select(F.col("nk").alias("n1"), F.col("n_name").alias("one"))), (f % 6) == F.col("n1")).join(F.broadcast(nation.select(F.col("nk").alias("n2"), F.col("n_name").alias("two"))), (f % 6) + 1 == F.col("n2"))
+    player = F.concat(F.lit('{"entity_type": "Player", "mention_text": "Players: Customer#'), F.lpad((f % 100 + 1).cast("string"), 9, "0"), F.lit('", "is_primary": true, "rank": 1, "confidence": 0.4}'))
+    unknown = F.concat(F.lit('{"type": "player", "name": " Zzyx Qwv'), (f % 5).cast("string"), F.lit(' ", "position": "QB"}'))
+    team = F.concat(F.lit('{"entity_type": "team", "mention_text": "team: '), F.col("one"), F.lit('"}'))
+    game = F.concat(F.lit('{"entity_type": "game", "mention_text": "'), F.col("one"), F.lit(" at "), F.col("two"), F.lit(', week 3"}'))
+    out = F.lit('{"entity_type": "team", "mention_text": "Ohio State"}, {"entity_type": "player", "mention_text": "NFL"}, {"entity_type": "coach", "mention_text": "X"}, {"entity_type": "team"}, 5')
+    kinds = F.when(f % 5 == 0, F.concat_ws(", ", player, player, team)).when(f % 5 == 1, F.concat_ws(", ", unknown, out)).when(f % 5 == 2, game).when(f % 5 == 3, out).otherwise(F.lit(""))
+    text = F.concat(F.lit('[{"news_fact_id": '), f.cast("string"), F.lit(', "entities": ['), kinds, F.lit("]}]"))
+    body = F.struct(F.lit("m").alias("model"), F.array(F.struct(F.lit("message").alias("type"), F.array(F.struct(F.lit("output_text").alias("type"), text.alias("text"))).alias("content"))).alias("output"))
+    line = F.to_json(F.struct(F.concat(F.lit("e_"), f.cast("string")).alias("custom_id"), F.struct(F.lit(200).alias("status_code"), body.alias("body")).alias("response")))
+    teams = t.teams.select("team_abbr", F.array("team_name").alias("names"))
+    players = t.rosters.select(F.col("player").alias("player_id"), F.array("player_name").alias("names"), F.col("pos").alias("position"), F.col("team").alias("team_abbr"), F.lit(None).cast("string").alias("team_name"))
+    return T.entity_batch(facts.select(f.alias("seq"), line.alias("value")), t.facts, players, teams, t.games)
+
+
+_MET = "met AS (SELECT least(home, away) AS low, greatest(home, away) AS high, min(game_id) AS game_id FROM games GROUP BY 1, 2), asked AS (SELECT fact_id, 'T' || lpad(CAST(fact_id % 6 AS VARCHAR), 2, '0') AS one, 'T' || lpad(CAST(fact_id % 6 + 1 AS VARCHAR), 2, '0') AS two FROM facts), \
+g AS (SELECT fact_id, CAST(game_id AS VARCHAR) AS game_id FROM asked LEFT JOIN met ON least(one, two) = low AND greatest(one, two) = high)"
+
+
+@query("entity_batch", f"""WITH {_MET} SELECT fact_id, 'player' AS entity_type, 'C' || (fact_id % 100 + 1) AS entity_id, 1.0::DOUBLE AS confidence, TRUE AS is_primary, NULL AS position FROM facts WHERE fact_id % 5 = 0
+  UNION ALL SELECT fact_id, 'team', one, 1.0, FALSE, NULL FROM asked WHERE fact_id % 5 = 0 UNION ALL SELECT fact_id, 'player', 'UNRESOLVED:zzyx_qwv' || (fact_id % 5), 0.0, FALSE, 'QB' FROM facts WHERE fact_id % 5 = 1
+  UNION ALL SELECT fact_id, CASE WHEN game_id IS NULL THEN 'none' ELSE 'game' END, coalesce(game_id, 'NO_ENTITIES_FOUND'), CASE WHEN game_id IS NULL THEN 0.0 ELSE 0.9 END, FALSE, NULL FROM g WHERE fact_id % 5 = 2
+  UNION ALL SELECT fact_id, 'none', 'NO_ENTITIES_FOUND', 0.0, FALSE, NULL FROM facts WHERE fact_id % 5 > 2""", "facts games")
+def entity_batch(t):
+    return _entity_batch(t)[0].select(F.col("fact_id").cast("long").alias("fact_id"), "entity_type", "entity_id", "confidence", "is_primary", "position")
+
+
+@query("entity_batch_report", f"WITH {_MET} SELECT count(*) AS facts_in_output, 0::BIGINT AS skipped_missing, 0::BIGINT AS skipped_existing, 0::BIGINT AS errors, count(*) FILTER (fact_id % 5 > 2 OR fact_id % 5 = 2 AND game_id IS NULL) AS without_data FROM g", "facts games")
+def entity_batch_report(t):
+    return _entity_batch(t)[1]
+
+
+@query("completed_links", "WITH done AS (SELECT url_id FROM facts LEFT JOIN (SELECT DISTINCT fact_id FROM topics) a USING (fact_id) LEFT JOIN (SELECT DISTINCT fact_id FROM entities) b USING (fact_id) GROUP BY url_id HAVING count(*) = count(a.fact_id) AND count(*) = count(b.fact_id) AND bool_or(facts.fact_id % 3 = 0)) SELECT url_id FROM done", "facts topics entities")
+def completed_links(t):
+    """The links that a batch of every third fact completes."""
+    return T.completed_links(t.facts, t.topics, t.entities, t.facts.where("fact_id % 3 = 0"))
+
+
 @query("batch_replaces", "SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 'new' ELSE 'old' END AS body FROM documents UNION ALL SELECT -doc_id, 'new' FROM documents WHERE doc_id % 8 = 4")
 def batch_replaces(t):
     """Old summaries make room for those that a batch brings."""
@@ -257,28 +341,46 @@ def resolved_partition(t):
     return yes.agg(F.lit("resolved").alias("part"), F.count("*").alias("n")).union(no.agg(F.lit("open").alias("part"), F.count("*").alias("n")))
 
 
-_JOBS = "jobs AS (SELECT event_id AS job_id, ts AS updated_at, CASE event_id % 4 WHEN 0 THEN 'queued' WHEN 1 THEN 'running' WHEN 2 THEN 'succeeded' ELSE 'failed' END AS status FROM events)"
+_JOBS = """jobs AS (SELECT event_id AS job_id, 'news' AS service, CASE event_id % 4 WHEN 0 THEN 'queued' WHEN 1 THEN 'running' WHEN 2 THEN 'succeeded' ELSE 'failed' END AS status, CAST(user_id % 5 AS INT) AS attempts, ts AS created_at,
+  CASE WHEN event_id % 4 > 0 THEN ts + INTERVAL '7' MINUTE END AS started_at, ts + INTERVAL '9' MINUTE AS updated_at, CASE WHEN event_id % 9 > 0 THEN ts + INTERVAL '5' DAY END AS expires_at,
+  CAST(NULL AS TIMESTAMP) AS finished_at, CAST(NULL AS STRING) AS result, CASE WHEN event_id % 4 = 3 THEN 'why' END AS error FROM @events)"""
+_JOBS_SQL = _JOBS.replace("@events", "events")
+_LATE_SQL = f"status = 'running' AND attempts < 3 AND started_at < {_AT} - INTERVAL 10 MINUTE"
 
 
 def _jobs(t):
-    k = F.col("event_id") % 4
-    return t.events.select(F.col("event_id").alias("job_id"), F.col("ts").alias("updated_at"), F.when(k == 0, "queued").when(k == 1, "running").when(k == 2, "succeeded").otherwise("failed").alias("status"))
+    return t.spark.sql(f"WITH {_JOBS} SELECT * FROM jobs".replace("@events", "{events}").replace("CAST(NULL AS TIMESTAMP)", "CAST(NULL AS TIMESTAMP_NTZ)"), events=t.events)
 
 
-@query("job_sweep", f"WITH {_JOBS} SELECT job_id, CASE WHEN status = 'running' AND updated_at < {_AT} - INTERVAL 30 MINUTE THEN 'failed' ELSE status END AS status FROM jobs WHERE NOT (status IN ('succeeded', 'failed') AND updated_at < {_AT} - INTERVAL 3 DAY)")
+@query("job_sweep", f"""WITH {_JOBS_SQL} SELECT job_id, CASE WHEN {_LATE_SQL} THEN 'queued' ELSE status END AS status, CASE WHEN NOT ({_LATE_SQL}) THEN started_at END AS started_at, CASE WHEN {_LATE_SQL} THEN {_AT} ELSE updated_at END AS updated_at, attempts
+  FROM jobs WHERE expires_at IS NULL OR expires_at >= {_AT}""")
 def job_sweep(t):
-    return J.swept(_jobs(t), _as_of(), 30, 3).select("job_id", "status")
+    """Lost workers' jobs go back into the queue while they have attempts left; expired jobs of any state leave."""
+    return J.swept(_jobs(t), _as_of()).select("job_id", "status", "started_at", "updated_at", "attempts")
 
 
-@query("stale_jobs", f"WITH {_JOBS} SELECT job_id FROM jobs WHERE status = 'running' AND updated_at < {_AT} - INTERVAL 90 MINUTE")
+@query("stale_jobs", f"""WITH {_JOBS_SQL} SELECT job_id, status FROM (SELECT job_id, status FROM jobs WHERE status = 'queued' AND attempts < 3 AND created_at < {_AT} - INTERVAL 2 MINUTE ORDER BY created_at, job_id LIMIT 100)
+  UNION ALL SELECT job_id, status FROM (SELECT job_id, status FROM jobs WHERE {_LATE_SQL} ORDER BY started_at, job_id LIMIT 100)""")
 def stale_jobs(t):
-    return J.stale(_jobs(t), _as_of(), 90).select("job_id")
+    """The hundred oldest of either kind, as the report lists them."""
+    return J.stale(_jobs(t), _as_of()).select("job_id", "status")
 
 
-@query("job_claim", f"WITH {_JOBS} SELECT count(*) AS n, count(*) FILTER (job_id = 8) AS one FROM jobs WHERE status = 'running' OR job_id = 8")
+@query("job_claim", f"WITH {_JOBS_SQL} SELECT job_id, CASE WHEN job_id = 8 THEN 'running' ELSE status END AS status, CASE WHEN job_id = 8 THEN {_AT} ELSE started_at END AS started_at, attempts + CASE WHEN job_id = 8 THEN 1 ELSE 0 END AS attempts FROM jobs")
 def job_claim(t):
-    after = J.claim(J.claim(_jobs(t), 8), 9).where("status = 'running'")
-    return after.agg(F.count("*").alias("n"), F.count_if(F.col("job_id") == 8).alias("one"))
+    """A queued job is taken once; one that runs is not."""
+    at = _as_of()
+    return J.claim(J.claim(J.claim(_jobs(t), 8, at), 9, at), 8, at).select("job_id", "status", "started_at", "attempts")
+
+
+@query("job_outcomes", f"""WITH {_JOBS_SQL} SELECT job_id, CASE WHEN job_id % 4 = 1 THEN CASE WHEN job_id % 8 = 1 THEN 'failed' ELSE 'succeeded' END WHEN job_id % 8 = 3 THEN 'succeeded' ELSE status END AS status, CASE WHEN job_id % 8 IN (3, 5) THEN 'r' || job_id END AS result,
+  CASE WHEN job_id % 8 = 1 THEN 'lost' WHEN job_id % 8 = 3 THEN NULL ELSE error END AS error, CASE WHEN job_id % 8 IN (1, 3, 5) THEN {_AT} END AS finished_at FROM jobs WHERE job_id <> 2""")
+def job_outcomes(t):
+    """Running jobs end, half of them in failure; some failed ones succeed after all; one ended job is consumed, one that waits is not."""
+    k = F.col("job_id")
+    told = _jobs(t).where(k % 8 < 6).where(k % 2 == 1).select("job_id", F.when(k % 8 != 1, F.concat(F.lit("r"), k.cast("string"))).alias("result"), F.when(k % 8 == 1, "lost").alias("error"))
+    after = J.consumed(J.consumed(J.finished(_jobs(t), told, _as_of()), 2, "news")[1], 4, "news")[1]
+    return after.select("job_id", "status", "result", "error", "finished_at")
 
 
 @query("batch_buckets", f"""SELECT event_id AS batch_id, CASE WHEN event_id % 5 = 0 AND ts < {_AT} - INTERVAL 30 MINUTE THEN 'stale' WHEN event_id % 5 IN (0, 1) THEN 'pending' WHEN event_id % 5 = 2 THEN 'active' WHEN event_id % 5 = 3 AND user_id % 4 < 3 THEN 'retry' ELSE 'done' END AS bucket,

@@ -12,7 +12,8 @@ from fieldlens.operators import providers as P
 from fieldlens.plans.registry import query
 from fieldlens.session import shared_dir
 from fieldlens.sources import readers as R
-from fieldlens.sources.sinks import Pipeline, Table, sync_all
+from fieldlens.sources.sinks import Pipeline, sync_all
+from fieldlens.sources.tables import Leases, Table
 
 
 def _folder(t) -> str:
@@ -103,3 +104,43 @@ def older_requests(t):
             own = {k: v for k, v in b["filters"].items() if k not in ("season", "week")}
             rows.append((key, b["name"], b["record_grain"], ",".join(f"{k}={v}" for k, v in own.items()), new["provenance"]["sources"][0]["name"]))
     return t.spark.createDataFrame(rows, "r_regionkey long, bundle string, grain string, subject string, source string")
+
+
+@query("table_layers", """SELECT s_suppkey AS k, CASE WHEN s_suppkey % 5 = 1 THEN s_acctbal + 1 WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_acctbal END::DOUBLE AS v FROM supplier WHERE s_suppkey % 7 <> 2 OR s_suppkey % 5 = 1
+  UNION ALL SELECT -s_suppkey, s_acctbal FROM supplier WHERE s_suppkey % 11 = 4""")
+def table_layers(t):
+    """A table after an upsert of some keys, a deletion, a compare-and-set, an append, a transaction that comes twice, and merges on the way."""
+    table = Table(t.spark, _folder(t), merge_after=3)
+    rows = t.supplier.select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").cast("double").alias("v"))
+    table.write(rows)
+    table.upsert(rows.where("k % 3 = 0").withColumn("v", F.lit(0.0)), ["k"])
+    table.delete(rows.where("k % 7 = 2 or k % 5 = 1"), ["k"])
+    table.change(lambda now: rows.where("k % 5 = 1").withColumn("v", F.col("v") + 1), ["k"])
+    for _ in range(2):
+        table.append(rows.where("k % 11 = 4").withColumn("k", -F.col("k")), transaction=("query", 1))
+    return table.read()
+
+
+@query("table_history", "SELECT 0 AS version, count(*) AS n, sum(CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE 0 END)::BIGINT AS changed FROM supplier WHERE s_suppkey % 2 = 1 UNION ALL SELECT 1, count(*), sum(CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE 0 END) FROM supplier UNION ALL SELECT 2, count(*), 0 FROM supplier WHERE s_suppkey % 2 = 1")
+def table_history(t):
+    """Each version of a table that an upsert and a deletion changed."""
+    table = Table(t.spark, _folder(t))
+    table.write(t.supplier.where("s_suppkey % 2 = 1").select("s_suppkey", "s_acctbal"))
+    table.upsert(t.supplier.where("s_suppkey % 2 = 0").select("s_suppkey", "s_acctbal"), ["s_suppkey"])
+    table.delete(t.supplier.where("s_suppkey % 2 = 0"), ["s_suppkey"])
+    versions = [table.read(v).agg(F.lit(v).alias("version"), F.count("*").alias("n"), F.coalesce(F.count_if(F.col("s_suppkey") % 2 == 0), F.lit(0)).alias("changed")) for v in range(3)]
+    return reduce(DataFrame.union, versions)
+
+
+@query("leased_claims", """WITH q AS (SELECT n_nationkey AS item_id, CAST(row_number() OVER (ORDER BY n_nationkey) AS INT) AS r FROM nation)
+  SELECT item_id, CASE WHEN r <= 4 THEN 'done' WHEN r <= 6 THEN 'leased' ELSE 'queued' END AS status, CASE WHEN r <= 4 THEN 1 WHEN r <= 6 THEN 2 WHEN r <= 8 THEN 1 ELSE 0 END AS attempts, CASE WHEN r BETWEEN 5 AND 6 THEN 'second' END AS worker FROM q""")
+def leased_claims(t):
+    """A worker claims six rows and ends four, its lease on two runs out and another takes these; two more are given back."""
+    at = lambda m: F.lit(f"2024-01-01 10:{m:02d}:00").cast("timestamp")
+    queue = Leases(Table(t.spark, _folder(t)), seconds=600)
+    queue.put(t.nation.select(F.col("n_nationkey").alias("item_id"), F.col("n_name").alias("payload")))
+    queue.done(queue.claim("first", 6, at(0)).orderBy("item_id").limit(4), "first", at(1))
+    queue.back(queue.claim("second", 2, at(2)), "second", at(3))  # the next two: the first worker's leases still hold
+    queue.claim("second", 2, at(30))
+    queue.done(queue.table.read().where("worker = 'second'"), "first", at(31))  # not its own
+    return queue.table.read().select("item_id", "status", "attempts", "worker")

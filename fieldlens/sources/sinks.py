@@ -1,75 +1,13 @@
-"""Sinks: keyed tables in versioned folders, appends, dry runs, and the pipeline that feeds them."""
+"""Pipelines that feed keyed tables, dry runs, and runs over all of them (A20-A30); the tables are in tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from fieldlens.operators.snapshots import upsert
-
-
-class Table:
-    """A Parquet table whose states are folders v0, v1, ...; a state is complete when its _SUCCESS mark is there.
-
-    A write makes the next folder from the one before, so no path is read and overwritten at once, and a run that fails
-    leaves the last state in place.
-    """
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
-
-    def version(self) -> int | None:
-        fs, path = self._fs()
-        if not fs.exists(path(self.path)):
-            return None
-        names = [s.getPath().getName() for s in fs.listStatus(path(self.path)) if s.isDirectory()]
-        done = [int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and fs.exists(path(f"{self.path}/{n}/_SUCCESS"))]
-        return max(done, default=None)
-
-    def read(self) -> DataFrame | None:
-        now = self.version()
-        return None if now is None else self.spark.read.parquet(f"{self.path}/v{now}")
-
-    def write(self, df: DataFrame) -> int:
-        now = self.version()
-        to = 0 if now is None else now + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v{to}")
-        return to
-
-    def upsert(self, df: DataFrame, keys: list[str]) -> int:
-        before = self.read()
-        return self.write(df if before is None else upsert(before, df, keys))
-
-
-class Batches:
-    """A Parquet table that grows by one folder for each micro-batch. A batch that runs again replaces its own folder, and reads what was there before it."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def read(self, before: int) -> DataFrame | None:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-        earlier = [n for n in names if n.startswith("batch=") and int(n[6:]) < before]
-        return self.spark.read.option("basePath", self.path).parquet(*(f"{self.path}/{n}" for n in earlier)) if earlier else None
-
-    def last(self, before: int) -> DataFrame | None:
-        """The folder of the batch before."""
-        df = self.read(before)
-        return None if df is None else df.where(F.col("batch") == df.agg(F.max("batch")).first()[0]).drop("batch")
-
-    def write(self, df: DataFrame, batch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+from fieldlens.sources.tables import Table
 
 
 @dataclass

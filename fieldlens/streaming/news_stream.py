@@ -1,8 +1,8 @@
 """Structured Streaming forms of the news flow (section J): marks per source, links seen once, keyed sinks, windows, clustering.
 
-The marks are not Spark's watermark: each source has its own, compared strictly, and undated items pass. Links and marks are
-kept in a folder for each micro-batch; a batch reads those before it and replaces its own, so one that is run again after a failure
-anywhere gives the same state, and no batch rewrites earlier links.
+The marks are not Spark's watermark: each source has its own, compared strictly, and undated items pass. Links and marks are tables with a
+commit log; a batch appends its links and upserts its marks as a transaction with its number, so one that is run again after a failure
+anywhere gives the same state. Layers merge as they grow many, so what a batch opens does not grow with the number of batches.
 """
 
 from __future__ import annotations
@@ -19,27 +19,28 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldlens.operators import news as N
 from fieldlens.operators.grouping import THRESHOLD, Leader
 from fieldlens.operators.snapshots import insert_new
-from fieldlens.sources.sinks import Batches
+from fieldlens.sources.tables import Table
 
 
 class NewsFlow:
     """Items in, new links out: filter by mark, drop what is known, write, then advance the marks."""
 
-    def __init__(self, links: Batches, marks: Batches, league_only: bool = False):
+    def __init__(self, links: Table, marks: Table, league_only: bool = False):
         self.links, self.marks, self.league_only = links, marks, league_only
 
     def batch(self, items: DataFrame, batch_id: int) -> None:
-        """One micro-batch; running it again gives the same folders."""
+        """One micro-batch; running it again changes nothing more."""
         items = items.persist()
         try:
-            marks = self.marks.last(batch_id)
+            marks = self.marks.read()
             fresh = items if marks is None else N.after_watermark(items, marks)
             links = N.processed_links(fresh, "seq", league_only=self.league_only)
-            known = self.links.read(batch_id)
-            new = (links if known is None else insert_new(known.drop("batch"), links, "url", "seq")).persist()
-            self.links.write(new, batch_id)
+            known = self.links.read()
+            earlier = None if known is None else known.where(F.col("batch") < batch_id)  # not what an interrupted run of this batch wrote
+            new = (links if earlier is None else insert_new(earlier, links, "url", "seq")).withColumn("batch", F.lit(batch_id)).persist()
+            self.links.append(new, transaction=("links", batch_id))
             empty = items.sparkSession.createDataFrame([], "source string, last_published_at timestamp") if marks is None else marks
-            self.marks.write(N.advanced(empty, new).coalesce(1), batch_id)  # a row for each source
+            self.marks.upsert(N.advanced(empty, new).coalesce(1), ["source"], transaction=("marks", batch_id))  # a row for each source
             new.unpersist()
         finally:
             items.unpersist()

@@ -92,7 +92,7 @@ def test_latest_snapshot_keeps_null_groups(frame):
 
 def test_job_claims_compare_first(frame):
     jobs = frame([(1, "queued"), (2, "running")], "job_id int, status string")
-    after = {r["job_id"]: r["status"] for r in J.claim(J.claim(jobs, 1), 2, expected="queued", to="failed").collect()}
+    after = {r["job_id"]: r["status"] for r in J.claim(J.claim(jobs, 1), 2, to="failed").collect()}
     assert after == {1: "running", 2: "running"}
 
 
