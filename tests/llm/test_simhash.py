@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from fieldlens.llm import simhash
+from fieldlens.llm import components, simhash
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu".split()
 
@@ -105,3 +105,16 @@ def test_allowance_meets_every_difference():
                 bits[at] = 1
             turned = [bits[16 * t :] + bits[: 16 * t] for t in range(4)]
             assert any(all(sum(b[:d]) <= simhash.allowance(d, budget) for d in range(65)) for b in turned)
+
+
+@pytest.mark.parametrize("per_part", [100_000, 0])
+def test_components(frame, monkeypatch, per_part):
+    """Chains, stars and random graphs, in one partition and dealt by node; nulls, loops and repeated edges."""
+    monkeypatch.setattr(components, "EDGES_PER_PART", per_part)
+    rng = random.Random(3)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(500, i) for i in range(501, 560)] + [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(120)] + [(-5, 7), (-5, 7), (7, -5), (9, 9), (None, 3), (3, None)]
+    rng.shuffle(edges)
+    got = {r["node"]: r["label"] for r in components.components(frame(edges, "a long, b long")).collect()}
+    real = [(a, b) for a, b in edges if a is not None and b is not None and a != b]
+    assert got == _components({x for e in real for x in e}, real)
+    assert components.components(frame([], "a long, b long")).count() == 0
