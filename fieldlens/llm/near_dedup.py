@@ -210,8 +210,10 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(components(known.union(links.select("a", "b"))))
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame, n_classes: int) -> DataFrame:
     """Rows of the trees, with hot regions cut into parts of about HOT_REGION rows, each a region of its own that counts as dense."""
+    if n_classes <= HOT_REGION:  # a region holds a class once
+        return rows.withColumn("hot", F.lit(False))
     hot = rows.groupBy("region").count().where(F.col("count") > HOT_REGION).select("region", F.ceil(F.col("count") / HOT_REGION).alias("parts"))
     hot = materialize(hot)  # at most a row for HOT_REGION rows
     if hot.isEmpty():
@@ -229,8 +231,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, percent: int = 80) -> DataF
     every = materialize(keyed.mapInArrow(lambda b: _shingled(b, width), "doc_id long, text_key long, n_shingles long, k long, signature binary, sketch binary"))
     classes = materialize(every.where("n_shingles > 0").groupBy("k").agg(F.min("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"), F.first("sketch").alias("sketch"), F.min("doc_id").alias("doc_id")))
     rows = classes.select("k", "n_shingles", "signature").mapInArrow(_tree_rows, "region long, d0 long, d1 long, d2 long, k long, n long")
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), classes.count() * TREES // ROWS_PER_PART)
-    ordered = _dealt(rows).repartition(parts, "region").sortWithinPartitions("region", "d0", "d1", "d2", "k")
+    n_classes = classes.count()
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_classes * TREES // ROWS_PER_PART)
+    ordered = _dealt(rows, n_classes).repartition(parts, "region").sortWithinPartitions("region", "d0", "d1", "d2", "k")
     found = materialize(ordered.mapInArrow(lambda b: _neighbours(b, share), "a long, b long, kind int").distinct())
 
     def possible(pairs: DataFrame) -> DataFrame:
