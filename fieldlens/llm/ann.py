@@ -11,8 +11,8 @@ grow with the number of leaves. Distances are taken on the original vectors in d
 Rows with equal vectors are gathered first: any query's k nearest hold k + 1 of them at most, those with the smallest ids, so
 the others need not be compared. Large leaves are dealt out in parts of ``PART_ROWS``.
 
-Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do those
-whose length is not the most frequent one, as they have no distance to the others; ties in distance go to the smaller vec_id; a row is never its own neighbour, but rows with equal vectors are at
+Defined results: vectors that are null, zero, or hold null or non-finite components take no part; vectors of different lengths
+have no distance, so each length is searched by itself; ties in distance go to the smaller vec_id; a row is never its own neighbour, but rows with equal vectors are at
 distance 0; queries with fewer candidates get all; repeated rows count as one; an empty table gives an
 empty result; extra columns are ignored, whatever their names.
 """
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -134,21 +135,24 @@ def _closest(queries: np.ndarray, x: np.ndarray, first: np.ndarray, k: int, radi
             yield at + i, rows[order], exact[order]
 
 
-def _usable(vectors: DataFrame, vector: str) -> tuple[DataFrame, int]:
+def _usable(vectors: DataFrame, vector: str) -> DataFrame:
     v = F.col("v")
-    fine = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<float>").alias("v"))
+    fine = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
     bad = F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
-    fine = fine.where(F.col("vec_id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda e: e != 0))
-    common = fine.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    dim = common["n"] if common else 1
-    return fine.where(F.size("v") == dim), dim
+    return fine.where(F.col("vec_id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda e: e != 0))
 
 
 def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST, recall: float = RECALL, vector: str = "embedding", leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of vectors(vec_id, vector) found for each row of queries."""
-    spark = vectors.sparkSession
-    rows, dim = _usable(vectors, vector)
-    asked = _usable(queries, vector)[0].where(F.size("v") == dim).distinct()
+    rows, asked = _usable(vectors, vector), _usable(queries, vector)
+    lengths = [r["n"] for r in rows.groupBy(F.size("v").alias("n")).count().orderBy("n").collect()]  # one as a rule
+    of = lambda df, n: df.where(F.size("v") == n)
+    found = [_nearest_of_length(of(rows, n), of(asked, n).distinct(), n, k, recall, leaf_rows) for n in lengths]
+    return reduce(DataFrame.union, found) if found else vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+
+
+def _nearest_of_length(rows: DataFrame, asked: DataFrame, dim: int, k: int, recall: float, leaf_rows: int) -> DataFrame:
+    spark = rows.sparkSession
     # Equal vectors: the k + 1 smallest ids of each are all that any query can need.
     rank = F.row_number().over(Window.partitionBy("key", "v").orderBy("vec_id"))
     keyed = rows.distinct().withColumn("key", F.xxhash64("v")).withColumn("r", rank).where(F.col("r") <= k + 1)
@@ -166,7 +170,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST,
             leaf = shared.value.leaf_of(_matrix(batch.column("v"), dim))
             yield pa.RecordBatch.from_arrays([pa.array(leaf), *(batch.column(c) for c in ("first", "v", "ids"))], ["leaf", "first", "v", "ids"])
 
-    placed = materialize(points.select("first", "v", "ids").mapInArrow(index, "leaf long, first long, v array<float>, ids array<long>"))
+    placed = materialize(points.select("first", "v", "ids").mapInArrow(index, "leaf long, first long, v array<double>, ids array<long>"))
     parts = placed.groupBy("leaf").count().select("leaf", F.ceil(F.col("count") / PART_ROWS).cast("int").alias("parts"))
     dealt = placed.join(F.broadcast(parts), "leaf").withColumn("part", F.pmod(F.xxhash64("first"), "parts").cast("int"))
 

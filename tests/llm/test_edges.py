@@ -127,6 +127,9 @@ def test_nearest(frame):
     v = frame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash")).withColumn("leaf", F.lit(1))
     out = [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 6)) for r in ann.nearest_neighbours(v, v.where("vec_id % 100 = 0")).orderBy("query_id", "rank").collect()]
     assert out == [(0, 1, 1, 0.0), (0, 2, 7, 1.414214), (0, 3, 100, 1.414214), (100, 1, 0, 1.414214), (100, 2, 1, 1.414214), (100, 3, 7, 2.0)]
+    more = frame([(0, [0.1, 0.7]), (1, [1.0, 0.2]), (200, [1.0, 2.0, 2.0]), (3, [1.0, 2.0, 2.5]), (400, [5.0])], "vec_id long, embedding array<double>")
+    exact = {(r["query_id"], r["vec_id"]): r["score"] for r in ann.nearest_neighbours(more, more.where("vec_id % 100 = 0")).collect()}
+    assert exact == {(0, 1): (0.9**2 + (0.7 - 0.2) ** 2) ** 0.5, (200, 3): 0.5}  # in double precision; each length by itself
     empty = v.limit(0)
     assert ann.nearest_neighbours(empty, empty).count() == 0
 
