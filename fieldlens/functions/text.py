@@ -140,6 +140,7 @@ def canonical_topic(c: Column) -> Column:
     return F.when(c.isNull() | (c == ""), "unknown").otherwise(out)
 
 
+# The types of entities.
 ENTITY_TYPES = ["player", "team", "game"]
 
 
@@ -249,12 +250,20 @@ def sentence_kind(c: Column, team_words: list[str]) -> Column:
     )
 
 
+def once(c: Column, fn) -> Column:
+    """fn(c), with c computed once however often fn, or a lambda in it, names it."""
+    return F.get(F.transform(F.array(c), fn), F.lit(0))
+
+
 def capitalised(words: Column) -> Column:
     """capitalised words and the pairs they end, distinct in order, longer than two characters."""
     bare = F.filter(F.transform(words, lambda w: F.regexp_replace(w, "^[,.!?:;()\\[\\]{}\"'’-]+|[,.!?:;()\\[\\]{}\"'’-]+$", "")), lambda w: w != "")
     upper = lambda w: w.substr(1, 1).rlike(r"^\p{Lu}")
-    each = F.transform(bare, lambda w, i: F.when(upper(w), F.array(F.when(i > 0, F.concat(F.get(bare, i - 1), F.lit(" "), w)), w)).otherwise(F.array(F.lit(None).cast("string"))))
-    return F.filter(F.array_distinct(F.flatten(each)), lambda e: e.isNotNull() & (F.length(e) > 2))
+
+    def named(held: Column) -> Column:
+        return F.transform(held, lambda w, i: F.when(upper(w), F.array(F.when(i > 0, F.concat(F.get(held, i - 1), F.lit(" "), w)), w)).otherwise(F.array(F.lit(None).cast("string"))))
+
+    return F.filter(F.array_distinct(F.flatten(once(bare, named))), lambda e: e.isNotNull() & (F.length(e) > 2))
 
 
 # Words of a query that are no terms.

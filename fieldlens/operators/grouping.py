@@ -6,8 +6,12 @@ one numpy product, and only pairs at or above the threshold (or a cell's sums) l
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +20,7 @@ from fieldlens.functions.vectors import cosine, unit
 THRESHOLD = 0.88
 MERGE_THRESHOLD, MERGE_PAIRS = 0.92, 200
 BLOCK_ROWS = 2_000
+BROADCAST_NUMBERS = 4_000_000  # 32 MB of centroids
 
 
 def of_one_length(df: DataFrame, vector: str) -> DataFrame:
@@ -79,17 +84,44 @@ def similar_pairs(df: DataFrame, id_col: str, vector: str, threshold: float, blo
 def nearest_group(df: DataFrame, groups: DataFrame, threshold: float, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The most similar of some groups (group_id, centroid) for each row, the last of equals; none under the threshold.
 
-    Rows and groups are cut into blocks, and each block of rows meets each block of groups in one matrix product. Rows whose vector
-    has another length than the centroids get none.
+    Centroids of ``BROADCAST_NUMBERS`` numbers at most go to every task as one matrix, and rows are not moved. Beyond that rows and groups are cut
+    into blocks, and each block of rows meets each block of groups. Rows whose vector has another length than the centroids get none.
     """
     groups = of_one_length(groups.select("group_id", "centroid"), "centroid")
     n = groups.count()
     size = groups.select(F.size("centroid").alias("n")).first()
     rows = df.select(F.col(id_col).alias("id"), F.col(vector).alias("v"))
-    alike = rows.where(F.size("v") == (size["n"] if size else -1))
-    best = _nearest_in_blocks(alike, groups, max(n, 1)).groupBy("id").agg(F.max(F.struct("sim", "group_id")).alias("best"))
-    found = rows.select("id").join(best, "id", "left")
-    return found.select(F.col("id").alias(id_col), F.when(F.col("best.sim") >= threshold, F.col("best.group_id")).alias("group_id"), F.col("best.sim").alias("sim"))
+    if size and n * size["n"] <= BROADCAST_NUMBERS:
+        found = _nearest_by_broadcast(rows, groups, size["n"])
+        best = lambda f: F.col(f)
+    else:
+        alike = rows.where(F.size("v") == (size["n"] if size else -1))
+        nearest = _nearest_in_blocks(alike, groups, max(n, 1)).groupBy("id").agg(F.max(F.struct("sim", "group_id")).alias("best"))
+        found = rows.select("id").join(nearest, "id", "left")
+        best = lambda f: F.col(f"best.{f}")
+    return found.select(F.col("id").alias(id_col), F.when(best("sim") >= threshold, best("group_id")).alias("group_id"), best("sim").alias("sim"))
+
+
+def _nearest_by_broadcast(rows: DataFrame, groups: DataFrame, dim: int) -> DataFrame:
+    held = groups.select(F.col("group_id").cast("long").alias("g"), F.col("centroid").cast("array<double>").alias("c")).orderBy("g").toPandas()  # BROADCAST_NUMBERS at most
+    shared = rows.sparkSession.sparkContext.broadcast((held["g"].to_numpy(), np.vstack(held["c"])))
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, centres = shared.value
+        for batch in batches:
+            vectors = batch.column("v")
+            fits = pc.fill_null(pc.equal(pc.list_value_length(vectors), dim), False)
+            own = vectors.filter(fits).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dim)
+            sim, group = np.full(batch.num_rows, np.nan), np.zeros(batch.num_rows, np.int64)
+            at = np.flatnonzero(fits.to_numpy(zero_copy_only=False))
+            for i in range(0, len(own), BLOCK_ROWS):
+                s = np.round(_similar(own[i : i + BLOCK_ROWS], centres), 9)
+                best = s.shape[1] - 1 - np.argmax(s[:, ::-1], axis=1)
+                group[at[i : i + BLOCK_ROWS]], sim[at[i : i + BLOCK_ROWS]] = ids[best], s[np.arange(len(s)), best]
+            none = np.isnan(sim)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(group, mask=none), pa.array(sim, mask=none)], ["id", "group_id", "sim"])
+
+    return rows.mapInArrow(nearest, f"id {dict(rows.dtypes)['id']}, group_id long, sim double")
 
 
 def _nearest_in_blocks(rows: DataFrame, groups: DataFrame, n_groups: int) -> DataFrame:
@@ -139,42 +171,85 @@ def cohesion(df: DataFrame, key: str, id_col: str, vector: str) -> DataFrame:
 
 
 class Leader:
-    """Online leader clustering. Each story joins the most similar group at or above the threshold, whose centroid moves, or opens one."""
+    """Online leader clustering. Each story joins the most similar group at or above the threshold (the last of equals), whose centroid moves, or opens one.
 
-    def __init__(self, threshold: float = THRESHOLD):
-        self.threshold = threshold
-        self.sums: list[np.ndarray] = []
-        self.counts: list[int] = []
-        self.members: list[set] = []
+    Stored groups begin with their centroid times their member count. A fact that the group got in this run already, or, for a story without a fact, its URL, is not
+    added again. What is held is one sum and one unit vector a group, in arrays that double as they fill, and the keys of this run.
+    """
 
-    def assign(self, key: object, vector: np.ndarray) -> tuple[int, float]:
-        if self.sums:
-            centre = np.vstack(self.sums)
-            s = _similar(vector[None, :], centre)[0]
+    def __init__(self, threshold: float = THRESHOLD, stored: list[tuple[np.ndarray, int]] | None = None):
+        self.threshold, self.n = threshold, 0
+        self.sums = self.units = np.zeros((0, 0))
+        self.counts: list[int] = []
+        self.facts: list[set] = []
+        self.urls: list[set] = []
+        for centroid, count in stored or []:
+            self._open(np.asarray(centroid, float) * max(count, 1), count)
+
+    def _open(self, total: np.ndarray, count: int) -> None:
+        if self.n == len(self.sums):
+            grown = np.zeros((max(16, 2 * self.n), len(total)))
+            units = grown.copy()
+            if self.n:
+                grown[: self.n], units[: self.n] = self.sums[: self.n], self.units[: self.n]
+            self.sums, self.units = grown, units
+        self.n += 1
+        self.counts.append(count)
+        self.facts.append(set())
+        self.urls.append(set())
+        self._set(self.n - 1, total)
+
+    def _set(self, group: int, total: np.ndarray) -> None:
+        length = np.linalg.norm(total)
+        self.sums[group], self.units[group] = total, total / length if length > 0 else total
+
+    def assign(self, url: object, vector: np.ndarray, fact: object = None) -> tuple[int, float, bool]:
+        """The group, the similarity to its centroid before, and whether the story was added."""
+        vector = np.asarray(vector, float)
+        if self.n:
+            length = np.linalg.norm(vector)
+            s = np.clip(self.units[: self.n] @ (vector / (length if length > 0 else 1)), 0.0, 1.0)
             best = len(s) - 1 - int(np.argmax(s[::-1]))
             if s[best] >= self.threshold:
-                if key not in self.members[best]:
-                    self.sums[best] = self.sums[best] + vector
-                    self.counts[best] += 1
-                    self.members[best].add(key)
-                return best, float(s[best])
-        self.sums.append(vector.astype(float))
-        self.counts.append(1)
-        self.members.append({key})
-        return len(self.sums) - 1, 1.0
-
-
-def leader_clusters(df: DataFrame, block: Column, order: list[Column | str], threshold: float = THRESHOLD, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """E7 over whole tables: exact within each block, in the given order. One constant block is the reference behaviour."""
-    rows = df.select(block.alias("block"), F.col(id_col).alias("id"), F.col(vector).alias("v"), F.row_number().over(Window.partitionBy(block).orderBy(*order)).alias("seq"))
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        state, frame = Leader(threshold), frame.sort_values("seq")
-        found = [state.assign(i, np.asarray(v, float)) for i, v in zip(frame["id"], frame["v"])]
-        return pd.DataFrame({"block": frame["block"], "id": frame["id"], "local_group": [g for g, _ in found], "sim": [s for _, s in found]})
-
+                if fact is not None and fact in self.facts[best] or fact is None and url in self.urls[best]:
+                    return best, 1.0, False
+                self._set(best, self.sums[best] + vector)
+                self.counts[best] += 1
+                self._note(best, url, fact)
+                return best, float(s[best]), True
+        self._open(vector, 1)
+        self._note(self.n - 1, url, fact)
+        return self.n - 1, 1.0, True
+
+    def _note(self, group: int, url: object, fact: object) -> None:
+        self.urls[group].add(url)
+        if fact is not None:
+            self.facts[group].add(fact)
+
+
+def leader_clusters(
+    df: DataFrame, block: Column, order: list[Column | str], threshold: float = THRESHOLD, id_col: str = "vec_id", vector: str = "embedding", fact: str | None = None, stored: DataFrame | None = None
+) -> DataFrame:
+    """E7 over whole tables: exact within each block, in the given order. One constant block is the reference behaviour.
+
+    stored has block, group_id, centroid and member_count: groups to begin with, by group_id. Rows come out with local_group (stored ones first), group_id (null for a new
+    group), sim and added. Rows without a vector take no part.
+    """
+    seq = F.row_number().over(Window.partitionBy(block).orderBy(*order))
+    facts = F.col(fact).cast("string") if fact else F.lit(None).cast("string")
+    rows = df.where(F.col(vector).isNotNull() & (F.size(vector) > 0)).select(block.alias("block"), F.col(id_col).alias("id"), F.col(vector).alias("v"), facts.alias("fact"), seq.alias("seq"))
     kind = dict(rows.dtypes)["block"]
-    return rows.groupBy("block").applyInPandas(run, f"block {kind}, id long, local_group int, sim double")
+    groups = rows.sparkSession.createDataFrame([], f"block {kind}, group_id long, centroid array<double>, member_count long") if stored is None else stored.select("block", F.col("group_id").cast("long").alias("group_id"), F.col("centroid").cast("array<double>").alias("centroid"), "member_count")
+
+    def run(frame: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        held, frame = held.sort_values("group_id"), frame.sort_values("seq")
+        state = Leader(threshold, list(zip(held["centroid"], held["member_count"].astype(int))))
+        found = [state.assign(i, v, f) for i, v, f in zip(frame["id"], frame["v"], frame["fact"])]
+        local = [g for g, _, _ in found]
+        ids = pd.array([held["group_id"].iloc[g] if g < len(held) else None for g in local], "Int64")
+        return pd.DataFrame({"block": frame["block"], "id": frame["id"], "local_group": local, "group_id": ids, "sim": [s for _, s, _ in found], "added": [a for _, _, a in found]})
+
+    return rows.groupBy("block").cogroup(groups.groupBy("block")).applyInPandas(run, f"block {kind}, id long, local_group int, group_id long, sim double, added boolean")
 
 
 def group_stats(members: DataFrame, key: str) -> DataFrame:

@@ -49,28 +49,37 @@ def factual_dimension(checks: DataFrame, key: str, considered: DataFrame | None
     return every.select(key, F.coalesce("score", F.lit(1.0)).alias("score"), F.coalesce("confidence", alone).alias("confidence"), F.coalesce("passed", F.lit(True)).alias("passed"))
 
 
-def quality_dimension(rules: DataFrame, key: str) -> DataFrame:
-    """H4: passed weight by all weight; rules in error count as passed."""
-    passed = F.sum(F.when(F.col("outcome") != "failed", F.col("weight")).otherwise(0.0))
-    return rules.groupBy(key).agg(F.round(F.coalesce(F.try_divide(passed, F.sum("weight")), F.lit(1.0)), 6).alias("score"))
+def quality_dimension(rules: DataFrame, key: str, articles: DataFrame | None = None) -> DataFrame:
+    """H4: passed weight by all weight, and confidence by weight; rules in error count as passed without confidence, as they prove no violation.
+
+    It passes without a violation. ``articles`` lists articles that may have no rules; these score 1 without confidence.
+    """
+    share = lambda c, none: F.round(F.coalesce(F.try_divide(F.sum(c), F.sum("weight")), F.lit(none)), 6)
+    broken = F.count_if(F.col("outcome") == "failed")
+    passed, sure = F.when(F.col("outcome") != "failed", F.col("weight")).otherwise(0.0), F.when(F.col("outcome") != "error", F.col("confidence") * F.col("weight")).otherwise(0.0)
+    out = rules.groupBy(key).agg(share(passed, 1.0).alias("score"), share(sure, 0.0).alias("confidence"), (broken == 0).alias("passed"), broken.alias("violations"), F.count_if(F.col("outcome") == "error").alias("errors"), F.count("*").alias("rules"))
+    if articles is None:
+        return out
+    none = {"score": 1.0, "confidence": 0.0, "passed": True, "violations": 0, "errors": 0, "rules": 0}
+    return articles.select(key).distinct().join(out, key, "left").select(key, *(F.coalesce(c, F.lit(v)).alias(c) for c, v in none.items()))
 
 
 LIFTED, CONTEXT_PASS = 0.75, 0.70
 
 
 def contextual_dimension(checks: DataFrame, key: str, articles: DataFrame | None = None) -> DataFrame:
-    """Mean match score (1 for errors), passed at 0.7 by itself; a team that does not match is critical, whatever the score.
+    """Mean match score (1 for errors), which is the confidence too, passed at 0.7 by itself; a team that does not match is critical, whatever the score.
 
     checks has kind, is_match, match, transaction and outcome; an accepted transaction turns a mismatch into a match of 0.75 at least.
-    ``articles`` lists articles that may have no checks; these score 1.
+    ``articles`` lists articles that may have no checks; these score 1 without confidence.
     """
     wrong = ~F.col("is_match") & (F.col("outcome") != "error")
     lifted = F.when(wrong & F.col("transaction"), F.greatest(F.col("match"), F.lit(LIFTED))).otherwise(F.col("match"))
     each = F.when(F.col("outcome") == "error", 1.0).otherwise(lifted)
     left = wrong & ~F.col("transaction")
-    out = checks.groupBy(key).agg(F.round(F.avg(each), 6).alias("score"), F.count_if(left).alias("mismatches"), F.coalesce(F.some((F.col("kind") == "team") & left), F.lit(False)).alias("critical"))
+    out = checks.groupBy(key).agg(F.round(F.avg(each), 6).alias("score"), F.round(F.avg(each), 6).alias("confidence"), F.count_if(left).alias("mismatches"), F.coalesce(F.some((F.col("kind") == "team") & left), F.lit(False)).alias("critical"))
     if articles is not None:
-        out = articles.select(key).distinct().join(out, key, "left").select(key, F.coalesce("score", F.lit(1.0)).alias("score"), F.coalesce("mismatches", F.lit(0)).alias("mismatches"), F.coalesce("critical", F.lit(False)).alias("critical"))
+        out = articles.select(key).distinct().join(out, key, "left").select(key, F.coalesce("score", F.lit(1.0)).alias("score"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.coalesce("mismatches", F.lit(0)).alias("mismatches"), F.coalesce("critical", F.lit(False)).alias("critical"))
     return out.withColumn("passed", F.col("score") >= CONTEXT_PASS)
 
 

@@ -11,6 +11,7 @@ from fieldlens.operators import datasets as B
 from fieldlens.operators import dedupe as U
 from fieldlens.operators import providers as P
 from fieldlens.operators import snapshots as S
+from fieldlens.plans.q_grouping import LEADERS_BY_LABEL
 from fieldlens.plans.registry import query
 from fieldlens.sources import readers as A
 from fieldlens.sources.feeds import SITEMAP_SPACE, extracted
@@ -565,8 +566,8 @@ def stream_marks(t):
     return _flowed(t).marks.read().select("source", F.col("last_published_at").cast("timestamp_ntz").alias("last_published_at"))
 
 
-@query("stream_clusters", "SELECT CAST(vec_id AS BIGINT) AS id FROM embeddings")
+@query("stream_clusters", LEADERS_BY_LABEL, "members")
 def stream_clusters(t):
-    """Stateful clustering by label block; every vector gets a group."""
-    vectors = stream_table(t.spark, t.sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
-    return drain(J.clustered(vectors, F.col("label").cast("int"), 0.3)).select("id")
+    """Stateful clustering by label block: groups and similarities of leader clustering within each label."""
+    vectors = stream_table(t.spark, t.sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "embedding", "label")
+    return drain(J.clustered(vectors, F.col("label").cast("int"), 0.3)).select("block", "id", "local_group", F.round("sim", 6).alias("sim"))

@@ -32,16 +32,22 @@ def similar_pairs(t):
     return E.similar_pairs(t.members, "vec_id", "embedding", 0.33, blocks=2).withColumn("sim", F.round("sim", 7))
 
 
-@query("centroids", f"WITH {_CENTRES} SELECT group_id, round(centroid[1], 8) AS first, round(centroid[64], 8) AS last, len(centroid)::INT AS dims FROM centre", "members")
+def _components(df, vector):
+    """A vector as rows of its components."""
+    return df.select("group_id", F.posexplode(vector).alias("pos", "x")).withColumn("x", F.round("x", 7))
+
+
+_EACH = "unnest(range(len({v}))) AS pos, unnest(list_transform({v}, lambda x: round(x, 7))) AS x"
+
+
+@query("centroids", f"WITH {_CENTRES} SELECT group_id, pos::INT AS pos, x FROM (SELECT group_id, {_EACH.format(v='centroid')} FROM centre)", "members")
 def centroids(t):
-    return _centres(t).select("group_id", F.round(F.get("centroid", F.lit(0)), 8).alias("first"), F.round(F.get("centroid", F.lit(63)), 8).alias("last"), F.size("centroid").alias("dims"))
+    return _components(_centres(t), "centroid")
 
 
-@query("pooled_embedding", f"WITH {_CENTRES} SELECT group_id, round(v[1], 8) AS first, round(n, 8) AS length FROM c", "members")
+@query("pooled_embedding", f"WITH {_CENTRES} SELECT group_id, pos::INT AS pos, x FROM (SELECT group_id, {_EACH.format(v='v')} FROM c)", "members")
 def pooled_embedding(t):
-    from fieldlens.functions.vectors import norm
-
-    return E.centroids(t.members, "group_id", "embedding", normalised=False).select("group_id", F.round(F.get("centroid", F.lit(0)), 8).alias("first"), F.round(norm(F.col("centroid")), 8).alias("length"))
+    return _components(E.centroids(t.members, "group_id", "embedding", normalised=False), "centroid")
 
 
 @query("nearest_centroid", f"WITH {_CENTRES}, s AS (SELECT vec_id, centre.group_id, round({_cos('embedding', 'centroid')}, 9) AS sim FROM members CROSS JOIN centre), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, group_id DESC) AS r FROM s) SELECT vec_id, CASE WHEN sim >= 0.2 THEN group_id END AS group_id, round(sim, 6) AS sim FROM r WHERE r = 1", "members")
@@ -93,16 +99,47 @@ def vector_parse(t):
     return text.select("vec_id", F.round(F.get(parsed(F.col("text")), F.lit(0)).cast("double"), 5).alias("first"), F.size(parsed(F.col("text"))).alias("n"))
 
 
-@query("weighted_centroid", f"WITH {_CENTRES}, b AS (SELECT c.group_id, list_transform(list_zip(centre.centroid, c.v), lambda z: z[1] * 3 + z[2] * 2) AS s FROM c JOIN centre USING (group_id)) SELECT group_id, round(s[1] / sqrt(list_sum(list_transform(s, lambda x: x * x))), 7) AS first FROM b", "members")
+@query("weighted_centroid", f"WITH {_CENTRES}, b AS (SELECT c.group_id, list_transform(list_zip(centre.centroid, c.v), lambda z: z[1] * 3 + z[2] * 2) AS s FROM c JOIN centre USING (group_id)), u AS (SELECT group_id, list_transform(s, lambda x: x / sqrt(list_sum(list_transform(s, lambda y: y * y)))) AS w FROM b) SELECT group_id, pos::INT AS pos, x FROM (SELECT group_id, {_EACH.format(v='w')} FROM u)", "members")
 def weighted_centroid(t):
     both = _centres(t).join(E.centroids(t.members, "group_id", "embedding", normalised=False).withColumnRenamed("centroid", "mean"), "group_id")
     moved = E.weighted_update(F.col("centroid"), F.lit(3.0), F.transform("mean", lambda x: x * 2.0), F.lit(2.0))
-    return both.select("group_id", F.round(F.get(moved, F.lit(0)), 7).alias("first"))
+    return _components(both.select("group_id", moved.alias("centroid")), "centroid")
+
+
+_LEAD = """o AS (SELECT vec_id, embedding::DOUBLE[] AS v, row_number() OVER (ORDER BY vec_id) AS i FROM members WHERE {where}), {start},
+  r AS (SELECT 0::BIGINT AS i, sums, 0::BIGINT AS g, 0.0::DOUBLE AS sim FROM start UNION ALL
+    SELECT i, CASE WHEN hit THEN list_transform(sums, lambda s, k: CASE WHEN k = best THEN list_transform(list_zip(s, v), lambda z: z[1] + z[2]) ELSE s END) ELSE list_append(sums, v) END, CASE WHEN hit THEN best ELSE len(sums) + 1 END, CASE WHEN hit THEN top ELSE 1.0 END
+    FROM (SELECT i, sums, v, list_max(sims) AS top, len(sims) - list_position(list_reverse(sims), list_max(sims)) + 1 AS best, coalesce(list_max(sims) >= {threshold}, false) AS hit FROM (SELECT o.i, r.sums, o.v, list_transform(r.sums, lambda s: {cos}) AS sims FROM r JOIN o ON o.i = r.i + 1)))"""
 
 
-@query("leader_clusters")
+def _lead(where: str, start: str, threshold: float) -> str:
+    return "WITH RECURSIVE " + _LEAD.format(where=where, start=start, threshold=threshold, cos=_cos("s", "o.v"))
+
+
+#: Within each label: one state a label, which starts without groups.
+LEADERS_BY_LABEL = (
+    "WITH RECURSIVE "
+    + _LEAD.format(where="TRUE", start="start AS (SELECT DISTINCT group_id, []::DOUBLE[][] AS sums FROM members)", threshold=0.3, cos=_cos("s", "o.v"))
+    .replace("SELECT vec_id, embedding", "SELECT group_id, vec_id, embedding").replace("OVER (ORDER BY vec_id)", "OVER (PARTITION BY group_id ORDER BY vec_id)")
+    .replace("SELECT 0::BIGINT AS i,", "SELECT group_id, 0::BIGINT AS i,").replace("SELECT i, CASE WHEN hit", "SELECT group_id, i, CASE WHEN hit").replace("FROM (SELECT i, sums", "FROM (SELECT group_id, i, sums")
+    .replace("(SELECT o.i, r.sums", "(SELECT o.group_id, o.i, r.sums").replace("ON o.i = r.i + 1", "ON o.i = r.i + 1 AND o.group_id = r.group_id")
+    + " SELECT group_id AS block, vec_id AS id, (g - 1)::INT AS local_group, round(sim, 6) AS sim FROM r JOIN o USING (group_id, i)"
+)
+
+
+@query("leader_clusters", _lead("TRUE", "start AS (SELECT []::DOUBLE[][] AS sums)", 0.3) + " SELECT 0::INT AS block, vec_id AS id, (g - 1)::INT AS local_group, round(sim, 6) AS sim FROM r JOIN o USING (i)", "members")
 def leader_clusters(t):
-    return E.leader_clusters(t.members, F.lit(0), ["vec_id"], threshold=0.3)
+    return E.leader_clusters(t.members, F.lit(0), ["vec_id"], threshold=0.3).select("block", "id", "local_group", F.round("sim", 6).alias("sim"))
+
+
+@query("leader_stored", _lead("vec_id % 2 = 1", """st AS (SELECT group_id, count(*) AS n FROM members WHERE vec_id % 2 = 0 GROUP BY group_id), sm AS (SELECT group_id, i, avg(x) AS x FROM (SELECT group_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM members WHERE vec_id % 2 = 0) GROUP BY ALL),
+  sc AS (SELECT group_id, list(x ORDER BY i) AS v, sqrt(sum(x * x)) AS len FROM sm GROUP BY group_id), start AS (SELECT list(list_transform(v, lambda y: y / len * n) ORDER BY group_id) AS sums FROM sc JOIN st USING (group_id))""", 0.25)
+  + ", names AS (SELECT group_id, row_number() OVER (ORDER BY group_id) AS g FROM st) SELECT vec_id AS id, (r.g - 1)::INT AS local_group, names.group_id::BIGINT AS group_id, round(sim, 6) AS sim FROM r JOIN o USING (i) LEFT JOIN names ON names.g = r.g", "members")
+def leader_stored(t):
+    """Odd vectors join the groups of the even ones, whose centroids weigh as much as their members, or open new ones."""
+    even = t.members.where("vec_id % 2 = 0")
+    stored = E.centroids(even, "group_id", "embedding").join(even.groupBy("group_id").agg(F.count("*").alias("member_count")), "group_id").withColumn("block", F.lit(0))
+    return E.leader_clusters(t.members.where("vec_id % 2 = 1"), F.lit(0), ["vec_id"], threshold=0.25, stored=stored).select("id", "local_group", "group_id", F.round("sim", 6).alias("sim"))
 
 
 @query("merge_components")
@@ -137,9 +174,12 @@ def move_members(t):
     return E.move_members(members, plan)
 
 
-@query("self_similarity", "SELECT vec_id, 1.0::DOUBLE AS sim FROM members", "members")
+@query("self_similarity", f"SELECT a.vec_id, b.vec_id AS other, round(greatest(0, least(1, {_cos('a.embedding', 'b.embedding')})), 6) AS sim FROM members a JOIN members b ON b.vec_id IN (a.vec_id, a.vec_id + 1, a.vec_id + 7)", "members")
 def self_similarity(t):
-    return t.members.select("vec_id", F.round(cosine(F.col("embedding"), F.col("embedding")), 6).alias("sim"))
+    """Each vector with itself and two others: similarities below zero count as zero."""
+    both = t.members.select("vec_id", "embedding", F.explode(F.array(F.col("vec_id"), F.col("vec_id") + 1, F.col("vec_id") + 7)).alias("other"))
+    both = both.join(t.members.select(F.col("vec_id").alias("other"), F.col("embedding").alias("e")), "other")
+    return both.select("vec_id", "other", F.round(cosine(F.col("embedding"), F.col("e")), 6).alias("sim"))
 
 
 @query("loose_groups", "SELECT group_id, count(*) AS member_count, round(avg((vec_id % 100)::DOUBLE / 100), 6) AS avg_sim FROM members WHERE group_id % 3 <> 0 GROUP BY group_id HAVING round(avg((vec_id % 100)::DOUBLE / 100), 6) < 0.5", "members")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from fieldlens.operators import batches as T
 from fieldlens.operators import jobs as J
 from fieldlens.operators import knowledge as K
+from fieldlens.operators import monitoring as M
 from fieldlens.operators import news as N
 from fieldlens.plans.registry import query
 
@@ -50,6 +51,17 @@ def news_run_metrics(t):
     return N.run_metrics(t.news, _links(t))
 
 
+@query("observed_run", f"""WITH {_LINKS}, x AS (SELECT 'extracted' AS stage, source, published IS NULL AS failed FROM news UNION ALL SELECT 'kept', source, FALSE FROM links)
+  SELECT stage, NULL AS source, count(*) AS rows, count(*) FILTER (failed) AS failed FROM x GROUP BY stage UNION ALL SELECT stage, source, count(*), count(*) FILTER (failed) FROM x GROUP BY stage, source""", "news")
+def observed_run(t):
+    """A run's rows, undated ones as failures, and kept links, in all and by source, counted while the links are written: no second scan."""
+    run = M.Run(sources=sorted(r["source"] for r in t.news.select("source").distinct().collect()))  # the configured sources
+    links = N.processed_links(run.observed("extracted", t.news, F.col("published").isNull()), "seq", F.to_timestamp_ntz(F.lit("2024-01-10 09:30:00")), league_only=True)
+    with run.timed("kept"):
+        run.observed("kept", links).write.format("noop").mode("overwrite").save()
+    return run.rows(t.spark).where("rows > 0 or source is null")
+
+
 @query("pending_stage_queue", "SELECT url_id, 'facts' AS stage FROM (SELECT url_id FROM urls WHERE content_at IS NOT NULL AND facts_at IS NULL ORDER BY updated_at DESC, url_id LIMIT 40) UNION ALL SELECT url_id, 'content' FROM (SELECT url_id FROM urls WHERE content_at IS NULL ORDER BY updated_at DESC, url_id LIMIT 30)", "urls")
 def pending_stage_queue(t):
     return N.pending(t.urls, "facts", 40).select("url_id", F.lit("facts").alias("stage")).union(N.pending(t.urls, "content", 30).select("url_id", F.lit("content").alias("stage")))

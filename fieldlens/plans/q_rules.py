@@ -58,15 +58,20 @@ def factual_dimension(t):
     return H.factual_dimension(_checks(t), "article", _articles(t))
 
 
-@query("quality_dimension", "SELECT source, round(sum(CASE WHEN doc_id % 5 <> 0 THEN (doc_id % 4)::DOUBLE + 1 ELSE 0 END) / sum((doc_id % 4)::DOUBLE + 1), 6) AS score FROM documents GROUP BY source")
+@query("quality_dimension", f"""WITH {_CHECKS}, {_ARTICLES}, w AS (SELECT article, outcome, confidence, CASE WHEN doc_id % 9 = 0 THEN 0 ELSE (doc_id % 4)::DOUBLE + 1 END AS weight FROM checks),
+  q AS (SELECT article, round(coalesce(sum(CASE WHEN outcome <> 'contradicted' THEN weight ELSE 0 END) / nullif(sum(weight), 0), 1), 6) AS score, round(coalesce(sum(CASE WHEN outcome <> 'error' THEN confidence * weight ELSE 0 END) / nullif(sum(weight), 0), 0), 6) AS confidence,
+  count(*) FILTER (outcome = 'contradicted') AS violations, count(*) FILTER (outcome = 'error') AS errors, count(*) AS rules FROM w GROUP BY article)
+  SELECT article, coalesce(score, 1) AS score, coalesce(confidence, 0) AS confidence, coalesce(violations = 0, true) AS passed, coalesce(violations, 0) AS violations, coalesce(errors, 0) AS errors, coalesce(rules, 0) AS rules FROM articles LEFT JOIN q USING (article)""")
 def quality_dimension(t):
-    rules = _checks(t).withColumn("outcome", F.when(F.col("outcome") == "contradicted", "failed").otherwise(F.col("outcome"))).withColumn("weight", (F.col("doc_id") % 4).cast("double") + 1)
-    return H.quality_dimension(rules, "source")
+    """Rules of different weights, some without any, some in error; articles without rules."""
+    weight = F.when(F.col("doc_id") % 9 == 0, 0.0).otherwise((F.col("doc_id") % 4).cast("double") + 1)
+    rules = _checks(t).withColumn("outcome", F.when(F.col("outcome") == "contradicted", "failed").otherwise(F.col("outcome"))).withColumn("weight", weight)
+    return H.quality_dimension(rules, "article", _articles(t))
 
 
 @query("contextual_dimension", f"""WITH {_CHECKS}, {_ARTICLES}, e AS (SELECT article, CASE WHEN outcome = 'error' THEN 1.0 WHEN NOT is_match AND transaction THEN greatest(match, 0.75) ELSE match END AS v, outcome <> 'error' AND NOT is_match AND NOT transaction AS wrong, kind FROM checks),
-  d AS (SELECT article, round(avg(v), 6) AS score, count(*) FILTER (wrong) AS mismatches, bool_or(wrong AND kind = 'team') AS critical FROM e GROUP BY article)
-  SELECT article, coalesce(score, 1) AS score, coalesce(mismatches, 0) AS mismatches, coalesce(critical, false) AS critical, coalesce(score, 1) >= 0.7 AS passed FROM articles LEFT JOIN d USING (article)""")
+  d AS (SELECT article, round(avg(v), 6) AS score, round(avg(v), 6) AS confidence, count(*) FILTER (wrong) AS mismatches, bool_or(wrong AND kind = 'team') AS critical FROM e GROUP BY article)
+  SELECT article, coalesce(score, 1) AS score, coalesce(confidence, 0) AS confidence, coalesce(mismatches, 0) AS mismatches, coalesce(critical, false) AS critical, coalesce(score, 1) >= 0.7 AS passed FROM articles LEFT JOIN d USING (article)""")
 def contextual_dimension(t):
     return H.contextual_dimension(_checks(t), "article", _articles(t))
 

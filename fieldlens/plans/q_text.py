@@ -123,17 +123,39 @@ def name_runs(t):
     return facts(t).select("doc_id", F.array_join(X.name_runs(F.col("fact")), "|").alias("runs"))
 
 
-@query("query_terms", "SELECT doc_id, array_to_string(list_slice(list_distinct(w), 1, 8), ' ') AS terms FROM (SELECT doc_id, ['photo' || doc_id, 'chiefs'] AS w FROM documents) WHERE doc_id % 2 = 1 UNION ALL SELECT doc_id, 'photo' || doc_id FROM documents WHERE doc_id % 2 = 0".replace("list_slice(list_distinct(w), 1, 8)", "w"))
+_NO_TERMS = "('the','and','for','with','from','that','this','into','der','die','das','und','mit','für','vom','von','dass','nfl','american','football','headshot','photo','image')"
+
+
+@query("query_terms", rf"""WITH w AS (SELECT doc_id, list_transform(list_filter(regexp_split_to_array('-site:x photo ' || text, '\s+'), lambda x: NOT starts_with(x, '-') AND NOT contains(x, 'site:')), lambda x: lower(regexp_replace(x, '[^a-zA-Z0-9]', '', 'g'))) AS b FROM documents),
+  e AS (SELECT doc_id, unnest(b) AS term, generate_subscripts(b, 1) AS pos FROM w), d AS (SELECT doc_id, term, min(pos) AS pos FROM e WHERE length(term) >= 3 AND term NOT IN {_NO_TERMS} GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS r FROM d)
+  SELECT doc_id, coalesce(terms, '') AS terms FROM documents LEFT JOIN (SELECT doc_id, string_agg(term, ' ' ORDER BY pos) AS terms FROM r WHERE r <= 8 GROUP BY doc_id) USING (doc_id)""")
 def query_terms(t):
-    q = F.concat(F.lit("The Photo"), F.col("doc_id").cast("string"), F.lit(" -site:x NFL of "), F.when(F.col("doc_id") % 2 == 1, "Chiefs! photo").otherwise("an image"))
-    return t.documents.select("doc_id", F.array_join(X.query_terms(q), " ").alias("terms"))
+    """Terms of whole texts, behind an exclusion and a stop word."""
+    return t.documents.select("doc_id", F.array_join(X.query_terms(F.concat(F.lit("-site:x photo "), "text")), " ").alias("terms"))
+
 
+_EDGES = "[,.!?:;()\\[\\]{}\"''’-]+"
 
-@query("capitalised_entities", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'The|The Chiefs|Chiefs' WHEN 1 THEN '' ELSE 'Jane|Jane Roe|Roe' END AS entities FROM documents")
+
+@query("capitalised_entities", rf"""WITH w AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, '\s+'), lambda x: regexp_replace(x, '^{_EDGES}|{_EDGES}$', '', 'g')), lambda x: x <> '') AS b FROM documents),
+  e AS (SELECT doc_id, b, unnest(range(1, len(b) + 1)) AS i FROM w), u AS (SELECT doc_id, i, b[i] AS w, CASE WHEN i > 1 THEN b[i - 1] END AS p FROM e WHERE regexp_matches(b[i], '^\p{{Lu}}')),
+  x AS (SELECT doc_id, p || ' ' || w AS e, 2 * i AS pos FROM u UNION ALL SELECT doc_id, w, 2 * i + 1 FROM u), d AS (SELECT doc_id, e, min(pos) AS pos FROM x WHERE length(e) > 2 GROUP BY 1, 2)
+  SELECT doc_id, coalesce(entities, '') AS entities FROM documents LEFT JOIN (SELECT doc_id, string_agg(e, '|' ORDER BY pos) AS entities FROM d GROUP BY doc_id) USING (doc_id)""")
 def capitalised_entities(t):
-    k = F.col("doc_id") % 3
-    found = X.capitalised(F.split(F.when(k == 0, "The Chiefs signed the rookie").when(k == 1, "no names at all").otherwise("Jane Roe covers the beat"), " "))
-    return t.documents.select("doc_id", F.array_join(found, "|").alias("entities"))
+    """Of whole texts."""
+    return t.documents.select("doc_id", F.array_join(X.capitalised(F.split("text", r"\s+")), "|").alias("entities"))
+
+
+@query("team_name_lookup", """SELECT 'a' || n_nationkey AS id, n_nationkey AS player_id, 1.0::DOUBLE AS confidence FROM nation UNION ALL SELECT 'b' || n_nationkey, n_nationkey, 1.0 FROM nation WHERE contains(lower(n_name), 'an') UNION ALL SELECT 'c' || n_nationkey, n_nationkey, 1.0 FROM nation
+  UNION ALL SELECT 'd' || n_nationkey, n_nationkey, 1.0 FROM nation WHERE contains('team of nation_17', lower(n_name))""")
+def team_name_lookup(t):
+    """a player's team by a longer name than the table's, by a part of it, by none, and by another team's name; exact player names."""
+    k = F.col("n_nationkey")
+    players = t.nation.select(k.alias("player_id"), F.array(F.concat(F.lit("Player number "), k.cast("string"))).alias("names"), F.lit("QB").alias("position"), F.lit(None).cast("string").alias("team_abbr"), F.col("n_name").alias("team_name"))
+    none = F.lit(None).cast("string")
+    asked = lambda kind, team: t.nation.select(F.concat(F.lit(kind), k.cast("string")).alias("id"), F.concat(F.lit("player NUMBER "), k.cast("string")).alias("mention"), none.alias("position"), none.alias("team_abbr"), team.alias("team_name"))
+    mentions = asked("a", F.concat(F.lit("The "), F.lower("n_name"), F.lit(" eleven"))).union(asked("b", F.lit("AN"))).union(asked("c", F.lit(""))).union(asked("d", F.lit("Team of NATION_17")))
+    return R.resolve_players(mentions, players)
 
 
 @query("summary_format", f"WITH {_FACTS} SELECT doc_id, trim(regexp_replace(fact, '\\s+', ' ', 'g')) AS summary FROM texts")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.text import feed_date
+from fieldlens.functions.text import feed_date, once
 
 FEED_ENTRIES, SITEMAP_ENTRIES = 1000, 5000
 SITEMAP_SPACE = "http://www.sitemaps.org/schemas/sitemap/0.9"
@@ -25,15 +25,10 @@ _FEED = f"struct<channel: struct<item: array<struct<{_ITEM}>>>, item: array<stru
 _MAP = "struct<url: array<struct<loc: string, lastmod: string, news: struct<title: string, publication_date: string>>>>"
 
 
-def _once(c: Column, fn) -> Column:
-    """fn(c), with c computed once however often fn names it."""
-    return F.get(F.transform(F.array(c), fn), F.lit(0))
-
-
 def _items(xml: Column, prefixes: bool) -> Column:
     """The items of a feed, or null if it has none."""
     parsed = F.from_xml(xml, _FEED, {"ignoreNamespace": str(not prefixes).lower()})
-    return _once(parsed, lambda j: F.coalesce(*(F.when(F.size(items) > 0, items) for items in (j["channel"]["item"], j["item"], j["entry"]))))
+    return once(parsed, lambda j: F.coalesce(*(F.when(F.size(items) > 0, items) for items in (j["channel"]["item"], j["item"], j["entry"]))))
 
 
 def _mended(xml: Column) -> Column:

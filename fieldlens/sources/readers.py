@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from fieldlens.functions.text import feed_date, squeezed
 from fieldlens.operators.providers import SEASON_COLUMNS, filter_first_present
 
-WEEK_COLUMNS = ["week", "game_week"]
+WEEK_COLUMNS = ["week", "week_number", "game_week"]
 
 
 def scan(spark: SparkSession, path: str, season: int | None = None, week: int | None = None, schema: T.StructType | None = None, form: str = "parquet") -> DataFrame:

@@ -70,23 +70,22 @@ def seen_once(items: DataFrame, key: str, moment: str, late: str) -> DataFrame:
 
 
 def clustered(stream: DataFrame, block: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """E7 on a stream of (id, embedding): state for each block is its groups' sums, counts and members, as a story that comes again must not move a centroid twice."""
+    """E7 on a stream of (id, embedding): each block's state is its groups' sums and counts, so it grows with the groups and not with the stories.
+
+    As in a run over stored groups, a story counts once in a micro-batch; stories grouped before are left out upstream (E12).
+    """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
-        leader = Leader(threshold)
-        if state.exists:
-            sums, counts, members = state.get
-            leader.sums = [np.asarray(s, float) for s in sums]
-            leader.counts = list(counts)
-            leader.members = [set(m) for m in members]
+        sums, counts = state.get if state.exists else ([], [])
+        leader = Leader(threshold, [(np.asarray(s, float) / max(n, 1), n) for s, n in zip(sums, counts)])
         out = []
         for frame in frames:
             for ident, vector in frame.sort_values("id")[["id", "embedding"]].itertuples(index=False):
-                group, sim = leader.assign(ident, np.asarray(vector, float))
+                group, sim, _ = leader.assign(ident, np.asarray(vector, float))
                 out.append((key[0], ident, group, sim))
-        state.update(([s.tolist() for s in leader.sums], leader.counts, [sorted(int(i) for i in m) for m in leader.members]))
+        state.update((leader.sums[: leader.n].tolist(), leader.counts))
         yield pd.DataFrame(out, columns=["block", "id", "local_group", "sim"])
 
     rows = stream.withColumn("block", block)
     kind = dict(rows.dtypes)["block"]
-    return rows.groupBy("block").applyInPandasWithState(step, f"block {kind}, id long, local_group int, sim double", "sums array<array<double>>, counts array<int>, members array<array<bigint>>", "append", "NoTimeout")
+    return rows.groupBy("block").applyInPandasWithState(step, f"block {kind}, id long, local_group int, sim double", "sums array<array<double>>, counts array<int>", "append", "NoTimeout")

@@ -76,3 +76,39 @@ def test_nearest_group_in_blocks(frame, monkeypatch):
     monkeypatch.setattr(E, "BLOCK_ROWS", 4)
     got = E.nearest_group(rows, groups, 0.5).orderBy("vec_id").collect()
     assert [(r["vec_id"], r["group_id"], round(r["sim"], 6)) for r in got] == [(r["vec_id"], r["group_id"], round(r["sim"], 6)) for r in want]
+
+
+def test_leader_with_stored_groups_against_a_plain_loop(frame):
+    """Stored groups weigh as much as their members; facts count before URLs; the last of equal groups wins."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(9, 6))
+    stored = [(7, base[0] / np.linalg.norm(base[0]), 5), (3, base[1], 0), (9, base[2] / np.linalg.norm(base[2]), 40)]
+    stories = [(int(rng.integers(0, 25)), (base[i % 9] + rng.normal(size=6) * 0.25).tolist(), f"f{i % 13}" if i % 3 else None, i) for i in range(120)]
+
+    def unit(x):
+        return x / np.linalg.norm(x)
+
+    groups = [{"id": g, "sum": c * max(n, 1), "urls": set(), "facts": set()} for g, c, n in sorted(stored, key=lambda s: s[0])]
+    want = []
+    for url, v, fact, seq in stories:
+        sims = [min(1.0, max(0.0, float(unit(g["sum"]) @ unit(np.array(v))))) for g in groups]
+        top = max(sims)
+        if top >= 0.8:
+            at = max(i for i, s in enumerate(sims) if s == top)
+            g = groups[at]
+            if fact in g["facts"] if fact is not None else url in g["urls"]:
+                want.append((seq, at, g["id"], 1.0, False))
+                continue
+            g["sum"] = g["sum"] + np.array(v)
+        else:
+            groups.append({"id": None, "sum": np.array(v), "urls": set(), "facts": set()})
+            at, g, top = len(groups) - 1, groups[-1], 1.0
+        g["urls"].add(url)
+        if fact is not None:
+            g["facts"].add(fact)
+        want.append((seq, at, g["id"], round(top, 6), True))
+    held = frame([(0, g, c.tolist(), n) for g, c, n in stored], "b int, group_id long, centroid array<double>, member_count long").withColumnRenamed("b", "block")
+    df = frame([*stories, (99, None, None, 500), (98, [], None, 501)], "vec_id long, embedding array<double>, fact string, seq long")
+    got = E.leader_clusters(df.withColumn("k", F.col("seq")), F.lit(0), ["seq"], 0.8, fact="fact", stored=held)
+    rows = [(r["local_group"], r["group_id"], round(r["sim"], 6), r["added"]) for r in got.collect()]
+    assert rows == [w[1:] for w in want] and {False, True} == {w[4] for w in want} and any(w[2] for w in want)

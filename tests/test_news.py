@@ -129,7 +129,7 @@ def test_request_ids(frame, custom_id, want):
 @pytest.mark.parametrize(
     ("text", "want"),
     [
-        ('{"summary": " a b "}', "a b"), ('note {"x": 1, "summary": "in it"} end', "in it"), ('```json\n{"summary": "f\\"q\\""}\n```', 'f"q"'), ('{"other": "x"}', None),
+        ('{"summary": " a b "}', "a b"), ('note {"x": 1, "summary": "in it"} end', "in it"), ('```json\n{"summary": "f"}\n```', "f"), ('x {"summary": "f\\"q\\""}', "f\\"), ('{"other": "x"}', None),
         ("plain words", None), ('{"summary": ""}', None), (None, None), ('x {"a": {"b": 1}, "summary": "deep"} y', "deep"),
     ],
 )
