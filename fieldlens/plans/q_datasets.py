@@ -21,6 +21,7 @@ from fieldlens.session import shared_dir
 from fieldlens.sources.tables import Table
 from fieldlens.streaming import news_stream as J
 from fieldlens.streaming.drain import drain, stream_table
+from fieldlens.streaming.job_stream import changes, use_rocksdb
 
 _s = lambda c: F.col(c).cast("string")
 
@@ -571,3 +572,22 @@ def stream_clusters(t):
     """Stateful clustering by label block: groups and similarities of leader clustering within each label."""
     vectors = stream_table(t.spark, t.sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "embedding", "label")
     return drain(J.clustered(vectors, F.col("label").cast("int"), 0.3)).select("block", "id", "local_group", F.round("sim", 6).alias("sim"))
+
+
+@query("stream_jobs", """SELECT c_custkey AS job_id, 'queued' AS status, 0::INT AS attempts, 'created' AS cause FROM customer UNION ALL SELECT c_custkey, 'running', 1, 'claimed' FROM customer WHERE c_custkey % 3 > 0
+  UNION ALL SELECT c_custkey, CASE WHEN c_custkey % 4 = 1 THEN 'failed' ELSE 'succeeded' END, 1, CASE WHEN c_custkey % 4 = 1 THEN 'failed' ELSE 'succeeded' END FROM customer WHERE c_custkey % 3 = 2""")
+def stream_jobs(t):
+    """G30 as keyed state: every job is created, some are claimed (a second claim and a late end change nothing), some end; claims of unknown jobs do nothing."""
+    k = F.col("c_custkey")
+    end = F.when(k % 4 == 1, "failed").otherwise("succeeded")
+    say = lambda event, seq: F.struct(k.alias("job_id"), event.alias("event"), F.lit(seq).cast("long").alias("seq"))
+    told = F.when(k % 3 == 0, F.array(say(F.lit("created"), 1), say(F.lit("succeeded"), 2))).when(k % 3 == 1, F.array(say(F.lit("claimed"), 0), say(F.lit("created"), 1), say(F.lit("claimed"), 2), say(F.lit("claimed"), 3)))
+    told = told.otherwise(F.array(say(F.lit("created"), 1), say(F.lit("claimed"), 2), say(end, 3), say(F.lit("failed"), 4), say(F.lit("created"), 5)))
+    path = f"{shared_dir(t.spark)}/query-{uuid.uuid4().hex}"
+    t.customer.select(F.inline(told)).write.parquet(path)
+    before = t.spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    use_rocksdb(t.spark)
+    try:
+        return drain(changes(t.spark.readStream.schema("job_id long, event string, seq long").parquet(path), running=86_400), "update", once=True).select("job_id", "status", "attempts", "cause")
+    finally:
+        t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)

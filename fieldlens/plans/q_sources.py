@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlens.operators import providers as P
 from fieldlens.plans.registry import query
 from fieldlens.session import shared_dir
 from fieldlens.sources import readers as R
+from fieldlens.sources.paged import use_pages
 from fieldlens.sources.sinks import Pipeline, sync_all
 from fieldlens.sources.tables import Leases, Table
 
@@ -144,3 +146,35 @@ def leased_claims(t):
     queue.claim("second", 2, at(30))
     queue.done(queue.table.read().where("worker = 'second'"), "first", at(31))  # not its own
     return queue.table.read().select("item_id", "status", "attempts", "worker")
+
+
+def _paged(t):
+    """The schedule as a service would page it: a file of 50 games at most for each season, week and page."""
+    place = F.row_number().over(Window.partitionBy("season", "wk").orderBy("game_id")) - 1
+    rows = t.games.withColumn("page", F.floor(place / 50).cast("int"))
+    pages = rows.groupBy("season", "wk", "page").agg(F.to_json(F.array_sort(F.collect_list(F.struct("game_id", "home", "away")))).alias("body"))
+    path = _folder(t).removeprefix("file://")
+    weeks = [r["wk"] for r in t.games.select("wk").distinct().collect()]
+    seasons = [r["season"] for r in t.games.select("season").distinct().collect()]
+
+    def put(part):
+        for r in part:
+            os.makedirs(f"{path}/{r['season']}/{r['wk']}", exist_ok=True)
+            with open(f"{path}/{r['season']}/{r['wk']}/{r['page']}.json", "w") as out:
+                out.write(r["body"])
+
+    pages.foreachPartition(put)
+    use_pages(t.spark)
+    return t.spark.read.format("paged").schema("season int, week int, game_id long, home string, away string").options(url=f"file://{path}/{{season}}/{{week}}/{{page}}.json", seasons=",".join(map(str, seasons)), weeks=",".join(map(str, weeks)), pageSize=50).load()
+
+
+@query("paged_scan", "SELECT season, wk AS week, game_id, home, away FROM games", "games")
+def paged_scan(t):
+    """Every page of every season and week, each until a short one."""
+    return _paged(t)
+
+
+@query("paged_season", "SELECT season, wk AS week, game_id, home, away FROM games WHERE season = 1995 AND wk IN (3, 4) AND home > 'T05'", "games")
+def paged_season(t):
+    """A1: a season and two weeks, which choose the pages that are asked for."""
+    return _paged(t).where("season = 1995 and week in (3, 4) and home > 'T05'")

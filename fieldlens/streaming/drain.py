@@ -19,15 +19,18 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: i
     return reader.parquet(path)
 
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Everything that the query gives for the files present, through a Parquet folder in the shared checkpoint folder."""
+def drain(stream: DataFrame, mode: str = "append", once: bool = False) -> DataFrame:
+    """Everything that the query gives for the files present, through a Parquet folder in the shared checkpoint folder.
+
+    A query with timers always has another batch to run, so it takes all files in one (``once``).
+    """
     spark = stream.sparkSession
     path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path if mode == "complete" else f"{path}/batch={number}")
 
-    query = stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{path}-state").trigger(**{"once" if once else "availableNow": True}).start()
     query.awaitTermination()
     read = spark.read.schema(stream.schema)
     return read.parquet(path) if mode == "complete" else read.option("recursiveFileLookup", "true").parquet(path)

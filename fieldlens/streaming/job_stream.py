@@ -3,7 +3,8 @@
 Each job is one key: a value of its state with a time to live, and a list of its attempts. Events move it on by the rules of
 ``operators.jobs``: only a queued job can be claimed, an ended one stays ended. A claimed job sets a processing-time timer; if it fires and the same attempt still runs, the
 job goes back into the queue while it has attempts left. Expired jobs leave the state store by themselves. State is kept by RocksDB, one column family a variable,
-so its size on disk and its checkpoints follow the number of live jobs, and a restart goes on where the last run stopped.
+so its size on disk and its checkpoints follow the number of live jobs, and a restart goes on where the last run stopped. A query with timers never runs out of batches:
+start it with a processing-time trigger, or with ``once`` for what is there.
 """
 
 from __future__ import annotations
