@@ -24,22 +24,27 @@ from fieldlens.llm.toxicity import keep_clean
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text scores below the toxicity threshold; a null text is scored as an empty one, an empty table gives an empty one."""
     return keep_clean(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that score as good; without labels all rows stay."""
     return keep_good(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near-duplicates, the smallest doc_id; texts without words stay, null doc_ids are kept where they stand alone, and repeated rows leave one."""
     return keep_one(docs, width=5, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that hold no benchmark item; an empty benchmark drops nothing."""
     return drop_leaking(docs, read(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all rows in sequences; a null text is its end mark alone, and an empty table gives no sequence."""
     return pack_documents(docs)
 
 
@@ -51,7 +56,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Models are learned and tokens counted on the way, which SQL cannot express; tests compare with a brute-force version.
+#: Models are learned and tokens counted on the way, which SQL cannot express; tests hold near_dedup against brute force, and the other stages' operators against naive versions and held-out labels.
 ORACLE_SQL = None
 
 
