@@ -20,6 +20,7 @@ from fieldlens.functions.vectors import cosine, unit
 THRESHOLD = 0.88
 MERGE_THRESHOLD, MERGE_PAIRS = 0.92, 200
 BLOCK_ROWS = 2_000
+GRID_ROWS = 6_000  # rows of a block of the grid of pairs
 BROADCAST_NUMBERS = 4_000_000  # 32 MB of centroids
 
 
@@ -55,28 +56,54 @@ def _grid(df: DataFrame, n_blocks: int, id_col: str) -> DataFrame:
     return df.withColumn("block", block).withColumn("cell", F.explode(F.array_distinct(cells)))
 
 
+def _units(vectors: pd.Series) -> np.ndarray:
+    x = np.vstack(vectors).astype(float)
+    length = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.where(length > 0, length, 1)
+
+
 def _similar(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     nx, ny = np.linalg.norm(x, axis=1, keepdims=True), np.linalg.norm(y, axis=1, keepdims=True)
     return np.clip((x / np.where(nx > 0, nx, 1)) @ (y / np.where(ny > 0, ny, 1)).T, 0.0, 1.0)
 
 
-def similar_pairs(df: DataFrame, id_col: str, vector: str, threshold: float, blocks: int | None = None) -> DataFrame:
-    """Pairs a < b of similarity at or above a threshold; vectors of an unusual length have no similarity to others."""
+def similar_pairs(df: DataFrame, id_col: str, vector: str, threshold: float, blocks: int | None = None, places: int | None = None, most: int | None = None) -> DataFrame:
+    """Pairs a < b of similarity at or above a threshold; vectors of an unusual length have no similarity to others.
+
+    ``blocks`` is the least number of blocks: none is larger than ``GRID_ROWS`` rows or so, and a cell compares ``BLOCK_ROWS`` of them at a time, so its memory does not
+    grow with the table. ``places`` rounds similarities; ``most`` keeps each cell's best pairs by (similarity down, a, b), which hold the best of all.
+    """
     rows = of_one_length(df.select(F.col(id_col).alias("id"), F.col(vector).alias("v")), "v")
-    n = blocks or max(1, -(-rows.count() // BLOCK_ROWS))
+    n = max(blocks or 1, -(-rows.count() // GRID_ROWS))
 
-    def cell(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = {b: p for b, p in frame.groupby("block")}
-        a = parts[min(parts)]
-        b = parts[max(parts)]
-        if len(parts) == 1 and frame["cell"].iloc[0]["lo"] != frame["cell"].iloc[0]["hi"]:
-            return pd.DataFrame({"a": [], "b": [], "sim": []}).astype({"a": "int64", "b": "int64", "sim": "float64"})
-        s = _similar(np.vstack(a["v"]).astype(float), np.vstack(b["v"]).astype(float))
-        i, j = np.nonzero(s >= threshold)
-        ids_a, ids_b = a["id"].to_numpy()[i], b["id"].to_numpy()[j]
-        keep = ids_a < ids_b if a is b else np.ones(len(i), bool)
-        low, high = np.minimum(ids_a, ids_b), np.maximum(ids_a, ids_b)
-        return pd.DataFrame({"a": low[keep], "b": high[keep], "sim": s[i, j][keep]})
+    def best(found: list[tuple[np.ndarray, ...]]) -> list[tuple[np.ndarray, ...]]:
+        a, b, sim = (np.concatenate(c) for c in zip(*found))
+        first = np.lexsort((b, a, -sim))[:most]
+        return [(a[first], b[first], sim[first])]
+
+    def cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(batches))  # two blocks at most
+        lo, hi = frame["cell"].iloc[0]["lo"], frame["cell"].iloc[0]["hi"]
+        first, second = frame[frame["block"] == lo], frame[frame["block"] == hi]
+        kept: list[tuple[np.ndarray, ...]] = []
+        if len(first) and len(second):
+            x, y = _units(first["v"]), _units(second["v"])
+            ids_x, ids_y = first["id"].to_numpy(), second["id"].to_numpy()
+            for r in range(0, len(x), BLOCK_ROWS):
+                for c in range(r if lo == hi else 0, len(y), BLOCK_ROWS):
+                    s = np.clip(x[r : r + BLOCK_ROWS] @ y[c : c + BLOCK_ROWS].T, 0.0, 1.0)
+                    if lo == hi and r == c:
+                        s[np.tril_indices(len(s))] = -1.0  # each pair once
+                    i, j = np.nonzero(s >= max(threshold, 0.0))
+                    ids_a, ids_b = ids_x[r + i], ids_y[c + j]
+                    sim = s[i, j] if places is None else np.round(s[i, j], places)
+                    pairs = tuple(p[ids_a != ids_b] for p in (np.minimum(ids_a, ids_b), np.maximum(ids_a, ids_b), sim))
+                    if most is None:
+                        yield pd.DataFrame(dict(zip(("a", "b", "sim"), pairs)))
+                    else:
+                        kept = best([*kept, pairs])
+        for pairs in kept:
+            yield pd.DataFrame(dict(zip(("a", "b", "sim"), pairs)))
 
     return _grid(rows, n, "id").groupBy("cell").applyInPandas(cell, "a long, b long, sim double")
 
@@ -266,7 +293,7 @@ def merge_plan(groups: DataFrame, threshold: float = MERGE_THRESHOLD, most: int
 
     groups has group_id, centroid, member_count, created_at. The pairs are few by definition, so their union runs on the driver.
     """
-    pairs = similar_pairs(groups, "group_id", "centroid", threshold)
+    pairs = similar_pairs(groups, "group_id", "centroid", threshold, places=9, most=most)
     top = pairs.orderBy(F.desc(F.round("sim", 9)), "a", "b").limit(most).collect()
     root: dict[int, int] = {}
 

@@ -56,6 +56,21 @@ def test_pairs_in_blocks(frame, blocks):
     assert got == {(i, j) for i in range(40) for j in range(i + 1, 40) if n[i] @ n[j] >= 0.6}
 
 
+def test_blocks_are_bounded_whatever_their_number(frame, monkeypatch):
+    """A number of blocks that is given is the least: a larger table is cut further, and no product is larger than its bound."""
+    monkeypatch.setattr(E, "GRID_ROWS", 8)
+    monkeypatch.setattr(E, "BLOCK_ROWS", 3)
+    x = np.random.default_rng(1).normal(size=(40, 4))
+    df = frame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    n = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = sorted((-round(n[i] @ n[j], 7), i, j) for i in range(40) for j in range(i + 1, 40) if n[i] @ n[j] >= 0.6)
+    pairs = E.similar_pairs(df, "id", "v", 0.6, blocks=1)
+    assert pairs.count() == len(want) and {(r["a"], r["b"]) for r in pairs.collect()} == {w[1:] for w in want}
+    best = E.similar_pairs(df, "id", "v", 0.6, blocks=1, places=7, most=4)
+    assert best.count() < len(want)
+    assert [(r["a"], r["b"]) for r in best.orderBy(F.desc("sim"), "a", "b").limit(4).collect()] == [w[1:] for w in want[:4]]
+
+
 def test_merge_plan_keeps_the_largest(frame):
     rows = [(1, [1.0, 0.0], 2, 5), (2, [1.0, 0.01], 4, 9), (3, [1.0, 0.02], 4, 3), (4, [0.0, 1.0], 1, 1)]
     plan = E.merge_plan(frame(rows, "group_id long, centroid array<double>, member_count int, created_at int"))
