@@ -23,7 +23,7 @@ def _centres(t):
 
 @query("cosine_pairs_topk", f"SELECT a.vec_id AS a, b.vec_id AS b, round({_cos('a.embedding', 'b.embedding')}, 7) AS sim FROM members a JOIN members b ON a.vec_id < b.vec_id ORDER BY sim DESC, a, b LIMIT 25", "members")
 def cosine_pairs_topk(t):
-    pairs = E.similar_pairs(t.members, "vec_id", "embedding", 0.3, blocks=3)
+    pairs = E.similar_pairs(t.members, "vec_id", "embedding", 0.3, blocks=3, places=7, most=25)
     return pairs.withColumn("sim", F.round("sim", 7)).orderBy(F.desc("sim"), "a", "b").limit(25)
 
 
