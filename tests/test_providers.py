@@ -146,3 +146,25 @@ def test_older_requests_are_converted():
 def test_older_requests_need_a_season(temporal):
     with pytest.raises(ValueError):
         P.modern_request({"subject": {"entity_id": "x"}, "scope": {"temporal": temporal}, "bundles": []})
+
+
+def test_names_a_letter_away_are_found_by_joins(frame, monkeypatch):
+    """Of many mentions, those a letter from a name are settled by joins, with the scores of a scan, and only the rest are scored."""
+    import random
+
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abc ") for _ in range(n))
+    names = [word(r.randint(1, 8)) for _ in range(60)] + ["custom 1001", "custom 1010", "custom 1011"]
+    texts = [word(r.randint(1, 8)) for _ in range(60)] + ["custm 1001", "1001 custom", "customs 1010", "custom 101", "b", ""]
+    mentions, listed = frame([(x,) for x in texts], "mention string"), frame([(x,) for x in names], "name string")
+    rows = lambda: sorted(map(tuple, R.fuzzy_best(mentions, listed).collect()))
+    scanned, asked = rows(), []
+    monkeypatch.setattr(R, "FEW_MENTIONS", 0)
+    scored = R._scored
+    monkeypatch.setattr(R, "_scored", lambda wanted, n, *more: asked.extend(x["mention"] for x in wanted.collect()) or scored(wanted, n, *more))
+    assert rows() == scanned and len(scanned) > 40
+    assert not {"custm 1001", "1001 custom", "customs 1010", "custom 101"} & set(asked)
+    monkeypatch.setattr(R, "DIRECTORY", 4)
+    assert rows() == scanned
+    monkeypatch.setattr(R, "FEW_MENTIONS", 1_000)
+    assert rows() == scanned
