@@ -213,6 +213,14 @@ class Leader:
         for centroid, count in stored or []:
             self._open(np.asarray(centroid, float) * max(count, 1), count)
 
+    @classmethod
+    def resumed(cls, threshold: float, sums: list, counts: list[int]) -> Leader:
+        """Groups as an earlier run left them, to the last digit."""
+        leader = cls(threshold)
+        for total, count in zip(sums, counts):
+            leader._open(np.asarray(total, float), count)
+        return leader
+
     def _open(self, total: np.ndarray, count: int) -> None:
         if self.n == len(self.sums):
             grown = np.zeros((max(16, 2 * self.n), len(total)))

@@ -24,6 +24,7 @@ from fieldlens.streaming.drain import drain, stream_table
 from fieldlens.streaming.job_stream import changes, use_rocksdb
 
 _s = lambda c: F.col(c).cast("string")
+ID_RANGES = 3
 
 
 @query("game_projection", "SELECT CAST(game_id AS VARCHAR) AS game_id, season, 'REG' AS game_type, wk AS week, strftime(DATE '2024-01-01' + CAST(wk AS INT), '%A') AS weekday, away AS away_team, away_score::DOUBLE AS away_score, home AS home_team, home_score::DOUBLE AS home_score FROM games", "games")
@@ -570,8 +571,17 @@ def stream_marks(t):
 @query("stream_clusters", LEADERS_BY_LABEL, "members")
 def stream_clusters(t):
     """Stateful clustering by label block: groups and similarities of leader clustering within each label."""
-    vectors = stream_table(t.spark, t.sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "embedding", "label")
-    return drain(J.clustered(vectors, F.col("label").cast("int"), 0.3)).select("block", "id", "local_group", F.round("sim", 6).alias("sim"))
+    path = f"{shared_dir(t.spark)}/query-{uuid.uuid4().hex}"
+    stories = t.embeddings.select(F.col("vec_id").cast("long").alias("id"), "embedding", "label")
+    # The table's files hold any ids in any order of time, so ranges of ids become folders: a restart of the stream, and one micro-batch, for each.
+    ends = sorted(set(stories.approxQuantile("id", [i / ID_RANGES for i in range(1, ID_RANGES)], 0.01)))
+    for i, (low, high) in enumerate(zip([None, *ends], [*ends, None])):
+        part = stories if low is None else stories.where((F.col("id") >= int(low)) | F.col("id").isNull())
+        part = part if high is None else part.where(F.col("id") < int(high))
+        part.write.parquet(f"{path}/in/part={i}")
+        vectors = t.spark.readStream.schema(stories.schema).option("maxFilesPerTrigger", 1_000_000).parquet(f"{path}/in").drop("part")
+        groups = drain(J.clustered(vectors, F.col("label").cast("int"), 0.3), path=f"{path}/groups")
+    return groups.select("block", "id", "local_group", F.round("sim", 6).alias("sim"))
 
 
 @query("stream_jobs", """SELECT c_custkey AS job_id, 'queued' AS status, 0::INT AS attempts, 'created' AS cause FROM customer UNION ALL SELECT c_custkey, 'running', 1, 'claimed' FROM customer WHERE c_custkey % 3 > 0

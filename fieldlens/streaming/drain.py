@@ -19,13 +19,13 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_batch: i
     return reader.parquet(path)
 
 
-def drain(stream: DataFrame, mode: str = "append", once: bool = False) -> DataFrame:
+def drain(stream: DataFrame, mode: str = "append", once: bool = False, path: str | None = None) -> DataFrame:
     """Everything that the query gives for the files present, through a Parquet folder in the shared checkpoint folder.
 
-    A query with timers always has another batch to run, so it takes all files in one (``once``).
+    A query with timers always has another batch to run, so it takes all files in one (``once``). With a ``path``, a query that is started again goes on where it stopped.
     """
     spark = stream.sparkSession
-    path = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    path = path or f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path if mode == "complete" else f"{path}/batch={number}")

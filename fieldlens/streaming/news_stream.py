@@ -72,17 +72,18 @@ def seen_once(items: DataFrame, key: str, moment: str, late: str) -> DataFrame:
 def clustered(stream: DataFrame, block: Column, threshold: float = THRESHOLD) -> DataFrame:
     """E7 on a stream of (id, embedding): each block's state is its groups' sums and counts, so it grows with the groups and not with the stories.
 
-    As in a run over stored groups, a story counts once in a micro-batch; stories grouped before are left out upstream (E12).
+    Stories join in the order of their ids within a micro-batch, and in the order of the batches. As in a run over stored groups, a story counts once in a
+    micro-batch; stories grouped before are left out upstream (E12).
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: Any) -> Iterator[pd.DataFrame]:
         sums, counts = state.get if state.exists else ([], [])
-        leader = Leader(threshold, [(np.asarray(s, float) / max(n, 1), n) for s, n in zip(sums, counts)])
+        leader = Leader.resumed(threshold, sums, counts)
         out = []
-        for frame in frames:
-            for ident, vector in frame.sort_values("id")[["id", "embedding"]].itertuples(index=False):
-                group, sim, _ = leader.assign(ident, np.asarray(vector, float))
-                out.append((key[0], ident, group, sim))
+        stories = pd.concat([frame[["id", "embedding"]] for frame in frames])  # a block's frames are parts of it in any order
+        for ident, vector in stories.sort_values("id", kind="stable").itertuples(index=False):
+            group, sim, _ = leader.assign(ident, np.asarray(vector, float))
+            out.append((key[0], ident, group, sim))
         state.update((leader.sums[: leader.n].tolist(), leader.counts))
         yield pd.DataFrame(out, columns=["block", "id", "local_group", "sim"])
 

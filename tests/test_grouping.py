@@ -127,3 +127,25 @@ def test_leader_with_stored_groups_against_a_plain_loop(frame):
     got = E.leader_clusters(df.withColumn("k", F.col("seq")), F.lit(0), ["seq"], 0.8, fact="fact", stored=held)
     rows = [(r["local_group"], r["group_id"], round(r["sim"], 6), r["added"]) for r in got.collect()]
     assert rows == [w[1:] for w in want] and {False, True} == {w[4] for w in want} and any(w[2] for w in want)
+
+
+def test_stream_clusters_follow_ids_and_not_files(spark, frame, tmp_path):
+    """Files whose times run against their ids, and blocks that come in several Arrow batches, give the groups of the batch form."""
+    import time
+
+    from fieldlens.plans import all_queries
+
+    x = np.random.default_rng(5).normal(size=(900, 4))
+    rows = [(i, v.tolist(), i % 2) for i, v in enumerate(x)]
+    for k in (2, 1, 0):
+        for i, r in enumerate((rows[k * 300 : k * 300 + 150], rows[k * 300 + 150 : k * 300 + 300])):
+            frame(r[::-1], "vec_id long, embedding array<float>, label int").coalesce(1).write.mode("append").parquet(str(tmp_path / "embeddings.parquet"))
+            time.sleep(0.02)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    try:
+        got = {r["id"]: (r["block"], r["local_group"], r["sim"]) for r in all_queries()[0]["stream_clusters"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    want = E.leader_clusters(frame(rows, "vec_id long, embedding array<float>, label int"), F.col("label"), ["vec_id"], 0.3).collect()
+    assert got == {r["id"]: (r["block"], r["local_group"], round(r["sim"], 6)) for r in want}
