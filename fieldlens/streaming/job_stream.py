@@ -12,8 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -36,34 +35,35 @@ class Jobs(StatefulProcessor):
         self.job = handle.getValueState("job", _JOB, self.live)
         self.tries = handle.getListState("tries", _ATTEMPT, self.live)
 
-    def _rows(self, key: Any, changes: list[tuple[str, int, str, int]]) -> Iterator[pd.DataFrame]:
-        if changes:
-            status, attempts, cause, at = zip(*changes)
-            yield pd.DataFrame({"job_id": [key[0]] * len(changes), "status": status, "attempts": pd.array(attempts, "int32"), "cause": cause, "at": at})
+    def _rows(self, key: Any, changes: list[tuple[str, int, str, int]]) -> Iterator[Row]:
+        for status, attempts, cause, at in changes:
+            yield Row(job_id=key[0], status=status, attempts=attempts, cause=cause, at=at)
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         now, changes = timerValues.getCurrentProcessingTimeInMs(), []
-        status, attempts, deadline = self.job.get() if self.job.exists() else (None, 0, 0)
-        for event in pd.concat(list(rows)).sort_values("seq")["event"]:
+        status, attempts, deadline = self.job.get() or (None, 0, 0)
+        for event in [r["event"] for r in sorted(rows, key=lambda r: (r["seq"] is None, r["seq"]))]:
             before = status
             if event == "created" and status is None:
                 status = "queued"
             elif event == "claimed" and status == "queued":
                 status, attempts, deadline = "running", attempts + 1, now + self.running
-                self.handle.registerTimer(deadline)
                 self.tries.appendValue((now,))
             elif event in ("succeeded", "failed") and status == "running":
                 status, deadline = event, 0
             if status != before:
                 changes.append((status, attempts, event, now))
         if changes:
+            if status == "running" and deadline == now + self.running:
+                self.handle.registerTimer(deadline)
             self.job.update((status, attempts, deadline))
         yield from self._rows(key, changes)
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        if not self.job.exists():  # expired meanwhile
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        found = self.job.get()
+        if not found:  # expired meanwhile
             return
-        status, attempts, deadline = self.job.get()
+        status, attempts, deadline = found
         if status == "running" and deadline == expiredTimerInfo.getExpiryTimeInMs() and attempts < self.attempts:
             self.job.update(("queued", attempts, 0))
             yield from self._rows(key, [("queued", attempts, "timer", timerValues.getCurrentProcessingTimeInMs())])
@@ -75,7 +75,7 @@ class Jobs(StatefulProcessor):
 def changes(events: DataFrame, running: float = RUNNING_SECONDS, attempts: int = MOST_ATTEMPTS, live: float = 86_400) -> DataFrame:
     """A stream of job events(job_id, event, seq) as a stream of state changes."""
     rows = events.select("job_id", "event", "seq")
-    return rows.groupBy("job_id").transformWithStateInPandas(Jobs(running, attempts, live), OUTPUT, "Update", "ProcessingTime")
+    return rows.groupBy("job_id").transformWithState(Jobs(running, attempts, live), OUTPUT, "Update", "ProcessingTime")
 
 
 def use_rocksdb(spark: SparkSession) -> None:
