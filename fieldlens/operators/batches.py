@@ -6,7 +6,7 @@ another status than 200 are counted and left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions.text import ENTITY_TYPES, clean_mention, topic_category
@@ -114,7 +114,7 @@ def summary_batch(lines: DataFrame, held: DataFrame | None = None) -> tuple[Data
 def _rows(said: DataFrame) -> DataFrame:
     """Replies as rows of fact_id, llm_model and row (VARIANT): a list, one inside other text, or the results or data of an object."""
     whole = F.try_parse_json("text")
-    payload = said.where("not failed and text is not null").withColumn("p", F.when(whole.isNotNull(), whole).otherwise(F.try_parse_json(F.regexp_extract("text", r"(?s)(\[.*\])", 1))))
+    payload = said.where("not failed and text is not null").withColumn("p", F.coalesce(whole, F.try_parse_json(F.regexp_extract("text", r"(?s)(\[.*\])", 1))))
     listed = lambda path: _at("p", path, "array<variant>")
     some = lambda a: F.when(F.size(a) > 0, a)
     each = payload.select("seq", "llm_model", F.explode(F.coalesce(listed("$"), some(listed("$.results")), some(listed("$.data")))).alias("row"))
@@ -122,9 +122,11 @@ def _rows(said: DataFrame) -> DataFrame:
 
 
 def _asked(rows: DataFrame, facts: DataFrame, held: DataFrame | None) -> DataFrame:
-    there = facts.select(F.col("fact_id").cast("string").alias("fact_id")).distinct().withColumn("__there", F.lit(True))
-    done = (facts.limit(0) if held is None else held).select(F.col("fact_id").cast("string").alias("fact_id")).distinct().withColumn("__held", F.lit(True))
-    return rows.join(there, "fact_id", "left").join(done, "fact_id", "left").withColumns({"__there": F.coalesce("__there", F.lit(False)), "__held": F.coalesce("__held", F.lit(False))})
+    ids = lambda df: df.select(F.col("fact_id").cast("string").alias("fact_id")).distinct()
+    marked = rows.join(ids(facts).withColumn("__there", F.lit(True)), "fact_id", "left").withColumn("__there", F.coalesce("__there", F.lit(False)))
+    if held is None:
+        return marked.withColumn("__held", F.lit(False))
+    return marked.join(ids(held).withColumn("__held", F.lit(True)), "fact_id", "left").withColumn("__held", F.coalesce("__held", F.lit(False)))
 
 
 def _report(said: DataFrame, marked: DataFrame, empty: DataFrame) -> DataFrame:
@@ -161,29 +163,37 @@ def entity_batch(lines: DataFrame, facts: DataFrame, players: DataFrame, teams:
     """
     said = replies(lines)
     marked = _asked(_rows(said), facts, held)
-    new = marked.where("__there and not __held").select("fact_id", "llm_model", "seq", _at("row", "$.entities", "array<variant>").alias("entities"))
-    each = new.select("fact_id", "llm_model", "seq", F.posexplode_outer("entities").alias("pos", "e"))
+    entities = F.when(F.col("__there") & ~F.col("__held"), _at("row", "$.entities", "array<variant>"))
+    each = marked.select("fact_id", "llm_model", "seq", "__there", "__held", F.posexplode_outer(entities).alias("pos", "e"))
     kind = F.lower(F.coalesce(_filled(_at("e", "$.entity_type")), _at("e", "$.type")))
     mention = clean_mention(F.coalesce(_filled(_at("e", "$.mention_text")), _at("e", "$.name")))
     own = {n: _at("e", f"$.{n}") for n in ("position", "team_abbr", "team_name")} | {"is_primary": F.coalesce(_at("e", "$.is_primary", "boolean"), F.lit(False)), "rank": _at("e", "$.rank", "int")}
-    found = each.select("fact_id", "llm_model", "seq", "pos", kind.alias("entity_type"), mention.alias("mention"), *(c.alias(n) for n, c in own.items()))
-    found = found.persist()  # read by three resolvers and twice more; lost blocks are computed again
-    low = F.lower("mention")
+    found = each.select("fact_id", "llm_model", "seq", "pos", "__there", "__held", kind.alias("entity_type"), mention.alias("mention"), *(c.alias(n) for n, c in own.items()))
+    low, player = F.lower("mention"), F.col("entity_type") == "player"
     foreign = (F.col("entity_type") == "team") & F.coalesce(F.exists(F.array(*map(F.lit, OTHER_TEAMS)), lambda p: F.contains(low, p)), F.lit(False))
-    asked = found.where(F.col("entity_type").isin(*ENTITY_TYPES) & F.col("mention").isNotNull() & ~low.isin(*REJECTED_MENTIONS) & ~foreign).withColumn("id", F.concat_ws("#", "fact_id", "seq", "pos"))
-    of = lambda k: asked.where(F.col("entity_type") == k)
-    met = R.resolve_players(of("player").select("id", "mention", "position", "team_abbr", "team_name"), players).select("id", F.col("player_id").alias("entity_id"), "confidence")
+    asked = F.col("entity_type").isin(*ENTITY_TYPES) & F.col("mention").isNotNull() & ~low.isin(*REJECTED_MENTIONS) & ~foreign
+    told = ["position", "team_abbr", "team_name"]
+    found = found.withColumns({n: F.when(player, F.col(n)) for n in told}).withColumn("id", F.when(asked, F.to_json(F.struct("entity_type", "mention", *told))))
+    found = R.kept(found)  # read by three resolvers and twice more; a persisted plan is not found again once it has been joined with itself
+    # What a mention means depends on its id alone: each id is resolved once, however many facts have it.
+    once = R.kept(found.where("id is not null").select("id", "entity_type", "mention", *told).distinct())
+    of = lambda k: once.where(F.col("entity_type") == k)
+    met = R.resolve_players(of("player").select("id", "mention", *told), players).select("id", F.col("player_id").alias("entity_id"), "confidence")
     met = met.unionByName(R.resolve_teams(of("team").select("id", "mention"), teams).select("id", F.col("team_abbr").alias("entity_id"), "confidence"))
     met = met.unionByName(R.resolve_games(of("game").select("id", "mention"), games, teams).select("id", F.col("game_id").cast("string").alias("entity_id"), "confidence"))
-    lost = F.when(F.col("entity_type") == "player", F.concat(F.lit("UNRESOLVED:"), F.replace(F.trim(low), F.lit(" "), F.lit("_"))))
-    both = asked.join(met, "id", "left").withColumn("entity_id", F.coalesce("entity_id", lost)).where("entity_id is not null").withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
-    player = F.col("entity_type") == "player"
-    kept = first_by(both, ["fact_id", "entity_type", "entity_id"], F.desc("is_primary"), F.desc("confidence"), F.desc("seq"), F.desc("pos"))
-    kept = kept.select("fact_id", "llm_model", "entity_type", "entity_id", "mention", "confidence", "is_primary", "rank", *(F.when(player, F.col(n)).alias(n) for n in ("position", "team_abbr", "team_name")))
-    none = first_by(found.join(kept.select("fact_id").distinct(), "fact_id", "left_anti"), ["fact_id"], F.col("seq"), F.col("pos")).select(
-        "fact_id", "llm_model", F.lit("none").alias("entity_type"), F.lit(NO_ENTITIES).alias("entity_id"), F.lit(NO_ENTITIES_TEXT).alias("mention"), F.lit(0.0).alias("confidence"), F.lit(False).alias("is_primary")
-    )
-    return kept.unionByName(none, allowMissingColumns=True), _report(said, marked, none)
+    lost = F.when(player & F.col("id").isNotNull(), F.concat(F.lit("UNRESOLVED:"), F.replace(F.trim(low), F.lit(" "), F.lit("_"))))
+    both = found.where("__there and not __held").join(met, "id", "left").withColumn("entity_id", F.coalesce("entity_id", lost)).withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
+    fact = Window.partitionBy("fact_id")
+    same = Window.partitionBy("fact_id", "entity_type", "entity_id").orderBy(F.desc("is_primary"), F.desc("confidence"), F.desc("seq"), F.desc("pos"))
+    ranked = both.withColumn("__n", F.count("entity_id").over(fact)).withColumn("__first", F.row_number().over(fact.orderBy("seq", "pos"))).withColumn("__r", F.row_number().over(same))
+    kept = ranked.where("entity_id is not null and __r = 1 or __n = 0 and __first = 1")  # the latter: facts without any
+    named = F.col("entity_id").isNotNull()
+    marker = lambda n, value: F.when(named, F.col(n)).otherwise(F.lit(value)).alias(n)
+    out = kept.select(
+        "fact_id", "llm_model", marker("entity_type", "none"), F.coalesce("entity_id", F.lit(NO_ENTITIES)).alias("entity_id"), marker("mention", NO_ENTITIES_TEXT), marker("confidence", 0.0), marker("is_primary", False),
+        *(F.when(named, F.col(n)).alias(n) for n in ("rank", *told)),
+    )
+    return out, _report(said, found.where("coalesce(pos, 0) = 0"), out.where("entity_type = 'none'"))
 
 
 def completed_links(facts: DataFrame, topics: DataFrame, entities: DataFrame, processed: DataFrame) -> DataFrame:

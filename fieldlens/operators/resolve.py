@@ -109,7 +109,7 @@ class Directory:
         return None if name is None else (name, top)
 
 
-def _kept(df: DataFrame) -> DataFrame:
+def kept(df: DataFrame) -> DataFrame:
     """A table that is read several times, through the shared folder."""
     path = f"{shared_dir(df.sparkSession)}/names-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -170,13 +170,13 @@ def fuzzy_best(mentions: DataFrame, names: DataFrame, threshold: float = THRESHO
     Of many mentions, those at most one letter from a name are settled by joins, which grow with the tables; only the rest are scored against all names.
     """
     cutoff = threshold * 100
-    wanted = _kept(mentions.select("mention").where("mention is not null").distinct())
-    listed = _kept(names.select("name").where("name is not null").distinct())
+    wanted = kept(mentions.select("mention").where("mention is not null").distinct())
+    listed = kept(names.select("name").where("name is not null").distinct())
     total, n = listed.count(), wanted.count()
     if n <= FEW_MENTIONS:
         return _scored(wanted, n, listed, total, cutoff)
-    near = _kept(_by_one_letter(wanted, listed, cutoff))
-    rest = _kept(wanted.join(near, "mention", "left_anti"))
+    near = kept(_by_one_letter(wanted, listed, cutoff))
+    rest = kept(wanted.join(near, "mention", "left_anti"))
     n = rest.count()
     return near.unionByName(_scored(rest, n, listed, total, cutoff)) if n else near
 
