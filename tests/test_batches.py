@@ -28,3 +28,9 @@ def test_a_mention_of_many_facts_is_resolved_once(frame, monkeypatch):
         ("1", "player", "P1", 1.0), ("2", "player", "P1", 1.0), ("2", "player", "UNRESOLVED:jo_roe", 0.0), ("3", "game", "7", 0.9), ("3", "player", "P1", 1.0), ("3", "team", "KC", 1.0),
         ("4", "none", "NO_ENTITIES_FOUND", 0.0),
     ]
+
+
+def test_the_report_reads_what_the_batch_has_parsed(frame):
+    _, report = _batch(frame, ("1", []), ("9", []), ("2", [{"type": "player", "name": "Jo Roe"}, {"type": "coach", "name": "X"}]))
+    assert report.first().asDict() == {"facts_in_output": 3, "skipped_missing": 1, "skipped_existing": 0, "errors": 0, "without_data": 1}
+    assert "$.entities" not in report._jdf.queryExecution().optimizedPlan().toString()  # what the batch has parsed is read, not parsed again
