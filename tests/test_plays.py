@@ -5,6 +5,9 @@ import json
 import pytest
 
 from fieldlens.operators import plays as D
+from fieldlens.plans import all_queries
+
+QUERIES = all_queries()[0]
 
 SCHEMA = """game_id string, play_id long, quarter int, posteam string, defteam string, play_type string, yards_gained double, touchdown int, safety int, passer_player_id string,
   receiver_player_id string, rusher_player_id string, kicker_player_id string, punter_player_id string, returner_player_id string, interception_player_id string, forced_fumble_player_id string,
@@ -135,3 +138,19 @@ def test_ids(frame):
     static = frame([("MahoPa00", "00-0033873")], "other_id string, league_id string")
     out = D.mapped_ids(frame([("mahopa00",), ("001234567",), ("00-1111111",), (None,)], "pid string"), "pid", static, empty, empty)
     assert {r["pid"]: r["league_id"] for r in out.collect()} == {"mahopa00": "00-0033873", "001234567": "00-1234567", "00-1111111": "00-1111111", None: None}
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("name, most", [("game_envelope", 4)])
+def test_plays_are_dealt_out_once(spark, name, most):
+    """All that is asked of a game stays where its plays are; the envelope's four parts read one and the same shuffle."""
+    assert _exchanges(QUERIES[name](spark, "/root/testdata/sf0.001")) <= most
+
+
+def test_roles_and_sets_have_no_lambda_over_plays(log):
+    assert "lambda" not in D.roles(log({"rusher_player_id": "R", "sack_player_ids": ["S", "", None]}))._jdf.queryExecution().optimizedPlan().toString()
+    rows = D.roles(log({"rusher_player_id": "R", "kicker_player_id": "", "sack_player_ids": ["S", "", None]})).collect()
+    assert sorted((r["role"], r["player"]) for r in rows) == [("rusher", "R"), ("sacker", "S")]
