@@ -124,10 +124,9 @@ def selected(plays: DataFrame, per_team: int = 5, total: int = 30, qb_touches: i
     top = F.row_number().over(Window.partitionBy("game_id", "team").orderBy(*best))
     forced = (F.col("touchdowns") > 0) | ((F.col("position") == "QB") & (F.col("touches") >= qb_touches)) | (F.col("team").isNotNull() & (F.col("__top") <= per_team))
     flagged = scored.withColumn("__top", top).withColumn("__forced", F.coalesce(forced, F.lit(False)))
-    game = Window.partitionBy("game_id")
-    flagged = flagged.withColumn("__n", F.count_if("__forced").over(game)).withColumn("__able", ~F.col("__forced") & (F.col("play_frequency") >= min_plays))
-    fill = F.row_number().over(Window.partitionBy("game_id", "__able").orderBy(*best))
-    kept = flagged.withColumn("__fill", fill).where(F.col("__forced") | (F.col("__able") & (F.col("__fill") <= F.lit(total) - F.col("__n"))))
+    able = F.col("play_frequency") >= min_plays
+    place = F.row_number().over(Window.partitionBy("game_id").orderBy(F.desc("__forced"), F.desc("__able"), *best))  # the forced first, so the others fill what is left of the total
+    kept = flagged.withColumn("__able", able).withColumn("__place", place).where(F.col("__forced") | (F.col("__able") & (F.col("__place") <= total)))
     return kept.select("game_id", "player", "team", "position", "relevance", F.col("__forced").alias("forced"))
 
 

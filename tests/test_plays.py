@@ -144,7 +144,7 @@ def _exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
 
 
-@pytest.mark.parametrize("name, most", [("game_envelope", 4)])
+@pytest.mark.parametrize("name, most", [("quota_selection", 1), ("game_envelope", 4)])
 def test_plays_are_dealt_out_once(spark, name, most):
     """All that is asked of a game stays where its plays are; the envelope's four parts read one and the same shuffle."""
     assert _exchanges(QUERIES[name](spark, "/root/testdata/sf0.001")) <= most
@@ -154,3 +154,10 @@ def test_roles_and_sets_have_no_lambda_over_plays(log):
     assert "lambda" not in D.roles(log({"rusher_player_id": "R", "sack_player_ids": ["S", "", None]}))._jdf.queryExecution().optimizedPlan().toString()
     rows = D.roles(log({"rusher_player_id": "R", "kicker_player_id": "", "sack_player_ids": ["S", "", None]})).collect()
     assert sorted((r["role"], r["player"]) for r in rows) == [("rusher", "R"), ("sacker", "S")]
+
+
+def test_others_fill_what_the_forced_leave(log):
+    rows = D.selected(log({"rusher_player_id": "A", "touchdown": 1}, *({"rusher_player_id": p} for p in "BBBCCD")), per_team=0, total=3).collect()
+    assert sorted((r["player"], r["forced"]) for r in rows) == [("A", True), ("B", False), ("C", False)]
+    rare = D.selected(log({"rusher_player_id": "A", "touchdown": 1}, *({"rusher_player_id": p} for p in "BCDD")), per_team=0, total=3, min_plays=2).collect()
+    assert sorted(r["player"] for r in rare) == ["A", "D"]  # too few plays take no place
