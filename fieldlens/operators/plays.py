@@ -284,16 +284,23 @@ NEEDED = {"missing_quarter": "quarter", "missing_down": "down", "missing_yards_t
 RANGES = {"quarter_range": ("error", "quarter", 1, 5), "down_range": ("error", "down", 1, 4), "yards_to_go_range": ("warning", "yards_to_go", 0, 99), "yards_range": ("warning", "yards_gained", -99, 99)}
 
 
+def _seen(*columns: str) -> Column:
+    """A game's distinct combinations of its plays' columns: one small set, whatever the number of plays."""
+    return F.collect_set(F.struct(*columns)).alias("__seen")
+
+
+def _lineups() -> Column:
+    """A game's distinct lineups: the ids of all roles of a play."""
+    return F.collect_set(F.concat(F.array(*map(F.col, SCALAR_ROLES.values())), *map(_ids, LIST_ROLES))).alias("__lineups")
+
+
 def _log_teams() -> Column:
     """The names of the teams on either side, in order."""
-    return F.array_sort(F.filter(F.array_union(F.collect_set("posteam"), F.collect_set("defteam")), lambda x: x != ""))
+    return F.array_sort(F.filter(F.array_union("__seen.posteam", "__seen.defteam"), lambda x: x != ""))
 
 
-def _people(plays: DataFrame) -> DataFrame:
-    """How many players a game's log names, and how many ids in two parts are not two signs and seven digits."""
-    ids = roles(plays.select("game_id", *SCALAR_ROLES.values(), *LIST_ROLES.values())).select("game_id", "player").distinct()
-    odd = (F.size(F.split("player", "-")) == 2) & ~F.col("player").rlike("^..-[0-9]{7}$")
-    return ids.groupBy("game_id").agg(F.count("*").alias("n_players"), F.count_if(odd).alias("odd_ids"))
+def _log_players() -> Column:
+    return F.filter(F.array_distinct(F.flatten("__lineups")), lambda x: x != "")
 
 
 def checks(plays: DataFrame, share: float = 0.1) -> DataFrame:
@@ -306,13 +313,15 @@ def checks(plays: DataFrame, share: float = 0.1) -> DataFrame:
     named = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
     before = Window.partitionBy("game_id").orderBy("play_id")
     seen = plays.withColumns({"__back": F.col("quarter") < F.lag("quarter").over(before), "__again": F.col("play_id") == F.lag("play_id").over(before)})
-    per = seen.groupBy("game_id").agg(
-        F.count("*").alias("n_plays"), F.count_if("__again").alias("again"), F.count_if("__back").alias("back"), _log_teams().alias("teams"), F.count_if(~named("posteam") | ~named("defteam")).alias("no_team"),
-        *(F.count_if(raw(c).isNull()).alias(rule) for rule, c in NEEDED.items()), *(F.count_if(~number(c).between(low, high)).alias(rule) for rule, (_, c, low, high) in RANGES.items()),
-        F.count_if(~number("touchdown").isin(0, 1)).alias("odd_touchdowns"), F.count_if((F.col("play_type") == "pass") & ~named("passer_player_id")).alias("no_passer"),
-        F.count_if((F.col("play_type") == "run") & ~named("rusher_player_id")).alias("no_rusher"),
-    )
-    whole = id_parts(per.join(_people(plays), "game_id", "left").fillna(0, ["n_players", "odd_ids"]).withColumn("__id", F.col("game_id").cast("string")), "__id")
+    faults = {
+        "n_plays": F.lit(True), "again": F.col("__again"), "back": F.col("__back"), "no_team": ~named("posteam") | ~named("defteam"), **{rule: raw(c).isNull() for rule, c in NEEDED.items()},
+        **{rule: ~number(c).between(low, high) for rule, (_, c, low, high) in RANGES.items()}, "odd_touchdowns": ~number("touchdown").isin(0, 1),
+        "no_passer": (F.col("play_type") == "pass") & ~named("passer_player_id"), "no_rusher": (F.col("play_type") == "run") & ~named("rusher_player_id"),
+    }
+    per = seen.groupBy("game_id").agg(*(F.count_if(c).alias(n) for n, c in faults.items()), _seen("posteam", "defteam"), _lineups())
+    odd = lambda x: (F.size(F.split(x, "-")) == 2) & ~x.rlike("^..-[0-9]{7}$")  # noqa: E731  (ids in two parts that are not two signs and seven digits)
+    per = per.withColumns({"teams": _log_teams(), "__players": _log_players(), "__id": F.col("game_id").cast("string")})
+    whole = id_parts(per.withColumns({"n_players": F.size("__players"), "odd_ids": F.size(F.filter("__players", odd))}), "__id")
     expected = F.array_sort(F.array_distinct(F.array("away_team", "home_team")))
     other_teams = (F.col("away_team") != "") & (F.col("home_team") != "") & (F.size("teams") > 0) & (F.col("teams") != expected)
 
@@ -340,10 +349,11 @@ def valid_logs(report: DataFrame, strict: bool = False) -> DataFrame:
 
 def log_statistics(plays: DataFrame) -> DataFrame:
     """What a game's log covers."""
-    per = plays.groupBy("game_id").agg(
-        F.count("*").alias("n_plays"), F.array_sort(F.filter(F.collect_set("quarter"), lambda q: q != 0)).alias("quarters"), _log_teams().alias("teams"), F.countDistinct("play_type").alias("n_types")
-    )
-    return per.join(_people(plays).drop("odd_ids"), "game_id", "left").fillna(0, ["n_players"])
+    per = plays.groupBy("game_id").agg(F.count("*").alias("n_plays"), _seen("quarter", "posteam", "defteam", "play_type"), _lineups())
+    return per.select(
+        "game_id", "n_plays", F.array_sort(F.filter(F.array_distinct("__seen.quarter"), lambda q: q != 0)).alias("quarters"), _log_teams().alias("teams"),
+        F.size(F.array_distinct(F.array_compact("__seen.play_type"))).cast("long").alias("n_types"), F.size(_log_players()).cast("long").alias("n_players"),
+    )
 
 
 def play_type_counts(plays: DataFrame) -> DataFrame:
@@ -414,7 +424,7 @@ def adapted(raw: DataFrame) -> DataFrame:
 
 def headers(plays: DataFrame) -> DataFrame:
     """Season, week and teams of each game by its id (K4); an id that names no teams leaves them to the log, in order of name."""
-    per = plays.groupBy("game_id").agg(_log_teams().alias("teams"), F.count("*").alias("n_plays")).withColumn("__id", F.col("game_id").cast("string"))
+    per = plays.groupBy("game_id").agg(_seen("posteam", "defteam"), F.count("*").alias("n_plays")).withColumns({"teams": _log_teams(), "__id": F.col("game_id").cast("string")})
     team = lambda name, i: F.coalesce(F.nullif(F.col(name), F.lit("")), F.get("teams", F.lit(i)), F.lit("UNKNOWN")).alias(name)
     header = F.struct(F.col("__id").alias("game_id"), F.col("id_season").alias("season"), F.col("id_week").alias("week"), team("away_team", 0), team("home_team", 1))
     return id_parts(per, "__id").select("game_id", header.alias("header"), "n_plays")
