@@ -146,7 +146,7 @@ def _exchanges(df):
 
 @pytest.mark.parametrize("name, most", [("quota_selection", 1), ("log_statistics", 1), ("validation_report", 1), ("valid_logs", 1), ("game_envelope", 4)])
 def test_plays_are_dealt_out_once(spark, name, most):
-    """All that is asked of a game stays where its plays are; the envelope's four parts read one and the same shuffle."""
+    """All that is asked of a game stays where its plays are; the envelope has one shuffle for each of its four parts at most."""
     assert _exchanges(QUERIES[name](spark, "/root/testdata/sf0.001")) <= most
 
 
