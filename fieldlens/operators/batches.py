@@ -18,6 +18,8 @@ NO_TOPICS = "NO_TOPICS_FOUND"
 # What marks a fact without entities.
 NO_ENTITIES, NO_ENTITIES_TEXT = "NO_ENTITIES_FOUND", "[no entities extracted]"
 
+ENTITIES = "array<struct<entity_type: string, type: string, mention_text: string, name: string, position: string, team_abbr: string, team_name: string, is_primary: boolean, rank: int>>"
+
 # Mentions that are no entity, and what a team mention holds that belongs to another sport or league.
 REJECTED_MENTIONS = ["nfl", "league", "football", "sports", "espn", "fox", "cbs", "nbc", "museum", "hall of fame", "super bowl"]
 OTHER_TEAMS = [
@@ -51,10 +53,14 @@ def _reply(r: str) -> Column:
 
 
 def replies(lines: DataFrame) -> DataFrame:
-    """lines(value, and seq, their order) as seq, custom_id, llm_model, text and failed; text is null where a line has none."""
+    """lines(value, and seq, their order) as seq, custom_id, llm_model, text and failed; text is null where a line has none.
+
+    What a line holds is generated as one value: filters on it then stay above the parser, where else each of their terms would parse the line again.
+    """
     r = lines.select("seq", F.try_parse_json("value").alias("r"))
     bad = F.col("r").isNull() | _filled(_at("r", "$.error")).isNotNull() | (F.coalesce(_at("r", "$.response.status_code", "int"), F.lit(0)) != 200)
-    return r.select("seq", _at("r", "$.custom_id").alias("custom_id"), F.coalesce(_filled(_at("r", "$.response.body.model")), F.lit("unknown")).alias("llm_model"), F.nullif(_reply("r"), F.lit("")).alias("text"), bad.alias("failed"))
+    held = F.struct(_at("r", "$.custom_id").alias("custom_id"), F.coalesce(_filled(_at("r", "$.response.body.model")), F.lit("unknown")).alias("llm_model"), F.nullif(_reply("r"), F.lit("")).alias("text"), bad.alias("failed"))
+    return r.select("seq", F.explode(F.array(held)).alias("held")).select("seq", "held.*")
 
 
 def request_id(c: Column) -> Column:
@@ -118,7 +124,7 @@ def _rows(said: DataFrame) -> DataFrame:
     listed = lambda path: _at("p", path, "array<variant>")
     some = lambda a: F.when(F.size(a) > 0, a)
     each = payload.select("seq", "llm_model", F.explode(F.coalesce(listed("$"), some(listed("$.results")), some(listed("$.data")))).alias("row"))
-    return each.where(_is(F.col("row"), "OBJECT")).withColumn("fact_id", F.nullif(_at("row", "$.news_fact_id"), F.lit(""))).where("fact_id is not null")
+    return each.withColumn("fact_id", F.nullif(_at("row", "$.news_fact_id"), F.lit(""))).where("fact_id is not null")  # null for what is no object
 
 
 def _asked(rows: DataFrame, facts: DataFrame, held: DataFrame | None) -> DataFrame:
@@ -163,11 +169,11 @@ def entity_batch(lines: DataFrame, facts: DataFrame, players: DataFrame, teams:
     """
     said = replies(lines)
     marked = _asked(_rows(said), facts, held)
-    entities = F.when(F.col("__there") & ~F.col("__held"), _at("row", "$.entities", "array<variant>"))
+    entities = F.when(F.col("__there") & ~F.col("__held"), _at("row", "$.entities", ENTITIES))  # read once, not field by field; null for what is no object
     each = marked.select("fact_id", "llm_model", "seq", "__there", "__held", F.posexplode_outer(entities).alias("pos", "e"))
-    kind = F.lower(F.coalesce(_filled(_at("e", "$.entity_type")), _at("e", "$.type")))
-    mention = clean_mention(F.coalesce(_filled(_at("e", "$.mention_text")), _at("e", "$.name")))
-    own = {n: _at("e", f"$.{n}") for n in ("position", "team_abbr", "team_name")} | {"is_primary": F.coalesce(_at("e", "$.is_primary", "boolean"), F.lit(False)), "rank": _at("e", "$.rank", "int")}
+    kind = F.lower(F.coalesce(_filled(F.col("e.entity_type")), "e.type"))
+    mention = clean_mention(F.coalesce(_filled(F.col("e.mention_text")), "e.name"))
+    own = {n: F.col(f"e.{n}") for n in ("position", "team_abbr", "team_name", "rank")} | {"is_primary": F.coalesce("e.is_primary", F.lit(False))}
     found = each.select("fact_id", "llm_model", "seq", "pos", "__there", "__held", kind.alias("entity_type"), mention.alias("mention"), *(c.alias(n) for n, c in own.items()))
     low, player = F.lower("mention"), F.col("entity_type") == "player"
     foreign = (F.col("entity_type") == "team") & F.coalesce(F.exists(F.array(*map(F.lit, OTHER_TEAMS)), lambda p: F.contains(low, p)), F.lit(False))
@@ -181,6 +187,7 @@ def entity_batch(lines: DataFrame, facts: DataFrame, players: DataFrame, teams:
     met = R.resolve_players(of("player").select("id", "mention", *told), players).select("id", F.col("player_id").alias("entity_id"), "confidence")
     met = met.unionByName(R.resolve_teams(of("team").select("id", "mention"), teams).select("id", F.col("team_abbr").alias("entity_id"), "confidence"))
     met = met.unionByName(R.resolve_games(of("game").select("id", "mention"), games, teams).select("id", F.col("game_id").cast("string").alias("entity_id"), "confidence"))
+    met = F.broadcast(met) if once.count() <= R.DIRECTORY else met  # a row for each id at most; most facts share few ids or have none
     lost = F.when(player & F.col("id").isNotNull(), F.concat(F.lit("UNRESOLVED:"), F.replace(F.trim(low), F.lit(" "), F.lit("_"))))
     both = found.where("__there and not __held").join(met, "id", "left").withColumn("entity_id", F.coalesce("entity_id", lost)).withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
     fact = Window.partitionBy("fact_id")
@@ -193,7 +200,8 @@ def entity_batch(lines: DataFrame, facts: DataFrame, players: DataFrame, teams:
         "fact_id", "llm_model", marker("entity_type", "none"), F.coalesce("entity_id", F.lit(NO_ENTITIES)).alias("entity_id"), marker("mention", NO_ENTITIES_TEXT), marker("confidence", 0.0), marker("is_primary", False),
         *(F.when(named, F.col(n)).alias(n) for n in ("rank", *told)),
     )
-    return out, _report(said, found.where("coalesce(pos, 0) = 0"), out.where("entity_type = 'none'"))
+    none = both.groupBy("fact_id").agg(F.count("entity_id").alias("n")).where("n = 0")
+    return out, _report(said, found.where("coalesce(pos, 0) = 0"), none)
 
 
 def completed_links(facts: DataFrame, topics: DataFrame, entities: DataFrame, processed: DataFrame) -> DataFrame:

@@ -219,7 +219,7 @@ def resolve_players(mentions: DataFrame, players: DataFrame, threshold: float =
     An exact name beats a similar one; a position or team that is given must agree; the most certain, then first, player wins.
     """
     asked = mentions.withColumn("mention", normalised(F.col("mention")))
-    flat = players.select("player_id", F.explode("names").alias("name")).withColumn("name", normalised(F.col("name"))).where("name <> ''").distinct()
+    flat = kept(players.select("player_id", F.explode("names").alias("name")).withColumn("name", normalised(F.col("name"))).where("name <> ''").distinct())  # read five times
     exact = asked.join(flat, F.col("mention") == F.col("name")).select("id", "player_id", F.lit(1.0).alias("confidence"))
     rest = asked.join(exact.select("id").distinct(), "id", "left_anti")
     near = rest.join(fuzzy_best(rest, flat, threshold), "mention").join(flat, "name").select("id", "player_id", (F.col("score") / 100).alias("confidence"))

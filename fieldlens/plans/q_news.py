@@ -311,7 +311,9 @@ def _entity_batch(t):
     line = F.to_json(F.struct(F.concat(F.lit("e_"), f.cast("string")).alias("custom_id"), F.struct(F.lit(200).alias("status_code"), body.alias("body")).alias("response")))
     teams = t.teams.select("team_abbr", F.array("team_name").alias("names"))
     players = t.rosters.select(F.col("player").alias("player_id"), F.array("player_name").alias("names"), F.col("pos").alias("position"), F.col("team").alias("team_abbr"), F.lit(None).cast("string").alias("team_name"))
-    return T.entity_batch(facts.select(f.alias("seq"), line.alias("value")), t.facts, players, teams, t.games)
+    # Documents may lie in a few row groups, and small rows make long lines: they are dealt out before, into as many parts at any size.
+    lines = facts.repartition(4 * t.spark.sparkContext.defaultParallelism, "fact_id").select(f.alias("seq"), line.alias("value"))
+    return T.entity_batch(lines, t.facts, players, teams, t.games)
 
 
 _MET = "met AS (SELECT least(home, away) AS low, greatest(home, away) AS high, min(game_id) AS game_id FROM games GROUP BY 1, 2), asked AS (SELECT fact_id, 'T' || lpad(CAST(fact_id % 6 AS VARCHAR), 2, '0') AS one, 'T' || lpad(CAST(fact_id % 6 + 1 AS VARCHAR), 2, '0') AS two FROM facts), \
