@@ -2,7 +2,8 @@
 
 Exact and alias matches are equi-joins, and so are names one letter away where there are many mentions. Only mentions left over are scored, by an
 Arrow-batched UDF against a directory of names. A directory within ``DIRECTORY`` names goes to every task once; of a larger one, mentions within
-``FEW_MENTIONS`` go to every task, and more of them meet every block of that size.
+``FEW_MENTIONS`` go to every task, and more of them meet every block of that size. The joins of players and of
+similar names do not leave it to Spark what to broadcast: a side counted within ``DIRECTORY`` is, and others are shuffled.
 """
 
 from __future__ import annotations
@@ -116,7 +117,15 @@ def kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _by_one_letter(wanted: DataFrame, listed: DataFrame, cutoff: float) -> DataFrame:
+def _sized(side: DataFrame, rows: int) -> DataFrame:
+    """One side of a join, by its number of rows: broadcast within ``DIRECTORY``, else both sides are shuffled.
+
+    Spark would judge by the sizes of compressed files, which are a small part of the hash tables that the driver builds.
+    """
+    return F.broadcast(side) if rows <= DIRECTORY else side.hint("merge")
+
+
+def _by_one_letter(wanted: DataFrame, n_wanted: int, listed: DataFrame, total: int, cutoff: float) -> DataFrame:
     """The best name of each mention (of three letters or more) with a name that is equal, or has one letter more or less, by joins on words with a letter left out.
 
     Of n letters: equal words score 100, a name with a letter more 200n / (2n + 1), one with a letter less 200(n - 1) / (2n - 1), and any other
@@ -131,10 +140,11 @@ def _by_one_letter(wanted: DataFrame, listed: DataFrame, cutoff: float) -> DataF
     asked = wanted.select("mention", words("mention").alias("words")).where(F.length("words") > 2)
     named = listed.select("name", words("name").alias("words")).where("words <> ''")
     n = F.length("w")
+    whole, names = asked.select("mention", F.col("words").alias("w"), F.col("words").alias("k")), _sized(named.select("name", F.col("words").alias("k")), total)
     steps = [
-        (asked.select("mention", F.col("words").alias("w"), F.col("words").alias("k")), named.select("name", F.col("words").alias("k")), F.lit(100.0)),
-        (asked.select("mention", F.col("words").alias("w"), F.col("words").alias("k")), named.select("name", F.explode(shorter).alias("k")), F.lit(200.0) * n / (2 * n + 1)),
-        (asked.select("mention", F.col("words").alias("w"), F.explode(shorter).alias("k")), named.select("name", F.col("words").alias("k")), F.lit(200.0) * (n - 1) / (2 * n - 1)),
+        (whole, names, F.lit(100.0)),
+        (_sized(whole, n_wanted), named.select("name", F.explode(shorter).alias("k")), F.lit(200.0) * n / (2 * n + 1)),
+        (asked.select("mention", F.col("words").alias("w"), F.explode(shorter).alias("k")), names, F.lit(200.0) * (n - 1) / (2 * n - 1)),
     ]
     found = [left.join(right, "k").select("mention", "name", score.alias("score")) for left, right, score in steps]
     met = found[0].union(found[1]).union(found[2]).where(F.col("score") >= cutoff)
@@ -175,8 +185,8 @@ def fuzzy_best(mentions: DataFrame, names: DataFrame, threshold: float = THRESHO
     total, n = listed.count(), wanted.count()
     if n <= FEW_MENTIONS:
         return _scored(wanted, n, listed, total, cutoff)
-    near = kept(_by_one_letter(wanted, listed, cutoff))
-    rest = kept(wanted.join(near, "mention", "left_anti"))
+    near = kept(_by_one_letter(wanted, n, listed, total, cutoff))
+    rest = kept(wanted.join(_sized(near, n), "mention", "left_anti"))
     n = rest.count()
     return near.unionByName(_scored(rest, n, listed, total, cutoff)) if n else near
 
@@ -218,12 +228,15 @@ def resolve_players(mentions: DataFrame, players: DataFrame, threshold: float =
 
     An exact name beats a similar one; a position or team that is given must agree; the most certain, then first, player wins.
     """
-    asked = mentions.withColumn("mention", normalised(F.col("mention")))
-    flat = kept(players.select("player_id", F.explode("names").alias("name")).withColumn("name", normalised(F.col("name"))).where("name <> ''").distinct())  # read five times
-    exact = asked.join(flat, F.col("mention") == F.col("name")).select("id", "player_id", F.lit(1.0).alias("confidence"))
-    rest = asked.join(exact.select("id").distinct(), "id", "left_anti")
-    near = rest.join(fuzzy_best(rest, flat, threshold), "mention").join(flat, "name").select("id", "player_id", (F.col("score") / 100).alias("confidence"))
-    found = exact.union(near).join(asked.select("id", F.col("position").alias("p"), F.col("team_abbr").alias("t"), F.lower("team_name").alias("tn")), "id").join(players.drop("names"), "player_id")
+    told = [F.col(c).cast("string").alias(c) for c in ("position", "team_abbr", "team_name")]
+    asked = kept(mentions.select("id", normalised(F.col("mention")).alias("mention"), *told))  # read five times, as is flat
+    flat = kept(players.select("player_id", F.explode("names").alias("name")).withColumn("name", normalised(F.col("name"))).where("name <> ''").distinct())
+    n, listed = asked.count(), _sized(flat, flat.count())
+    exact = asked.join(listed, F.col("mention") == F.col("name")).select("id", "player_id", F.lit(1.0).alias("confidence"))
+    rest = asked.join(_sized(exact.select("id").distinct(), n), "id", "left_anti")
+    near = rest.join(_sized(fuzzy_best(rest, flat, threshold), n), "mention").join(listed, "name").select("id", "player_id", (F.col("score") / 100).alias("confidence"))
+    found = exact.union(near).join(_sized(players.drop("names"), players.count()), "player_id")
+    found = found.join(_sized(asked.select("id", F.col("position").alias("p"), F.col("team_abbr").alias("t"), F.lower("team_name").alias("tn")), n), "id")  # last, as the window needs the ids together too
     agree = lambda want, have: F.coalesce(want, F.lit("")).isin("") | (want == have)
     by_name = F.coalesce("tn", F.lit("")).isin("") | F.contains(F.lower("team_name"), F.col("tn")) | F.contains(F.col("tn"), F.lower("team_name"))
     fits = found.where(agree(position_code(F.col("p")), position_code(F.col("position"))) & agree(F.upper("t"), F.upper("team_abbr")) & F.coalesce(by_name, F.lit(True)))
