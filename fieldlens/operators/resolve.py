@@ -125,6 +125,11 @@ def _sized(side: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(side) if rows <= DIRECTORY else side.hint("merge")
 
 
+def _joined(left: DataFrame, n: int, right: DataFrame, total: int, on: str | Column) -> DataFrame:
+    """An inner join of two counted sides, n and total rows at most."""
+    return left.join(_sized(right, total), on) if total <= n else _sized(left, n).join(right, on)
+
+
 def _by_one_letter(wanted: DataFrame, n_wanted: int, listed: DataFrame, total: int, cutoff: float) -> DataFrame:
     """The best name of each mention (of three letters or more) with a name that is equal, or has one letter more or less, by joins on words with a letter left out.
 
@@ -140,13 +145,13 @@ def _by_one_letter(wanted: DataFrame, n_wanted: int, listed: DataFrame, total: i
     asked = wanted.select("mention", words("mention").alias("words")).where(F.length("words") > 2)
     named = listed.select("name", words("name").alias("words")).where("words <> ''")
     n = F.length("w")
-    whole, names = asked.select("mention", F.col("words").alias("w"), F.col("words").alias("k")), _sized(named.select("name", F.col("words").alias("k")), total)
+    whole, names = asked.select("mention", F.col("words").alias("w"), F.col("words").alias("k")), named.select("name", F.col("words").alias("k"))
     steps = [
-        (whole, names, F.lit(100.0)),
-        (_sized(whole, n_wanted), named.select("name", F.explode(shorter).alias("k")), F.lit(200.0) * n / (2 * n + 1)),
-        (asked.select("mention", F.col("words").alias("w"), F.explode(shorter).alias("k")), names, F.lit(200.0) * (n - 1) / (2 * n - 1)),
+        (_joined(whole, n_wanted, names, total, "k"), F.lit(100.0)),
+        (_sized(whole, n_wanted).join(named.select("name", F.explode(shorter).alias("k")), "k"), F.lit(200.0) * n / (2 * n + 1)),
+        (asked.select("mention", F.col("words").alias("w"), F.explode(shorter).alias("k")).join(_sized(names, total), "k"), F.lit(200.0) * (n - 1) / (2 * n - 1)),
     ]
-    found = [left.join(right, "k").select("mention", "name", score.alias("score")) for left, right, score in steps]
+    found = [met.select("mention", "name", score.alias("score")) for met, score in steps]
     met = found[0].union(found[1]).union(found[2]).where(F.col("score") >= cutoff)
     return met.groupBy("mention").agg(F.min(F.struct((-F.col("score")).alias("less"), "name")).alias("best")).select("mention", F.col("best.name").alias("name"), (-F.col("best.less")).alias("score"))
 
@@ -231,10 +236,10 @@ def resolve_players(mentions: DataFrame, players: DataFrame, threshold: float =
     told = [F.col(c).cast("string").alias(c) for c in ("position", "team_abbr", "team_name")]
     asked = kept(mentions.select("id", normalised(F.col("mention")).alias("mention"), *told))  # read five times, as is flat
     flat = kept(players.select("player_id", F.explode("names").alias("name")).withColumn("name", normalised(F.col("name"))).where("name <> ''").distinct())
-    n, listed = asked.count(), _sized(flat, flat.count())
-    exact = asked.join(listed, F.col("mention") == F.col("name")).select("id", "player_id", F.lit(1.0).alias("confidence"))
+    n, total = asked.count(), flat.count()
+    exact = _joined(asked, n, flat, total, F.col("mention") == F.col("name")).select("id", "player_id", F.lit(1.0).alias("confidence"))
     rest = asked.join(_sized(exact.select("id").distinct(), n), "id", "left_anti")
-    near = rest.join(_sized(fuzzy_best(rest, flat, threshold), n), "mention").join(listed, "name").select("id", "player_id", (F.col("score") / 100).alias("confidence"))
+    near = _joined(rest.join(_sized(fuzzy_best(rest, flat, threshold), n), "mention"), n, flat, total, "name").select("id", "player_id", (F.col("score") / 100).alias("confidence"))
     found = exact.union(near).join(_sized(players.drop("names"), players.count()), "player_id")
     found = found.join(_sized(asked.select("id", F.col("position").alias("p"), F.col("team_abbr").alias("t"), F.lower("team_name").alias("tn")), n), "id")  # last, as the window needs the ids together too
     agree = lambda want, have: F.coalesce(want, F.lit("")).isin("") | (want == have)
